@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,6 +120,12 @@ def value_type(field: Field) -> T.DataType:
     return T.StringType() if isinstance(field.type, T.VarcharType) else field.type
 
 
+def _widened(field: Field) -> Field:
+    if isinstance(field.type, T.DecimalType):
+        return replace(field, type=T.DecimalType(38, field.type.scale))
+    return field
+
+
 def _column(df: DataFrame, table: str, field: Field) -> Column:
     if field.name in df.columns:
         value = F.col(field.name).cast(value_type(field))
@@ -137,13 +143,17 @@ def _column(df: DataFrame, table: str, field: Field) -> Column:
     return value.alias(field.name)
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
+def conform(df: DataFrame, table: str, wide_money: bool = False) -> DataFrame:
     """``df`` with exactly the contract's columns, types and order.
 
     Missing columns are filled (sequence, current time or NULL) and others dropped. A NULL in
     a required column, an over-long text or a value that does not fit its type fails the job.
+    ``wide_money`` gives money columns 38 digits, for totals that outgrow the declared ones.
     """
-    return df.select(*[_column(df, table, f) for f in CONTRACTS[table]])
+    fields = CONTRACTS[table]
+    if wide_money:
+        fields = tuple(_widened(f) for f in fields)
+    return df.select(*[_column(df, table, f) for f in fields])
 
 
 def fact_budget(budgets: DataFrame) -> DataFrame:
