@@ -6,14 +6,20 @@ campaigns with many rows a day, and expenses dated after the calendar's end.
 
 from __future__ import annotations
 
+import tempfile
+from collections.abc import Callable
 from functools import cached_property
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from outlay.functions import small_side
 from outlay.operators import cleaning, dimensions, facts, kpis, rules
 from outlay.params import Thresholds
 from outlay.sources.calendar import calendar_days, day_span
+from outlay.sources.readers import read_table
+from outlay.sources.writers import write_table
 
 # Limits that make every rule and band occur in the test tables.
 LIMITS = Thresholds(
@@ -23,11 +29,41 @@ AS_OF = "2001-11-30"
 YEARLY_HOLIDAYS = ("01-01", "07-04", "11-11", "12-25")
 
 
-class Tables:
-    """All tables over one test-data folder, built lazily and never collected."""
+_STORES: dict[tuple[str, str], tuple[str, set[str]]] = {}
+_NUMBERS = count(1)
+
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder: in the cluster's shared checkpoint folder, or a temporary one in local mode."""
+    context = spark.sparkContext
+    shared = context.getConf().get("spark.checkpoint.dir")
+    if shared is not None:
+        return f"{shared.rstrip('/')}/outlay-{context.applicationId}-{next(_NUMBERS)}"
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return tempfile.mkdtemp(prefix="outlay-")
+
+
+class Tables:
+    """The inputs and tables over one test-data folder."""
+
+    def __init__(self, spark: SparkSession, folder: str, store: str, written: set[str]):
+        self.spark, self.folder, self.store, self.written = spark, folder, store, written
+
+    @classmethod
+    def shared(cls, spark: SparkSession, folder: str) -> Tables:
+        """Tables that reuse what this application has already written for ``folder``."""
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in _STORES:
+            _STORES[key] = (scratch_folder(spark), set())
+        return cls(spark, folder, *_STORES[key])
+
+    def stored(self, name: str, build: Callable[[], DataFrame], row_id: str | None = None) -> DataFrame:
+        path = f"{self.store}/{name}"
+        if name not in self.written:
+            write_table(build(), path, row_id=row_id)
+            self.written.add(name)
+        return read_table(self.spark, path)
 
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -148,87 +184,126 @@ class Tables:
         )
         return calendar_days(spans, yearly_holidays=YEARLY_HOLIDAYS)
 
-    @cached_property
-    def expenses(self) -> DataFrame:
+    # Each layer is written once per application and folder and then read by every query, as
+    # the batch stages do. ``*_of`` builds the last step alone, from the written tables below it.
+
+    def expenses_of(self) -> DataFrame:
         return cleaning.clean_expenses(self.raw_expenses, "lineitem")
 
     @cached_property
-    def budgets(self) -> DataFrame:
+    def expenses(self) -> DataFrame:
+        return self.stored("expenses", self.expenses_of)
+
+    def budgets_of(self) -> DataFrame:
         return cleaning.clean_budgets(self.raw_budgets, "orders")
 
     @cached_property
-    def campaign_spend(self) -> DataFrame:
+    def budgets(self) -> DataFrame:
+        return self.stored("budgets", self.budgets_of)
+
+    def campaign_spend_of(self) -> DataFrame:
         return cleaning.clean_campaign_spend(self.raw_campaign_spend, "events")
 
     @cached_property
-    def calendar(self) -> DataFrame:
+    def campaign_spend(self) -> DataFrame:
+        return self.stored("campaign_spend", self.campaign_spend_of)
+
+    def calendar_of(self) -> DataFrame:
         return cleaning.clean_calendar(self.raw_calendar, "calendar")
 
     @cached_property
-    def dim_vendor(self) -> DataFrame:
+    def calendar(self) -> DataFrame:
+        return self.stored("calendar", self.calendar_of)
+
+    def dim_vendor_of(self) -> DataFrame:
         return dimensions.dim_vendor(self.expenses)
 
     @cached_property
-    def dim_employee(self) -> DataFrame:
+    def dim_vendor(self) -> DataFrame:
+        return small_side(self.stored("dim_vendor", self.dim_vendor_of))
+
+    def dim_employee_of(self) -> DataFrame:
         return dimensions.dim_employee(self.expenses)
 
     @cached_property
-    def dim_department(self) -> DataFrame:
+    def dim_employee(self) -> DataFrame:
+        return small_side(self.stored("dim_employee", self.dim_employee_of))
+
+    def dim_department_of(self) -> DataFrame:
         return dimensions.dim_department(self.expenses)
 
     @cached_property
-    def dim_campaign(self) -> DataFrame:
+    def dim_department(self) -> DataFrame:
+        return small_side(self.stored("dim_department", self.dim_department_of))
+
+    def dim_campaign_of(self) -> DataFrame:
         return dimensions.dim_campaign(self.campaign_spend)
 
     @cached_property
-    def dim_calendar(self) -> DataFrame:
+    def dim_campaign(self) -> DataFrame:
+        return small_side(self.stored("dim_campaign", self.dim_campaign_of))
+
+    def dim_calendar_of(self) -> DataFrame:
         return dimensions.dim_calendar(self.calendar)
 
     @cached_property
-    def fact_expense(self) -> DataFrame:
+    def dim_calendar(self) -> DataFrame:
+        return small_side(self.stored("dim_calendar", self.dim_calendar_of))
+
+    def fact_expense_of(self) -> DataFrame:
         return facts.fact_expense(
             self.expenses, self.dim_vendor, self.dim_employee, self.dim_department, self.dim_calendar
         )
 
     @cached_property
-    def fact_campaign_spend(self) -> DataFrame:
+    def fact_expense(self) -> DataFrame:
+        return self.stored("fact_expense", self.fact_expense_of, row_id="expense_id")
+
+    def fact_campaign_spend_of(self) -> DataFrame:
         return facts.fact_campaign_spend(self.campaign_spend, self.dim_calendar)
 
     @cached_property
-    def duplicate_signals(self) -> DataFrame:
+    def fact_campaign_spend(self) -> DataFrame:
+        return self.stored("fact_campaign_spend", self.fact_campaign_spend_of)
+
+    def duplicates_of(self) -> DataFrame:
         return rules.duplicate_invoices(self.fact_expense, self.dim_vendor, LIMITS)
 
-    @cached_property
-    def near_duplicate_signals(self) -> DataFrame:
+    def near_duplicates_of(self) -> DataFrame:
         return rules.near_duplicate_invoices(self.fact_expense, self.dim_vendor, LIMITS)
 
-    @cached_property
-    def sub_threshold_signals(self) -> DataFrame:
+    def sub_threshold_of(self) -> DataFrame:
         return rules.sub_threshold_repeats(self.fact_expense, self.dim_employee, LIMITS)
 
-    @cached_property
-    def weekend_signals(self) -> DataFrame:
+    def weekend_of(self) -> DataFrame:
         return rules.weekend_holiday_claims(self.fact_expense, self.dim_calendar, self.dim_employee)
 
-    @cached_property
-    def round_number_signals(self) -> DataFrame:
+    def round_number_of(self) -> DataFrame:
         return rules.round_number_spikes(self.fact_expense, self.dim_department, LIMITS, self.as_of)
 
-    @cached_property
-    def campaign_signals(self) -> DataFrame:
+    def campaign_spikes_of(self) -> DataFrame:
         return rules.campaign_spend_spikes(self.fact_campaign_spend, self.dim_campaign, LIMITS)
 
-    @cached_property
-    def signals(self) -> DataFrame:
+    def signals_of(self) -> DataFrame:
         return rules.leakage_signals(
-            self.duplicate_signals, self.sub_threshold_signals, self.weekend_signals,
-            self.round_number_signals, self.campaign_signals,
+            self.duplicates_of(), self.sub_threshold_of(), self.weekend_of(), self.round_number_of(),
+            self.campaign_spikes_of(),
         )
 
     @cached_property
-    def variance(self) -> DataFrame:
+    def signals(self) -> DataFrame:
+        return self.stored("fact_leakage_signal", self.signals_of, row_id="signal_id")
+
+    def variance_of(self) -> DataFrame:
         return kpis.budget_variance(self.fact_expense, self.dim_department, self.budgets)
 
     @cached_property
-    def concentration(self) -> DataFrame:
+    def variance(self) -> DataFrame:
+        return self.stored("kpi_budget_variance", self.variance_of)
+
+    def concentration_of(self) -> DataFrame:
         return kpis.vendor_concentration(self.fact_expense, self.dim_vendor, LIMITS)
+
+    @cached_property
+    def concentration(self) -> DataFrame:
+        return self.stored("kpi_vendor_concentration", self.concentration_of)

@@ -11,6 +11,14 @@ from outlay.catalog.inputs import AS_OF, LIMITS, YEARLY_HOLIDAYS
 _HOLIDAYS = ", ".join(f"'{h}'" for h in YEARLY_HOLIDAYS)
 L = LIMITS
 
+def _mean(total: str, rows: str, digits: int = 6) -> str:
+    """total / rows rounded half up like a decimal average; ``total`` is a DECIMAL(x, 2)."""
+    unit = 10 ** (digits - 2)
+    return (
+        f"CAST((CAST({total} * 100 AS HUGEINT) * {2 * unit} + {rows}) // (2 * {rows}) AS DOUBLE) / {10 ** digits}"
+    )
+
+
 BASE = f"""
 WITH raw_expenses AS (
   SELECT 'INV-' || l_orderkey || '-' || l_linenumber AS invoice_id,
@@ -199,7 +207,7 @@ WITH raw_expenses AS (
   LEFT JOIN budgets b ON a.dept_id = b.dept_id AND a.budget_month_key = b.budget_month
 ), concentration AS (
   SELECT vendor_id, vendor_name, CAST(total AS DOUBLE) AS total_spend, transaction_count,
-         CAST(total AS DOUBLE) / transaction_count AS avg_transaction_amount, spend_percentage,
+         {_mean('total', 'transaction_count')} AS avg_transaction_amount, spend_percentage,
          CAST(CASE WHEN spend_percentage > {L.vendor_high_pct} THEN 90
                    WHEN spend_percentage > {L.vendor_medium_pct} THEN 70
                    WHEN spend_percentage > {L.vendor_low_pct} THEN 50 ELSE 20 END AS DOUBLE)
@@ -242,10 +250,11 @@ WITH raw_expenses AS (
 )
 """
 
+
 SIGNAL = "rule_name, entity_type, entity_id, entity_name, signal_date, score"
 
-_EXPENSE_STATS = """count(*) AS total_transactions, CAST(sum(amount) AS DOUBLE) AS total_expenses,
-  round(CAST(sum(amount) AS DOUBLE) / count(amount), 6) AS avg_transaction_amount,
+_EXPENSE_STATS = f"""count(*) AS total_transactions, CAST(sum(amount) AS DOUBLE) AS total_expenses,
+  {_mean('sum(amount)', 'count(amount)')} AS avg_transaction_amount,
   CAST(max(amount) AS DOUBLE) AS max_transaction_amount,
   CAST(min(amount) AS DOUBLE) AS min_transaction_amount"""
 
@@ -268,11 +277,11 @@ _VENDOR_STATS = """count(*) AS total_vendors,
   round(max(spend_percentage), 6) AS max_spend_percentage,
   count(CASE WHEN concentration_score >= 70 THEN 1 END) AS high_risk_vendors"""
 
-_ESTIMATE = """SELECT round(est, 6) AS estimated_potential_leakage,
+_ESTIMATE = f"""SELECT round(est, 6) AS estimated_potential_leakage,
   round(CASE WHEN total_expenses > 0 THEN est / total_expenses * 100 ELSE 0 END, 6) AS leakage_percentage
 FROM (SELECT total_expenses, CASE WHEN high > 0 THEN high * mean * 0.5 ELSE 0 END AS est
       FROM (SELECT CAST(sum(amount) AS DOUBLE) AS total_expenses,
-                   round(CAST(sum(amount) AS DOUBLE) / count(amount), 6) AS mean,
+                   {_mean('sum(amount)', 'count(amount)')} AS mean,
                    (SELECT count(*) FROM signals WHERE score >= 80) AS high
             FROM fact_expense))"""
 
@@ -403,9 +412,9 @@ FROM (SELECT a.invoice_id, a.vendor_id, a.trx_date, count(*) AS matches
 LEFT JOIN dim_vendor v ON m.vendor_id = v.vendor_id"""
 
 _TRENDS = """SELECT budget_month_key, dept_name, CAST(spent AS DOUBLE) AS monthly_expenses, transaction_count,
-  round(CAST(spent AS DOUBLE) / transaction_count, 4) AS avg_transaction_amount,
+  CAST(spent AS DOUBLE) / transaction_count AS avg_transaction_amount,
   CAST(prev AS DOUBLE) AS prev_month_expenses,
-  round(CASE WHEN prev > 0 THEN CAST(spent - prev AS DOUBLE) / CAST(prev AS DOUBLE) * 100 ELSE 0 END, 4)
+  CASE WHEN prev > 0 THEN CAST(spent - prev AS DOUBLE) / CAST(prev AS DOUBLE) * 100 ELSE 0 END
     AS month_over_month_change
 FROM (SELECT *, lag(spent) OVER (PARTITION BY dept_name ORDER BY budget_month_key NULLS FIRST) AS prev
       FROM (SELECT e.budget_month_key, d.dept_name, sum(e.amount) AS spent, count(*) AS transaction_count
@@ -413,7 +422,7 @@ FROM (SELECT *, lag(spent) OVER (PARTITION BY dept_name ORDER BY budget_month_ke
 
 _EMPLOYEES = """SELECT p.employee_name, CAST(p.employee_id AS BIGINT) AS employee_id, d.dept_name,
   count(e.invoice_id) AS expense_count, CAST(sum(e.amount) AS DOUBLE) AS total_expenses,
-  round(CAST(sum(e.amount) AS DOUBLE) / count(e.amount), 4) AS avg_expense_amount,
+  CAST(sum(e.amount) AS DOUBLE) / count(e.amount) AS avg_expense_amount,
   CAST(max(e.amount) AS DOUBLE) AS max_expense_amount, min(e.trx_date) AS first_expense_date,
   max(e.trx_date) AS last_expense_date, count(DISTINCT v.vendor_id) AS unique_vendors,
   count(CASE WHEN c.is_weekend OR c.is_holiday THEN 1 END) AS weekend_holiday_expenses,
@@ -533,7 +542,7 @@ WHERE budget_month_key >= '1998-01' GROUP BY 1""",
   CAST(cost AS DOUBLE) AS cost, clicks, impressions, conversions,
   CAST(attributed_revenue AS DOUBLE) AS attributed_revenue
 FROM fact_campaign_spend WHERE date >= DATE '2024-01-15'""",
-    "summary_monthly": _MONTHLY.format(avg="round(CAST(sum(amount) AS DOUBLE) / count(amount), 6)"),
+    "summary_monthly": _MONTHLY.format(avg=_mean("sum(amount)", "count(amount)")),
     "summary_dept": _DEPT,
     "summary_campaign": _CAMPAIGN.format(digits=6),
     "rule_duplicate": f"SELECT {SIGNAL}, details FROM duplicates",
@@ -545,8 +554,8 @@ FROM fact_campaign_spend WHERE date >= DATE '2024-01-15'""",
     "leakage_signals": f"SELECT {SIGNAL} FROM signals",
     "budget_variance": _VARIANCE,
     "budget_fallback": _FALLBACK,
-    "vendor_concentration": """SELECT CAST(vendor_id AS BIGINT) AS vendor_id, vendor_name, total_spend,
-  transaction_count, round(avg_transaction_amount, 6) AS avg_transaction_amount,
+    "vendor_concentration": f"""SELECT CAST(vendor_id AS BIGINT) AS vendor_id, vendor_name, total_spend,
+  transaction_count, avg_transaction_amount,
   round(spend_percentage, 6) AS spend_percentage, concentration_score FROM concentration""",
     "metrics_expenses": f"SELECT {_EXPENSE_STATS} FROM fact_expense",
     "metrics_signals": f"SELECT {_SIGNAL_STATS} FROM signals",
@@ -570,9 +579,9 @@ FROM ({_ALL_CHECKS})""",
     "vw_budget_vs_actual": """SELECT dept_name, CAST(dept_id AS BIGINT) AS dept_id, budget_month, budget_amount,
   actual_amount, variance_amount, round(variance_percentage, 6) AS variance_percentage, budget_status
 FROM vw_budget""",
-    "vw_vendor_concentration": """SELECT vendor_name, CAST(vendor_id AS BIGINT) AS vendor_id, category,
+    "vw_vendor_concentration": f"""SELECT vendor_name, CAST(vendor_id AS BIGINT) AS vendor_id, category,
   transaction_count, CAST(total AS DOUBLE) AS total_spend,
-  round(CAST(total AS DOUBLE) / transaction_count, 6) AS avg_transaction_amount,
+  {_mean('total', 'transaction_count')} AS avg_transaction_amount,
   round(spend_percentage, 6) AS spend_percentage, concentration_risk, vendor_rank FROM vw_vendor""",
     "vw_leakage_flags": "SELECT * FROM vw_flags",
     "vw_campaign_roi": _ROI,
@@ -652,7 +661,9 @@ FROM small_claims WHERE score >= 80""",
     "contract_fact_expense": f"SELECT {_FACT} FROM fact_expense",
     "contract_fact_campaign_spend": f"SELECT {_SPEND} FROM fact_campaign_spend",
     "contract_fact_leakage_signal": f"SELECT {SIGNAL} FROM signals",
-    "contract_summary_monthly": _MONTHLY.format(avg="round(CAST(sum(amount) AS DOUBLE) / count(amount), 2)"),
+    "contract_summary_monthly": _MONTHLY.format(
+        avg=f"round({_mean('sum(amount)', 'count(amount)')}, 2)"
+    ),
     "contract_summary_dept": _DEPT,
     "contract_summary_campaign": _CAMPAIGN.format(digits=4),
     "load_contract": """SELECT CAST(vendor_id AS BIGINT) AS vendor_id, 2 * count(*) AS loaded_rows,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from outlay import schemas
-from outlay.catalog.inputs import LIMITS, Tables
+from outlay.catalog.inputs import LIMITS, Tables, scratch_folder
 from outlay.functions import numeric_or_null
 from outlay.operators import cleaning, insights, kpis, metrics, quality, summaries, views
 from outlay.sources import contracts
@@ -23,7 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 UNSTABLE = ("ingestion_timestamp", "created_timestamp", "updated_timestamp", "expense_id", "budget_id", "signal_id")
 
 
-def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
+def comparable(df: DataFrame, digits: int | None = 6) -> DataFrame:
     """``df`` without unstable columns, with bigint, double (rounded), text, date and boolean only."""
 
     def column(field: T.StructField):
@@ -31,7 +30,7 @@ def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
         if isinstance(field.dataType, T.DecimalType):
             value = value.cast("double")
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            value = F.round(value.cast("double"), digits)
+            value = value if digits is None else F.round(value.cast("double"), digits)
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             value = value.cast("bigint")
         return value.alias(field.name)
@@ -39,35 +38,19 @@ def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[column(f) for f in df.schema if f.name not in UNSTABLE])
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder for a query that writes and reads back: shared on a cluster, else local."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if shared is None and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    parent = tempfile.mkdtemp(prefix="outlay-") if shared is None else (
-        f"{shared.rstrip('/')}/outlay-{spark.sparkContext.applicationId}-{next(_NUMBERS)}"
-    )
-    return f"{parent}/{name}"
-
-
-def _counter():
-    number = 0
-    while True:
-        number += 1
-        yield number
-
-
-_NUMBERS = _counter()
+def _scratch(t: Tables, name: str) -> str:
+    """A new place for a query that writes and reads back."""
+    return f"{scratch_folder(t.spark)}/{name}"
 
 
 def _csv_roundtrip(t: Tables) -> DataFrame:
-    path = _scratch(t.spark, "expenses_csv")
+    path = _scratch(t, "expenses_csv")
     write_csv(t.raw_expenses.drop("l_quantity", "l_discount"), path)
     return cleaning.clean_expenses(read_csv(t.spark, path, schemas.EXPENSES), "expenses_csv").drop("source_file")
 
 
 def _csv_inferred(t: Tables) -> DataFrame:
-    path = _scratch(t.spark, "budgets_csv")
+    path = _scratch(t, "budgets_csv")
     write_csv(t.raw_budgets, path)
     return read_csv_inferred(t.spark, path).groupBy("dept_id").agg(
         F.count(F.lit(1)).alias("budget_rows"), F.round(F.sum("budget_amount"), 2).alias("budget_total"),
@@ -75,8 +58,8 @@ def _csv_inferred(t: Tables) -> DataFrame:
 
 
 def _partitioned_fact(t: Tables) -> DataFrame:
-    path = _scratch(t.spark, "fact_expense")
-    write_table(t.fact_expense, path, partition_by="budget_month_key", row_id="expense_id")
+    path = _scratch(t, "fact_expense")
+    write_table(t.fact_expense_of(), path, partition_by="budget_month_key", row_id="expense_id")
     back = read_table(t.spark, path)
     return back.filter(F.col("budget_month_key") >= "1998-01").groupBy("budget_month_key").agg(
         F.sum("amount").alias("total_expenses"),
@@ -86,22 +69,22 @@ def _partitioned_fact(t: Tables) -> DataFrame:
 
 
 def _partitioned_campaign(t: Tables) -> DataFrame:
-    path = _scratch(t.spark, "fact_campaign_spend")
-    write_table(t.fact_campaign_spend, path, partition_by="date")
+    path = _scratch(t, "fact_campaign_spend")
+    write_table(t.fact_campaign_spend_of(), path, partition_by="date")
     return read_table(t.spark, path).filter(F.col("date") >= F.lit("2024-01-15").cast("date")).select(
         "spend_id", "campaign_id", "date", "cost", "clicks", "impressions", "conversions", "attributed_revenue",
     )
 
 
 def _json_report(t: Tables) -> DataFrame:
-    path = _scratch(t.spark, "metrics_report")
+    path = _scratch(t, "metrics_report")
     rows = metrics.metrics_report(t.fact_expense, t.signals, t.variance, t.concentration, LIMITS)
     write_json(rows, path)
     return t.spark.read.json(path, schema=rows.schema)
 
 
 def _load_contract(t: Tables) -> DataFrame:
-    folder = _scratch(t.spark, "load")
+    folder = _scratch(t, "load")
     write_table(t.fact_expense, f"{folder}/gold/fact_expense", partition_by="budget_month_key")
     contracts.load_table(t.spark, f"{folder}/gold", f"{folder}/warehouse", "fact_expense")
     contracts.load_table(t.spark, f"{folder}/gold", f"{folder}/warehouse", "fact_expense")
@@ -111,7 +94,7 @@ def _load_contract(t: Tables) -> DataFrame:
 
 
 def _fallback_variance(t: Tables) -> DataFrame:
-    budgets = load_budgets(t.spark, _scratch(t.spark, "no_such_table"))
+    budgets = load_budgets(t.spark, _scratch(t, "no_such_table"))
     return kpis.budget_variance(t.fact_expense, t.dim_department, budgets)
 
 
@@ -144,37 +127,37 @@ def _contract(
 
 
 BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
-    "clean_expenses": lambda t: t.expenses,
+    "clean_expenses": lambda t: t.expenses_of(),
     "clean_expenses_flawed": lambda t: cleaning.clean_expenses(t.flawed_expenses, "lineitem"),
-    "clean_budgets": lambda t: t.budgets,
-    "clean_campaign_spend": lambda t: t.campaign_spend,
-    "clean_calendar": lambda t: t.calendar,
+    "clean_budgets": lambda t: t.budgets_of(),
+    "clean_campaign_spend": lambda t: t.campaign_spend_of(),
+    "clean_calendar": lambda t: t.calendar_of(),
     "csv_roundtrip": _csv_roundtrip,
     "csv_inferred": _csv_inferred,
     "numeric_coercion": _coerced,
-    "dim_vendor": lambda t: t.dim_vendor,
-    "dim_employee": lambda t: t.dim_employee,
-    "dim_department": lambda t: t.dim_department,
-    "dim_campaign": lambda t: t.dim_campaign,
-    "dim_calendar": lambda t: t.dim_calendar,
-    "fact_expense": lambda t: t.fact_expense,
-    "fact_campaign_spend": lambda t: t.fact_campaign_spend,
+    "dim_vendor": lambda t: t.dim_vendor_of(),
+    "dim_employee": lambda t: t.dim_employee_of(),
+    "dim_department": lambda t: t.dim_department_of(),
+    "dim_campaign": lambda t: t.dim_campaign_of(),
+    "dim_calendar": lambda t: t.dim_calendar_of(),
+    "fact_expense": lambda t: t.fact_expense_of(),
+    "fact_campaign_spend": lambda t: t.fact_campaign_spend_of(),
     "fact_budget": lambda t: contracts.fact_budget(t.budgets),
     "partitioned_fact_scan": _partitioned_fact,
     "partitioned_campaign_scan": _partitioned_campaign,
     "summary_monthly": lambda t: summaries.monthly_expenses(t.fact_expense),
     "summary_dept": lambda t: summaries.dept_expenses(t.fact_expense, t.dim_department),
     "summary_campaign": lambda t: summaries.campaign_performance(t.fact_campaign_spend),
-    "rule_duplicate": lambda t: t.duplicate_signals,
-    "rule_duplicate_amount": lambda t: t.near_duplicate_signals,
-    "rule_sub_threshold": lambda t: t.sub_threshold_signals,
-    "rule_weekend_holiday": lambda t: t.weekend_signals,
-    "rule_round_number": lambda t: t.round_number_signals.drop("details"),
-    "rule_campaign_spike": lambda t: t.campaign_signals.drop("details"),
-    "leakage_signals": lambda t: t.signals.drop("details"),
-    "budget_variance": lambda t: t.variance,
+    "rule_duplicate": lambda t: t.duplicates_of(),
+    "rule_duplicate_amount": lambda t: t.near_duplicates_of(),
+    "rule_sub_threshold": lambda t: t.sub_threshold_of(),
+    "rule_weekend_holiday": lambda t: t.weekend_of(),
+    "rule_round_number": lambda t: t.round_number_of().drop("details"),
+    "rule_campaign_spike": lambda t: t.campaign_spikes_of().drop("details"),
+    "leakage_signals": lambda t: t.signals_of().drop("details"),
+    "budget_variance": lambda t: t.variance_of(),
     "budget_fallback": _fallback_variance,
-    "vendor_concentration": lambda t: t.concentration,
+    "vendor_concentration": lambda t: t.concentration_of(),
     "metrics_expenses": lambda t: metrics.expense_metrics(t.fact_expense),
     "metrics_signals": lambda t: metrics.signal_metrics(metrics.signals_per_rule(t.signals)),
     "metrics_by_rule": lambda t: metrics.rule_counts(metrics.signals_per_rule(t.signals)),
@@ -241,12 +224,12 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "load_contract": _load_contract,
 }
 
-# Averages of money have more digits before the point, so fewer after it are exact.
-DIGITS = {"vw_employee_expense_analysis": 4, "vw_monthly_expense_trends": 4, "metrics_report": 4}
+# The report holds amounts of many digits; the two views hold plain quotients, left as they are.
+DIGITS = {"metrics_report": 4, "vw_employee_expense_analysis": None, "vw_monthly_expense_trends": None}
 
 
 def _query(name: str, build: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, folder: comparable(build(Tables(spark, folder)), DIGITS.get(name, 6))
+    return lambda spark, folder: comparable(build(Tables.shared(spark, folder)), DIGITS.get(name, 6))
 
 
 def all_queries() -> dict[str, Query]:

@@ -20,8 +20,9 @@ def stamp(df: DataFrame, source_file: str | None) -> DataFrame:
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns in order, cast; a value that does not fit becomes NULL."""
+    given = df.schema
     return df.select(*[
-        F.col(f.name) if df.schema[f.name].dataType == f.dataType
+        F.col(f.name) if given[f.name].dataType == f.dataType
         else F.col(f.name).try_cast(f.dataType).alias(f.name)
         for f in schema
     ])
