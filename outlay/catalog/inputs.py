@@ -18,7 +18,7 @@ from outlay.functions import small_side
 from outlay.operators import cleaning, dimensions, facts, kpis, rules
 from outlay.params import Thresholds
 from outlay.sources.calendar import calendar_days, day_span
-from outlay.sources.readers import read_table
+from outlay.sources.readers import read_table, spread_if_few_splits
 from outlay.sources.writers import write_table
 
 # Limits that make every rule and band occur in the test tables.
@@ -82,8 +82,12 @@ class Tables:
         amount = F.when(
             F.col("l_linenumber") == 1, F.round(F.col("l_extendedprice") / 100) * 100
         ).otherwise(F.col("l_extendedprice"))
+        lines = self.source("lineitem").select(
+            "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+            "l_returnflag", "l_linestatus", "l_shipdate",
+        )
         return (
-            self.source("lineitem")
+            spread_if_few_splits(lines, "l_orderkey", "l_linenumber")
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
             .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")

@@ -8,76 +8,81 @@ Invoices are placed in a grid of (vendor, date cell, amount cell) so fine that a
 one cell match. Hence:
 
 * A cell of three or more invoices settles all of them, with no comparison at all.
-* The others lie in cells of at most two invoices. Each of them looks into the constant
-  number of cells its date and amount range can touch. Since at most two of them come from
-  any one cell, an invoice is looked at a constant number of times, however full its cell is:
-  the work grows linearly with the rows.
+* The others lie in cells of at most two invoices. Each of them looks into the blocks, a
+  coarser grid, that its date and amount range touches: at most two by two. Since the range is
+  constant and at most two of these invoices come from any one cell, an invoice is looked at a
+  constant number of times, however full its block is: the work grows linearly with the rows.
 
-A full cell still is one join key, so the points of a cell are spread over slots by a hash,
-and a look-up goes to each slot that holds points.
+A full cell or block still is one join key, so its points are spread over slots by a hash, and
+a look-up goes to each slot that holds points.
 """
 
 from __future__ import annotations
 
-from math import ceil, log
+from math import log
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SLOTS = 64
 CELL = ("vendor_id", "day_cell", "amount_cell")
+BLOCK = ("vendor_id", "day_block", "amount_block")
+ROUNDING = 1e-9
 
 
 def near_duplicate_points(fact: DataFrame, days: int, tolerance_pct: int) -> DataFrame:
     """Per (vendor_id, trx_date, amount): ``rows_at_point`` and ``matches`` of each such row."""
     if not 0 < tolerance_pct < 100:
         raise ValueError("tolerance_pct must lie between 0 and 100")
-    # Amounts in one cell differ by less than a factor of 1 + 0.95 * tolerance, which leaves
-    # room for rounding in the logarithm. A range of +-tolerance reaches ``reach`` cells away.
-    step = log(1 + 0.95 * tolerance_pct / 100)
-    reach = ceil(-log(1 - tolerance_pct / 100) / step + 1e-6)
+    lower, upper = log(1 - tolerance_pct / 100), log(1 + tolerance_pct / 100)
+    # Amounts in one cell differ by less than a factor of 1 + 0.95 * tolerance and dates by at
+    # most ``days``; a block is as wide as a whole range. Both leave room for rounding.
+    cell_width = log(1 + 0.95 * tolerance_pct / 100)
+    block_width = 1.001 * (upper - lower)
+    block_days = 2 * days + 1
+    day, size = F.unix_date("trx_date"), F.log(F.col("amount").cast("double"))
 
     points = (
         fact.filter(F.col("vendor_id").isNotNull() & (F.col("amount") > 0) & F.col("trx_date").isNotNull())
         .groupBy("vendor_id", "trx_date", "amount")
         .agg(F.count(F.lit(1)).alias("rows_at_point"))
-        .withColumns({
-            "day_cell": F.floor(F.unix_date("trx_date") / (days + 1)),
-            "amount_cell": F.floor(F.log(F.col("amount").cast("double")) / step),
-            "slot": F.pmod(F.xxhash64("trx_date", "amount"), F.lit(SLOTS)),
-        })
-    )
-    slots = points.groupBy(*CELL, "slot").agg(F.sum("rows_at_point").alias("rows_in_slot"))
-    cells = slots.groupBy(*CELL).agg(F.sum("rows_in_slot").alias("rows_in_cell"))
-    full = F.col("rows_in_cell") >= 3
-
-    sized = points.join(
-        slots.join(cells, list(CELL)).select(*CELL, "slot", "rows_in_cell"), [*CELL, "slot"]
+        .withColumn("slot", F.pmod(F.xxhash64("trx_date", "amount"), F.lit(SLOTS)))
     )
     own = ["vendor_id", "trx_date", "amount", "rows_at_point"]
+    placed = points.select(
+        *own, "slot",
+        F.floor(day / (days + 1)).alias("day_cell"), F.floor(size / cell_width).alias("amount_cell"),
+    )
+    parts = placed.groupBy(*CELL, "slot").agg(F.sum("rows_at_point").alias("rows_in_slot"))
+    cells = parts.groupBy(*CELL).agg(F.sum("rows_in_slot").alias("rows_in_cell"))
+    cell_sizes = parts.join(cells, list(CELL)).select(*CELL, "slot", "rows_in_cell")
+    sized = placed.join(cell_sizes, [*CELL, "slot"])
+    full = F.col("rows_in_cell") >= 3
     settled = sized.filter(full).select(*own, (F.col("rows_in_cell") - 1).alias("matches"))
 
-    def around(cell: str, distance: int) -> Column:
-        centre = F.col(cell)
-        return F.explode(F.sequence(centre - distance, centre + distance)).alias(cell)
-
-    # A date range of +-days spans at most the cell before, the own cell and the cell after.
-    looking = (
-        sized.filter(~full).select(*own, "day_cell", "amount_cell")
-        .select(*own, "amount_cell", around("day_cell", 1))
-        .select(*own, "day_cell", around("amount_cell", reach))
-    )
-    other = points.select(
-        *CELL, "slot", F.col("trx_date").alias("other_date"), F.col("amount").alias("other_amount"),
+    others = points.select(
+        "vendor_id", F.floor(day / block_days).alias("day_block"),
+        F.floor(size / block_width).alias("amount_block"), "slot",
+        F.col("trx_date").alias("other_date"), F.col("amount").alias("other_amount"),
         F.col("rows_at_point").alias("other_rows"),
     )
+    looking = (
+        sized.filter(~full)
+        .select(*own, F.explode(F.sequence(
+            F.floor((day - days) / block_days), F.floor((day + days) / block_days)
+        )).alias("day_block"))
+        .select(*own, "day_block", F.explode(F.sequence(
+            F.floor((size + lower) / block_width - ROUNDING),
+            F.floor((size + upper) / block_width + ROUNDING),
+        )).alias("amount_block"))
+    )
     in_range = (
         (F.abs(F.datediff("trx_date", "other_date")) <= days)
         & (F.abs(F.col("amount") - F.col("other_amount")) * 100 <= F.col("amount") * tolerance_pct)
     )
     compared = (
-        looking.join(slots.select(*CELL, "slot"), list(CELL))
-        .join(other, [*CELL, "slot"])
+        looking.join(others.select(*BLOCK, "slot").distinct(), list(BLOCK))
+        .join(others, [*BLOCK, "slot"])
         .filter(in_range)
         .groupBy(*own)
         .agg((F.sum("other_rows") - 1).alias("matches"))

@@ -39,3 +39,15 @@ def load_budgets(spark: SparkSession, path: str) -> DataFrame:
         return read_table(spark, path)
     except AnalysisException:
         return fallback_budgets(spark)
+
+
+def spread_if_few_splits(df: DataFrame, *by: str) -> DataFrame:
+    """Spread a table that arrives in fewer splits than there are cores; leave any other as it is.
+
+    Meant for small single-file inputs, which would otherwise run as one task up to their
+    first shuffle. A large table has many splits and is not touched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, *by)
+    return df
