@@ -172,7 +172,7 @@ WITH raw_expenses AS (
 ), spend_steps AS (
   SELECT *, lag(cost) OVER w AS prev_cost, lag(conversions) OVER w AS prev_conversions
   FROM fact_campaign_spend
-  WINDOW w AS (PARTITION BY campaign_id ORDER BY date, substr(md5(spend_id), 1, 2), spend_id)
+  WINDOW w AS (PARTITION BY campaign_id ORDER BY date, substr(md5(spend_id), 1, 15), spend_id)
 ), spikes AS (
   SELECT 'campaign_spend_spike' AS rule_name, 'campaign' AS entity_type,
          CAST(campaign_id AS VARCHAR) AS entity_id, campaign_name AS entity_name, date AS signal_date,

@@ -5,32 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+DIGEST_BITS, SLOT_BITS = 60, 8
+
 
 def previous_values(
     df: DataFrame, entity: str, day: str, tie: str, values: list[str], prefix: str = "prev_",
 ) -> DataFrame:
-    """Add ``prefix``+value: each value of the entity's previous row by (day, slot, tie).
+    """Add ``prefix``+value: each value of the entity's previous row by (day, digest, tie).
 
-    ``slot`` is the first byte of the tie-breaker's MD5, so rows of one entity and day are
-    ordered by (slot, tie) and fall into up to 256 slots of equal size. Each (entity, day,
-    slot) is its own window partition; its first row takes the last row of the slot before
-    it, from a table of slot tails. No task ever holds a whole entity.
+    ``tie`` is unique; ``digest`` is the number in the first 15 hex digits of its MD5. The top
+    byte of the digest cuts the rows of one entity and day into 256 consecutive slots of equal
+    size, and each (entity, day, slot) is a window partition of its own. Its first row takes
+    the last values of the slot before it, which enter the partition as one extra row. No task
+    ever holds a whole entity, and the slots' last values are combined on the map side.
     """
-    slotted = df.withColumn("_slot", F.substring(F.md5(F.col(tie).cast("string")), 1, 2))
     part = [entity, day, "_slot"]
+    digest = F.conv(F.substring(F.md5(F.col(tie).cast("string")), 1, DIGEST_BITS // 4), 16, 10).cast("bigint")
+    rows = df.withColumn("_digest", digest).withColumn(
+        "_slot", F.shiftright("_digest", DIGEST_BITS - SLOT_BITS)
+    )
 
-    tails = slotted.groupBy(*part).agg(F.max(F.struct(tie, *values)).alias("_tail"))
     before = Window.partitionBy(entity).orderBy(day, "_slot")
     carried = (
-        tails.withColumn("_tail", F.lag("_tail").over(before))
-        .filter(F.col("_tail").isNotNull())
-        .select(*part, *[F.col(f"_tail.{v}").alias(v) for v in values], F.lit(0).alias("_own"))
+        rows.groupBy(*part)
+        .agg(F.count(F.lit(1)).alias("_rows"), *[F.max_by(v, "_digest").alias(v) for v in values])
+        .select(
+            *part, F.lag("_rows").over(before).alias("_rows"),
+            *[F.lag(v).over(before).alias(v) for v in values],
+        )
+        .filter(F.col("_rows").isNotNull())
+        .drop("_rows")
     )
-
-    rows = slotted.withColumn("_own", F.lit(1)).unionByName(carried, allowMissingColumns=True)
-    in_slot = Window.partitionBy(*part).orderBy("_own", tie, *values)
+    in_slot = Window.partitionBy(*part).orderBy(F.col("_digest").asc_nulls_first(), tie)
     return (
-        rows.withColumns({f"{prefix}{v}": F.lag(v).over(in_slot) for v in values})
-        .filter(F.col("_own") == 1)
-        .drop("_own", "_slot")
+        rows.unionByName(carried, allowMissingColumns=True)
+        .withColumns({f"{prefix}{v}": F.lag(v).over(in_slot) for v in values})
+        .filter(F.col("_digest").isNotNull())
+        .drop("_digest", "_slot")
     )

@@ -5,84 +5,117 @@ amount is within ``tolerance_pct`` of this one's. The rule only asks whether an
 none, one, or at least two matches, so ``matches`` is exact below two and at least two else.
 
 Invoices are placed in a grid of (vendor, date cell, amount cell) so fine that any two in
-one cell match. Hence:
+one cell match, and cells are joined into blocks as wide as the range an invoice can match in.
 
 * A cell of three or more invoices settles all of them, with no comparison at all.
-* The others lie in cells of at most two invoices. Each of them looks into the blocks, a
-  coarser grid, that its date and amount range touches: at most two by two. Since the range is
-  constant and at most two of these invoices come from any one cell, an invoice is looked at a
-  constant number of times, however full its block is: the work grows linearly with the rows.
+* The others lie in cells of at most two invoices. Each of them looks into the blocks its range
+  touches, at most two by two. Since at most two of them come from any one cell, an invoice is
+  looked at a constant number of times, however full its block is: the work grows linearly
+  with the rows.
 
-A full cell or block still is one join key, so its points are spread over slots by a hash, and
-a look-up goes to each slot that holds points.
+A block is one join key. One that holds more than a 100,000th of all points is spread over
+slots by a hash, and a look-up goes to every slot of it. There are fewer than 100,000 such
+blocks, so their list is small enough to broadcast for any size of table.
 """
 
 from __future__ import annotations
 
-from math import log
+from math import ceil, log
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLOTS = 64
-CELL = ("vendor_id", "day_cell", "amount_cell")
+HOT_SHARE = 1 / 100_000
+HOT_POINTS = 10_000
 BLOCK = ("vendor_id", "day_block", "amount_block")
 ROUNDING = 1e-9
 
 
-def near_duplicate_points(fact: DataFrame, days: int, tolerance_pct: int) -> DataFrame:
-    """Per (vendor_id, trx_date, amount): ``rows_at_point`` and ``matches`` of each such row."""
+def near_duplicate_points(
+    fact: DataFrame, days: int, tolerance_pct: int, hot_points: int = HOT_POINTS,
+) -> DataFrame:
+    """Per (vendor_id, trx_date, amount): ``rows_at_point`` and ``matches`` of each such row.
+
+    ``hot_points`` is the least number of points that makes a block hot.
+    """
     if not 0 < tolerance_pct < 100:
         raise ValueError("tolerance_pct must lie between 0 and 100")
     lower, upper = log(1 - tolerance_pct / 100), log(1 + tolerance_pct / 100)
-    # Amounts in one cell differ by less than a factor of 1 + 0.95 * tolerance and dates by at
-    # most ``days``; a block is as wide as a whole range. Both leave room for rounding.
-    cell_width = log(1 + 0.95 * tolerance_pct / 100)
-    block_width = 1.001 * (upper - lower)
-    block_days = 2 * days + 1
+    # Amounts in one cell differ by less than a factor of 1 + 0.95 * tolerance, which leaves
+    # room for rounding, and dates by at most ``days``.
+    cell_width, cell_days = log(1 + 0.95 * tolerance_pct / 100), days + 1
+    cells_per_block = ceil((upper - lower) / cell_width + 0.01)
     day, size = F.unix_date("trx_date"), F.log(F.col("amount").cast("double"))
 
+    def day_cell(shift: int = 0) -> Column:
+        return F.floor((day + shift) / cell_days)
+
+    def amount_cell(shift: float = 0.0) -> Column:
+        return F.floor((size + shift) / cell_width)
+
+    def day_block(shift: int = 0) -> Column:
+        return F.floor(day_cell(shift) / 2)
+
+    def amount_block(shift: float = 0.0) -> Column:
+        return F.floor(amount_cell(shift) / cells_per_block)
+
+    own = ["vendor_id", "trx_date", "amount", "rows_at_point"]
     points = (
         fact.filter(F.col("vendor_id").isNotNull() & (F.col("amount") > 0) & F.col("trx_date").isNotNull())
         .groupBy("vendor_id", "trx_date", "amount")
         .agg(F.count(F.lit(1)).alias("rows_at_point"))
-        .withColumn("slot", F.pmod(F.xxhash64("trx_date", "amount"), F.lit(SLOTS)))
+        .select(*own, day_block().alias("day_block"), amount_block().alias("amount_block"))
     )
-    own = ["vendor_id", "trx_date", "amount", "rows_at_point"]
-    placed = points.select(
-        *own, "slot",
-        F.floor(day / (days + 1)).alias("day_cell"), F.floor(size / cell_width).alias("amount_cell"),
+    total = points.agg(F.count(F.lit(1))).scalar()
+    hot = F.broadcast(
+        points.groupBy(*BLOCK).agg(F.count(F.lit(1)).alias("points_in_block"))
+        .filter((F.col("points_in_block") >= hot_points) & (F.col("points_in_block") > total * HOT_SHARE))
+        .select(*BLOCK, F.lit(True).alias("is_hot"))
+    )
+    a_slot = F.pmod(F.xxhash64("trx_date", "amount"), F.lit(SLOTS)).cast("int")
+    slotted = (
+        points.join(hot, list(BLOCK), "left")
+        .select(*own, "day_block", "amount_block", F.when(F.col("is_hot"), a_slot).otherwise(0).alias("slot"))
+        .repartition(*BLOCK, "slot")
+    )
+
+    celled = slotted.select(*own, *BLOCK[1:], "slot", day_cell().alias("day_cell"), amount_cell().alias("amount_cell"))
+    cell = ["vendor_id", "day_cell", "amount_cell"]
+    part = Window.partitionBy(*BLOCK, "slot", "day_cell", "amount_cell")
+    # Only cells of hot blocks lie in more than one slot; there are few of them as well.
+    hot_cells = F.broadcast(
+        celled.join(hot, list(BLOCK), "left_semi").groupBy(*cell).agg(F.sum("rows_at_point").alias("rows_in_slots"))
+    )
+    sized = (
+        celled.withColumn("rows_in_part", F.sum("rows_at_point").over(part))
+        .join(hot_cells, cell, "left")
+        .withColumn("rows_in_cell", F.coalesce("rows_in_slots", "rows_in_part"))
     )
-    parts = placed.groupBy(*CELL, "slot").agg(F.sum("rows_at_point").alias("rows_in_slot"))
-    cells = parts.groupBy(*CELL).agg(F.sum("rows_in_slot").alias("rows_in_cell"))
-    cell_sizes = parts.join(cells, list(CELL)).select(*CELL, "slot", "rows_in_cell")
-    sized = placed.join(cell_sizes, [*CELL, "slot"])
     full = F.col("rows_in_cell") >= 3
     settled = sized.filter(full).select(*own, (F.col("rows_in_cell") - 1).alias("matches"))
 
-    others = points.select(
-        "vendor_id", F.floor(day / block_days).alias("day_block"),
-        F.floor(size / block_width).alias("amount_block"), "slot",
-        F.col("trx_date").alias("other_date"), F.col("amount").alias("other_amount"),
-        F.col("rows_at_point").alias("other_rows"),
-    )
     looking = (
         sized.filter(~full)
-        .select(*own, F.explode(F.sequence(
-            F.floor((day - days) / block_days), F.floor((day + days) / block_days)
-        )).alias("day_block"))
+        .select(*own, F.explode(F.sequence(day_block(-days), day_block(days))).alias("day_block"))
         .select(*own, "day_block", F.explode(F.sequence(
-            F.floor((size + lower) / block_width - ROUNDING),
-            F.floor((size + upper) / block_width + ROUNDING),
+            amount_block(lower - ROUNDING), amount_block(upper + ROUNDING)
         )).alias("amount_block"))
+        .join(hot, list(BLOCK), "left")
+        .select(*own, "day_block", "amount_block", F.explode(F.sequence(
+            F.lit(0), F.when(F.col("is_hot"), SLOTS - 1).otherwise(0)
+        )).alias("slot"))
+    )
+    others = slotted.select(
+        *BLOCK, "slot", F.col("trx_date").alias("other_date"), F.col("amount").alias("other_amount"),
+        F.col("rows_at_point").alias("other_rows"),
     )
     in_range = (
         (F.abs(F.datediff("trx_date", "other_date")) <= days)
         & (F.abs(F.col("amount") - F.col("other_amount")) * 100 <= F.col("amount") * tolerance_pct)
     )
     compared = (
-        looking.join(others.select(*BLOCK, "slot").distinct(), list(BLOCK))
-        .join(others, [*BLOCK, "slot"])
+        looking.join(others, [*BLOCK, "slot"])
         .filter(in_range)
         .groupBy(*own)
         .agg((F.sum("other_rows") - 1).alias("matches"))

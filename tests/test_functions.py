@@ -83,7 +83,7 @@ def test_previous_values_equal_a_plain_window(spark):
     ]
     df = spark.createDataFrame(rows, "e int, d date, s string, v int")
     got = {r.s: r.prev_v for r in previous_values(df, "e", "d", "s", ["v"]).collect()}
-    order = Window.partitionBy("e").orderBy("d", F.substring(F.md5("s"), 1, 2), "s")
+    order = Window.partitionBy("e").orderBy("d", F.substring(F.md5("s"), 1, 15), "s")
     expected = {r.s: r.p for r in df.withColumn("p", F.lag("v").over(order)).collect()}
     assert got == expected
 

@@ -148,8 +148,11 @@ def matches_by_brute_force(rows, days, tolerance):
     return out
 
 
-@pytest.mark.parametrize("days, tolerance, seed", [(30, 10, 1), (30, 10, 2), (5, 50, 3), (0, 1, 4), (90, 95, 5)])
-def test_near_duplicates_equal_brute_force(spark, days, tolerance, seed):
+@pytest.mark.parametrize(
+    "days, tolerance, seed, hot_points",
+    [(30, 10, 1, 10_000), (30, 10, 2, 2), (30, 10, 6, 20), (5, 50, 3, 5), (0, 1, 4, 10_000), (90, 95, 5, 3)],
+)
+def test_near_duplicates_equal_brute_force(spark, days, tolerance, seed, hot_points):
     rng = random.Random(seed)
     rows = []
     for i in range(400):
@@ -165,7 +168,7 @@ def test_near_duplicates_equal_brute_force(spark, days, tolerance, seed):
     df = spark.createDataFrame(rows, "invoice_id string, vendor_id int, trx_date date, amount decimal(10,2)")
     points = {
         (r.vendor_id, r.trx_date, r.amount): min(2, r.matches)
-        for r in near_duplicate_points(df, days, tolerance).collect()
+        for r in near_duplicate_points(df, days, tolerance, hot_points).collect()
     }
     expected = matches_by_brute_force(rows, days, tolerance)
     assert {i: points[v, d, a.quantize(Decimal("0.01"))] for i, v, d, a in rows} == {
