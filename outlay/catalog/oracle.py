@@ -11,12 +11,14 @@ from outlay.catalog.inputs import AS_OF, LIMITS, YEARLY_HOLIDAYS
 _HOLIDAYS = ", ".join(f"'{h}'" for h in YEARLY_HOLIDAYS)
 L = LIMITS
 
-def _mean(total: str, rows: str, digits: int = 6) -> str:
-    """total / rows rounded half up like a decimal average; ``total`` is a DECIMAL(x, 2)."""
-    unit = 10 ** (digits - 2)
-    return (
-        f"CAST((CAST({total} * 100 AS HUGEINT) * {2 * unit} + {rows}) // (2 * {rows}) AS DOUBLE) / {10 ** digits}"
-    )
+
+def _decimal_mean(total: str, rows: str) -> str:
+    """Mean amount as DECIMAL(14,6): the double quotient in cents, cut at its shortest text."""
+    return f"CAST(CAST(CAST({total} * 100 AS DOUBLE) / {rows} / 100 AS VARCHAR) AS DECIMAL(14,6))"
+
+
+def _mean(total: str, rows: str) -> str:
+    return f"CAST({_decimal_mean(total, rows)} AS DOUBLE)"
 
 
 BASE = f"""
@@ -662,7 +664,7 @@ FROM small_claims WHERE score >= 80""",
     "contract_fact_campaign_spend": f"SELECT {_SPEND} FROM fact_campaign_spend",
     "contract_fact_leakage_signal": f"SELECT {SIGNAL} FROM signals",
     "contract_summary_monthly": _MONTHLY.format(
-        avg=f"round({_mean('sum(amount)', 'count(amount)')}, 2)"
+        avg=f"CAST(CAST({_decimal_mean('sum(amount)', 'count(amount)')} AS DECIMAL(18,2)) AS DOUBLE)"
     ),
     "contract_summary_dept": _DEPT,
     "contract_summary_campaign": _CAMPAIGN.format(digits=4),
