@@ -8,6 +8,8 @@ import sys
 import pytest
 
 import __spark_entry__ as entry
+from outlay.catalog.oracle import all_oracles
+from outlay.catalog.registry import all_queries
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "..", "tools"))
 from check_oracle import TABLES, rows  # noqa: E402
@@ -26,14 +28,15 @@ def database():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(entry.queries()) and set(all_oracles()) <= set(entry.oracle_sql())
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_its_counterpart(spark, database, name):
-    df = entry.queries()[name](spark, FOLDER)
-    cursor = database.execute(entry.oracle_sql()[name])
+    df = all_queries()[name](spark, FOLDER)
+    cursor = database.execute(all_oracles()[name])
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(
         [d[0] for d in cursor.description], cursor.fetchall()
     )
