@@ -16,7 +16,7 @@ from __future__ import annotations
 import base64
 import heapq
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from outlay.llm.tables import pick, slices
 NONE = np.int32(2**31 - 1)
 PAD = np.int32(-1)
 LONG = 256
-CACHE = 300_000
+CACHE = 1_000_000  # pieces that a Python worker remembers
 MATRIX_CELLS = 4_000_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -89,7 +89,7 @@ class ByteBpe:
         self.table = PairTable(self.ranks)
         self.first = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.findall = regex.compile(pattern).findall
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self._forget()
 
     def encode_pieces(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         out: list[tuple[int, ...]] = [()] * len(pieces)
@@ -173,14 +173,42 @@ class ByteBpe:
     def _pair(self, left: int, right: int) -> int | None:
         return self.ranks.get(self.tokens[left] + self.tokens[right])
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def _forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.known, self.bounds, self.used = np.zeros(1024, np.int32), np.zeros(1, np.int64), 0
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Number the new pieces and append their ids to the known ones."""
+        found = self.encode_pieces([p.encode() for p in pieces])
+        self.index.update(zip(pieces, range(len(self.index), len(self.index) + len(pieces)), strict=True))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        end = self.used + int(sizes.sum())
+        if len(self.index) >= len(self.bounds):
+            self.bounds = np.concatenate([self.bounds, np.zeros(2 * len(self.index), np.int64)])
+        self.bounds[len(self.index) - len(pieces) + 1 : len(self.index) + 1] = self.used + np.cumsum(sizes)
+        if end > len(self.known):
+            self.known = np.concatenate([self.known, np.zeros(2 * end, np.int32)])
+        self.known[self.used : end] = np.fromiter(chain.from_iterable(found), np.int32, end - self.used)
+        self.used = end
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's ids start and end."""
         split = [self.findall(text) if text else [] for text in texts]
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        new = list(set(chain.from_iterable(split)).difference(self.cache))
-        self.cache.update(zip(new, self.encode_pieces([p.encode() for p in new]), strict=True))
-        known = self.cache.__getitem__
-        return [list(chain.from_iterable(map(known, pieces))) for pieces in split]
+        pieces = list(chain.from_iterable(split))
+        places = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
+        if (missing := np.flatnonzero(places < 0)).size:
+            new = {pieces[i] for i in missing.tolist()}
+            if len(self.index) + len(new) > CACHE:  # start anew, with all that this call needs
+                self._forget()
+                new, missing = set(pieces), np.arange(len(pieces))
+            self._learn(list(new))
+            found = map(self.index.__getitem__, map(pieces.__getitem__, missing.tolist()))
+            places[missing] = np.fromiter(found, np.int64, len(missing))
+        starts, sizes = self.bounds[places], self.bounds[places + 1] - self.bounds[places]
+        ends = np.cumsum(sizes)
+        values = self.known[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        per_text = np.cumsum([0, *map(len, split)])
+        return values, np.concatenate([[0], ends])[per_text]
 
     def decode(self, ids: list[int] | None) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids or ()))
@@ -205,10 +233,8 @@ def encode(docs: DataFrame, rank_file: bytes, pattern: str, keep: tuple[str, ...
     def run(batches):
         bpe = load(shared.value, pattern)
         for part in slices(batches, "_text"):
-            ids = bpe.encode(part.column(len(keep)).to_pylist())
-            offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            values = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+            values, bounds = bpe.encode(part.column(len(keep)).to_pylist())
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
             yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], lists], [*keep, "ids"])
 
     return source.mapInArrow(run, schema)

@@ -91,15 +91,6 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = S
             start = stop
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """The words of a text: runs of bytes other than ASCII white space."""
-    return text.encode("utf-8", "surrogatepass").split() if text else []
-
-
-def schema_of(**types: pa.DataType) -> pa.Schema:
-    return pa.schema(list(types.items()))
-
-
 class Tally:
     """Sums of counts by 64-bit key, merged whenever they outgrow ``limit`` pairs; memory follows the distinct keys."""
 
