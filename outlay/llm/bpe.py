@@ -30,7 +30,7 @@ from outlay.llm.tables import pick, slices
 NONE = np.int32(2**31 - 1)
 PAD = np.int32(-1)
 LONG = 256
-CACHE = 1_000_000  # pieces that a Python worker remembers
+CACHE = 400_000  # pieces that a Python worker remembers
 MATRIX_CELLS = 4_000_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -79,12 +79,16 @@ class PairTable:
         return out
 
 
+def read_ranks(rank_file: bytes) -> dict[bytes, int]:
+    lines = (line.split() for line in rank_file.splitlines() if line.strip())
+    return {base64.b64decode(token): int(rank) for token, rank in lines}
+
+
 class ByteBpe:
-    """One rank file: ``encode_pieces`` for byte strings, ``encode`` for texts, ``decode`` for ids."""
+    """One rank file: ``encode_pieces`` for byte strings, ``encode`` for texts."""
 
     def __init__(self, rank_file: bytes, pattern: str):
-        lines = (line.split() for line in rank_file.splitlines() if line.strip())
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
+        self.ranks = read_ranks(rank_file)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.table = PairTable(self.ranks)
         self.first = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
@@ -210,9 +214,6 @@ class ByteBpe:
         per_text = np.cumsum([0, *map(len, split)])
         return values, np.concatenate([[0], ends])[per_text]
 
-    def decode(self, ids: list[int] | None) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids or ()))
-
 
 @lru_cache(maxsize=2)
 def load(rank_file: bytes, pattern: str) -> ByteBpe:
@@ -240,18 +241,26 @@ def encode(docs: DataFrame, rank_file: bytes, pattern: str, keep: tuple[str, ...
     return source.mapInArrow(run, schema)
 
 
-def decode(encoded: DataFrame, rank_file: bytes, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+@lru_cache(maxsize=2)
+def _tokens(rank_file: bytes) -> dict[int, bytes]:
+    return {rank: token for token, rank in read_ranks(rank_file).items()}
+
+
+def decode_ids(ids: list[int] | None, rank_file: bytes) -> bytes:
+    return b"".join(map(_tokens(rank_file).__getitem__, ids or ()))
+
+
+def decode(encoded: DataFrame, rank_file: bytes, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of each row and ``decoded``, the bytes that its ``ids`` stand for (null ids: none)."""
     source = pick(encoded, *keep, "ids").withColumnRenamed("ids", "_ids")
     schema = T.StructType([*source.schema.fields[:-1], T.StructField("decoded", T.BinaryType(), False)])
     shared = encoded.sparkSession.sparkContext.broadcast(rank_file)
 
     def run(batches):
-        bpe = load(shared.value, pattern)
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                decoded = pa.array(map(bpe.decode, part.column(len(keep)).to_pylist()), pa.binary())
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                decoded = pa.array([decode_ids(ids, shared.value) for ids in part.column(len(keep)).to_pylist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], decoded], [*keep, "decoded"])
 
     return source.mapInArrow(run, schema)
@@ -264,5 +273,5 @@ def digests(docs: DataFrame, rank_file: bytes, pattern: str, keep: tuple[str, ..
         "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256),
     })
     carried = (*keep, "n_tokens", "ids_sha256")
-    decoded = decode(encoded, rank_file, pattern, carried)
+    decoded = decode(encoded, rank_file, carried)
     return decoded.select(*carried, F.sha2("decoded", 256).alias("decoded_sha256"))

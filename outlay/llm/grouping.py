@@ -82,3 +82,21 @@ def components(edges: DataFrame, store: Store, name: str) -> DataFrame:
         labels = store.put(f"{name}-{turn}", jumped)
         store.free(f"{name}-{turn - 1}")
     return labels.select("node", "component")
+
+
+def block_units(rows: DataFrame, block: int, *carried: str) -> DataFrame:
+    """Rows (``node``, ``part``, ...) of the parts with two rows or more, sorted into units (``part``, ``i``, ``j``).
+
+    A part of up to ``block`` rows is one unit. A larger one is cut into blocks of about half that, ``block`` tells a row's
+    own, and each two blocks (or one with itself) are a unit: a row is repeated once for each block, not for each partner.
+    """
+    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    blocks = F.when(F.col("size") <= block, 1).otherwise(F.ceil(F.col("size") / max(1, block // 2)).cast("int"))
+    return (
+        rows.select("node", "part", *carried).join(sizes, "part").withColumn("blocks", blocks)
+        .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+        .repartition("part", "i", "j").sortWithinPartitions("part", "i", "j")
+        .select("part", "i", "j", "block", "node", *carried)
+    )

@@ -23,11 +23,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outlay.llm.grouping import Forest, components, runs
+from outlay.llm.grouping import Forest, block_units, components, runs
+from outlay.llm.hashing import MIX, run_hashes, word_hashes
 from outlay.llm.tables import Store, pick, slices
 
 WORDS = 5
@@ -35,7 +35,6 @@ THRESHOLD = 0.8
 TREES, DEPTH, RECALL = 20, 8, 0.9999
 BLOCK = 512
 SEED = 7
-MIX = np.uint64(0x9E3779B97F4A7C15)
 COLUMNS = 4096
 
 
@@ -52,15 +51,7 @@ def split(text: str | None) -> list[bytes]:
 
 def shingles(words: list[bytes], n: int = WORDS) -> np.ndarray:
     """The distinct 64-bit hashes of the runs of ``n`` words, sorted."""
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    n = min(n, len(words))
-    if not n:
-        return hashes
-    total = np.full(len(words) - n + 1, n, np.uint64)
-    for k in range(n):
-        total = (total ^ hashes[k : len(words) - n + 1 + k]) * MIX
-        total ^= total >> np.uint64(31)
-    return np.unique(total)
+    return np.unique(run_hashes(word_hashes(words), min(n, len(words)))) if words else np.zeros(0, np.uint64)
 
 
 @lru_cache(maxsize=4)
@@ -128,8 +119,6 @@ def _verified(units: DataFrame, threshold: float, n: int) -> DataFrame:
 
     def run(batches):
         for table in runs(batches, "part", "i", "j"):
-            if table.num_rows < 2:
-                continue
             nodes = table.column("node").to_numpy()
             order = np.argsort(nodes)
             nodes, blocks = nodes[order], table.column("block").to_numpy()[order]
@@ -174,20 +163,11 @@ def near_duplicates(
     edges = under.join(trie, "label").filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
     candidates = store.put("candidates", components(edges, store, "candidates"))
 
-    parts = candidates.groupBy(F.col("component").alias("part")).agg(F.count(F.lit(1)).alias("size"))
-    blocks = F.when(F.col("size") <= block, 1).otherwise(F.ceil(F.col("size") / (block // 2)).cast("int"))
-    placed = (
-        candidates.withColumnRenamed("component", "part").join(parts, "part")
-        .select("node", "part", blocks.alias("blocks")).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-        .join(nodes.select("node", "copies"), "node")
+    grouped = (
+        candidates.withColumnRenamed("component", "part").join(nodes.select("node", "copies"), "node")
         .join(numbered.select(F.col("row").alias("node"), "text"), "node")
     )
-    units = (
-        placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-        .repartition("part", "i", "j").sortWithinPartitions("part", "i", "j")
-        .select("part", "i", "j", "block", "node", "copies", "text")
-    )
+    units = block_units(grouped, block, "copies", "text")
     found = store.put("links", _verified(units, threshold, n))
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), store, "classes")
     linked = found.groupBy("node").agg(F.sum("links").alias("links"))

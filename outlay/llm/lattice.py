@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from outlay.llm.tables import Store, pick, slices
 
 RANK_SHIFT = 50
-ROUNDS = 2
+ROUNDS = 1
 HEAVY = 1e-6
 PRIOR = 0.01
 CELLS = 2_000_000
@@ -108,7 +108,7 @@ class Pieces:
         most = min(width, self.longest)
         prefix = _prefix_hashes(raw)
         out = np.full((n, width + 1, most + 1), -1, np.int32)
-        power = np.uint64(1)
+        power = np.ones(1, np.uint64)
         for length in range(1, most + 1):
             power = power * BASE
             found = _mixed(prefix[:, length:] - prefix[:, :-length] * power, length)
@@ -205,3 +205,139 @@ def _count_words(docs: DataFrame) -> DataFrame:
 
     counted = docs.select("train", "text").mapInArrow(run, "word binary, c long, other long")
     return counted.groupBy("word").agg(F.sum("c").alias("c"), F.sum("other").alias("other"))
+
+
+@dataclass
+class Totals:
+    """``tokens`` (N), ``distinct`` (V) and ``ends`` of the training texts."""
+
+    tokens: int
+    distinct: int
+    ends: int
+
+    def base(self, c: np.ndarray) -> np.ndarray:
+        """log10 of the add-one probability of a token seen ``c`` times."""
+        return np.log10((c + 1) / (self.tokens + self.distinct + 1))
+
+    def score(self, c: np.ndarray, marginals: np.ndarray) -> np.ndarray:
+        """log10 of the lattice's probability of a token seen ``c`` times; ``marginals`` are natural logs."""
+        if not self.tokens:
+            return marginals / np.log(10)
+        with np.errstate(divide="ignore"):
+            both = np.logaddexp(np.log(c), np.log(self.distinct) + marginals)
+        return (both - np.log(self.tokens + self.distinct)) / np.log(10)
+
+    @property
+    def end_score(self) -> float:
+        return float(np.log10(self.ends / (self.tokens + self.distinct))) if self.tokens else 0.0
+
+
+def _fit(words: DataFrame, pieces: Pieces, rounds: int) -> Pieces:
+    """Pieces scored by ``rounds`` expectation steps; the driver gets one sum for each piece of the vocabulary."""
+    spark = words.sparkSession
+    seen = words.filter("c > 0")
+    total = seen.agg(F.sum("c")).first()[0] or 0
+    for _ in range(rounds if total else 0):
+        shared = spark.sparkContext.broadcast(pieces)
+
+        def run(batches, shared=shared):
+            own = shared.value
+            sums = np.zeros(len(own.hashes))
+            for part in slices(batches, "word", 1 << 19):
+                sums += own.expected(part.column(0).to_pylist(), part.column(1).to_numpy().astype(float))
+            used = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_pydict({"piece": used.astype(np.int32), "n": sums[used]})
+
+        rows = seen.select("word", "c").mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+        weights = np.full(len(pieces.hashes), PRIOR)
+        for row in rows.collect():
+            weights[row["piece"]] += row["n"]
+        pieces = pieces.weighted(weights, float(total))
+    return pieces
+
+
+def _score_words(words: DataFrame, pieces: Pieces, totals: Totals) -> DataFrame:
+    """Every word with its count over all texts, whether it is known, and its two log10 probabilities."""
+    shared = words.sparkSession.sparkContext.broadcast((pieces, totals))
+
+    def run(batches):
+        own, of = shared.value
+        for part in slices(batches, "word", 1 << 19):
+            c = part.column(1).to_numpy().astype(float)
+            marginals = own.marginals(part.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([
+                part.column(0), pc.add(part.column(1), part.column(2)), pa.array((c > 0).astype(np.int8)),
+                pa.array(of.base(c)), pa.array(of.score(c, marginals)),
+            ], ["word", "uses", "known", "base", "score"])
+
+    schema = "word binary, uses long, known byte, base double, score double"
+    return words.select("word", "c", "other").mapInArrow(run, schema)
+
+
+def _score_heavy(docs: DataFrame, heavy: pa.Table, totals: Totals) -> DataFrame:
+    """For each row the sums over its end and its heavy words, and its other words with their counts."""
+    shared = docs.sparkSession.sparkContext.broadcast(heavy)
+    rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
+    end = (int(totals.ends > 0), float(totals.base(np.float64(totals.ends))), totals.end_score)
+
+    def run(batches):
+        table = shared.value
+        place = dict(zip(table.column("word").to_pylist(), range(table.num_rows), strict=True))
+        values = np.array([[*table.column(n).to_pylist(), 0.0] for n in ("known", "base", "score")])
+        for part in slices(batches):
+            sums, rare, lengths = [], [], []
+            for text in part.column(2).to_pylist():
+                counted = Counter(tokens(text))
+                n = np.fromiter(counted.values(), np.int64, len(counted))
+                at = np.fromiter(map(place.get, counted, repeat(-1)), np.int64, len(counted))
+                sums.append(values[:, at] @ (n * (at >= 0)))
+                lengths.append(int(n.sum()) + 1)
+                words = list(counted)
+                rare.append([{"word": words[i], "n": int(n[i])} for i in np.flatnonzero(at < 0).tolist()])
+            known, base, score = np.array(sums).T
+            yield pa.RecordBatch.from_arrays([
+                *part.columns[:2], pa.array(lengths, pa.int64()), pa.array(known.astype(np.int64) + end[0]),
+                pa.array(base + end[1]), pa.array(score + end[2]), pa.array(rare, rare_type),
+            ], ["row", "doc_id", "n_tokens", "n_known", "base", "score", "rare"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(run, (
+        f"row long, doc_id {kind}, n_tokens long, n_known long, base double, score double, "
+        "rare array<struct<word: binary, n: int>>"
+    ))
+
+
+def score_texts(docs: DataFrame, training: Column, rank_file: bytes, *, rounds: int = ROUNDS, heavy: float = HEAVY) -> DataFrame:
+    """One row for each row of ``docs``: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
+
+    ``training`` is a condition on ``doc_id``: the rows that the model learns from.
+    """
+    spark = docs.sparkSession
+    store = Store(spark, "lattice")
+    texts = pick(docs, "doc_id", "text")
+    marked = texts.select(F.coalesce(training, F.lit(False)).alias("train"), "text")
+    words = store.put("words", _count_words(marked))
+    ends = marked.filter("train").count()
+    c, other, distinct = words.agg(F.sum("c"), F.sum("other"), F.count_if(F.col("c") > 0)).first()
+    totals = Totals((c or 0) + ends, (distinct or 0) + int(ends > 0), ends)
+    pieces = _fit(words, Pieces.from_ranks(rank_file), rounds)
+    scored = store.put("scored", _score_words(words, pieces, totals))
+    often = F.col("uses") >= max(1.0, heavy * ((c or 0) + (other or 0)))
+    frequent = scored.filter(often).select("word", "known", "base", "score").toArrow()
+    numbered = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    heads = store.put("heads", _score_heavy(numbered, frequent, totals))
+    sums = (
+        heads.select("row", F.explode("rare").alias("rare")).select("row", "rare.word", "rare.n")
+        .join(scored.filter(~often), "word").groupBy("row").agg(
+            F.sum(F.col("n") * F.col("known")).alias("rare_known"),
+            F.sum(F.col("n") * F.col("base")).alias("rare_base"), F.sum(F.col("n") * F.col("score")).alias("rare_score"),
+        )
+    )
+
+    def total(name: str) -> Column:
+        return F.col(name) + F.coalesce(F.col(f"rare_{name.removeprefix('n_')}"), F.lit(0))
+
+    return heads.drop("rare").join(sums, "row", "left").select(
+        "doc_id", "n_tokens", total("n_known").cast("long").alias("n_known"),
+        F.lit(totals.tokens).cast("long").alias("train_tokens"), total("base").alias("base_score"), total("score").alias("score"),
+    )

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outlay.llm import bpe, decontamination, language, secrets, sharding
+from outlay.llm import bpe, decontamination, euclid, html, jaccard, language, lattice, secrets, sharding, substrings
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 SHARDS = 16
@@ -24,6 +24,12 @@ def rank_file() -> bytes:
         return file.read()
 
 
+def op1_subword_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    out = language.held_out(F.col("doc_id"), 7)
+    scored = lattice.score_texts(_table(spark, folder, "documents"), ~out, rank_file())
+    return scored.withColumn("held_out", out)
+
+
 def op2_external_shuffle(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.digests(_table(spark, folder, "documents"), SHARDS)
 
@@ -43,18 +49,32 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(_table(spark, folder, "documents"), rank_file(), public_tokenizers.PATTERN)
 
 
+def op6_best_subsequence_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.digests(_table(spark, folder, "pages"))
+
+
 def op7_linked_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(_table(spark, folder, "documents"))
 
 
+def op8_lsh_forest_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, folder, "documents")).drop("row")
+
+
+def op9_p_stable_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return euclid.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+def op10_suffix_tree_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.digests(_table(spark, folder, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op2_external_shuffle": op2_external_shuffle,
-        "op3_spaced_seed_decontamination": op3_spaced_seed_decontamination,
-        "op4_rank_order_language": op4_rank_order_language,
-        "op5_byte_bpe": op5_byte_bpe,
-        "op7_linked_secrets": op7_linked_secrets,
-    }
+    found = (
+        op1_subword_lattice, op2_external_shuffle, op3_spaced_seed_decontamination, op4_rank_order_language, op5_byte_bpe,
+        op6_best_subsequence_text, op7_linked_secrets, op8_lsh_forest_join, op9_p_stable_near_duplicates, op10_suffix_tree_dedup,
+    )
+    return {query.__name__: query for query in found}
 
 
 def all_oracles() -> dict[str, str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 from collections.abc import Iterable, Iterator
 from itertools import count
@@ -71,6 +72,11 @@ class Store:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def settle(self) -> None:
+        """Let Spark's cleaner drop the shuffle files of finished steps now: it does so when the driver collects garbage."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def free(self, *names: str) -> None:
         for name in names:
             _remove(self.spark, f"{self.folder}/{name}")
