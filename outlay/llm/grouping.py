@@ -59,29 +59,36 @@ class Forest:
 def components(edges: DataFrame, store: Store, name: str) -> DataFrame:
     """(``node``, ``component``) for every end of an edge (``a``, ``b``): the smallest node reachable, itself included.
 
-    Each round takes the least label among the neighbours and then the label of that label, so paths shorten
-    by halves; the rounds end when no label changes. Labels are written each round. A hub's edges meet
-    one row of labels, so adaptive execution can split them.
+    In each round every node hooks onto the least of itself and its neighbours, and then onto what that one hooks onto; the
+    ends of the edges are replaced by what they hook onto, and loops and repeated edges vanish. At least half of the nodes that still have
+    edges go in each round, until no edge is left; the rounds' tables, written as they come, compose to the result.
     """
-    both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = store.put(f"{name}-edges", both.filter("a <> b").distinct())
-    labels = store.put(f"{name}-0", both.groupBy(F.col("a").alias("node")).agg(
-        F.least(F.col("a"), F.min("b")).alias("component"), F.lit(True).alias("changed"),
-    ))
-    turn = 0
-    while labels.filter("changed").limit(1).count():
-        held = labels.select("node", "component")
+    rounds: list[DataFrame] = []
+    left = store.put(f"{name}-edges-0", edges.select("a", "b").filter("a <> b").distinct())
+    while left.limit(1).count():
+        turn = len(rounds) + 1
         near = (
-            both.join(held.toDF("b", "near"), "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
+            left.unionAll(left.select("b", "a")).toDF("node", "other").groupBy("node")
+            .agg(F.min("other").alias("other")).select("node", F.least("node", "other").alias("hook"))
         )
-        lower = held.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("low"))
-        jumped = lower.join(held.toDF("low", "jump"), "low").select(
-            "node", F.least("low", "jump").alias("component"), (F.least("low", "jump") < F.col("was")).alias("changed"),
+        near = store.put(f"{name}-near-{turn}", near)
+        jump = near.join(near.toDF("hook", "next"), "hook").select("node", F.col("next").alias("component"))
+        rounds.append(store.put(f"{name}-hooks-{turn}", jump))
+        moved = (
+            left.join(rounds[-1].toDF("a", "new_a"), "a").join(rounds[-1].toDF("b", "new_b"), "b")
+            .select(F.col("new_a").alias("a"), F.col("new_b").alias("b")).filter("a <> b")
+            .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         )
-        turn += 1
-        labels = store.put(f"{name}-{turn}", jumped)
-        store.free(f"{name}-{turn - 1}")
-    return labels.select("node", "component")
+        left = store.put(f"{name}-edges-{turn}", moved)
+        store.free(f"{name}-near-{turn}", f"{name}-edges-{turn - 1}")
+    if not rounds:
+        return left.toDF("node", "component")
+    found = rounds[0]
+    for later in rounds[1:]:
+        found = found.join(later.toDF("component", "further"), "component", "left").select(
+            "node", F.coalesce("further", "component").alias("component")
+        )
+    return found
 
 
 def block_units(rows: DataFrame, block: int, *carried: str) -> DataFrame:
