@@ -6,14 +6,17 @@ other pieces, and a stop; every segmentation of the word into pieces counts. A f
 over the ends of the pieces gives the word's marginal probability. ``rounds`` expectation steps over all
 words of the training texts, each with its count, turn the first scores into the corpus's own.
 
-The lattice of a word has one more arc: the whole word, as the training texts have it. A word seen ``c`` times among
-``N`` tokens, ``V`` of them distinct, has the probability (c + V * L) / (N + V), where L is the marginal of its pieces; so
-words never seen get their share from their pieces, and all probabilities sum to one. A text is its words and
-one end, which is a token without pieces; its probability is the product.
+Texts come in classes, one for each language of at least ``CLASS_SHARE`` of the training texts and one for all other
+training texts; each class has its own piece scores and word counts. The lattice of a word has one more arc: the whole word, as
+the class's texts have it. A word seen ``c`` times among the ``N`` tokens of a class, ``V`` of them distinct, has the probability
+(c + V * L) / (N + V), where L is the marginal of its pieces; so words never seen get their share from their pieces, and
+all probabilities sum to one. A text is a class, its words and one end, which is a token without pieces; its probability is
+the product, for the class that its frequent words make most probable.
 
 Words are bytes other than ASCII white space, with A-Z in lower case. Null texts count as empty and have the end alone.
-Repeated rows are scored each, and count in training as often as they occur. Null ids are allowed. Without training texts
-N and V are 0: the whole weight is on the pieces, and the end has log probability 0. Extra columns are left out.
+Repeated rows are scored each, and count in training as often as they occur. Null ids are allowed, and a null language counts among the others. Without training
+texts N and V are 0: the whole weight is on the pieces, and the end has log probability 0. Extra columns are left out. The
+language is never looked at when a text is scored.
 
 Word counts are summed in tasks, then by word. Words with a share of ``HEAVY`` of all tokens, at most 1 / ``HEAVY`` by
 definition, are broadcast; the other words of each text are joined to the word table.
@@ -35,7 +38,8 @@ from pyspark.sql import functions as F
 from outlay.llm.tables import Store, pick, slices
 
 RANK_SHIFT = 50
-ROUNDS = 1
+ROUNDS = 2
+CLASS_SHARE = 1 / 64
 HEAVY = 1e-6
 PRIOR = 0.01
 CELLS = 2_000_000
@@ -117,7 +121,7 @@ class Pieces:
             out[:, length:, length] = np.where(self.hashes[at] == found, at, -1)
         return out
 
-    def _forward(self, arcs: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    def _forward(self, scores: np.ndarray) -> np.ndarray:
         """Log sums over the segmentations of each prefix; column 0 is the empty one."""
         n, ends, lengths = scores.shape
         alpha = np.full((n, ends), -np.inf)
@@ -130,21 +134,22 @@ class Pieces:
     def _scored(self, arcs: np.ndarray) -> np.ndarray:
         return np.where(arcs >= 0, self.scores[arcs], -np.inf)
 
-    def marginals(self, words: list[bytes]) -> np.ndarray:
-        """The natural log of each word's probability by its pieces."""
-        out = np.empty(len(words))
+    def marginals(self, words: list[bytes], others: tuple[Pieces, ...] = ()) -> np.ndarray:
+        """The natural log of each word's probability by its pieces: a column for these scores and each of ``others``."""
+        out = np.empty((len(words), 1 + len(others)))
         for places, raw in _matrices(words, self.longest):
             arcs = self._arcs(raw)
-            out[places] = self._forward(arcs, self._scored(arcs))[:, -1] + self.stop
+            for k, own in enumerate((self, *others)):
+                out[places, k] = own._forward(own._scored(arcs))[:, -1] + own.stop
         return out
 
     def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """How often each piece is used in the words, by the probabilities of their segmentations."""
-        out = np.zeros(len(self.hashes))
+        """How often each piece is used in the words, by the probabilities of their segmentations: a row for each column of ``counts``."""
+        out = np.zeros((counts.shape[1], len(self.hashes)))
         for places, raw in _matrices(words, self.longest):
             arcs = self._arcs(raw)
             scores = self._scored(arcs)
-            alpha = self._forward(arcs, scores)
+            alpha = self._forward(scores)
             n, ends, lengths = scores.shape
             beta = np.full((n, ends), -np.inf)
             beta[:, -1] = 0
@@ -154,8 +159,8 @@ class Pieces:
                 beta[:, start] = _log_sum(beta[:, start + steps] + scores[:, start + steps, steps])
             word, end, length = np.nonzero(arcs >= 0)
             share = np.exp(alpha[word, end - length] + scores[word, end, length] + beta[word, end] - alpha[word, -1])
-            share *= counts[places][word]
-            out += np.bincount(arcs[word, end, length], weights=share, minlength=len(out))
+            for k, own in enumerate(counts[places].T):
+                out[k] += np.bincount(arcs[word, end, length], weights=share * own[word], minlength=len(self.hashes))
         return out
 
 
@@ -179,37 +184,40 @@ def _matrices(words: list[bytes], longest: int):
             yield np.array(part), np.frombuffer(joined, np.uint8).reshape(len(part), width).astype(np.uint64)
 
 
-def _count_words(docs: DataFrame) -> DataFrame:
-    """(``word``, ``c``, ``other``): counts in the rows marked ``train``, and in the others."""
+def _counts(classes: int) -> list[str]:
+    return [f"c{k}" for k in range(classes)]
+
+
+def _count_words(docs: DataFrame, classes: int) -> DataFrame:
+    """``word``, its counts ``c0``, ... in the rows of each class, and ``other``: its count in rows without a class."""
+    names = [*_counts(classes), "other"]
 
     def run(batches):
-        held: tuple[Counter, Counter] = (Counter(), Counter())
+        held: list[Counter] = [Counter() for _ in names]
 
         def flush():
             for which, counter in enumerate(held):
                 words, counts = list(counter), np.fromiter(counter.values(), np.int64, len(counter))
                 for at in range(0, len(words), 20_000):
                     part = counts[at : at + 20_000]
-                    both = (np.zeros_like(part), part) if which else (part, np.zeros_like(part))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(words[at : at + 20_000], pa.binary()), *map(pa.array, both)], ["word", "c", "other"]
-                    )
+                    columns = [pa.array(part if k == which else np.zeros_like(part)) for k in range(len(names))]
+                    yield pa.RecordBatch.from_arrays([pa.array(words[at : at + 20_000], pa.binary()), *columns], ["word", *names])
                 counter.clear()
 
         for part in slices(batches):
-            for train, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                held[not train].update(tokens(text))
+            for which, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                held[which].update(tokens(text))
             if sum(map(len, held)) > HELD:
                 yield from flush()
         yield from flush()
 
-    counted = docs.select("train", "text").mapInArrow(run, "word binary, c long, other long")
-    return counted.groupBy("word").agg(F.sum("c").alias("c"), F.sum("other").alias("other"))
+    counted = docs.select("class", "text").mapInArrow(run, "word binary, " + ", ".join(f"{n} long" for n in names))
+    return counted.groupBy("word").agg(*[F.sum(n).alias(n) for n in names])
 
 
 @dataclass
 class Totals:
-    """``tokens`` (N), ``distinct`` (V) and ``ends`` of the training texts."""
+    """``tokens`` (N), ``distinct`` (V) and ``ends`` of some texts."""
 
     tokens: int
     distinct: int
@@ -232,112 +240,160 @@ class Totals:
         return float(np.log10(self.ends / (self.tokens + self.distinct))) if self.tokens else 0.0
 
 
-def _fit(words: DataFrame, pieces: Pieces, rounds: int) -> Pieces:
-    """Pieces scored by ``rounds`` expectation steps; the driver gets one sum for each piece of the vocabulary."""
-    spark = words.sparkSession
-    seen = words.filter("c > 0")
-    total = seen.agg(F.sum("c")).first()[0] or 0
-    for _ in range(rounds if total else 0):
+def _matrix(part: pa.RecordBatch, classes: int) -> np.ndarray:
+    """The counts of a batch of words, a column for each class."""
+    return np.stack([part.column(1 + k).to_numpy() for k in range(classes)], axis=1).astype(float)
+
+
+def _fit(words: DataFrame, first: Pieces, totals: list[Totals], rounds: int) -> tuple[Pieces, ...]:
+    """Each class's pieces, scored by ``rounds`` expectation steps over all its words.
+
+    The driver gets one sum for each class and piece of the vocabulary.
+    """
+    spark, classes = words.sparkSession, len(totals)
+    pieces = (first,) * classes
+    for turn in range(rounds if any(t.tokens for t in totals) else 0):
         shared = spark.sparkContext.broadcast(pieces)
 
-        def run(batches, shared=shared):
+        def run(batches, turn=turn, shared=shared):
             own = shared.value
-            sums = np.zeros(len(own.hashes))
+            sums = np.zeros((classes, len(own[0].hashes)))
             for part in slices(batches, "word", 1 << 19):
-                sums += own.expected(part.column(0).to_pylist(), part.column(1).to_numpy().astype(float))
-            used = np.flatnonzero(sums)
-            yield pa.RecordBatch.from_pydict({"piece": used.astype(np.int32), "n": sums[used]})
-
-        rows = seen.select("word", "c").mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
-        weights = np.full(len(pieces.hashes), PRIOR)
-        for row in rows.collect():
-            weights[row["piece"]] += row["n"]
-        pieces = pieces.weighted(weights, float(total))
+                listed, counts = part.column(0).to_pylist(), _matrix(part, classes)
+                if not turn:  # all classes still have the same scores
+                    seen = np.flatnonzero(counts.any(axis=1))
+                    sums += own[0].expected([listed[i] for i in seen.tolist()], counts[seen])
+                    continue
+                for k in range(classes):
+                    seen = np.flatnonzero(counts[:, k])
+                    sums[k] += own[k].expected([listed[i] for i in seen.tolist()], counts[seen, k : k + 1])[0]
+            which, piece = np.nonzero(sums)
+            yield pa.RecordBatch.from_pydict({
+                "class": which.astype(np.int32), "piece": piece.astype(np.int32), "n": sums[which, piece],
+            })
+
+        found = words.mapInArrow(run, "class int, piece int, n double").groupBy("class", "piece").agg(F.sum("n").alias("n")).toArrow()
+        weights = np.full((classes, len(first.hashes)), PRIOR)
+        weights[found.column("class").to_numpy(), found.column("piece").to_numpy()] += found.column("n").to_numpy()
+        pieces = tuple(first.weighted(weights[k], float(totals[k].tokens - totals[k].ends)) for k in range(classes))
     return pieces
 
 
-def _score_words(words: DataFrame, pieces: Pieces, totals: Totals) -> DataFrame:
-    """Every word with its count over all texts, whether it is known, and its two log10 probabilities."""
-    shared = words.sparkSession.sparkContext.broadcast((pieces, totals))
+def _score_words(words: DataFrame, pieces: tuple[Pieces, ...], totals: list[Totals], whole: Totals) -> DataFrame:
+    """Every word with its count over all texts, whether it is known, its base, and its log10 probability in each class."""
+    shared = words.sparkSession.sparkContext.broadcast((pieces, totals, whole))
 
     def run(batches):
-        own, of = shared.value
+        own, of, every = shared.value
         for part in slices(batches, "word", 1 << 19):
-            c = part.column(1).to_numpy().astype(float)
-            marginals = own.marginals(part.column(0).to_pylist())
+            counts = _matrix(part, len(of))
+            marginals = own[0].marginals(part.column(0).to_pylist(), own[1:])
+            scores = np.stack([t.score(counts[:, k], marginals[:, k]) for k, t in enumerate(of)], axis=1)
+            c = counts.sum(axis=1)
             yield pa.RecordBatch.from_arrays([
-                part.column(0), pc.add(part.column(1), part.column(2)), pa.array((c > 0).astype(np.int8)),
-                pa.array(of.base(c)), pa.array(of.score(c, marginals)),
-            ], ["word", "uses", "known", "base", "score"])
+                part.column(0), pc.add(pa.array(c.astype(np.int64)), part.column("other")), pa.array((c > 0).astype(np.int8)),
+                pa.array(every.base(c)), pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(c) + 1, dtype=np.int32) * len(of)), pa.array(scores.ravel())
+                ),
+            ], ["word", "uses", "known", "base", "scores"])
 
-    schema = "word binary, uses long, known byte, base double, score double"
-    return words.select("word", "c", "other").mapInArrow(run, schema)
+    return words.mapInArrow(run, "word binary, uses long, known byte, base double, scores array<double>")
 
 
-def _score_heavy(docs: DataFrame, heavy: pa.Table, totals: Totals) -> DataFrame:
-    """For each row the sums over its end and its heavy words, and its other words with their counts."""
+def _score_heavy(docs: DataFrame, heavy: pa.Table, totals: list[Totals], whole: Totals) -> DataFrame:
+    """For each row its class, the sums over its end and its heavy words, and its other words with their counts."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
-    rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
-    end = (int(totals.ends > 0), float(totals.base(np.float64(totals.ends))), totals.end_score)
+    end = (int(whole.ends > 0), float(whole.base(np.float64(whole.ends))))
+    classes = np.array([(np.log10(t.ends / whole.ends) if whole.ends else 0.0) + t.end_score for t in totals])
 
     def run(batches):
         table = shared.value
         place = dict(zip(table.column("word").to_pylist(), range(table.num_rows), strict=True))
-        values = np.array([[*table.column(n).to_pylist(), 0.0] for n in ("known", "base", "score")])
+        scores = np.array(table.column("scores").to_pylist(), float).reshape(-1, len(classes)).T
+        values = np.vstack([table.column("known").to_numpy(), table.column("base").to_numpy(), scores])
+        values = np.hstack([values, np.zeros((len(values), 1))])  # for the words that are not there
         for part in slices(batches):
-            sums, rare, lengths = [], [], []
+            sums, lengths, words, uses, sizes = [], [], [], [], [0]
             for text in part.column(2).to_pylist():
                 counted = Counter(tokens(text))
                 n = np.fromiter(counted.values(), np.int64, len(counted))
                 at = np.fromiter(map(place.get, counted, repeat(-1)), np.int64, len(counted))
-                sums.append(values[:, at] @ (n * (at >= 0)))
+                sums.append(values[:, at] @ n)
                 lengths.append(int(n.sum()) + 1)
-                words = list(counted)
-                rare.append([{"word": words[i], "n": int(n[i])} for i in np.flatnonzero(at < 0).tolist()])
-            known, base, score = np.array(sums).T
+                rare = np.flatnonzero(at < 0)
+                listed = list(counted)
+                words += [listed[i] for i in rare.tolist()]
+                uses.append(n[rare])
+                sizes.append(len(rare))
+            known, base, *scored = np.array(sums).T
+            scored = np.stack(scored, axis=1) + classes
+            best = scored.argmax(axis=1)
             yield pa.RecordBatch.from_arrays([
                 *part.columns[:2], pa.array(lengths, pa.int64()), pa.array(known.astype(np.int64) + end[0]),
-                pa.array(base + end[1]), pa.array(score + end[2]), pa.array(rare, rare_type),
-            ], ["row", "doc_id", "n_tokens", "n_known", "base", "score", "rare"])
+                pa.array(base + end[1]), pa.array(best.astype(np.int32)), pa.array(scored[np.arange(len(best)), best]),
+                pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.StructArray.from_arrays(
+                    [pa.array(words, pa.binary()), pa.array(np.concatenate(uses).astype(np.int32))], ["word", "n"]
+                )),
+            ], ["row", "doc_id", "n_tokens", "n_known", "base", "class", "score", "rare"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, (
-        f"row long, doc_id {kind}, n_tokens long, n_known long, base double, score double, "
+        f"row long, doc_id {kind}, n_tokens long, n_known long, base double, class int, score double, "
         "rare array<struct<word: binary, n: int>>"
     ))
 
 
-def score_texts(docs: DataFrame, training: Column, rank_file: bytes, *, rounds: int = ROUNDS, heavy: float = HEAVY) -> DataFrame:
+def score_texts(
+    docs: DataFrame, training: Column, rank_file: bytes, *, rounds: int = ROUNDS, heavy: float = HEAVY, class_share: float = CLASS_SHARE,
+) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
-    ``training`` is a condition on ``doc_id``: the rows that the model learns from.
+    ``training`` is a condition on ``doc_id``: the rows that the model learns from. ``docs`` must be a stored table.
     """
     spark = docs.sparkSession
     store = Store(spark, "lattice")
-    texts = pick(docs, "doc_id", "text")
-    marked = texts.select(F.coalesce(training, F.lit(False)).alias("train"), "text")
-    words = store.put("words", _count_words(marked))
-    ends = marked.filter("train").count()
-    c, other, distinct = words.agg(F.sum("c"), F.sum("other"), F.count_if(F.col("c") > 0)).first()
-    totals = Totals((c or 0) + ends, (distinct or 0) + int(ends > 0), ends)
-    pieces = _fit(words, Pieces.from_ranks(rank_file), rounds)
-    scored = store.put("scored", _score_words(words, pieces, totals))
-    often = F.col("uses") >= max(1.0, heavy * ((c or 0) + (other or 0)))
-    frequent = scored.filter(often).select("word", "known", "base", "score").toArrow()
+    texts = pick(docs, "doc_id", "lang", "text")
+    train = F.coalesce(training, F.lit(False))
+    by_language = texts.filter(train).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    ends = by_language.agg(F.sum("n")).first()[0] or 0
+    # At most 1 / class_share languages by definition.
+    named = sorted((r["lang"], r["n"]) for r in by_language.filter(F.col("lang").isNotNull() & (F.col("n") >= class_share * ends)).collect())
+    sizes = [n for _, n in named]
+    if sum(sizes) < ends or not sizes:
+        sizes.append(ends - sum(sizes))
+    last = len(sizes) - 1  # of the classes, the one of the other texts; of the columns, the one without a class follows
+    which = F.coalesce(*[F.when(F.col("lang") == name, k) for k, (name, _) in enumerate(named)], F.lit(last))
+    marked = texts.select(F.when(train, which).otherwise(last + 1).alias("class"), "text")
+    words = store.put("words", _count_words(marked, last + 1))
+    store.settle()
+    columns = _counts(last + 1)
+    sums = words.agg(
+        *[F.sum(n) for n in columns], *[F.count_if(F.col(n) > 0) for n in columns],
+        F.count_if(F.greatest(F.lit(0), *columns) > 0), F.sum("other"),
+    ).first()
+    totals = [
+        Totals((sums[k] or 0) + n, (sums[last + 1 + k] or 0) + int(n > 0), n) for k, n in enumerate(sizes)
+    ]
+    whole = Totals(sum(t.tokens for t in totals), (sums[2 * last + 2] or 0) + int(ends > 0), ends)
+    pieces = _fit(words, Pieces.from_ranks(rank_file), totals, rounds)
+    scored = store.put("scored", _score_words(words, pieces, totals, whole))
+    often = F.col("uses") >= max(1.0, heavy * (whole.tokens - ends + (sums[2 * last + 3] or 0)))
+    frequent = scored.filter(often).select("word", "known", "base", "scores").toArrow()
     numbered = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    heads = store.put("heads", _score_heavy(numbered, frequent, totals))
-    sums = (
-        heads.select("row", F.explode("rare").alias("rare")).select("row", "rare.word", "rare.n")
+    heads = store.put("heads", _score_heavy(numbered, frequent, totals, whole))
+    store.settle()
+    rare = (
+        heads.select("row", "class", F.explode("rare").alias("rare")).select("row", "class", "rare.word", "rare.n")
         .join(scored.filter(~often), "word").groupBy("row").agg(
-            F.sum(F.col("n") * F.col("known")).alias("rare_known"),
-            F.sum(F.col("n") * F.col("base")).alias("rare_base"), F.sum(F.col("n") * F.col("score")).alias("rare_score"),
+            F.sum(F.col("n") * F.col("known")).alias("rare_known"), F.sum(F.col("n") * F.col("base")).alias("rare_base"),
+            F.sum(F.col("n") * F.element_at("scores", F.col("class") + 1)).alias("rare_score"),
         )
     )
 
     def total(name: str) -> Column:
         return F.col(name) + F.coalesce(F.col(f"rare_{name.removeprefix('n_')}"), F.lit(0))
 
-    return heads.drop("rare").join(sums, "row", "left").select(
+    return heads.drop("rare").join(rare, "row", "left").select(
         "doc_id", "n_tokens", total("n_known").cast("long").alias("n_known"),
-        F.lit(totals.tokens).cast("long").alias("train_tokens"), total("base").alias("base_score"), total("score").alias("score"),
+        F.lit(whole.tokens).cast("long").alias("train_tokens"), total("base").alias("base_score"), total("score").alias("score"),
     )
