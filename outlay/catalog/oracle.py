@@ -55,10 +55,10 @@ WITH raw_expenses AS (
   WHERE rn = 1
 ), raw_budgets AS (
   SELECT dept_id, n_name AS dept_name, budget_month,
-         TRY_CAST(round(ordered * CASE dept_id % 3 WHEN 0 THEN 2.50 WHEN 1 THEN 3.25 ELSE 4.00 END, 2)
-                  AS DECIMAL(12,2)) AS budget_amount, 'USD' AS currency
+         CAST(round(largest * CASE dept_id % 3 WHEN 0 THEN 2.50 WHEN 1 THEN 3.25 ELSE 4.00 END, 2)
+              AS DECIMAL(12,2)) AS budget_amount, 'USD' AS currency
   FROM (SELECT c_nationkey AS dept_id, strftime(o_orderdate, '%Y-%m') AS budget_month, o_orderpriority,
-               sum(CAST(o_totalprice AS DECIMAL(12,2))) AS ordered
+               max(CAST(o_totalprice AS DECIMAL(12,2))) AS largest
         FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE (c_nationkey + month(o_orderdate)) % 7 <> 0
         GROUP BY 1, 2, 3)
@@ -166,7 +166,9 @@ WITH raw_expenses AS (
 ), round_numbers AS (
   SELECT 'round_number_spikes' AS rule_name, 'department' AS entity_type,
          CAST(dept_id AS VARCHAR) AS entity_id, dept_name AS entity_name, DATE '{AS_OF}' AS signal_date,
-         CAST(CASE WHEN pct > {L.round_number_pct * 1.5} THEN 65 ELSE 45 END AS DOUBLE) AS score
+         CAST(CASE WHEN pct > {L.round_number_pct * 1.5} THEN 65 ELSE 45 END AS DOUBLE) AS score,
+         'Department ' || dept_name || ' has ' || CAST(round(pct, 1) AS VARCHAR) || '% round number expenses in '
+           || budget_month_key AS details
   FROM (SELECT e.dept_id, d.dept_name, e.budget_month_key,
                CAST(count(CASE WHEN e.amount % 100 = 0 THEN 1 END) AS DOUBLE) / count(*) * 100 AS pct
         FROM fact_expense e LEFT JOIN dim_department d ON e.dept_id = d.dept_id GROUP BY 1, 2, 3)
@@ -174,12 +176,14 @@ WITH raw_expenses AS (
 ), spend_steps AS (
   SELECT *, lag(cost) OVER w AS prev_cost, lag(conversions) OVER w AS prev_conversions
   FROM fact_campaign_spend
-  WINDOW w AS (PARTITION BY campaign_id ORDER BY date, substr(md5(spend_id), 1, 15), spend_id)
+  WINDOW w AS (PARTITION BY campaign_id ORDER BY date, spend_id)
 ), spikes AS (
   SELECT 'campaign_spend_spike' AS rule_name, 'campaign' AS entity_type,
          CAST(campaign_id AS VARCHAR) AS entity_id, campaign_name AS entity_name, date AS signal_date,
-         CAST(score AS DOUBLE) AS score
-  FROM (SELECT s.campaign_id, k.campaign_name, s.date,
+         CAST(score AS DOUBLE) AS score,
+         'Campaign ' || campaign_name || ' spend increased ' || CAST(round(cost_up, 1) AS VARCHAR) || '% with only '
+           || CAST(round(conv_up, 1) AS VARCHAR) || '% conversion lift' AS details
+  FROM (SELECT s.campaign_id, k.campaign_name, s.date, s.cost_up, s.conv_up,
           CASE WHEN s.cost_up >= {L.spike_cost_pct * 1.5} AND s.conv_up <= {L.spike_conversion_pct * 2} THEN 80
                WHEN s.cost_up >= {L.spike_cost_pct} AND s.conv_up <= {L.spike_conversion_pct} THEN 60
                ELSE 0 END AS score
@@ -193,8 +197,7 @@ WITH raw_expenses AS (
         LEFT JOIN dim_campaign k ON s.campaign_id = k.campaign_id)
   WHERE score > 0
 ), signals AS (
-  SELECT * EXCLUDE (details) FROM duplicates UNION ALL SELECT * EXCLUDE (details) FROM small_claims
-  UNION ALL SELECT * EXCLUDE (details) FROM off_days
+  SELECT * FROM duplicates UNION ALL SELECT * FROM small_claims UNION ALL SELECT * FROM off_days
   UNION ALL SELECT * FROM round_numbers UNION ALL SELECT * FROM spikes
 ), variance AS (
   SELECT a.dept_id, a.dept_name, a.budget_month_key,
@@ -243,7 +246,7 @@ WITH raw_expenses AS (
                  AS spend_percentage
         FROM fact_expense e JOIN dim_vendor v ON e.vendor_id = v.vendor_id GROUP BY 1, 2, 3)
 ), vw_flags AS (
-  SELECT rule_name, entity_type, entity_name, signal_date, score,
+  SELECT rule_name, entity_type, entity_name, signal_date, score, details,
          CASE WHEN score >= 80 THEN 'Critical' WHEN score >= 60 THEN 'High' WHEN score >= 40 THEN 'Medium'
               ELSE 'Low' END AS risk_level,
          count(*) OVER (PARTITION BY rule_name) AS rule_count,
@@ -253,7 +256,7 @@ WITH raw_expenses AS (
 """
 
 
-SIGNAL = "rule_name, entity_type, entity_id, entity_name, signal_date, score"
+SIGNAL = "rule_name, entity_type, entity_id, entity_name, signal_date, score, details"
 
 _EXPENSE_STATS = f"""count(*) AS total_transactions, CAST(sum(amount) AS DOUBLE) AS total_expenses,
   {_mean('sum(amount)', 'count(amount)')} AS avg_transaction_amount,
@@ -395,7 +398,7 @@ _FALLBACK = """SELECT CAST(a.dept_id AS BIGINT) AS dept_id, a.dept_name, a.budge
   CAST(a.actual - COALESCE(b.budget, 0) AS DOUBLE) AS variance_amount,
   round(CASE WHEN b.budget > 0 THEN CAST(a.actual - b.budget AS DOUBLE) / b.budget * 100 ELSE 0 END, 6)
     AS variance_percentage
-FROM (SELECT e.dept_id, d.dept_name, e.budget_month_key, sum(e.amount) AS actual
+FROM (SELECT e.dept_id, d.dept_name, '2024-01' AS budget_month_key, sum(e.amount) AS actual
       FROM fact_expense e LEFT JOIN dim_department d ON e.dept_id = d.dept_id GROUP BY 1, 2, 3) a
 LEFT JOIN (VALUES (1, '2024-01', 150000), (2, '2024-01', 120000), (3, '2024-01', 100000),
   (4, '2024-01', 80000), (5, '2024-01', 60000), (6, '2024-01', 90000), (7, '2024-01', 70000))
@@ -547,10 +550,10 @@ FROM fact_campaign_spend WHERE date >= DATE '2024-01-15'""",
     "summary_monthly": _MONTHLY.format(avg=_mean("sum(amount)", "count(amount)")),
     "summary_dept": _DEPT,
     "summary_campaign": _CAMPAIGN.format(digits=6),
-    "rule_duplicate": f"SELECT {SIGNAL}, details FROM duplicates",
+    "rule_duplicate": f"SELECT {SIGNAL} FROM duplicates",
     "rule_duplicate_amount": _NEAR,
-    "rule_sub_threshold": f"SELECT {SIGNAL}, details FROM small_claims",
-    "rule_weekend_holiday": f"SELECT {SIGNAL}, details FROM off_days",
+    "rule_sub_threshold": f"SELECT {SIGNAL} FROM small_claims",
+    "rule_weekend_holiday": f"SELECT {SIGNAL} FROM off_days",
     "rule_round_number": f"SELECT {SIGNAL} FROM round_numbers",
     "rule_campaign_spike": f"SELECT {SIGNAL} FROM spikes",
     "leakage_signals": f"SELECT {SIGNAL} FROM signals",
@@ -668,8 +671,19 @@ FROM small_claims WHERE score >= 80""",
     ),
     "contract_summary_dept": _DEPT,
     "contract_summary_campaign": _CAMPAIGN.format(digits=4),
-    "load_contract": """SELECT CAST(vendor_id AS BIGINT) AS vendor_id, 2 * count(*) AS loaded_rows,
-  CAST(2 * sum(amount) AS DOUBLE) AS loaded_amount FROM fact_expense GROUP BY 1""",
+    "load_contract": """SELECT CAST(vendor_id AS BIGINT) AS vendor_id, count(*) AS loaded_rows,
+  CAST(sum(amount) AS DOUBLE) AS loaded_amount FROM fact_expense GROUP BY 1""",
+    "load_contract_second": """SELECT CAST(dept_id AS BIGINT) AS dept_id, 2 * count(*) AS loaded_rows,
+  2 * count(*) AS distinct_keys, CAST(2 * sum(budget_amount) AS DOUBLE) AS loaded_amount FROM budgets GROUP BY 1""",
+    "clean_rejects": """SELECT 'expenses' AS table_name, reason, count(*) AS row_count FROM (
+  SELECT CASE WHEN invoice_id IS NULL THEN 'invoice_id missing' WHEN trx_date IS NULL THEN 'trx_date missing'
+    WHEN amount IS NULL THEN 'amount missing' WHEN amount <= 0 THEN 'amount not positive' END AS reason
+  FROM flawed_expenses) WHERE reason IS NOT NULL GROUP BY 2""",
+    "fallback_budgets": """SELECT CAST(b.dept_id AS BIGINT) AS dept_id, b.dept_name, b.budget_month,
+  CAST(b.budget AS DOUBLE) AS budget_amount, (SELECT count(*) FROM fact_expense e WHERE e.dept_id = b.dept_id) AS expense_count
+FROM (VALUES (1, 'Engineering', '2024-01', 150000), (2, 'Marketing', '2024-01', 120000), (3, 'Sales', '2024-01', 100000),
+  (4, 'Finance', '2024-01', 80000), (5, 'HR', '2024-01', 60000), (6, 'Operations', '2024-01', 90000),
+  (7, 'Legal', '2024-01', 70000)) AS b(dept_id, dept_name, budget_month, budget)""",
 }
 
 

@@ -84,18 +84,41 @@ def _json_report(t: Tables) -> DataFrame:
 
 
 def _load_contract(t: Tables) -> DataFrame:
+    """The same folder loaded twice counts once."""
     folder = _scratch(t, "load")
     write_table(t.fact_expense, f"{folder}/gold/fact_expense", partition_by="budget_month_key")
     contracts.load_table(t.spark, f"{folder}/gold", f"{folder}/warehouse", "fact_expense")
     contracts.load_table(t.spark, f"{folder}/gold", f"{folder}/warehouse", "fact_expense")
-    return read_table(t.spark, f"{folder}/warehouse/fact_expense").groupBy("vendor_id").agg(
+    return contracts.read_loaded(t.spark, f"{folder}/warehouse", "fact_expense").groupBy("vendor_id").agg(
         F.count(F.lit(1)).alias("loaded_rows"), F.sum("amount").alias("loaded_amount"),
     )
 
 
+def _load_contract_second(t: Tables) -> DataFrame:
+    """Two folders: the rows of both, under keys that do not repeat."""
+    folder = _scratch(t, "load")
+    for part in ("first", "second"):
+        write_table(t.budgets, f"{folder}/{part}/fact_budget")
+        contracts.load_table(t.spark, f"{folder}/{part}", f"{folder}/warehouse", "fact_budget")
+    loaded = contracts.read_loaded(t.spark, f"{folder}/warehouse", "fact_budget")
+    return loaded.groupBy("dept_id").agg(
+        F.count(F.lit(1)).alias("loaded_rows"), F.count_distinct("budget_id").alias("distinct_keys"),
+        F.sum("budget_amount").alias("loaded_amount"),
+    )
+
+
 def _fallback_variance(t: Tables) -> DataFrame:
+    """All spending taken as of the month that the fallback budgets are for."""
+    budgets = load_budgets(t.spark, _scratch(t, "no_such_table"))
+    fact = t.fact_expense.withColumn("budget_month_key", F.lit(schemas.FALLBACK_BUDGETS[0][2]))
+    return kpis.budget_variance(fact, t.dim_department, budgets)
+
+
+def _fallback_rows(t: Tables) -> DataFrame:
+    """The fallback budgets with the number of expenses of their departments."""
     budgets = load_budgets(t.spark, _scratch(t, "no_such_table"))
-    return kpis.budget_variance(t.fact_expense, t.dim_department, budgets)
+    spent = t.fact_expense.groupBy("dept_id").agg(F.count(F.lit(1)).alias("expense_count"))
+    return budgets.join(spent, "dept_id", "left").withColumn("expense_count", F.coalesce("expense_count", F.lit(0)))
 
 
 def _coerced(t: Tables) -> DataFrame:
@@ -130,6 +153,7 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "clean_expenses": lambda t: t.expenses_of(),
     "clean_expenses_flawed": lambda t: cleaning.clean_expenses(t.flawed_expenses, "lineitem"),
     "clean_budgets": lambda t: t.budgets_of(),
+    "clean_rejects": lambda t: cleaning.rejects(t.flawed_expenses, cleaning.EXPENSES, "expenses"),
     "clean_campaign_spend": lambda t: t.campaign_spend_of(),
     "clean_calendar": lambda t: t.calendar_of(),
     "csv_roundtrip": _csv_roundtrip,
@@ -152,11 +176,12 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "rule_duplicate_amount": lambda t: t.near_duplicates_of(),
     "rule_sub_threshold": lambda t: t.sub_threshold_of(),
     "rule_weekend_holiday": lambda t: t.weekend_of(),
-    "rule_round_number": lambda t: t.round_number_of().drop("details"),
-    "rule_campaign_spike": lambda t: t.campaign_spikes_of().drop("details"),
-    "leakage_signals": lambda t: t.signals_of().drop("details"),
+    "rule_round_number": lambda t: t.round_number_of(),
+    "rule_campaign_spike": lambda t: t.campaign_spikes_of(),
+    "leakage_signals": lambda t: t.signals_of(),
     "budget_variance": lambda t: t.variance_of(),
     "budget_fallback": _fallback_variance,
+    "fallback_budgets": _fallback_rows,
     "vendor_concentration": lambda t: t.concentration_of(),
     "metrics_expenses": lambda t: metrics.expense_metrics(t.fact_expense),
     "metrics_signals": lambda t: metrics.signal_metrics(metrics.signals_per_rule(t.signals)),
@@ -175,8 +200,8 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_fact": lambda t: quality.check_expenses(t.fact_expense, "gold.fact_expense"),
     "dq_summary": lambda t: quality.summarize(_quality_results(t)),
     "vw_budget_vs_actual": lambda t: views.budget_vs_actual(t.budgets, t.fact_expense, t.dim_department, LIMITS),
-    "vw_vendor_concentration": lambda t: views.vendor_concentration(t.fact_expense, t.dim_vendor, LIMITS),
-    "vw_leakage_flags": lambda t: views.leakage_flags(t.signals, t.as_of).drop("details"),
+    "vw_vendor_concentration": lambda t: views.vendor_concentration(t.vendor_rank),
+    "vw_leakage_flags": lambda t: views.leakage_flags(t.signals, t.as_of),
     "vw_campaign_roi": lambda t: views.campaign_roi(t.fact_campaign_spend, t.dim_campaign),
     "vw_monthly_expense_trends": lambda t: views.monthly_expense_trends(t.fact_expense, t.dim_department),
     "vw_employee_expense_analysis": lambda t: views.employee_expense_analysis(
@@ -209,7 +234,7 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "contract_dim_calendar": _contract("dim_calendar", lambda t: t.dim_calendar),
     "contract_fact_expense": _contract("fact_expense", lambda t: t.fact_expense),
     "contract_fact_campaign_spend": _contract("fact_campaign_spend", lambda t: t.fact_campaign_spend),
-    "contract_fact_leakage_signal": lambda t: contracts.conform(t.signals, "fact_leakage_signal").drop("details"),
+    "contract_fact_leakage_signal": lambda t: contracts.conform(t.signals, "fact_leakage_signal"),
     "contract_summary_monthly": _contract(
         "summary_monthly_expenses", lambda t: summaries.monthly_expenses(t.fact_expense), wide_money=True
     ),
@@ -222,6 +247,7 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
         wide_money=True,
     ),
     "load_contract": _load_contract,
+    "load_contract_second": _load_contract_second,
 }
 
 # The report holds amounts of many digits; the two views hold plain quotients, left as they are.

@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# About 200 MB at 100 bytes a row, well inside an executor.
 SMALL_ROWS = 2_000_000
+SMALL_BYTES = 64 << 20
 
 
-def small_side(table: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """``table`` with a broadcast hint if it is proven to hold at most ``max_rows`` rows.
+def stored_bytes(table: DataFrame) -> int:
+    """The size of the files below a plain read of a table, as the planner knows it without a job."""
+    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    The check reads at most ``max_rows + 1`` rows, so use it on written tables. A larger
-    table comes back unhinted and joins by sort-merge, where adaptive execution splits hot
-    keys.
+
+def small_side(table: DataFrame, rows: int | None = None, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """``table`` with a broadcast hint if it is proven to hold at most ``max_rows`` rows and ``max_bytes`` of files.
+
+    Use it on written tables. ``rows`` is the count that the write returned; without it the rows are counted, which sums
+    one number for each task. A larger table comes back unhinted and joins by sort-merge, where adaptive execution splits hot keys.
     """
-    if table.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(table)
-    return table
+    if stored_bytes(table) > max_bytes:
+        return table
+    return F.broadcast(table) if (table.count() if rows is None else rows) <= max_rows else table

@@ -5,41 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DIGEST_BITS, SLOT_BITS = 60, 8
+CROWD_ROWS = 100_000
+SLOTS = 256
 
 
 def previous_values(
-    df: DataFrame, entity: str, day: str, tie: str, values: list[str], prefix: str = "prev_",
+    df: DataFrame, entity: str, day: str, tie: str, values: list[str], prefix: str = "prev_", crowd: int = CROWD_ROWS,
 ) -> DataFrame:
-    """Add ``prefix``+value: each value of the entity's previous row by (day, digest, tie).
+    """Add ``prefix``+value: each value of the entity's previous row by (day, tie); ``tie`` is unique.
 
-    ``tie`` is unique; ``digest`` is the number in the first 15 hex digits of its MD5. The top
-    byte of the digest cuts the rows of one entity and day into 256 consecutive slots of equal
-    size, and each (entity, day, slot) is a window partition of its own. Its first row takes
-    the last values of the slot before it, which enter the partition as one extra row. No task
-    ever holds a whole entity, and the slots' last values are combined on the map side.
+    Each (entity, day) is a window partition of its own. One with more than ``crowd`` rows is cut into about ``SLOTS`` ranges
+    of ``tie``: the bounds are ties picked by a hash, so a recomputed task finds the same ones. The first row of a partition takes
+    the values of the last row before it, which enters as one extra row. No task ever holds a whole entity, and the last
+    rows are combined on the map side.
     """
-    part = [entity, day, "_slot"]
-    digest = F.conv(F.substring(F.md5(F.col(tie).cast("string")), 1, DIGEST_BITS // 4), 16, 10).cast("bigint")
-    rows = df.withColumn("_digest", digest).withColumn(
-        "_slot", F.shiftright("_digest", DIGEST_BITS - SLOT_BITS)
+    group, part = [entity, day], [entity, day, "_slot"]
+    crowded = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > crowd)
+    picked = F.pmod(F.xxhash64(tie), F.ceil(F.col("_rows") / SLOTS)) == 0
+    bounds = (
+        df.select(*group, tie).join(crowded, group).filter(picked)
+        .groupBy(*group).agg(F.sort_array(F.collect_list(tie)).alias("_bounds"))
     )
+    slot = F.coalesce(F.size(F.filter("_bounds", lambda bound: bound <= F.col(tie))), F.lit(0))
+    rows = df.join(bounds, group, "left").withColumn("_slot", F.when(F.col("_bounds").isNull(), 0).otherwise(slot)).drop("_bounds")
 
     before = Window.partitionBy(entity).orderBy(day, "_slot")
     carried = (
-        rows.groupBy(*part)
-        .agg(F.count(F.lit(1)).alias("_rows"), *[F.max_by(v, "_digest").alias(v) for v in values])
-        .select(
-            *part, F.lag("_rows").over(before).alias("_rows"),
-            *[F.lag(v).over(before).alias(v) for v in values],
-        )
-        .filter(F.col("_rows").isNotNull())
-        .drop("_rows")
+        rows.groupBy(*part).agg(F.max(F.struct(tie, *values)).alias("_last"))
+        .select(*part, F.lag("_last").over(before).alias("_last"))
+        .filter(F.col("_last").isNotNull())
+        .select(*part, *[F.col(f"_last.{v}").alias(v) for v in values], F.lit(True).alias("_carried"))
     )
-    in_slot = Window.partitionBy(*part).orderBy(F.col("_digest").asc_nulls_first(), tie)
+    in_slot = Window.partitionBy(*part).orderBy(F.col("_carried").desc_nulls_last(), tie)
     return (
         rows.unionByName(carried, allowMissingColumns=True)
         .withColumns({f"{prefix}{v}": F.lag(v).over(in_slot) for v in values})
-        .filter(F.col("_digest").isNotNull())
-        .drop("_digest", "_slot")
+        .filter(F.col("_carried").isNull())
+        .drop("_carried", "_slot")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,32 +16,44 @@ EMPLOYEE_TITLE = "Employee"
 EMPLOYEE_LOCATION = "Remote"
 OWNER_PREFIX = "Owner_"
 
+# Writes the few distinct rows and reads them back, so that numbering them does not read the facts again.
+Settle = Callable[[DataFrame], DataFrame]
+
+
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
+def _members(rows: DataFrame, id_column: str) -> DataFrame:
+    """One row for each id. The distinct rows come first: they shrink by hash in each task, and only they are sorted."""
+    return keep_first(rows.distinct(), [id_column])
+
 
-def dim_vendor(expenses: DataFrame) -> DataFrame:
-    vendors = keep_first(expenses.select("vendor_id", "vendor_name"), ["vendor_id"])
+def dim_vendor(expenses: DataFrame, settle: Settle = _as_is) -> DataFrame:
+    vendors = settle(_members(expenses.select("vendor_id", "vendor_name"), "vendor_id"))
     described = vendors.withColumns({
         "category": F.lit(VENDOR_CATEGORY), "country": F.lit(VENDOR_COUNTRY),
     })
     return dense_key(described, "vendor_id", "vendor_key")
 
 
-def dim_employee(expenses: DataFrame) -> DataFrame:
-    people = keep_first(expenses.select("employee_id", "employee_name", "dept_id"), ["employee_id"])
+def dim_employee(expenses: DataFrame, settle: Settle = _as_is) -> DataFrame:
+    people = settle(_members(expenses.select("employee_id", "employee_name", "dept_id"), "employee_id"))
     described = people.withColumns({
         "title": F.lit(EMPLOYEE_TITLE), "location": F.lit(EMPLOYEE_LOCATION),
     })
     return dense_key(described, "employee_id", "employee_key")
 
 
-def dim_department(expenses: DataFrame) -> DataFrame:
-    departments = keep_first(expenses.select("dept_id", "dept_name"), ["dept_id"])
+def dim_department(expenses: DataFrame, settle: Settle = _as_is) -> DataFrame:
+    departments = settle(_members(expenses.select("dept_id", "dept_name"), "dept_id"))
     owned = departments.withColumn("owner", F.concat(F.lit(OWNER_PREFIX), "dept_name"))
     return dense_key(owned, "dept_id", "dept_key")
 
 
-def dim_campaign(campaign_spend: DataFrame) -> DataFrame:
+def dim_campaign(campaign_spend: DataFrame, settle: Settle = _as_is) -> DataFrame:
     columns = ["campaign_id", "campaign_name", "channel", "objective"]
-    return dense_key(keep_first(campaign_spend.select(*columns), ["campaign_id"]), "campaign_id", "campaign_key")
+    return dense_key(settle(_members(campaign_spend.select(*columns), "campaign_id")), "campaign_id", "campaign_key")
 
 
 def dim_calendar(calendar: DataFrame) -> DataFrame:

@@ -45,7 +45,9 @@ def vendor_concentration(fact: DataFrame, vendors: DataFrame, limits: Thresholds
         F.count(F.lit(1)).alias("transaction_count"),
         F.avg("amount").alias("avg_transaction_amount"),
     )
-    grand_total = fact.agg(F.sum("amount").cast("double")).scalar()
+    # From the vendors' sums; the condition reads all their columns, so that both uses share one grouped read of the fact.
+    counted = (F.col("transaction_count") > 0) & (F.col("avg_transaction_amount").isNotNull() | F.col("total_spend").isNull())
+    grand_total = totals.agg(F.sum(F.when(counted, F.col("total_spend"))).cast("double")).scalar()
     share = F.col("spend_percentage")
     return (
         totals.join(vendors.select("vendor_id", "vendor_name"), "vendor_id", "left")

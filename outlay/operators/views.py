@@ -67,7 +67,9 @@ def vendor_shares(fact: DataFrame, vendors: DataFrame, limits: Thresholds = DEFA
         F.sum("amount").alias("total_spend"),
         F.avg("amount").alias("avg_transaction_amount"),
     )
-    grand_total = fact.agg(F.sum("amount").cast("double")).scalar()
+    # From the vendors' sums; the condition reads all their columns, so that both uses share one grouped read of the fact.
+    counted = (F.col("transaction_count") >= 0) & (F.col("avg_transaction_amount").isNotNull() | F.col("total_spend").isNull())
+    grand_total = totals.agg(F.sum(F.when(counted, F.col("total_spend"))).cast("double")).scalar()
     share = F.col("spend_percentage")
     return (
         totals.join(vendors.select("vendor_id", "vendor_name", "category"), "vendor_id")
@@ -85,12 +87,20 @@ def vendor_shares(fact: DataFrame, vendors: DataFrame, limits: Thresholds = DEFA
     )
 
 
-def vendor_concentration(fact: DataFrame, vendors: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
-    """``vendor_shares`` ranked by spend, largest first, equal spend by vendor id."""
+def vendor_ranks(fact: DataFrame, vendors: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
+    """``vendor_shares`` numbered by spend, largest first, equal spend by vendor id.
+
+    The numbering runs a job; a stage writes the result, and ``vendor_concentration`` reads it.
+    """
     shares = vendor_shares(fact, vendors, limits)
     return number_sorted(shares, [F.col("total_spend").desc(), F.col("vendor_id")], "vendor_rank")
 
 
+def vendor_concentration(ranks: DataFrame) -> DataFrame:
+    """The written ``vendor_ranks`` in their order."""
+    return ranks.orderBy("vendor_rank")
+
+
 def recent_signals(signals: DataFrame, as_of: Column | None = None) -> DataFrame:
     day = F.current_date() if as_of is None else as_of
     return signals.filter(F.col("signal_date") >= F.add_months(day, -RECENT_MONTHS))
@@ -106,8 +116,8 @@ def leakage_flags(signals: DataFrame, as_of: Column | None = None) -> DataFrame:
     ties = ["signal_id"] if "signal_id" in signals.columns else ["rule_name", "entity_id"]
     counted = recent
     for group in ("rule_name", "entity_type"):
-        sizes = recent.groupBy(group).agg(F.count(F.lit(1)).alias(f"{group}_size"))
-        counted = counted.join(F.broadcast(sizes), group, "left")
+        sizes = recent.groupBy(F.col(group).alias("_group")).agg(F.count(F.lit(1)).alias(f"{group}_size"))
+        counted = counted.join(F.broadcast(sizes), F.col(group).eqNullSafe(F.col("_group")), "left").drop("_group")
     return (
         counted.orderBy(F.col("score").desc(), F.col("signal_date").desc(), *ties)
         .select(
@@ -246,13 +256,16 @@ def risk_dashboard(
 
 
 def register_views(spark: SparkSession, gold: dict[str, DataFrame], as_of: Column | None = None) -> list[str]:
-    """Create the seven temp views over the published tables (keys as in the table contracts)."""
+    """Create the seven temp views over the published tables (keys as in the table contracts, and ``vendor_rank``).
+
+    Nothing runs until a view is read.
+    """
     fact, signals, budgets = gold["fact_expense"], gold["fact_leakage_signal"], gold["fact_budget"]
     vendors, departments = gold["dim_vendor"], gold["dim_department"]
     employees, calendar = gold["dim_employee"], gold["dim_calendar"]
     views = {
         "vw_budget_vs_actual": budget_vs_actual(budgets, fact, departments),
-        "vw_vendor_concentration": vendor_concentration(fact, vendors),
+        "vw_vendor_concentration": vendor_concentration(gold["vendor_rank"]),
         "vw_leakage_flags": leakage_flags(signals, as_of),
         "vw_campaign_roi": campaign_roi(gold["fact_campaign_spend"], gold["dim_campaign"]),
         "vw_monthly_expense_trends": monthly_expense_trends(fact, departments),

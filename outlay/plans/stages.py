@@ -6,33 +6,44 @@ costs at most the tasks of the running write.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from outlay import schemas
 from outlay.functions import small_side
-from outlay.operators import cleaning, dimensions, facts, kpis, metrics, quality, rules, summaries
+from outlay.operators import cleaning, dimensions, facts, kpis, metrics, quality, rules, summaries, views
 from outlay.params import DEFAULTS, Thresholds
 from outlay.sources import contracts
 from outlay.sources.readers import load_budgets, read_csv, read_table
 from outlay.sources.writers import write_json, write_table
 
 
+# Signals are looked up by day; the entity splits a day that holds much of the table.
+SIGNAL_ORDER = ("signal_date", "entity_id", "rule_name")
+
+
 def clean_files(
     spark: SparkSession, raw_dir: str, clean_dir: str,
     expenses_file: str = "expenses_small.csv", budgets_file: str = "budgets_small.csv",
     campaign_file: str = "campaign_spend_small.csv", calendar_file: str = "holidays.csv",
 ) -> dict[str, int]:
-    """Raw CSV files to the clean tables expenses, budgets, campaign_spend and holidays."""
+    """Raw CSV files to the clean tables expenses, budgets, campaign_spend and holidays.
+
+    The rows that each rejects are counted by reason in the same pass and written as ``rejects``.
+    """
     jobs = {
         "expenses": (cleaning.clean_expenses, schemas.EXPENSES, expenses_file),
         "budgets": (cleaning.clean_budgets, schemas.BUDGETS, budgets_file),
         "campaign_spend": (cleaning.clean_campaign_spend, schemas.CAMPAIGN_SPEND, campaign_file),
         "holidays": (cleaning.clean_calendar, schemas.CALENDAR, calendar_file),
     }
-    return {
-        table: write_table(clean(read_csv(spark, f"{raw_dir}/{file}", schema), file), f"{clean_dir}/{table}")
-        for table, (clean, schema, file) in jobs.items()
-    }
+    counts, rejected = {}, []
+    for table, (clean, schema, file) in jobs.items():
+        seen = Observation()
+        counts[table] = write_table(clean(read_csv(spark, f"{raw_dir}/{file}", schema), file, seen), f"{clean_dir}/{table}")
+        rejected += [(table, reason, n) for reason, n in seen.get.items() if n]
+    reasons = spark.createDataFrame(rejected, "table_name string, reason string, row_count long")
+    counts["rejects"] = write_table(reasons, f"{clean_dir}/rejects")
+    return counts
 
 
 def build_star(spark: SparkSession, clean_dir: str, gold_dir: str) -> dict[str, int]:
@@ -43,16 +54,25 @@ def build_star(spark: SparkSession, clean_dir: str, gold_dir: str) -> dict[str,
     """
     expenses = read_table(spark, f"{clean_dir}/expenses")
     campaign_spend = read_table(spark, f"{clean_dir}/campaign_spend")
+
+    def settled(name: str) -> dimensions.Settle:
+        def settle(members: DataFrame) -> DataFrame:
+            path = f"{gold_dir}/_members/{name}"
+            write_table(members, path)
+            return read_table(spark, path)
+
+        return settle
+
     built = {
-        "dim_vendor": dimensions.dim_vendor(expenses),
-        "dim_employee": dimensions.dim_employee(expenses),
-        "dim_department": dimensions.dim_department(expenses),
-        "dim_campaign": dimensions.dim_campaign(campaign_spend),
+        "dim_vendor": dimensions.dim_vendor(expenses, settled("vendor")),
+        "dim_employee": dimensions.dim_employee(expenses, settled("employee")),
+        "dim_department": dimensions.dim_department(expenses, settled("department")),
+        "dim_campaign": dimensions.dim_campaign(campaign_spend, settled("campaign")),
         "dim_calendar": dimensions.dim_calendar(read_table(spark, f"{clean_dir}/holidays")),
     }
     counts = {name: write_table(df, f"{gold_dir}/{name}") for name, df in built.items()}
     vendors, employees, departments, calendar = (
-        small_side(read_table(spark, f"{gold_dir}/{name}"))
+        small_side(read_table(spark, f"{gold_dir}/{name}"), counts[name])
         for name in ("dim_vendor", "dim_employee", "dim_department", "dim_calendar")
     )
     counts["fact_expense"] = write_table(
@@ -63,8 +83,9 @@ def build_star(spark: SparkSession, clean_dir: str, gold_dir: str) -> dict[str,
         facts.fact_campaign_spend(campaign_spend, calendar),
         f"{gold_dir}/fact_campaign_spend", partition_by="date",
     )
-    budgets = load_budgets(spark, f"{clean_dir}/budgets")
+    budgets = read_table(spark, f"{clean_dir}/budgets")
     counts["fact_budget"] = write_table(contracts.fact_budget(budgets), f"{gold_dir}/fact_budget")
+    counts["fact_budget_rejects"] = write_table(contracts.budgets_without_month(budgets), f"{gold_dir}/fact_budget_rejects")
     return counts
 
 
@@ -111,7 +132,7 @@ def detect(
     signals = rules.leakage_signals(*signal_sets(spark, gold_dir, limits, as_of))
     return {
         "fact_leakage_signal": write_table(
-            signals, f"{gold_dir}/fact_leakage_signal", row_id="signal_id"
+            signals, f"{gold_dir}/fact_leakage_signal", row_id="signal_id", cluster_by=SIGNAL_ORDER
         ),
         "kpi_budget_variance": write_table(
             kpis.budget_variance(
@@ -124,6 +145,9 @@ def detect(
             kpis.vendor_concentration(fact, read_table(spark, f"{gold_dir}/dim_vendor"), limits),
             f"{gold_dir}/kpi_vendor_concentration",
         ),
+        "vendor_rank": write_table(
+            views.vendor_ranks(fact, read_table(spark, f"{gold_dir}/dim_vendor"), limits), f"{gold_dir}/vendor_rank"
+        ),
     }
 
 

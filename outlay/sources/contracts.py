@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,11 +127,11 @@ def _widened(field: Field) -> Field:
     return field
 
 
-def _column(df: DataFrame, table: str, field: Field) -> Column:
+def _column(df: DataFrame, table: str, field: Field, keys_after: int) -> Column:
     if field.name in df.columns:
         value = F.col(field.name).cast(value_type(field))
     elif field.default == "sequence":
-        value = F.monotonically_increasing_id() + 1
+        value = F.monotonically_increasing_id() + (keys_after + 1)
     elif field.default == "now":
         value = F.current_timestamp().cast(value_type(field))
     else:
@@ -143,28 +144,84 @@ def _column(df: DataFrame, table: str, field: Field) -> Column:
     return value.alias(field.name)
 
 
-def conform(df: DataFrame, table: str, wide_money: bool = False) -> DataFrame:
+def conform(df: DataFrame, table: str, wide_money: bool = False, keys_after: int = 0) -> DataFrame:
     """``df`` with exactly the contract's columns, types and order.
 
     Missing columns are filled (sequence, current time or NULL) and others dropped. A NULL in
     a required column, an over-long text or a value that does not fit its type fails the job.
-    ``wide_money`` gives money columns 38 digits, for totals that outgrow the declared ones.
+    ``wide_money`` gives money columns 38 digits, for totals that outgrow the declared ones. A
+    sequence starts above ``keys_after``.
     """
     fields = CONTRACTS[table]
     if wide_money:
         fields = tuple(_widened(f) for f in fields)
-    return df.select(*[_column(df, table, f) for f in fields])
+    return df.select(*[_column(df, table, f, keys_after) for f in fields])
 
 
 def fact_budget(budgets: DataFrame) -> DataFrame:
-    """The published budget fact, from the cleaned budget table."""
-    return conform(budgets, "fact_budget")
+    """The published budget fact: the cleaned budgets that have a month (see ``budgets_without_month``)."""
+    return conform(budgets.filter(F.col("budget_month").isNotNull()), "fact_budget")
 
 
-def load_table(spark: SparkSession, source_dir: str, target_dir: str, table: str) -> int:
-    """Append the Parquet directory of ``table`` to its contract table; returns the rows loaded."""
-    loaded = conform(read_table(spark, f"{source_dir}/{table}"), table)
-    return write_table(loaded, f"{target_dir}/{table}", mode="append")
+def budgets_without_month(budgets: DataFrame) -> DataFrame:
+    """The cleaned budgets that the published fact cannot hold."""
+    return budgets.filter(F.col("budget_month").isNull())
+
+
+RECORD = T.StructType([
+    T.StructField("load_number", T.LongType()), T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),
+    T.StructField("modified", T.TimestampType()), T.StructField("last_key", T.LongType()),
+])
+IDENTITY = ["path", "length", "modified"]
+
+
+def _record(spark: SparkSession, folder: str) -> DataFrame:
+    try:
+        return spark.read.schema(RECORD).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RECORD)
+
+
+def load_table(spark: SparkSession, source_dir: str, target_dir: str, table: str, wide_money: bool | None = None) -> int:
+    """Load the files of ``table`` that no earlier load has brought in; returns the rows loaded.
+
+    The files (path, size, modification time) are recorded below ``_loads``. A load writes a folder of its own, named by its number, and
+    then its record: one that fails in between is written anew under the same number by the next attempt. Keys go on above
+    the highest one recorded. The fact keeps its month partitions. ``wide_money`` defaults to true for the summaries, whose totals grow.
+    """
+    record_dir = f"{target_dir}/_loads/{table}"
+    record = _record(spark, record_dir)
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+        .load(f"{source_dir}/{table}").select("path", "length", F.col("modificationTime").alias("modified"))
+    )
+    new = files.join(record, IDENTITY, "left_anti").collect()
+    if not new:
+        return 0
+    last, keys_after = record.agg(F.max("load_number"), F.max("last_key")).first()
+    number, keys_after = (last or 0) + 1, keys_after or 0
+    source = spark.read.option("basePath", f"{source_dir}/{table}").parquet(*sorted(row["path"] for row in new))
+    wide = table.startswith("summary_") if wide_money is None else wide_money
+    path = f"{target_dir}/{table}/{LOAD}={number}"
+    rows = write_table(conform(source, table, wide, keys_after), path, partition_by=PARTITIONS.get(table))
+    keyed = next((f.name for f in CONTRACTS[table] if f.default == "sequence"), None)
+    highest = spark.read.parquet(path).agg(F.max(keyed)).first()[0] if keyed else None
+    done = [(number, *(row[c] for c in IDENTITY), max(highest or 0, keys_after)) for row in new]
+    spark.createDataFrame(done, RECORD).coalesce(1).write.mode("append").parquet(record_dir)
+    return rows
+
+
+LOAD = "load_number"
+PARTITIONS = {"fact_expense": "budget_month_key"}
+
+
+def read_loaded(spark: SparkSession, target_dir: str, table: str) -> DataFrame:
+    """All rows that the recorded loads have brought into the contract table."""
+    loads = _record(spark, f"{target_dir}/_loads/{table}").select(LOAD).distinct()
+    stored = read_table(spark, f"{target_dir}/{table}")
+    return stored.join(loads, LOAD, "left_semi").select(*[f.name for f in CONTRACTS[table]])
 
 
 def load_all(spark: SparkSession, source_dir: str, target_dir: str) -> dict[str, int]:

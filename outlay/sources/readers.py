@@ -34,10 +34,12 @@ def fallback_budgets(spark: SparkSession) -> DataFrame:
 
 
 def load_budgets(spark: SparkSession, path: str) -> DataFrame:
-    """The budget table at ``path``, or the fixed fallback rows if there is none."""
+    """The budget table at ``path``, or the fixed fallback rows if there is no such path; other errors are raised."""
     try:
         return read_table(spark, path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return fallback_budgets(spark)
 
 

@@ -13,16 +13,19 @@ def with_row_ids(df: DataFrame, name: str) -> DataFrame:
 
 def write_table(
     df: DataFrame, path: str, partition_by: str | None = None, row_id: str | None = None,
-    mode: str = "overwrite",
+    mode: str = "overwrite", cluster_by: tuple[str, ...] = (),
 ) -> int:
     """Write Parquet and return the row count, observed during the write itself.
 
     A partitioned write is rebalanced by its partition column first: one or few files per
-    value, and adaptive execution splits a value that holds much of the table. ``row_id``
+    value, and adaptive execution splits a value that holds much of the table. ``cluster_by``
+    sorts the table by ranges, so that a filter on its first column skips files; name columns that split a hot value. ``row_id``
     names an opaque id column, numbered in the writing tasks so that a retried task cannot
     repeat another task's ids.
     """
     out = df if partition_by is None else df.hint("rebalance", partition_by)
+    if cluster_by:
+        out = out.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     if row_id is not None:
         out = with_row_ids(out, row_id)
     seen = Observation()
