@@ -25,8 +25,12 @@ def _as_is(df: DataFrame) -> DataFrame:
 
 
 def _members(rows: DataFrame, id_column: str) -> DataFrame:
-    """One row for each id. The distinct rows come first: they shrink by hash in each task, and only they are sorted."""
-    return keep_first(rows.distinct(), [id_column])
+    """One row for each id. The distinct rows come first: they shrink by hash in each task, and only they are sorted.
+
+    They carry their count, as the optimizer drops a bare ``distinct`` below a minimum.
+    """
+    distinct = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_uses"))
+    return keep_first(distinct, [id_column], [c for c in rows.columns if c != id_column]).drop("_uses")
 
 
 def dim_vendor(expenses: DataFrame, settle: Settle = _as_is) -> DataFrame:

@@ -38,6 +38,13 @@ def test_dense_key_ranks_over_cells_of_ids(spark):
     assert {r.id: r.key for r in keyed.collect()} == expected
 
 
+def test_dense_key_ranks_64_bit_ids(spark):
+    ids = [None, -(2**63), -(2**40) - 1, -(2**40), -1, 0, 1, 65_536, 2**32 - 1, 2**32, 2**32 + 70_000, 2**48 + 5, 2**63 - 1]
+    keyed = dense_key(spark.createDataFrame([(i,) for i in ids], "id bigint"), "id", "key")
+    expected = {v: n for n, v in enumerate([None, *sorted(i for i in ids if i is not None)], 1)}
+    assert {r.id: r.key for r in keyed.collect()} == expected
+
+
 def test_dense_key_ranks_dates_and_rejects_text(spark):
     days = [date(2024, 1, 2), date(1960, 5, 1), date(2024, 1, 1)]
     keyed = dense_key(spark.createDataFrame([(d,) for d in days], "d date"), "d", "key")
@@ -83,9 +90,12 @@ def test_previous_values_equal_a_plain_window(spark):
     ]
     df = spark.createDataFrame(rows, "e int, d date, s string, v int")
     got = {r.s: r.prev_v for r in previous_values(df, "e", "d", "s", ["v"]).collect()}
-    order = Window.partitionBy("e").orderBy("d", F.substring(F.md5("s"), 1, 15), "s")
+    order = Window.partitionBy("e").orderBy("d", "s")
     expected = {r.s: r.p for r in df.withColumn("p", F.lag("v").over(order)).collect()}
     assert got == expected
+    for crowd in (300, 20, 1):
+        cut = previous_values(df, "e", "d", "s", ["v"], crowd=crowd)
+        assert {r.s: r.prev_v for r in cut.collect()} == expected and cut.count() == 900
 
 
 def test_column_helpers(spark):
@@ -103,5 +113,7 @@ def test_small_side_hints_only_up_to_the_limit(spark):
         joined = spark.range(3).join(df, "id")
         return "ResolvedHint" in joined._jdf.queryExecution().analyzed().toString()
 
-    assert hinted(small_side(table, 10))
-    assert not hinted(small_side(table, 9))
+    assert hinted(small_side(table, max_rows=10))
+    assert not hinted(small_side(table, max_rows=9))
+    assert hinted(small_side(table, 9, max_rows=9)) and not hinted(small_side(table, 10, max_rows=9))
+    assert not hinted(small_side(table, 1, max_bytes=8))

@@ -27,12 +27,12 @@ def signals(spark, *rows):
 
 
 def test_vendor_concentration_scores(fact, names):
-    df = fact(("A", 1, 1, 1, "2024-01-01", 15000), ("B", 2, 1, 1, "2024-01-01", 1000))
+    df = fact(("A", 1, 1, 1, "2024-01-01", 30), ("B", 2, 1, 1, "2024-01-01", 4), ("C", 1, 1, 1, "2024-01-01", 46))
     rows = kpis.vendor_concentration(df, names("vendor_id", "vendor_name", 1, 2)).collect()
     assert [(r.vendor_id, r.spend_percentage, r.concentration_score) for r in rows] == [
-        (1, 93.75, 90.0), (2, 6.25, 70.0),
+        (1, 95.0, 90.0), (2, 5.0, 50.0),
     ]
-    assert rows[0].total_spend == Decimal("15000.00") and rows[0].transaction_count == 1
+    assert rows[0].total_spend == Decimal("76.00") and rows[0].transaction_count == 2
 
 
 def test_concentration_limits_are_exclusive(fact, names):
@@ -73,8 +73,8 @@ def test_vendor_view_ranks_and_shares_the_whole_total(spark, fact):
     vendors = spark.createDataFrame(
         [(1, "V1", "T"), (2, "V2", "T"), (3, "V3", "T")], "vendor_id int, vendor_name string, category string"
     )
-    rows = views.vendor_concentration(df, vendors).collect()
-    assert sorted((r.vendor_rank, r.vendor_id, r.spend_percentage) for r in rows) == [
+    rows = views.vendor_concentration(views.vendor_ranks(df, vendors)).collect()
+    assert [(r.vendor_rank, r.vendor_id, r.spend_percentage) for r in rows] == [
         (1, 2, 30.0), (2, 3, 30.0), (3, 1, 20.0),
     ]
     assert {r.concentration_risk for r in rows} == {"High Risk"}
@@ -91,6 +91,8 @@ def test_leakage_view_counts_recent_signals(spark):
         ("a", "2024-03-30", "Critical", 3, 4), ("a", "2024-03-31", "Critical", 3, 4),
         ("a", "2024-06-30", "High", 3, 4), ("b", "2024-06-01", "Medium", 1, 4), ("c", "2024-06-01", "Low", 1, 1),
     ]
+    unknown = signals(spark, ("a", None, "2024-06-01", 80.0), ("b", None, "2024-06-02", 80.0), (None, "vendor", "2024-06-03", 80.0))
+    assert [(r.rule_count, r.entity_type_count) for r in views.leakage_flags(unknown, as_of).collect()] == [(1, 1), (1, 2), (1, 2)]
     later = views.leakage_flags(df, F.lit("2024-07-01").cast("date")).collect()
     assert len(later) == 3  # from 2024-04-01 on
 
@@ -152,8 +154,12 @@ def test_risk_dashboard_and_registered_views(spark, fact, names):
         "dim_employee": names("employee_id", "employee_name", 1),
         "dim_campaign": spark.createDataFrame([(1, "C", "W", "S")], "campaign_id int, campaign_name string, channel string, objective string"),
         "dim_calendar": calendar_between(spark, "2024-01-01", "2024-01-31"),
+        "vendor_rank": views.vendor_ranks(df, vendors),
     }
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup())
     created = views.register_views(spark, gold, F.lit("2024-02-01").cast("date"))
+    assert set(tracker.getJobIdsForGroup()) == before
     assert len(created) == 7
     rows = {r.metric_type: (r.high_risk_count, r.normal_count, r.low_risk_count) for r in spark.table("vw_risk_dashboard").collect()}
     assert rows == {"Budget Variance": (1, 1, 1), "Vendor Concentration": (1, 1, 0), "Leakage Signals": (1, 1, 0)}

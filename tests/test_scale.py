@@ -7,8 +7,9 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from outlay.functions import repeat_rows
-from outlay.operators import facts, rules, views
+from conftest import expense
+from outlay.functions import repeat_rows, small_side
+from outlay.operators import dimensions, facts, kpis, rules, views
 from outlay.sources.writers import write_table
 
 
@@ -103,3 +104,51 @@ def test_a_partitioned_write_splits_a_hot_month(spark, settings, tmp_path):
     assert write_table(df, str(path), partition_by="m", row_id="row") == 40_000
     assert len(list((path / "m=2024-01").glob("*.parquet"))) > 2
     assert spark.read.parquet(str(path)).select("row").distinct().count() == 40_000
+
+
+def scans(df):
+    """The reads of files in the plan that ran, subqueries included; initial plans are passed over."""
+    df.collect()
+    found, skipped = 0, None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if skipped is not None and depth < skipped:
+            skipped = None
+        if "== Initial Plan ==" in line and skipped is None:
+            skipped = depth
+        found += skipped is None and "FileScan parquet" in line
+    return found
+
+
+def test_shared_reads_of_the_fact(spark, fact, names, tmp_path):
+    path = str(tmp_path / "fact")
+    fact(*[(f"I{i}", i % 5, 1, 1, "2024-01-0" + str(i % 9 + 1), 10 + i) for i in range(60)]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    vendors = names("vendor_id", "vendor_name", 0, 1, 2)
+    assert scans(rules.near_duplicate_invoices(stored, vendors)) == 1
+    shares = kpis.vendor_concentration(stored, vendors)
+    assert scans(shares) == 1
+
+
+def test_dimensions_read_the_facts_once_and_hash_them(spark, expenses, tmp_path):
+    path, members = str(tmp_path / "expenses"), str(tmp_path / "members")
+    expenses(*[expense(f"I{i}", i % 7, i % 3, 1, "2024-01-01", 5) for i in range(50)]).write.parquet(path)
+    plans = []
+
+    def settle(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        rows.write.parquet(members)
+        return spark.read.parquet(members)
+
+    keyed = dimensions.dim_vendor(spark.read.parquet(path), settle)
+    assert plans[0].count("FileScan parquet") == 1
+    assert "HashAggregate" in plans[0][plans[0].index("FileScan") - 400 : plans[0].index("FileScan")]
+    assert keyed.count() == 7 and path not in "".join(keyed.inputFiles())
+
+
+def test_a_size_check_sends_no_rows_to_one_task(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert "ResolvedHint" in small_side(table, 1000)._jdf.queryExecution().analyzed().toString()
+    counted = table.groupBy().count()._jdf.queryExecution().executedPlan().toString()
+    assert "LocalLimit" not in counted and "partial_count" in counted

@@ -4,7 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from outlay import schemas
@@ -101,9 +101,54 @@ def test_every_contract_conforms_an_empty_table(spark):
         assert out.columns == [f.name for f in fields] and out.count() == 0
 
 
-def test_load_appends(spark, tmp_path):
+def test_a_folder_is_loaded_once(spark, tmp_path):
     source, target = str(tmp_path / "gold"), str(tmp_path / "warehouse")
     write_table(spark.createDataFrame([(1, "A"), (2, "B")], "dept_id int, dept_name string"), f"{source}/dim_department")
     assert contracts.load_table(spark, source, target, "dim_department") == 2
-    assert contracts.load_table(spark, source, target, "dim_department") == 2
-    assert read_table(spark, f"{target}/dim_department").count() == 4
+    assert contracts.load_table(spark, source, target, "dim_department") == 0
+    assert contracts.read_loaded(spark, target, "dim_department").count() == 2
+    write_table(spark.createDataFrame([(3, "C")], "dept_id int, dept_name string"), f"{tmp_path}/more/dim_department")
+    assert contracts.load_table(spark, f"{tmp_path}/more", target, "dim_department") == 1
+    loaded = contracts.read_loaded(spark, target, "dim_department")
+    assert loaded.columns == [f.name for f in contracts.CONTRACTS["dim_department"]]
+    assert sorted(r.dept_id for r in loaded.collect()) == [1, 2, 3]
+    assert loaded.select("dept_key").distinct().count() == 3
+
+
+def test_a_load_without_its_record_is_repeated(spark, tmp_path):
+    source, target = str(tmp_path / "gold"), str(tmp_path / "warehouse")
+    rows = spark.createDataFrame([("2024-01", "A", 1), (None, "B", 2)], "budget_month_key string, invoice_id string, vendor_id int")
+    write_table(rows, f"{source}/fact_expense", partition_by="budget_month_key")
+    stray = contracts.conform(rows.limit(1), "fact_expense")  # left by a load that failed before its record
+    write_table(stray, f"{target}/fact_expense/load_number=1", partition_by="budget_month_key")
+    assert contracts.load_table(spark, source, target, "fact_expense") == 2
+    loaded = contracts.read_loaded(spark, target, "fact_expense")
+    assert sorted((r.budget_month_key or "", r.invoice_id) for r in loaded.collect()) == [("", "B"), ("2024-01", "A")]
+    plan = loaded.filter("budget_month_key = '2024-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(budget_month_key" in plan
+
+
+def test_summaries_load_with_totals_of_any_size(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "A", Decimal("12345678901.00"), 2)], "dept_id int, dept_name string, total_expenses decimal(20,2), expense_count int")
+    write_table(rows, f"{tmp_path}/gold/summary_dept_expenses")
+    assert contracts.load_table(spark, f"{tmp_path}/gold", f"{tmp_path}/w", "summary_dept_expenses") == 1
+
+
+def test_budgets_without_a_month_are_kept_apart(spark):
+    rows = spark.createDataFrame([(1, "A", "2024-01", Decimal("5")), (1, "A", None, Decimal("6"))], "dept_id int, dept_name string, budget_month string, budget_amount decimal(12,2)")
+    assert contracts.fact_budget(rows).count() == 1 and contracts.budgets_without_month(rows).count() == 1
+
+
+def test_other_read_errors_are_no_reason_to_fall_back(spark, tmp_path):
+    (tmp_path / "b").mkdir()
+    with pytest.raises(AnalysisException):
+        load_budgets(spark, str(tmp_path / "b"))
+
+
+def test_a_clustered_table_skips_files_by_date(spark, tmp_path):
+    days = spark.range(2000).selectExpr("date_add(date'2024-01-01', cast(id % 100 as int)) AS d", "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files, for all that the table is small
+    write_table(days, str(tmp_path / "t"), cluster_by=("d", "id"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spans = [r[0:2] for r in read_table(spark, str(tmp_path / "t")).groupBy(F.input_file_name()).agg(F.min("d").alias("a"), F.max("d").alias("b")).select("a", "b").collect()]
+    assert len(spans) > 1 and sum(a <= date(2024, 1, 1) <= b for a, b in spans) == 1

@@ -4,6 +4,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from outlay import schemas
@@ -47,6 +48,7 @@ def folders(spark, tmp_path_factory):
         for dept in range(1, 5):
             for month in range(1, 5):
                 out.write(csv_line(dept, f"Dept {dept}", f"2024-{month:02d}", 20000, "USD"))
+        out.write(csv_line(1, "Dept 1", None, 30000, "USD"))
     with open(raw / "campaign_spend_small.csv", "w") as out:
         out.write(csv_line(*schemas.CAMPAIGN_SPEND.names))
         for i in range(120):
@@ -67,12 +69,15 @@ def test_the_stages_run_end_to_end(spark, folders):
     as_of = F.lit("2024-04-30").cast("date")
     counts = stages.run_all(spark, raw, clean, gold, Thresholds(sub_threshold_amount=50), as_of)
     assert {k: counts[k] for k in ("expenses", "budgets", "campaign_spend", "holidays")} == {
-        "expenses": 300, "budgets": 16, "campaign_spend": 120, "holidays": 91,
+        "expenses": 300, "budgets": 17, "campaign_spend": 120, "holidays": 91,
     }
     assert {k: counts[k] for k in counts if k.startswith("dim_")} == {
         "dim_vendor": 10, "dim_employee": 20, "dim_department": 4, "dim_campaign": 5, "dim_calendar": 91,
     }
     assert (counts["fact_expense"], counts["fact_campaign_spend"], counts["fact_budget"]) == (300, 120, 16)
+    assert counts["fact_budget_rejects"] == 1 and counts["vendor_rank"] == 10
+    rejected = {(r.table_name, r.reason): r.row_count for r in read_table(spark, f"{clean}/rejects").collect()}
+    assert rejected == {("expenses", "invoice_id missing"): 1, ("expenses", "amount not positive"): 1}
     assert counts["summary_dept_expenses"] == 4 and counts["kpi_vendor_concentration"] == 10
 
     fact = read_table(spark, f"{gold}/fact_expense")
@@ -97,12 +102,21 @@ def test_the_stages_run_end_to_end(spark, folders):
 
     results = stages.check_quality(spark, clean, gold)
     failed = [(r.table_name, r.check_name) for r in results.filter("NOT passed").collect()]
-    assert failed == [("silver.budgets", "dept_month_unique")]
+    assert failed == [("silver.budgets", "budget_month_not_null"), ("silver.budgets", "dept_month_unique")]
     assert quality.summarize(results).first().total_checks == 9 + 6 + 6 + 9
     assert quality.exit_code(results) == 1
 
     loaded = contracts.load_all(spark, gold, f"{root}/warehouse")
     assert loaded == {t: counts[t] for t in contracts.LOADED_TABLES}
+    assert set(contracts.load_all(spark, gold, f"{root}/warehouse").values()) == {0}
+
+
+def test_the_star_needs_a_budget_table(spark, folders, tmp_path):
+    _, clean, _, _ = folders
+    for table in ("expenses", "campaign_spend", "holidays"):
+        read_table(spark, f"{clean}/{table}").write.parquet(str(tmp_path / "clean" / table))
+    with pytest.raises(AnalysisException):
+        stages.build_star(spark, str(tmp_path / "clean"), str(tmp_path / "gold"))
 
 
 def test_a_repeated_stage_gives_the_same_keys(spark, folders, tmp_path):
