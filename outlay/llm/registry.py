@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outlay.llm import bpe, decontamination, euclid, html, jaccard, language, lattice, secrets, sharding, substrings
+from outlay.llm.oracles import ORACLES
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 SHARDS = 16
@@ -78,4 +79,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)

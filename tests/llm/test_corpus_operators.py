@@ -280,6 +280,18 @@ class TestPipeline:
         assert rows > 0 if name.startswith("op3") else rows == spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
 
 
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+@pytest.mark.parametrize("name", sorted(registry.all_oracles()))
+def test_query_equals_its_counterpart(spark, name):
+    db = pytest.importorskip("duckdb").connect()
+    for table in ("documents", "embeddings"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    df = registry.all_queries()[name](spark, FOLDER)
+    columns = sorted(df.columns)
+    other = db.execute(f"SELECT {', '.join(columns)} FROM ({registry.all_oracles()[name]})").fetchall()
+    assert sorted(map(tuple, df.select(*columns).collect())) == sorted(other)
+
+
 def test_rank_file_is_the_public_one():
     with open(public_tokenizers.path(registry.RANK_FILE), "rb") as file:
         assert file.read() == registry.rank_file()
