@@ -3,9 +3,9 @@
 A mask fixes which words of a window are hashed and which are ignored, so a window still
 matches if the words that differ fall on ignored places. The hashes of all benchmark windows under
 all masks are joined to those of all document windows; each hit fixes an alignment of an item with a
-document, on which the words are compared one by one. On an alignment the stretch with the best sum of
-+1 for an equal and -2 for a differing word is taken. It is an overlap if it has at least
-``min_words`` words (the whole item, if that is shorter) and a share of ``similarity`` of them are equal.
+document, on which the words are compared one by one. On an alignment the longest stretch is taken of whose words
+a share of ``similarity`` or more are equal. It is an overlap if it has at least ``min_words`` words (the
+whole item, if that is shorter).
 
 Words are in lower case, cut at ASCII white space and ASCII punctuation. Items with fewer words than
 the widest mask have a mask of their own length without ignored places; items of under ``SHORT`` words
@@ -60,12 +60,13 @@ def _window_hashes(ids: np.ndarray, mask: str) -> np.ndarray:
     return np.where(known, total | np.uint64(1), np.uint64(0))
 
 
-def best_stretch(equal: np.ndarray) -> tuple[int, int]:
-    """Start and end of the stretch with the largest sum of +1 (equal) and -2 (not); the first of them."""
-    sums = np.concatenate([[0], np.cumsum(np.where(equal, 1, -2))])
-    lowest = np.minimum.accumulate(sums)
-    end = int((sums - lowest).argmax())
-    return int(sums[: end + 1].argmin()), end
+def longest_stretch(equal: np.ndarray, similarity: float) -> tuple[int, int]:
+    """Start and end of the longest stretch with a share of ``similarity`` equal; the first of them, empty if there is none."""
+    sums = np.concatenate([[0.0], np.cumsum(equal - similarity)])
+    lowest = np.minimum.accumulate(sums)  # falls, so the first start that is low enough is found by bisection
+    starts = np.searchsorted(-lowest, -(sums + 1e-9), side="left")
+    end = int((np.arange(len(sums)) - starts).argmax())
+    return int(starts[end]), end
 
 
 class Benchmark:
@@ -135,9 +136,9 @@ class Benchmark:
                     first, last = max(0, -shift), min(len(words), lengths[row] - shift)
                     base = starts[row] + shift
                     equal = ids[base + first : base + last] == words[first:last]
-                    start, end = best_stretch(equal)
+                    start, end = longest_stretch(equal, similarity)
                     same = int(equal[start:end].sum())
-                    if end - start >= min(min_words, len(words)) and same >= similarity * (end - start):
+                    if end - start >= min(min_words, len(words)):
                         claim = (-same, shift + first + start, end - start)
                         if claim < best.get((row, item), (1,)):
                             best[(row, item)] = claim

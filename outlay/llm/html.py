@@ -7,8 +7,8 @@ plus the share of its uses outside the content times a bar, which is one more th
 boilerplate text on any labelled page. So no boilerplate outweighs the tags that fence it off, and a paragraph of one word is worth its
 tags. Without labelled pages the tags of ``FENCES`` cost ``BAR`` and the others ``WORD_SHARE``.
 
-Elements of ``SKIPPED`` never hold content, inside the region or out: their words do not count and are not returned, nor are
-elements whose class or id names a notice, advert, sidebar, menu or comments (``NOTICES``). Blocks of the region are the runs of text
+Elements of ``SKIPPED`` never hold content, inside the region or out, nor do elements whose class, id or role names a notice,
+advert, sidebar, menu or comments (``NOTICES``): their words and tags weigh nothing, teach nothing and are not returned. Blocks of the region are the runs of text
 between block tags and ``br``; character references are decoded, white space inside a block becomes one blank, empty blocks vanish, and
 blocks are joined by a line feed. Of regions with equal sums the first one counts, and the longest of those.
 
@@ -73,10 +73,11 @@ def tokenize(page: str) -> list[tuple[str, str, bool]]:
             continue
         closing = bool(m.group(1))
         if closing:
+            inside = bool(skip)
             if name in skip:
                 while skip.pop() != name:
                     pass
-            out.append((name, "", bool(skip)))
+            out.append((name, "", inside))
             continue
         noticed = name not in MARKS and name not in ("html", "body") and any(
             NOTICES.search(next(filter(None, a), "")) for a in ATTRIBUTE.findall(m.group(3))
@@ -106,8 +107,10 @@ def tag_uses(page: str | None) -> tuple[Counter, Counter, int] | None:
     if bounds is None:
         return None
     inside, outside, longest = Counter(), Counter(), 0
-    for i, (tag, text, _) in enumerate(tokens):
+    for i, (tag, text, skipped) in enumerate(tokens):
         within = bounds[0] < i < bounds[1]
+        if skipped:
+            continue
         if tag:
             (inside if within else outside)[tag] += 1
         elif not within:
@@ -157,10 +160,8 @@ def region(tokens: list[tuple[str, str, bool]], weights: dict[str, float]) -> tu
     for i, (tag, text, skipped) in enumerate(tokens):
         if total <= 0:
             total, start = 0.0, i
-        if tag:
-            total += weights.get(tag, other)
-        elif not skipped:
-            total += len(text.split())
+        if not skipped:
+            total += weights.get(tag, other) if tag else len(text.split())
         if total > best:
             best, bounds = total, (start, i + 1)
     return bounds
