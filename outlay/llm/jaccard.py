@@ -190,5 +190,6 @@ def near_duplicates(
 def keep_first_of_class(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay when each class keeps its first row; all columns stay."""
     columns = docs.columns
-    kept = near_duplicates(docs, **options).filter("kept").select(F.col("row").alias("_row"))
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(kept, "_row", "left_semi").select(*columns)
+    kept = near_duplicates(docs, **options).filter("kept").select(F.col("row").alias("_jaccard_row"))
+    numbered = docs.withColumn("_jaccard_row", F.monotonically_increasing_id())
+    return numbered.join(kept, "_jaccard_row", "left_semi").select(*columns)
