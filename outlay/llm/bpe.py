@@ -14,6 +14,7 @@ cannot occur in a Spark string. Columns other than those named are left out.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from functools import lru_cache
 from itertools import chain, repeat
@@ -22,7 +23,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from outlay.llm.tables import pick, slices
@@ -30,8 +30,9 @@ from outlay.llm.tables import pick, slices
 NONE = np.int32(2**31 - 1)
 PAD = np.int32(-1)
 LONG = 256
-CACHE = 400_000  # pieces that a Python worker remembers
-MATRIX_CELLS = 4_000_000
+CACHE = 300_000  # pieces that a Python worker remembers
+MATRIX_CELLS = 1_000_000
+SLICE = 1 << 20
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -233,7 +234,7 @@ def encode(docs: DataFrame, rank_file: bytes, pattern: str, keep: tuple[str, ...
 
     def run(batches):
         bpe = load(shared.value, pattern)
-        for part in slices(batches, "_text"):
+        for part in slices(batches, "_text", SLICE):
             values, bounds = bpe.encode(part.column(len(keep)).to_pylist())
             lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
             yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], lists], [*keep, "ids"])
@@ -247,6 +248,7 @@ def _tokens(rank_file: bytes) -> dict[int, bytes]:
 
 
 def decode_ids(ids: list[int] | None, rank_file: bytes) -> bytes:
+    """The bytes of the tokens in a row; an id that the vocabulary lacks is an error."""
     return b"".join(map(_tokens(rank_file).__getitem__, ids or ()))
 
 
@@ -267,11 +269,28 @@ def decode(encoded: DataFrame, rank_file: bytes, keep: tuple[str, ...] = ("doc_i
 
 
 def digests(docs: DataFrame, rank_file: bytes, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, ``n_tokens``, and the digests of each text's ids and of the bytes they decode to."""
-    encoded = encode(docs, rank_file, pattern, keep).withColumns({
-        "n_tokens": F.size("ids").cast("long"),
-        "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256),
-    })
-    carried = (*keep, "n_tokens", "ids_sha256")
-    decoded = decode(encoded, rank_file, carried)
-    return decoded.select(*carried, F.sha2("decoded", 256).alias("decoded_sha256"))
+    """``keep``, ``n_tokens``, and the digests of each text's ids and of the bytes that these ids decode to.
+
+    Both steps run in one pass over the rows, so ids need not leave the Python worker.
+    """
+    source = pick(docs, *keep, "text").withColumnRenamed("text", "_text")
+    names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256"]
+    schema = T.StructType([
+        *source.schema.fields[:-1], T.StructField("n_tokens", T.LongType(), False),
+        T.StructField("ids_sha256", T.StringType(), False), T.StructField("decoded_sha256", T.StringType(), False),
+    ])
+    shared = docs.sparkSession.sparkContext.broadcast(rank_file)
+
+    def run(batches):
+        bpe = load(shared.value, pattern)
+        for part in slices(batches, "_text", SLICE):
+            values, bounds = bpe.encode(part.column(len(keep)).to_pylist())
+            listed = [values[a:b].tolist() for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False)]
+            columns = (
+                pa.array(np.diff(bounds), pa.int64()),
+                pa.array([hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() for ids in listed], pa.string()),
+                pa.array([hashlib.sha256(decode_ids(ids, shared.value)).hexdigest() for ids in listed], pa.string()),
+            )
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *columns], names)
+
+    return source.mapInArrow(run, schema)

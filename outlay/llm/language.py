@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from outlay.llm.tables import Tally, pick, slices
 
 PROFILE = 300
+SLICE = 1 << 18  # bytes of text whose n-grams are counted together
 UNKNOWN = "und"
 BITS = np.uint64(21)  # any code point; three of them fit into 63 bits
 
@@ -86,7 +87,7 @@ def learn(labelled: DataFrame, size: int = PROFILE) -> Profiles:
 
     def count(batches):
         tallies: dict[str, Tally] = {}
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             by_language: dict[str, list[np.ndarray]] = {}
             for language, text in zip(*(part.column(i).to_pylist() for i in (0, 1)), strict=True):
                 by_language.setdefault(language, []).append(grams_of(text))

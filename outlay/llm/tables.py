@@ -100,7 +100,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = S
 class Tally:
     """Sums of counts by 64-bit key, merged whenever they outgrow ``limit`` pairs; memory follows the distinct keys."""
 
-    def __init__(self, limit: int = 2_000_000):
+    def __init__(self, limit: int = 500_000):
         self.limit, self.size, self.parts = limit, 0, []
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
