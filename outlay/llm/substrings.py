@@ -213,28 +213,32 @@ def repeated_spans(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHO
     hits = store.put("hits", (
         under.distinct().join(common, "anchor").groupBy("row").agg(F.collect_list("anchor").alias("anchors"))
     ))
+    copies = store.put("copies", (
+        signed.filter("key IS NOT NULL").select("key", "row", "n_words")
+        .join(firsts.select("key", F.col("row").alias("first_row")), "key").filter("row <> first_row")
+        .select("row", F.struct(F.lit(0).alias("start"), F.col("n_words").alias("end")).alias("span"))
+    ))
+    store.free("signed", "firsts")
     store.settle()
     sorted_in_tasks = store.put("sorted", _suffixes(numbered.join(hits, "row"), window, anchor))
+    store.free("hits")
     store.settle()
     suffixes = (
         sorted_in_tasks.filter("node IS NOT NULL").withColumn("last", F.col("doc_id").isNull()).repartition("prefix")
         .sortWithinPartitions("prefix", "node", "last", "doc_id", "row", "start")
     )
-    copies = (
-        signed.filter("key IS NOT NULL").select("key", "row", "n_words")
-        .join(firsts.select("key", F.col("row").alias("first_row")), "key").filter("row <> first_row")
-        .select("row", F.struct(F.lit(0).alias("start"), F.col("n_words").alias("end")).alias("span"))
-    )
     inside = sorted_in_tasks.filter("node IS NULL").select("row", F.explode("spans").alias("span"))
     across = _walk(suffixes).select("row", F.struct("start", (F.col("start") + window).alias("end")).alias("span"))
     spans = copies.unionByName(inside).unionByName(across)
-    return store.put("spans", spans.groupBy("row").agg(F.collect_list("span").alias("spans")))
+    found = store.put("spans", spans.groupBy("row").agg(F.collect_list("span").alias("spans")))
+    store.free("sorted", "copies")
+    store.settle()
+    return found
 
 
 def remove_repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """One row for each document row: ``doc_id``, ``n_words``, ``n_removed`` and ``kept``, the words that stay, joined by blanks."""
     spans = repeated_spans(docs, window=window, anchor=anchor)
-    Store(docs.sparkSession, "substrings").settle()
     numbered = pick(docs, "doc_id", "text").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     joined = numbered.join(spans, "row", "left").select("doc_id", "text", "spans")
     kind = docs.schema["doc_id"].dataType.simpleString()
