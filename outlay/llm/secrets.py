@@ -13,13 +13,14 @@ and to a secret.
 Spans are (kind, start, end) in code points, end exclusive, by start, then in the order of
 ``KINDS``. Null texts count as empty; empty texts have no spans. Texts are read whole, and the work
 is linear in their length plus the parts found. Rows are independent: repeated rows give repeated
-results, and columns other than those named are left out.
+results, and columns other than those named are left out. No part has a greatest length.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -83,20 +84,20 @@ class _Parts:
         self.text, self.reach = text, reach
         self.spans = sorted(set(spans))
         self.starts = [s for s, _ in self.spans]
-        self.longest = max((e - s for s, e in self.spans), default=0)
+        self.ends = sorted(e for _, e in self.spans)
+        self.furthest = list(accumulate((e for _, e in self.spans), max))
 
     def link(self, start: int, end: int) -> bool:
-        """Whether a part, other than the span itself, lies within reach and in the same block."""
-        k = bisect_left(self.starts, start - self.reach - self.longest)
-        while k < len(self.spans) and self.starts[k] <= end + self.reach:
-            s, e = self.spans[k]
-            k += 1
-            if s < end and start < e:  # the same characters cannot be both parts
-                continue
-            low, high = (end, s) if s >= end else (e, start)
-            if high - low <= self.reach and not BLANK_LINE.search(self.text, low, high):
-                return True
-        return False
+        """Whether a part that does not overlap the span lies within reach and in the same block; the nearest on each side decides."""
+        before, after = bisect_right(self.ends, start) - 1, bisect_left(self.starts, end)
+        gaps = [(self.ends[before], start)] if before >= 0 else []
+        gaps += [(end, self.starts[after])] if after < len(self.starts) else []
+        return any(high - low <= self.reach and not BLANK_LINE.search(self.text, low, high) for low, high in gaps)
+
+    def free(self, start: int, end: int) -> bool:
+        """Whether no part overlaps the span."""
+        k = bisect_left(self.starts, end)
+        return not k or self.furthest[k - 1] <= start
 
 
 def linked_spans(text: str, base, short, reach: int = REACH) -> list[tuple[str, int, int]]:
@@ -108,21 +109,9 @@ def linked_spans(text: str, base, short, reach: int = REACH) -> list[tuple[str,
     endpoints = [m.span() for m in ENDPOINT.finditer(text)] if "://" in text else []
     if not (access or names or endpoints):
         return []
-    anchors = sorted(access + names + endpoints)
-    opaque, past = set(), 0
-    for start, end in anchors:  # opaque strings matter only near another part
-        low = max(past, start - reach - 512)
-        for m in OPAQUE.finditer(text, max(0, low), min(len(text), end + reach + 512)):
-            if _opaque(m.group()):
-                opaque.add(m.span())
-        past = max(past, end)
+    opaque = {m.span() for m in OPAQUE.finditer(text) if _opaque(m.group())}  # whole tokens, of any length
     taken = _Parts(text, 0, access + secrets + names + endpoints)
-
-    def free(start, end):
-        k = bisect_left(taken.starts, start - taken.longest)
-        return all(e <= start for s, e in taken.spans[k:bisect_left(taken.starts, end)])
-
-    weak = sorted(span for span in {*short, *opaque} if free(*span))
+    weak = sorted(span for span in {*short, *opaque} if taken.free(*span))
     named = _Parts(text, reach, access + names)
     weak_linked = [span for span in weak if named.link(*span)]
     secret = _Parts(text, reach, secrets + weak_linked)

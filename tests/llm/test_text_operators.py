@@ -98,6 +98,28 @@ class TestSecrets:
     def test_weak_parts_count_only_together(self, text, kinds):
         assert {k for k, *_ in secrets.spans_of(text)} == kinds
 
+    @pytest.mark.parametrize("size", [20, 700, 800, 2000, 100_000])
+    def test_opaque_tokens_of_any_length_on_either_side(self, size):
+        token = ("aB3dE5gH7j" * (size // 10 + 1))[:size]
+        for text in (f"client_id=foobar {token} end", f"start {token} client_id=foobar"):
+            at = text.index(token)
+            spans = secrets.spans_of(text)
+            assert ("weak_secret", at, at + size) in spans and {k for k, *_ in spans} == {"weak_access", "weak_secret"}
+            assert secrets.redact(text, spans) == text.replace(token, "[weak_secret]").replace("client_id=foobar", "[weak_access]")
+
+    def test_links_equal_the_comparison_of_all_pairs(self):
+        rng = random.Random(8)
+        for _ in range(500):
+            text = "".join(rng.choice("ab \n") for _ in range(60))
+            spans = [(s, s + rng.randint(1, 12)) for s in (rng.randrange(50) for _ in range(rng.randint(0, 5)))]
+            parts = secrets._Parts(text, 8, spans)
+            for start in range(0, 50, 7):
+                end = start + rng.randint(1, 9)
+                gaps = [(end, s) if s >= end else (e, start) for s, e in spans if s >= end or e <= start]
+                want = any(b - a <= 8 and not secrets.BLANK_LINE.search(text, a, b) for a, b in gaps)
+                assert parts.link(start, end) == want
+                assert parts.free(start, end) == all(s >= end or e <= start for s, e in spans)
+
     def test_digests_and_redaction(self, documents):
         rows = [*AWKWARD, (7, "é key AKIAABCDEFGHIJ1234, token=abcdefghijklmnop")]
         found = {(r.doc_id, r.spans) for r in secrets.digests(documents(*rows)).collect()}
