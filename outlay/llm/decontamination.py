@@ -7,9 +7,9 @@ document, on which the words are compared one by one. On an alignment the longes
 a share of ``similarity`` or more are equal. It is an overlap if it has at least ``min_words`` words (the
 whole item, if that is shorter).
 
-Words are in lower case, cut at ASCII white space and ASCII punctuation. Items with fewer words than
-the widest mask have a mask of their own length without ignored places; items of under ``SHORT`` words
-are never reported. Null and empty texts have no overlap, on either side; repeated documents and
+Words are in lower case, cut at ASCII white space and ASCII punctuation; in scripts that put no blanks between words
+(Chinese, Japanese, Thai, Lao, Khmer, Burmese, Tibetan, ...) each character is a word. Items of under 13 words have masks of their own,
+which find every substitution that a similarity of 0.8 allows; items of under ``SHORT`` words are never reported. Null and empty texts have no overlap, on either side; repeated documents and
 repeated items are each reported. Of several overlaps of one row with one item the one with the most equal words counts,
 the first of them if there are several.
 
@@ -20,6 +20,7 @@ larger benchmark takes as many passes as it has blocks. Documents are never shuf
 from __future__ import annotations
 
 import math
+import re
 import string
 from itertools import repeat
 
@@ -31,19 +32,36 @@ from pyspark.sql import types as T
 
 from outlay.llm.tables import pick, slices
 
-# Places of a window that are hashed. Of 13 words any two may differ, of 15 and of 18 any three: some window under
-# some mask still has all its hashed words equal.
-MASKS = ("111010011", "1100101011", "11110000101", "100011001101")
+# Places of a window that are hashed. Of 13 words any two may differ, of 15 any three and of 20 any four: some window under
+# some mask still has all its hashed words equal, and so it has in every longer stretch of which 0.8 is equal.
+MASKS = ("111010011", "1100101011", "11110000101", "100011001101", "11111011")
+# The same for items of under 13 words, by the most words of an item: any one of 5 to 9 may differ, any two of 10 to 12.
+SHORT_MASKS = {
+    6: ("1111", "10111", "11011", "11101"), 9: ("11111", "111101", "110111"), 12: ("11111", "111011", "11010011"),
+}
 SHORT = 5
 MIN_WORDS = 13
 SIMILARITY = 0.8
 BLOCK_BYTES = 16 << 20
 STEP = np.uint64(0x9E3779B97F4A7C15)
+# Characters of the scripts without blanks between words.
+UNSPACED = re.compile(
+    "([\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u3005-\u3007\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf"
+    "\u4e00-\ua4cf\ua980-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff])"
+)
 _BLANKS = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode("utf-8", "surrogatepass").translate(_BLANKS).split()
+    text = (text or "").lower()
+    if not text.isascii():
+        text = UNSPACED.sub(r" \1 ", text)
+    return text.encode("utf-8", "surrogatepass").translate(_BLANKS).split()
+
+
+def masks_of(words: int) -> tuple[str, ...]:
+    """The masks of an item of so many words."""
+    return next((masks for most, masks in SHORT_MASKS.items() if words <= most), MASKS)
 
 
 def _window_hashes(ids: np.ndarray, mask: str) -> np.ndarray:
@@ -51,7 +69,7 @@ def _window_hashes(ids: np.ndarray, mask: str) -> np.ndarray:
     n = len(ids) - len(mask) + 1
     if n < 1:
         return np.zeros(0, np.uint64)
-    total, known = np.full(n, len(mask), np.uint64), np.ones(n, bool)
+    total, known = np.full(n, int(mask, 2), np.uint64), np.ones(n, bool)
     for k in (k for k, c in enumerate(mask) if c == "1"):
         part = ids[k : k + n]
         total = (total ^ part) * STEP
@@ -84,7 +102,7 @@ class Benchmark:
             for word in words:
                 self.vocabulary.setdefault(word, len(self.vocabulary) + 1)
             ids = np.array([self.vocabulary[w] for w in words], np.uint64)
-            own = MASKS if len(words) >= max(map(len, MASKS)) else ("1" * len(words),)
+            own = masks_of(len(words))
             masks.update(own)
             for mask in own:
                 found = _window_hashes(ids, mask)

@@ -182,6 +182,36 @@ class TestDecontamination:
             text = " ".join("other" if i in places else w for i, w in enumerate(words))
             assert bench.overlaps([f"before it {text} after"], 13, 0.8), places
 
+    @pytest.mark.parametrize("n", [*range(5, 17), 20, 21, 25])
+    def test_every_substitution_within_the_similarity_is_found(self, n):
+        words = [f"w{i}" for i in range(n)]
+        bench, most = decontamination.Benchmark([(1, " ".join(words))]), (n * 10 - n * 8) // 10
+        rng = random.Random(n)
+        every = list(itertools.combinations(range(n), most))
+        places = rng.sample(every, min(len(every), 500))
+        if n == 20:  # these were missed by the first four masks
+            places += [c for c in every if not any(
+                all(not (x == "1" and at + i in c) for i, x in enumerate(m)) for m in decontamination.MASKS[:4] for at in range(n - len(m) + 1)
+            )]
+        for changed in places:
+            text = " ".join("other" if i in changed else w for i, w in enumerate(words))
+            found = bench.overlaps([f"before {text} after"], 13, 0.8)
+            inner = not changed or (changed[0] > 0 and changed[-1] < n - 1)
+            assert found and (n > 12 or found[0][2:] == (1, n, n - most)) and (not inner or found[0][4] == n - most), changed
+        if n < 13:
+            text = " ".join("other" if i <= most else w for i, w in enumerate(words))
+            assert not bench.overlaps([text], 13, 0.8)
+
+    @pytest.mark.parametrize("item", [
+        "人工智能模型的训练数据必须去除评测题目", "この文章は評価のために作られたものです", "ภาษาไทยไม่มีช่องว่างระหว่างคำ",
+    ])
+    def test_scripts_without_blanks_are_cut_into_characters(self, item):
+        bench = decontamination.Benchmark([(1, item), (2, "x")])
+        near = item[:6] + "新" + item[7:]
+        for text, same in ((f"见{item}。", len(item)), (f"见{near}。", len(item) - 1)):
+            assert bench.overlaps([text, "别的内容完全不同", None], 13, 0.8) == [(0, 0, 1, len(item), same)]
+        assert decontamination.words_of("Ab人工 été, x") == ["ab".encode(), "人".encode(), "工".encode(), "été".encode(), b"x"]
+
     def test_overlaps_of_rows(self, documents, stored):
         items = [(1, self.ITEM), (2, None), (3, "too short here"), (4, "a short item of seven words only"), (5, self.ITEM)]
         bench = stored(items, "item_id long, text string")
