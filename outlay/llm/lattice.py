@@ -11,7 +11,7 @@ training texts; each class has its own piece scores and word counts. The lattice
 the class's texts have it. A word seen ``c`` times among the ``N`` tokens of a class, ``V`` of them distinct, has the probability
 (c + V * L) / (N + V), where L is the marginal of its pieces; so words never seen get their share from their pieces, and
 all probabilities sum to one. A text is a class, its words and one end, which is a token without pieces; its probability is
-the product, for the class that its frequent words make most probable.
+the product, summed over the classes.
 
 Words are bytes other than ASCII white space, with A-Z in lower case. Null texts count as empty and have the end alone.
 Repeated rows are scored each, and count in training as often as they occur. Null ids are allowed, and a null language counts among the others. Without training
@@ -19,7 +19,8 @@ texts N and V are 0: the whole weight is on the pieces, and the end has log prob
 language is never looked at when a text is scored.
 
 Word counts are summed in tasks, then by word. Words with a share of ``HEAVY`` of all tokens, at most 1 / ``HEAVY`` by
-definition, are broadcast; the other words of each text are joined to the word table.
+definition, are broadcast; the other words of each text are joined to the word table. Both give a sum for each class, so the
+share decides the plan alone.
 """
 
 from __future__ import annotations
@@ -188,6 +189,10 @@ def _counts(classes: int) -> list[str]:
     return [f"c{k}" for k in range(classes)]
 
 
+def _scores(classes: int) -> list[str]:
+    return [f"score{k}" for k in range(classes)]
+
+
 def _count_words(docs: DataFrame, classes: int) -> DataFrame:
     """``word``, its counts ``c0``, ... in the rows of each class, and ``other``: its count in rows without a class."""
     names = [*_counts(classes), "other"]
@@ -301,9 +306,10 @@ def _score_words(words: DataFrame, pieces: tuple[Pieces, ...], totals: list[Tota
 
 
 def _score_heavy(docs: DataFrame, heavy: pa.Table, totals: list[Totals], whole: Totals) -> DataFrame:
-    """For each row its class, the sums over its end and its heavy words, and its other words with their counts."""
+    """For each row the sums over its end and its heavy words, the scores by class, and its other words with their counts."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
     end = (int(whole.ends > 0), float(whole.base(np.float64(whole.ends))))
+    names = _scores(len(totals))
     classes = np.array([(np.log10(t.ends / whole.ends) if whole.ends else 0.0) + t.end_score for t in totals])
 
     def run(batches):
@@ -327,18 +333,17 @@ def _score_heavy(docs: DataFrame, heavy: pa.Table, totals: list[Totals], whole:
                 sizes.append(len(rare))
             known, base, *scored = np.array(sums).T
             scored = np.stack(scored, axis=1) + classes
-            best = scored.argmax(axis=1)
             yield pa.RecordBatch.from_arrays([
                 *part.columns[:2], pa.array(lengths, pa.int64()), pa.array(known.astype(np.int64) + end[0]),
-                pa.array(base + end[1]), pa.array(best.astype(np.int32)), pa.array(scored[np.arange(len(best)), best]),
+                pa.array(base + end[1]), *map(pa.array, scored.T),
                 pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.StructArray.from_arrays(
                     [pa.array(words, pa.binary()), pa.array(np.concatenate(uses).astype(np.int32))], ["word", "n"]
                 )),
-            ], ["row", "doc_id", "n_tokens", "n_known", "base", "class", "score", "rare"])
+            ], ["row", "doc_id", "n_tokens", "n_known", "base", *names, "rare"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, (
-        f"row long, doc_id {kind}, n_tokens long, n_known long, base double, class int, score double, "
+        f"row long, doc_id {kind}, n_tokens long, n_known long, base double, {', '.join(f'{n} double' for n in names)}, "
         "rare array<struct<word: binary, n: int>>"
     ))
 
@@ -382,18 +387,22 @@ def score_texts(
     numbered = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     heads = store.put("heads", _score_heavy(numbered, frequent, totals, whole))
     store.settle()
+    scores = _scores(last + 1)
     rare = (
-        heads.select("row", "class", F.explode("rare").alias("rare")).select("row", "class", "rare.word", "rare.n")
+        heads.select("row", F.explode("rare").alias("rare")).select("row", "rare.word", "rare.n")
         .join(scored.filter(~often), "word").groupBy("row").agg(
             F.sum(F.col("n") * F.col("known")).alias("rare_known"), F.sum(F.col("n") * F.col("base")).alias("rare_base"),
-            F.sum(F.col("n") * F.element_at("scores", F.col("class") + 1)).alias("rare_score"),
+            *[F.sum(F.col("n") * F.col("scores")[k]).alias(f"rare_{name}") for k, name in enumerate(scores)],
         )
     )
 
     def total(name: str) -> Column:
         return F.col(name) + F.coalesce(F.col(f"rare_{name.removeprefix('n_')}"), F.lit(0))
 
-    return heads.drop("rare").join(rare, "row", "left").select(
+    top = F.greatest(*scores, F.lit(float("-inf")))
+    both = heads.drop("rare").join(rare, "row", "left").withColumns({name: total(name) for name in scores})
+    summed = top + F.log10(sum((F.pow(F.lit(10.0), F.col(name) - top) for name in scores), F.lit(0.0)))
+    return both.select(
         "doc_id", "n_tokens", total("n_known").cast("long").alias("n_known"),
-        F.lit(whole.tokens).cast("long").alias("train_tokens"), total("base").alias("base_score"), total("score").alias("score"),
+        F.lit(whole.tokens).cast("long").alias("train_tokens"), total("base").alias("base_score"), F.when(top > float("-inf"), summed).otherwise(top).alias("score"),
     )

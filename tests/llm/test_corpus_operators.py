@@ -246,6 +246,28 @@ class TestLattice:
         assert len(nothing) == 5 and all(r.train_tokens == 0 and r.n_known == 0 for r in nothing)
         assert lattice.score_texts(docs.limit(0), ~out, registry.rank_file()).count() == 0
 
+    def test_scores_are_sums_over_the_classes_whatever_is_heavy(self, documents, monkeypatch):
+        rng = random.Random(9)
+        rows = [(i, " ".join([*["shared"] * 8, *(f"{lang}{rng.randint(0, 40)}" for _ in range(6))]), lang)
+                for i, lang in enumerate(["en"] * 30 + ["de"] * 30 + ["fr"] * 6)]
+        docs = documents(*rows, (200, "shared fr1 fr2 fr3 de1"), (201, None), (202, "never seen words"))
+        held, out = F.col("doc_id") >= 200, []
+        parts, inner = {}, lattice._score_heavy
+
+        def spy(*given):
+            heads = inner(*given)
+            parts.update({(r.doc_id, len(r.rare)): [r[n] for n in heads.columns if n.startswith("score")] for r in heads.collect()})
+            return heads
+
+        monkeypatch.setattr(lattice, "_score_heavy", spy)
+        for heavy in (1e-6, 0.05, 0.9):
+            got = lattice.score_texts(docs, ~held, registry.rank_file(), heavy=heavy).collect()
+            out.append({r.doc_id: r.score for r in got})
+        assert out[1] == pytest.approx(out[0], abs=1e-6) and out[2] == pytest.approx(out[0], abs=1e-6)
+        for (i, rare), by_class in parts.items():
+            if not rare:  # all words are heavy, so these are whole sums
+                assert len(by_class) == 3 and out[0][i] == pytest.approx(np.logaddexp.reduce(np.array(by_class) * math.log(10)) / math.log(10))
+
     def test_probabilities_of_a_class_sum_to_one(self, pieces):
         totals = lattice.Totals(tokens=10, distinct=4, ends=2)
         c = np.array([5.0, 2.0, 1.0])
