@@ -3,9 +3,9 @@
 A page is a row of tokens: words score positive, tags negative, and the contiguous row of tokens with the largest sum
 is the content region; one linear scan finds it. The weights come from labelled pages, which are pages that
 mark their content themselves with an ``article`` or ``main`` element: a word weighs 1, and a tag weighs minus ``WORD_SHARE``
-plus the share of its uses outside the content times a bar, which is one more than the words of the longest stretch of
-boilerplate text on any labelled page. So no boilerplate outweighs the tags that fence it off, and a paragraph of one word is worth its
-tags. Without labelled pages the tags of ``FENCES`` cost ``BAR`` and the others ``WORD_SHARE``.
+and minus a bar times the share of its uses outside the content, which is the mean of the shares on the labelled pages that have it. The bar
+is the one of ``BARS`` whose regions agree best with the marked content, by the sum over the labelled pages of the F1 of their words; of bars
+within ``NEAR`` of the best sum the least one. Each page counts alike in both sums, whatever its length, so a single page has one vote. Without labelled pages the tags of ``FENCES`` cost ``BAR`` and the others ``WORD_SHARE``.
 
 Elements of ``SKIPPED`` never hold content, inside the region or out, nor do elements whose class, id or role names a notice,
 advert, sidebar, menu or comments (``NOTICES``): their words and tags weigh nothing, teach nothing and are not returned. Blocks of the region are the runs of text
@@ -22,6 +22,7 @@ import html as references
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,7 +50,12 @@ TOKEN = re.compile(
     r"<!--(?:.*?)(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S
 )
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+INLINE = frozenset("a abbr b bdi bdo cite code data dfn del em font i img input ins kbd label mark q s samp small span strong sub sup time tt u var wbr meta link".split())
+NAMES = BLOCKS | FENCES | INLINE
 WORD_SHARE, BAR = 0.01, 60.0
+BARS = tuple(2.0**k for k in range(17))
+NEAR = 0.01
+UNIT = 1 << 20  # shares are summed as whole numbers of this part, so the order of the rows does not matter
 
 
 def tokenize(page: str) -> list[tuple[str, str, bool]]:
@@ -100,57 +106,83 @@ def _marked(tokens: list[tuple[str, str, bool]], page: str) -> tuple[int, int] |
     return None
 
 
-def tag_uses(page: str | None) -> tuple[Counter, Counter, int] | None:
-    """Of a labelled page: uses of each tag inside its content and outside, and its longest boilerplate text in words."""
+def tag_uses(page: str | None) -> dict[str, float] | None:
+    """Of a labelled page: for each tag the share of its uses that are outside the content."""
     tokens = tokenize(page or "")
     bounds = _marked(tokens, page or "")
     if bounds is None:
         return None
-    inside, outside, longest = Counter(), Counter(), 0
-    for i, (tag, text, skipped) in enumerate(tokens):
-        within = bounds[0] < i < bounds[1]
-        if skipped:
-            continue
-        if tag:
-            (inside if within else outside)[tag] += 1
-        elif not within:
-            longest = max(longest, len(text.split()))
-    return inside, outside, longest
+    uses, outside = Counter(), Counter()
+    for i, (tag, _, skipped) in enumerate(tokens):
+        if tag and not skipped:
+            uses[tag] += 1
+            outside[tag] += not bounds[0] < i < bounds[1]
+    return {tag: outside[tag] / n for tag, n in uses.items()}
+
+
+def agreement(page: str | None, shares: dict[str, float]) -> np.ndarray | None:
+    """Of a labelled page whose content has words: for each bar the F1 of the words in the best region against the marked content."""
+    tokens = tokenize(page or "")
+    bounds = _marked(tokens, page or "")
+    if bounds is None:
+        return None
+    n_words = np.array([0 if tag or skipped else len(text.split()) for tag, text, skipped in tokens])
+    content = n_words[bounds[0] : bounds[1]].sum()
+    if not content:
+        return None
+    fixed = n_words - np.array([WORD_SHARE if tag and not skipped else 0.0 for tag, _, skipped in tokens])
+    scaled = np.array([shares.get(tag, 0.0) if tag and not skipped else 0.0 for tag, _, skipped in tokens])
+    before = np.concatenate([[0], np.cumsum(n_words)])
+    out = np.empty(len(BARS))
+    for k, bar in enumerate(BARS):
+        sums = np.concatenate([[0.0], np.cumsum(fixed - bar * scaled)])
+        lowest = np.minimum.accumulate(sums)
+        end = int((sums - lowest).argmax())
+        start = int(sums[: end + 1].argmin())
+        common = max(0, before[min(end, bounds[1])] - before[max(start, bounds[0])])
+        out[k] = 2 * common / (before[end] - before[start] + content)
+    return out
 
 
 def learn_weights(pages: DataFrame) -> dict[str, float]:
     """The weight of each tag, from all labelled pages; "" is the weight of a tag that none of them has.
 
-    The driver gets one row for each tag name, summed in the tasks first; made-up names count as "".
+    Two passes: the tags' shares, then the bar. The driver gets one row for each tag name and one for each bar, summed in the tasks first;
+    made-up names count as "".
     """
+    source = pick(pages, "html")
 
-    def run(batches):
-        inside, outside, longest = Counter(), Counter(), 0
+    def count(batches):
+        sums, uses = Counter(), Counter()
         for part in slices(batches, "html"):
             for page in part.column(0).to_pylist():
-                if (found := tag_uses(page)) is not None:
-                    inside += found[0]
-                    outside += found[1]
-                    longest = max(longest, found[2])
-        names = sorted({*inside, *outside} & (BLOCKS | FENCES | INLINE))
+                for tag, share in (tag_uses(page) or {}).items():
+                    if tag in NAMES:
+                        sums[tag] += round(share * UNIT)
+                        uses[tag] += 1
+        names = sorted(uses)
         yield pa.RecordBatch.from_pydict({
-            "tag": pa.array([*names, ""]), "n_in": pa.array([*(inside[n] for n in names), 0], pa.int64()),
-            "n_out": pa.array([*(outside[n] for n in names), 0], pa.int64()),
-            "longest": pa.array([0] * len(names) + [longest], pa.int64()),
+            "tag": pa.array(names, pa.string()), "outside": pa.array([sums[n] for n in names], pa.int64()),
+            "n": pa.array([uses[n] for n in names], pa.int64()),
         })
 
-    counted = pick(pages, "html").mapInArrow(run, "tag string, n_in long, n_out long, longest long")
-    rows = counted.groupBy("tag").agg(F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out"), F.max("longest").alias("bar"))
-    found = {r["tag"]: r for r in rows.collect()}
-    if len(found) < 2:
+    counted = source.mapInArrow(count, "tag string, outside long, n long").groupBy("tag").agg(F.sum("outside").alias("outside"), F.sum("n").alias("n"))
+    shares = {r["tag"]: r["outside"] / r["n"] / UNIT for r in counted.collect()}
+    if not shares:
         return {"": -WORD_SHARE} | {tag: -BAR for tag in FENCES}
-    bar = found.pop("")["bar"] + 1
-    return {"": -WORD_SHARE} | {
-        tag: -WORD_SHARE - bar * r["n_out"] / (r["n_in"] + r["n_out"]) for tag, r in found.items()
-    }
-
 
-INLINE = frozenset("a abbr b bdi bdo cite code data dfn del em font i img input ins kbd label mark q s samp small span strong sub sup time tt u var wbr meta link".split())
+    def judge(batches):
+        sums = np.zeros(len(BARS), np.int64)
+        for part in slices(batches, "html"):
+            for page in part.column(0).to_pylist():
+                if (found := agreement(page, shares)) is not None:
+                    sums += np.rint(found * UNIT).astype(np.int64)
+        yield pa.RecordBatch.from_pydict({"bar": np.array(BARS), "agreement": sums})
+
+    judged = source.mapInArrow(judge, "bar double, agreement long").groupBy("bar").agg(F.sum("agreement").alias("agreement"))
+    sums = {r["bar"]: r["agreement"] for r in judged.collect()}
+    bar = min(b for b, n in sums.items() if n >= (1 - NEAR) * max(sums.values()))
+    return {"": -WORD_SHARE} | {tag: -WORD_SHARE - bar * share for tag, share in shares.items()}
 
 
 def region(tokens: list[tuple[str, str, bool]], weights: dict[str, float]) -> tuple[int, int]:

@@ -277,6 +277,21 @@ class TestPages:
         assert got[5] == ("plain words", 11) and got[None] == ("unclosed", 8) and got[6][1] == 5 * 50_000 - 1
         assert html.digests(pages.limit(0)).count() == 0
 
+    def test_one_outlier_page_leaves_the_other_texts(self, stored):
+        def page(k):
+            parts = "".join(f"<p>part {i} of page {k} has some words of its own</p>" for i in range(4))
+            around = "<div><p>short line outside</p></div>" if k % 10 == 0 else "<div>six words that stand before it</div>"
+            return f"<html><body>{around}<article>{parts}</article></body></html>"
+
+        rows = [(k, "u", page(k)) for k in range(40)]
+        outlier = (99, "u", "<html><body><div>" + "legal " * 10_000 + "</div><article><p>small text</p></article></body></html>")
+        texts = []
+        for given in (rows, [*rows, outlier]):
+            found = html.digests(stored(given, "page_id long, url string, html string")).collect()
+            texts.append({r.page_id: r.text for r in found if r.page_id != 99})
+        want = {k: "\n".join(f"part {i} of page {k} has some words of its own" for i in range(4)) for k in range(40)}
+        assert texts[0] == want and texts[1] == want
+
     def test_region_is_the_best_of_all(self):
         rng = random.Random(1)
         weights = {"": -0.5, "div": -3.0, "p": -0.25}
