@@ -50,6 +50,23 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
   sha256(coalesce(text, '')) AS kept_sha256
 FROM split LEFT JOIN kept USING (doc_id)"""
 
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LOWER = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+LINES = f"""WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), placed AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS p FROM split
+), keyed AS (SELECT doc_id, line, p, trim({_LOWER.format(text="line")}, {_BLANKS}) AS key FROM placed
+), common AS (SELECT key FROM keyed WHERE key <> '' GROUP BY 1 HAVING count(DISTINCT doc_id) >= 10
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY p) AS text
+  FROM keyed ANTI JOIN common USING (key) GROUP BY 1
+)
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - coalesce(n, 0) AS BIGINT) AS n_dropped,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)"""
+
 ORACLES = {
     "op8_lsh_forest_join": JACCARD, "op9_p_stable_near_duplicates": VECTORS, "op10_suffix_tree_dedup": SUBSTRINGS,
+    "op11_line_bitmaps": LINES,
 }
