@@ -3,7 +3,6 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
-from datetime import date
 from decimal import Decimal
 
 import pytest
@@ -12,6 +11,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), ".."))
 
 from outlay import schemas  # noqa: E402
+from rows import day  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -31,21 +31,6 @@ def spark():
     session.stop()
 
 
-def day(text: str) -> date:
-    return date.fromisoformat(text)
-
-
-def expense(invoice, vendor, employee, dept, when, amount, month=None, **more):
-    return {
-        "invoice_id": invoice, "vendor_id": vendor, "vendor_name": f"Vendor {vendor}",
-        "employee_id": employee, "employee_name": f"Employee {employee}",
-        "dept_id": dept, "dept_name": f"Dept {dept}",
-        "trx_date": day(when) if when else None,
-        "amount": Decimal(str(amount)) if amount is not None else None,
-        "currency": "USD", "payment_method": "Wire", "description": "text", **more,
-    }
-
-
 @pytest.fixture
 def expenses(spark):
     def build(*rows):
@@ -86,7 +71,3 @@ def names(spark):
         )
 
     return build
-
-
-def as_dicts(df):
-    return [r.asDict() for r in df.collect()]

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import Observation
 
-from conftest import day, expense
+from rows import day, expense
 from outlay import schemas
 from outlay.operators.cleaning import (
     EXPENSES, clean_budgets, clean_calendar, clean_campaign_spend, clean_expenses, rejects,

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from conftest import as_dicts, day, expense
+from rows import as_dicts, day, expense
 from outlay import schemas
 from outlay.operators import dimensions, facts, summaries
 from outlay.operators.cleaning import clean_calendar

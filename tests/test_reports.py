@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import as_dicts, day
+from rows import as_dicts, day
 from outlay.operators import insights, kpis, metrics, quality, views
 from outlay.sources.calendar import calendar_between
 from outlay.sources.readers import fallback_budgets

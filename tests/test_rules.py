@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import day
+from rows import day
 from outlay.operators import rules
 from outlay.operators.near_duplicates import near_duplicate_points
 from outlay.params import Thresholds

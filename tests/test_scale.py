@@ -7,7 +7,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import expense
+from rows import expense
 from outlay.functions import repeat_rows, small_side
 from outlay.operators import dimensions, facts, kpis, rules, views
 from outlay.sources.writers import write_table
