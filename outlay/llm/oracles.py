@@ -66,7 +66,36 @@ SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - coalesce
   sha256(coalesce(text, '')) AS kept_sha256
 FROM split LEFT JOIN kept USING (doc_id)"""
 
+COLLOCATIONS = f"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format(text="coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), runs AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM pieces
+), totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM runs GROUP BY 1
+), sized AS (SELECT lang, w, unnest(range(1, 6)) AS k FROM runs WHERE len(w) > 0
+), placed AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM sized WHERE k <= len(w)
+), frequent AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM placed GROUP BY 1, 2, 3 HAVING count(*) >= 100
+), split AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM frequent WHERE k > 1
+), starts AS (SELECT lang, k, w, a, unnest(range(1, k + 1)) AS i FROM split
+), spans AS (SELECT lang, k, w, a, i, unnest(range(i, k + 1)) AS j FROM starts
+), inside AS (
+  SELECT lang, array_to_string(w[i:j], ' ') AS phrase, max(a) AS longer FROM spans WHERE j - i + 1 < k GROUP BY 1, 2
+), kept AS (
+  SELECT split.* FROM split LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a
+), cuts AS (SELECT lang, phrase, a, w, k, unnest(range(1, k)) AS cut FROM kept
+), scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, cut, l.f AS l, r.f AS r, n,
+    (CAST(1000 AS HUGEINT) * a * n) // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM cuts JOIN frequent l ON l.lang = cuts.lang AND l.phrase = array_to_string(w[1:cut], ' ')
+  JOIN frequent r ON r.lang = cuts.lang AND r.phrase = array_to_string(w[cut + 1:], ' ') JOIN totals ON totals.lang = cuts.lang
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM scored
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best WHERE nth = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000"""
+
 ORACLES = {
     "op8_lsh_forest_join": JACCARD, "op9_p_stable_near_duplicates": VECTORS, "op10_suffix_tree_dedup": SUBSTRINGS,
-    "op11_line_bitmaps": LINES,
+    "op11_line_bitmaps": LINES, "op13_tiled_collocations": COLLOCATIONS,
 }
