@@ -3,15 +3,15 @@
 A-Z are lower-cased, texts cut into pieces at ``[.,;:!?\\x0A-\\x0D]`` and these into words ``[^\\x20\\x09]+``; everything is counted for each language (null:
 ``und``). A phrase of k words is the pair of its first and its last k-1 words, which share k-2, so each level counts neighbouring ids alone:
 
-1. Words are counted. The heavy ones, with ``SHARE`` of all words or more, so a million at most whatever the corpus, get ids ranked by
-   frequency inside their language, and the texts are stored as ids; words that are not frequent are gaps.
+1. Words are counted. The most frequent ones, a million at most whatever the corpus, get ids ranked by frequency inside their
+   language, and the texts are stored as ids; words that are not frequent are gaps.
 2. The pairs of neighbouring ids are counted in tiles of ``SIDE`` x ``SIDE``: a tile that a slice fills well is a dense array of bins, the
    others are sorted (cell, count) lists. Tasks pass on sums of cells, and Spark adds them up.
-3. The heavy pairs get ranked ids in turn, the stream of ids becomes one of pair ids, and so on up to ``max_words`` words.
+3. The most frequent pairs get ranked ids in turn, the stream of ids becomes one of pair ids, and so on up to ``max_words`` words.
 
-Phrases that are frequent but not heavy have no id. They exist once ``SHARE`` of all words is more than ``min_count``, are told
-by a bitmap of their hashes (a false hit costs a count and changes nothing) and counted by their text. So the split into heavy
-and other phrases changes the plan alone: every phrase is counted exactly, at every size.
+Where a level has more frequent phrases than ids, the rarer ones have none. They are told by a bitmap of their hashes (a false
+hit costs a count and changes nothing) and counted by their text. So the number of ids changes the plan alone: every phrase is
+counted exactly, at every size.
 
 A candidate occurs ``min_count`` times or more. Cut after its first words it has floor(1000 a n / (l r)) with a its count, l and r those of the parts and n
 the language's words; the lowest cut counts, the shortest first part of ties. A candidate inside a longer one with the same count is dropped; as the phrases in between
@@ -30,15 +30,14 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from outlay.llm.hashing import mixed, word_hashes
 from outlay.llm.tables import Store, Tally, pick, slices
 
-SHARE = 1e-6
 HOT_SHARE = 1e-5
-ID_BITS = 20  # a heavy id is below 2**20, as at most 1 / SHARE phrases of one length are heavy
+ID_BITS = 20  # ids of phrases of one length
 LIMIT = 1 << ID_BITS
 SIDE_BITS = 10
 SIDE = 1 << SIDE_BITS
@@ -100,10 +99,17 @@ def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
-def _has(bitmap: np.ndarray, phrase: bytes) -> bool:
-    """Whether the phrase's hash, as Spark's ``xxhash64`` gives it, is in the bitmap."""
-    place = xxhash.xxh64_intdigest(phrase, seed=42) & (BITMAP - 1)
-    return bool(bitmap[place >> 3] >> (place & 7) & 1)
+def _phrase_hashes(words: np.ndarray, length: int) -> np.ndarray:
+    """A hash for each run of ``length`` hashes of words."""
+    total = words[: max(0, len(words) - length + 1)]
+    for k in range(1, length):
+        total = mixed(total, words[k : len(total) + k])
+    return total
+
+
+def _in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = hashes & np.uint64(BITMAP - 1)
+    return (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
 def _encode(word_ids, bitmap):
@@ -119,10 +125,11 @@ def _encode(word_ids, bitmap):
                 ids = np.fromiter(map(known.get, tokens, repeat(-1)), np.int32, len(tokens))
                 others: dict[bytes, int] = {}
                 if bits is not None:
-                    for place in np.flatnonzero(ids < 0).tolist():
-                        word = tokens[place]
-                        if word in others or (word != GAP and _has(bits, word)):
-                            ids[place] = LIMIT + others.setdefault(word, len(others))
+                    unknown = np.flatnonzero(ids < 0)
+                    frequent = _in_bitmap(bits, word_hashes([tokens[i] for i in unknown.tolist()]))
+                    for place in unknown[frequent].tolist():
+                        if tokens[place] != GAP:
+                            ids[place] = LIMIT + others.setdefault(tokens[place], len(others))
                 if (ids >= 0).any():
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang]), pa.array([ids.tobytes()], pa.binary()), pa.array([list(others)], pa.list_(pa.binary()))],
@@ -182,9 +189,10 @@ class Level:
 
 @dataclass
 class Known:
-    """The levels from two words on, and the heavy words by id, which only phrases counted by text need."""
+    """The levels from two words on; the words with ids and their hashes, which only phrases without ids need."""
 
     words: list[bytes] = field(default_factory=list)
+    hashes: np.ndarray | None = None
     levels: list[Level] = field(default_factory=list)
 
 
@@ -194,6 +202,10 @@ class _Slice:
     def __init__(self, known: Known, ids: np.ndarray, others: list[bytes]):
         self.known, self.ids, self.others = known, ids, others
         self.now, self.length = ids, 1
+        self.hashes = None
+        if known.hashes is not None:
+            table = np.concatenate([known.hashes, word_hashes(others), np.zeros(1, np.uint64)])
+            self.hashes = table[np.where(ids < 0, len(table) - 1, np.where(ids < LIMIT, ids, ids - LIMIT + len(known.hashes)))]
 
     def phrase(self, place: int, length: int) -> bytes:
         return b" ".join(
@@ -219,11 +231,10 @@ class _Slice:
         else:
             found = np.zeros(len(places), bool)
         if level.bitmap is not None and not found.all():
-            places, left, right = places[~found], left[~found], right[~found]
-            _, first, back = np.unique((left << 32) | right, return_index=True, return_inverse=True)
-            hits = [_has(level.bitmap, self.phrase(p, self.length)) for p in places[first].tolist()]
-            ids = np.where(hits, LIMIT + np.cumsum(hits) - 1, -1)
-            longer[places] = ids[back]
+            rest = np.flatnonzero(~found)
+            rest = rest[_in_bitmap(level.bitmap, _phrase_hashes(self.hashes, self.length)[places[rest]])]
+            _, back = np.unique((left[rest] << 32) | right[rest], return_inverse=True)
+            longer[places[rest]] = LIMIT + back
         self.now = longer
 
 
@@ -269,11 +280,18 @@ def _count_pairs(known):
     return run
 
 
+def _hash_places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        phrases = [p.split(b" ") for p in batch.column(0).cast(pa.binary()).to_pylist()]
+        hashes = [int(_phrase_hashes(word_hashes(words), len(words))[0]) & (BITMAP - 1) for words in phrases]
+        yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64())], ["place"])
+
+
 def _bitmap(phrases: DataFrame) -> np.ndarray:
     """The hashes of ``phrase`` as ``BITMAP`` bits: a size fixed beforehand, built in tasks."""
-    place = F.pmod(F.xxhash64("phrase"), F.lit(BITMAP)) + 1
+    places = phrases.select("phrase").mapInArrow(_hash_places, "place long").select((F.col("place") + 1).alias("place"))
     rows = (
-        phrases.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+        places.groupBy(F.bitmap_bucket_number("place").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
     )
     found = np.zeros(BITMAP // 8, np.uint8)
@@ -283,12 +301,27 @@ def _bitmap(phrases: DataFrame) -> np.ndarray:
     return found
 
 
-def _ranked(frequent: DataFrame, heavy: int) -> pa.Table:
-    """The heavy phrases, a million at most, in the order of their ids: by language, then frequency."""
-    found = frequent.filter(F.col("f") >= heavy).select("lang", "phrase", "f", "cell").toArrow()
+def _ids_from(frequent: DataFrame, at_least: int, most: int) -> tuple[int, bool]:
+    """The least count from which on phrases get an id, so that ``most`` do at the utmost, and whether some get none.
+
+    Counts fall into classes of an eighth of an octave; a class gets ids as a whole.
+    """
+    size = F.floor(F.log2(F.col("f")) * 8)
+    classes = frequent.groupBy(size.alias("size")).agg(
+        F.min("f").alias("least"), F.max("f").alias("largest"), F.count(F.lit(1)).alias("n")).collect()
+    bound, total = at_least, 0
+    for row in sorted(classes, key=lambda r: -r.largest):
+        total += row.n
+        if total > most:
+            bound = max(at_least, row.largest + 1)
+            break
+    return bound, any(row.least < bound for row in classes)
+
+
+def _ranked(frequent: DataFrame, least: int) -> pa.Table:
+    """The phrases with ids, in the order of these: by language, then frequency."""
+    found = frequent.filter(F.col("f") >= least).select("lang", "phrase", "f", "cell").toArrow()
     found = found.sort_by([("lang", "ascending"), ("f", "descending"), ("phrase", "ascending")])
-    if found.num_rows >= LIMIT:
-        raise ValueError("more heavy phrases than ids: the share is too low")
     return found.append_column("id", pa.array(np.arange(found.num_rows), pa.int64()))
 
 
@@ -301,10 +334,10 @@ class Mined:
     all_words: int
 
 
-def mine(docs: DataFrame, min_count: int = 100, max_words: int = 5, share: float = SHARE) -> Mined:
+def mine(docs: DataFrame, min_count: int = 100, max_words: int = 5, most_ids: int = LIMIT) -> Mined:
     """Count the phrases of up to ``max_words`` words that occur ``min_count`` times or more in their language."""
-    if min_count < 1 or max_words < 1 or not SHARE <= share <= 1:
-        raise ValueError(f"min_count and max_words are 1 or more, share is from {SHARE} to 1")
+    if min_count < 1 or max_words < 1 or not 0 <= most_ids <= LIMIT:
+        raise ValueError(f"min_count and max_words are 1 or more, most_ids is from 0 to {LIMIT}")
     spark = docs.sparkSession
     context, store = spark.sparkContext, Store(spark, "collocations")
     texts = pick(docs, "lang", "text").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
@@ -314,31 +347,31 @@ def mine(docs: DataFrame, min_count: int = 100, max_words: int = 5, share: float
         "lang", "phrase", "f", F.lit(None).cast("long").alias("cell")))
     totals = kept.filter(F.col("phrase").isNull()).select("lang", F.col("f").alias("n"))
     all_words = totals.agg(F.sum("n")).first()[0] or 0
-    heavy = max(min_count, int(np.ceil(all_words * share)))
-    split = heavy > min_count  # there may be frequent phrases without an id
-
-    def rest_of(frequent: DataFrame):
-        return _bitmap(frequent.filter(F.col("f") < heavy)) if split else None
 
     frequent = kept.filter(F.col("phrase").isNotNull())
-    levels, ranked = [frequent], _ranked(frequent, heavy)
-    known = Known()
-    ids_of: dict[str, dict[bytes, int]] = {}
+    levels, known = [frequent], Known()
+    least, some_without = _ids_from(frequent, min_count, most_ids)
+    ranked = _ranked(frequent, least)
     words = ranked["phrase"].cast(pa.binary()).to_pylist()
+    ids_of: dict[str, dict[bytes, int]] = {}
     for lang, word, place in zip(ranked["lang"].to_pylist(), words, ranked["id"].to_pylist(), strict=True):
         ids_of.setdefault(lang, {})[word] = place
-    if split:
-        known.words = words
-    bits = rest_of(frequent)
+    bits = _bitmap(frequent.filter(F.col("f") < least)) if some_without else None
     encoded = store.put("ids", texts.mapInArrow(
         _encode(context.broadcast(ids_of), None if bits is None else context.broadcast(bits)),
         "lang string, ids binary, others array<binary>"))
+    # Words and hashes that only phrases without ids need; from the first level that has some.
+    if some_without:
+        known.words, known.hashes = words, word_hashes(words)
 
     for length in range(2, max_words + 1):
         if length > 2:
             cells = ranked["cell"].to_numpy()
             order = np.argsort(cells)
-            known.levels.append(Level(cells[order], ranked["id"].to_numpy()[order], rest_of(frequent)))
+            bits = _bitmap(frequent.filter(F.col("f") < least)) if some_without else None
+            known.levels.append(Level(cells[order], ranked["id"].to_numpy()[order], bits))
+            if some_without and known.hashes is None:
+                known.words, known.hashes = words, word_hashes(words)
         counts = (
             encoded.mapInArrow(_count_pairs(context.broadcast(known)), COUNTS)
             .groupBy("cell", "lang", "phrase").agg(F.sum("count").alias("f")).filter(F.col("f") >= min_count)
@@ -359,8 +392,10 @@ def mine(docs: DataFrame, min_count: int = 100, max_words: int = 5, share: float
         frequent = store.put(f"frequent-{length}", named.unionByName(by_text))
         store.free(f"counts-{length}")
         levels.append(frequent)
-        ranked = _ranked(frequent, heavy)
-        if not ranked.num_rows and not (split and frequent.limit(1).count()):
+        # Parts of a phrase are at least as frequent as it, so with bounds that never fall they have ids where it has one.
+        least, some_without = _ids_from(frequent, least, most_ids)
+        ranked = _ranked(frequent, least)
+        if not ranked.num_rows and not some_without:
             break
     store.free("ids")
     found = levels[0].select("lang", "phrase", "f", F.lit(1).alias("words"))
@@ -415,6 +450,6 @@ def rank_collocations(mined: Mined, min_count: int = 100, top: int = 2000) -> Da
 
 
 def collocations(
-    docs: DataFrame, min_count: int = 100, max_words: int = 5, top: int = 2000, share: float = SHARE,
+    docs: DataFrame, min_count: int = 100, max_words: int = 5, top: int = 2000, most_ids: int = LIMIT,
 ) -> DataFrame:
-    return rank_collocations(mine(docs, min_count, max_words, share), min_count, top)
+    return rank_collocations(mine(docs, min_count, max_words, most_ids), min_count, top)

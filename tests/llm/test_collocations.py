@@ -8,10 +8,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
-import xxhash
-from pyspark.sql import functions as F
 
 from outlay.llm import collocations as cl
+from outlay.llm.hashing import word_hashes
 
 
 def brute(rows, min_count, max_words, top):
@@ -59,11 +58,11 @@ def table(spark, rows):
     return spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string").repartition(5)
 
 
-@pytest.mark.parametrize(("min_count", "max_words", "top", "share"), [
-    (5, 5, 2000, cl.SHARE), (5, 5, 2000, 0.01), (3, 4, 2000, 0.05), (2, 5, 50, 0.002), (3, 3, 10, 1.0), (4, 1, 10, 1e-3),
+@pytest.mark.parametrize(("min_count", "max_words", "top", "most_ids"), [
+    (5, 5, 2000, cl.LIMIT), (5, 5, 2000, 20), (3, 4, 2000, 60), (2, 5, 50, 200), (3, 3, 10, 0), (4, 1, 10, 5),
 ])
-def test_equals_brute_force(spark, rows, min_count, max_words, top, share):
-    found = cl.collocations(table(spark, rows), min_count, max_words, top, share)
+def test_equals_brute_force(spark, rows, min_count, max_words, top, most_ids):
+    found = cl.collocations(table(spark, rows), min_count, max_words, top, most_ids)
     assert sorted(map(tuple, found.collect())) == brute(rows, min_count, max_words, top)
 
 
@@ -87,13 +86,23 @@ def test_small_tiles_and_lists_are_flushed():
 
 
 def test_bitmap_holds_the_hashes_that_tasks_look_up(spark):
+    def hashes(phrases):
+        words = [word_hashes(p.encode().split(b" ")) for p in phrases]
+        return np.array([cl._phrase_hashes(w, len(w))[0] for w in words])
+
     phrases = [f"phrase {i} é" for i in range(500)]
     bits = cl._bitmap(spark.createDataFrame([(p,) for p in phrases], "phrase string"))
-    assert all(cl._has(bits, p.encode()) for p in phrases)
-    assert sum(cl._has(bits, f"other {i}".encode()) for i in range(2000)) < 5
+    assert cl._in_bitmap(bits, hashes(phrases)).all()
+    assert cl._in_bitmap(bits, hashes([f"other {i} é" for i in range(2000)])).sum() < 5
     assert int(np.unpackbits(bits).sum()) <= 500
-    signed = spark.range(1).select(F.xxhash64(F.lit("größe")).alias("h")).first().h
-    assert signed % 2**64 == xxhash.xxh64_intdigest("größe".encode(), seed=42)
+
+
+def test_ids_go_to_the_most_frequent(spark):
+    frequent = spark.createDataFrame([(f,) for f in [5] * 50 + [9] * 10 + [1000, 1001, 5000]], "f long")
+    assert cl._ids_from(frequent, 5, 100) == (5, False)
+    assert cl._ids_from(frequent, 5, 20) == (6, True)
+    assert cl._ids_from(frequent, 5, 0) == (5001, True)
+    assert cl._ids_from(frequent.filter("f < 0"), 5, 10) == (5, False)
 
 
 def test_large_counts_are_exact(spark):
