@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outlay.llm import (
-    bpe, collocations, decontamination, euclid, html, jaccard, language, lattice, lines, secrets, sharding, substrings,
+    alignment, bpe, collocations, decontamination, euclid, html, jaccard, language, lattice, lines, secrets, sharding, substrings,
 )
 from outlay.llm.oracles import ORACLES
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 SHARDS = 16
 LINE_DOCS = 10
+ALIGNED_FILES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 PHRASE_COUNT, PHRASE_WORDS, PHRASES = 100, 5, 2000
 
 
@@ -78,6 +79,19 @@ def op11_line_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
     return lines.digests(_table(spark, folder, "documents"), LINE_DOCS)
 
 
+def alignment_files() -> tuple[bytes, bytes]:
+    """The two vocabularies that are aligned: byte-level BPE and pieces."""
+    found = []
+    for name in ALIGNED_FILES:
+        with open(public_tokenizers.path(name), "rb") as file:
+            found.append(file.read())
+    return found[0], found[1]
+
+
+def op12_identity_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(_table(spark, folder, "documents"), *alignment_files()).documents
+
+
 def op13_tiled_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(_table(spark, folder, "documents"), PHRASE_COUNT, PHRASE_WORDS, PHRASES)
 
@@ -86,7 +100,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_subword_lattice, op2_external_shuffle, op3_spaced_seed_decontamination, op4_rank_order_language, op5_byte_bpe,
         op6_best_subsequence_text, op7_linked_secrets, op8_lsh_forest_join, op9_p_stable_near_duplicates, op10_suffix_tree_dedup,
-        op11_line_bitmaps, op13_tiled_collocations,
+        op11_line_bitmaps, op12_identity_alignment, op13_tiled_collocations,
     )
     return {query.__name__: query for query in found}
 

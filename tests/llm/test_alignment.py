@@ -1,0 +1,159 @@
+"""Tokenizer alignment against a loop over bytes, and the vocabularies against their libraries."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from outlay.llm import alignment as al
+from outlay.llm.registry import alignment_files
+
+
+@pytest.fixture(scope="module")
+def models():
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def tokens(models, text):
+    """(id, bytes) of both sides, or two empty lists."""
+    a_model, b_model = models
+    if not text:
+        return [], []
+    files = alignment_files()
+    a_bytes = al.a_token_bytes(files[0])
+    b_bytes = al.b_token_bytes([b_model.id_to_piece(i) for i in range(b_model.get_piece_size())])
+    whole = (" " + text).encode()
+    a = [(i, a_bytes[i]) for i in a_model.encode(" " + text, add_special_tokens=False).ids]
+    b = [(i, b_bytes[i]) for i in b_model.encode(text)]
+    return (a, b) if b"".join(x for _, x in a) == whole == b"".join(x for _, x in b) else ([], [])
+
+
+def brute(models, rows):
+    """Everything by spans of bytes, a pair of tokens at a time."""
+    linked, holders, groups = {}, defaultdict(set), {}
+    for row, (_, text) in enumerate(rows):
+        spans = []
+        for side in tokens(models, text):
+            end, found = 0, []
+            for token, content in side:
+                found.append((token, end, end + len(content)))
+                end += len(content)
+            spans.append(found)
+        ends = sorted({e for _, _, e in spans[0]} & {e for _, _, e in spans[1]})
+        start, written = 0, []
+        for end in ends:
+            written.append("|".join(",".join(str(t) for t, s, _ in side if start <= s < end) for side in spans))
+            start = end
+        groups[row] = (len(spans[0]), len(spans[1]), len(ends), ";".join(written))
+        linked[row] = Counter()
+        j = 0
+        for token, s, e in spans[0]:
+            while j and spans[1][j][1] > s:
+                j -= 1
+            while j < len(spans[1]) and spans[1][j][2] <= s:
+                j += 1
+            k = j
+            while k < len(spans[1]) and spans[1][k][1] < e:
+                linked[row][token, spans[1][k][0]] += 1
+                k += 1
+        for pair in linked[row]:
+            holders[pair].add(row)
+    count = {pair: len(found) for pair, found in holders.items()}
+    highest = Counter()
+    for (a, _), n in count.items():
+        highest[a] = max(highest[a], n)
+    result = []
+    for row, (doc_id, _) in enumerate(rows):
+        n_a, n_b, n_groups, text = groups[row]
+        links = linked[row]
+        result.append((
+            doc_id, n_a, n_b, n_groups, sum(links.values()), sum(n for p, n in links.items() if count[p] == highest[p[0]]),
+            sum(n * count[p] for p, n in links.items()), hashlib.sha256(text.encode()).hexdigest() if n_a else "",
+        ))
+    return sorted(result, key=str), count
+
+
+@pytest.fixture(scope="module")
+def rows():
+    dice = random.Random(4)
+    pool = ["the", "tokenizer", "unbelievably", "Größe", "東京都", "naïve", "x=1;", "http://a.b/c?d", "1234567", "  ", "\n", "\t", "🙂",
+            "<|endoftext|>", "<s>", "don't", "ﬁ", "é", " ", "aaaaaaa", "\x00", "<0x41>", "AKIAIOSFODNN7", "\r\n", " "]
+    texts = [" ".join(dice.choices(pool, k=dice.randrange(1, 30))) for _ in range(150)]
+    texts += ["".join(dice.choices(pool, k=12)) for _ in range(60)]
+    texts += ["".join(chr(dice.choice([dice.randrange(32, 127), dice.randrange(160, 0x3000), dice.randrange(0x1F300, 0x1F700)])) for _ in range(40)) for _ in range(60)]
+    texts += [None, "", " ", "▁", "a▁b", "same text here", "same text here", "<|endoftext|>"]
+    return [(dice.randrange(100), t) for t in texts] + [(None, "no id")]
+
+
+@pytest.mark.parametrize("share", [al.SHARE, 0.02, 1.0])
+def test_equals_brute_force(spark, stored, models, rows, share):
+    docs = stored(rows, "doc_id long, text string", 3)
+    found = al.align(docs, *alignment_files(), share)
+    expected, count = brute(models, rows)
+    assert sorted(map(tuple, found.documents.collect()), key=str) == expected
+    assert {(r.a, r.b): r.docs for r in found.pairs.collect()} == count
+
+
+def test_only_exact_pairs_leave_the_pair_shuffle(spark, stored):
+    """A pair that the identity map knows is in the vector alone."""
+    docs = stored([(i, "the cat sat on the mat") for i in range(50)], "doc_id long, text string")
+    files = alignment_files()
+    found = al.align(docs, *files).pairs.collect()
+    same = al.Vocabularies.of(*files).same
+    assert found and all(r.exact == (same[r.a] == r.b) for r in found)
+    assert all(r.docs == 50 for r in found)
+
+
+def test_vocabulary_bytes_decode_like_the_libraries(models):
+    a_model, b_model = models
+    files = alignment_files()
+    a_bytes = al.a_token_bytes(files[0])
+    b_bytes = al.b_token_bytes([b_model.id_to_piece(i) for i in range(b_model.get_piece_size())])
+    assert len(a_bytes) == 50257 and a_bytes[50256] == b"<|endoftext|>" and all(a_bytes)
+    for i in range(0, 50257, 97):
+        assert a_bytes[i].decode("utf-8", "replace") == a_model.decode([i], skip_special_tokens=False)
+    same = al.identity_map(a_bytes, b_bytes)
+    assert all(b_bytes[same[i]] == a_bytes[i] for i in np.flatnonzero(same >= 0).tolist())
+    # A letter is a piece and a byte; the map names the piece.
+    assert same[a_bytes.index(b"A")] == b_model.piece_to_id("A") != b_model.piece_to_id("<0x41>")
+
+
+def test_long_texts_are_cut_where_nothing_is_joined(models, monkeypatch):
+    dice = random.Random(8)
+    pool = ["word", "it's", "  two", "\n", "x  y", "1 2", "…", "Ünï", "a b", "don 't", " ", "\t "]
+    a_model, b_model = models
+    for _ in range(40):
+        text = " ".join(dice.choices(pool, k=80))
+        parts = list(al.chunks(" " + text, 20))
+        assert "".join(parts) == " " + text and len(parts) > 3
+        assert [i for p in parts for i in a_model.encode(p, add_special_tokens=False).ids] == a_model.encode(" " + text, add_special_tokens=False).ids
+        assert [i for p in parts for i in b_model.encode(p[1:])] == b_model.encode(text)
+
+
+def test_very_long_texts(spark, stored, models):
+    text = "The quick brown fox, unbelievably naïve. " * 20_000
+    rows = [(1, text), (2, "z" * 400_000), (3, "short")]
+    found = {r.doc_id: r for r in al.align(stored(rows, "doc_id long, text string"), *alignment_files()).documents.collect()}
+    for doc_id, whole in rows:
+        a, b = tokens(models, whole)
+        assert (found[doc_id].n_a, found[doc_id].n_b) == (len(a), len(b))
+
+
+def test_empty_tables_and_clashing_columns(spark, stored):
+    schema = "row string, a string, b int, TEXT_ string, doc_id long, text string, pair long, rare int"
+    assert al.align(stored([], schema), *alignment_files()).documents.count() == 0
+    docs = stored([("r", "a", 1, "t", 5, "hello world", 1, 2), ("r", "a", 1, "t", 6, None, 1, 2)], schema)
+    found = {r.doc_id: r for r in al.align(docs, *alignment_files()).documents.collect()}
+    assert found[5].n_links == found[5].n_best == found[5].count_sum > 1
+    assert tuple(found[6]) == (6, 0, 0, 0, 0, 0, 0, "")
+    with pytest.raises(ValueError):
+        al.align(docs, *alignment_files(), 0.0)
