@@ -42,8 +42,10 @@ LIMIT = 1 << ID_BITS
 SIDE_BITS = 10
 SIDE = 1 << SIDE_BITS
 DENSE = SIDE * SIDE // 32  # occurrences in a slice from which a tile is worth an array
-DENSE_TILES = 8  # arrays of 8 MB in a task; further tiles are lists
-SPARSE = 2_000_000
+DENSE_TILES = 4  # arrays of 8 MB in a task; further tiles are lists
+SPARSE = 1_000_000
+DISTINCT = 250_000
+SLICE = 2 << 20
 BITMAP = 1 << 27
 BUCKET = 4096 * 8  # bits in a row of bitmap_construct_agg
 GAP = b"\xff"  # no byte of UTF-8
@@ -89,12 +91,12 @@ def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _counted(None, [lang], [None], [sum(counts.values())])
         held.clear()
 
-    for batch in slices(batches):
+    for batch in slices(batches, limit=SLICE):
         for lang, texts in _by_language(batch).items():
             counts = held.setdefault(lang, Counter())
             for text in texts:
                 counts.update(text.translate(WORDS_ONLY).split())
-        if sum(map(len, held.values())) > 500_000:
+        if sum(map(len, held.values())) > DISTINCT:
             yield from out()
     yield from out()
 
@@ -117,7 +119,7 @@ def _encode(word_ids, bitmap):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, bits = word_ids.value, bitmap.value if bitmap else None
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             for lang, texts in _by_language(batch).items():
                 known = ids_of.get(lang, {})
                 # A gap after each text, and blanks around gaps.
