@@ -22,7 +22,7 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -69,6 +69,31 @@ def a_token_bytes(vocabulary_file: bytes) -> list[bytes]:
     return found
 
 
+def a_encoder(vocabulary_file: bytes, pattern: str) -> Callable[[str], np.ndarray]:
+    """Text to ids, special tokens being text. Where ids are numbered in the order of the merges, a rank encoder gives the same ids sooner."""
+    described = json.loads(vocabulary_file)
+    model = described["model"]
+    vocabulary = model["vocab"]
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    splits = described.get("pre_tokenizer") or {}
+    plain = (
+        not described.get("normalizer") and not model.get("ignore_merges") and not model.get("dropout")
+        and splits.get("type") == "ByteLevel" and splits.get("use_regex") and not splits.get("add_prefix_space")
+    )
+    if plain and all(vocabulary[left + right] == 256 + i for i, (left, right) in enumerate(merges)):
+        import tiktoken
+
+        added = {t["id"] for t in described.get("added_tokens", [])}
+        ranks = {content: i for i, content in enumerate(a_token_bytes(vocabulary_file)) if i not in added}
+        encoder = tiktoken.Encoding("aligned", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        return lambda text: encoder.encode_to_numpy(text, disallowed_special=())
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_str(vocabulary_file.decode())
+    whole.encode_special_tokens = True
+    return lambda text: np.array(whole.encode(text, add_special_tokens=False).ids, np.int64)
+
+
 def b_token_bytes(pieces: list[str]) -> list[bytes]:
     """The bytes of each piece: U+2581 is a blank, <0xHH> a byte."""
     return [
@@ -101,6 +126,8 @@ class Vocabularies:
         b_bytes = b_token_bytes([model.id_to_piece(i) for i in range(model.get_piece_size())])
         if max(len(a_bytes), len(b_bytes)) > 1 << B_BITS:
             raise ValueError("ids must fit into two bytes")
+        if not all(a_bytes) or not all(b_bytes):
+            raise ValueError("a token without bytes")
         lengths = [np.array([len(t) for t in side], np.int64) for side in (a_bytes, b_bytes)]
         return Vocabularies(*lengths, identity_map(a_bytes, b_bytes))
 
@@ -117,48 +144,36 @@ def chunks(text: str, size: int = CHUNK) -> Iterator[str]:
     yield text[start:]
 
 
-def _encode(files):
+def _encode(files, pattern: str):
     """The stored ids of both tokenizers; none where a text has no tokens."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
         a_file, b_file = files.value
-        a_model = Tokenizer.from_str(a_file.decode())
-        a_model.encode_special_tokens = True
+        a_ids = a_encoder(a_file, pattern)
         b_model = sentencepiece.SentencePieceProcessor(model_proto=b_file)
-        a_bytes = a_token_bytes(a_file)
+        a_lengths = np.array([len(t) for t in a_token_bytes(a_file)])
         b_bytes = b_token_bytes([b_model.id_to_piece(i) for i in range(b_model.get_piece_size())])
 
         def ids(text: str) -> tuple[bytes, bytes]:
-            sides = []
-            whole = (" " + text).encode()
-            for encode, table in (
-                (lambda part: a_model.encode(part, add_special_tokens=False).ids, a_bytes),
-                (lambda part: b_model.encode(part[1:]), b_bytes),
-            ):
-                found = [token for part in chunks(" " + text) for token in encode(part)]
-                if b"".join(map(table.__getitem__, found)) != whole:
-                    return b"", b""
-                sides.append(np.array(found, "<u2").tobytes())
-            return sides[0], sides[1]
+            if not text:
+                return b"", b""
+            whole = " " + text
+            parts = [whole] if len(whole) <= CHUNK else list(chunks(whole))
+            content = whole.encode()
+            b = [token for found in b_model.encode([p[1:] for p in parts], num_threads=1) for token in found]
+            if b"".join(map(b_bytes.__getitem__, b)) != content:
+                return b"", b""
+            a = np.concatenate([a_ids(p) for p in parts])
+            # Tokens of a byte-level vocabulary are the text's own bytes, so their number tells whether all are there.
+            if a_lengths[a].sum() != len(content):
+                return b"", b""
+            return a.astype("<u2").tobytes(), np.array(b, "<u2").tobytes()
 
         for batch in slices(batches, limit=SLICE):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            short = [i for i, t in enumerate(texts) if 0 < len(t) <= CHUNK]
-            found: list[tuple[bytes, bytes]] = [(b"", b"")] * len(texts)
-            a_ids = a_model.encode_batch_fast([" " + texts[i] for i in short], add_special_tokens=False)
-            b_ids = b_model.encode([texts[i] for i in short], num_threads=1)
-            for i, a, b in zip(short, a_ids, b_ids, strict=True):
-                whole, a = (" " + texts[i]).encode(), a.ids
-                if b"".join(map(a_bytes.__getitem__, a)) == whole == b"".join(map(b_bytes.__getitem__, b)):
-                    found[i] = np.array(a, "<u2").tobytes(), np.array(b, "<u2").tobytes()
-            for i, text in enumerate(texts):
-                if len(text) > CHUNK:
-                    found[i] = ids(text)
-            a_side, b_side = zip(*found, strict=True)
+            a_side, b_side = zip(*[ids(t or "") for t in batch.column(1).to_pylist()], strict=True)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(a_side, pa.binary()), pa.array(b_side, pa.binary())], ["doc_id", "a", "b"],
             )
@@ -174,56 +189,61 @@ class Aligned:
         self.n_b = np.array([len(x) // 2 for x in b_side], np.int64)
         self.a = np.frombuffer(b"".join(a_side), "<u2").astype(np.int64)
         self.b = np.frombuffer(b"".join(b_side), "<u2").astype(np.int64)
-        a_ends, b_ends = np.cumsum(vocabularies.a_lengths[self.a]), np.cumsum(vocabularies.b_lengths[self.b])
-        a_starts, b_starts = a_ends - vocabularies.a_lengths[self.a], b_ends - vocabularies.b_lengths[self.b]
-        # Both sides have the same bytes in each document, so documents end where groups end.
-        self.ends = a_ends[np.isin(a_ends, b_ends, assume_unique=True)]
-        self.a_group = np.searchsorted(self.ends, a_ends)
-        self.b_group = np.searchsorted(self.ends, b_ends)
         self.a_doc = np.repeat(np.arange(len(a_side)), self.n_a)
-        self.b_doc = np.repeat(np.arange(len(b_side)), self.n_b)
-        first = np.searchsorted(b_ends, a_starts, side="right")
-        links = np.searchsorted(b_starts, a_ends) - first
-        self.link_a = np.repeat(np.arange(len(self.a)), links)
-        self.link_b = np.arange(len(self.link_a)) + np.repeat(first - (np.cumsum(links) - links), links)
+        # Both sides have the same bytes in each document, so documents end where groups end.
+        a_ends, b_ends = np.cumsum(vocabularies.a_lengths[self.a]), np.cumsum(vocabularies.b_lengths[self.b])
+        at = np.searchsorted(b_ends, a_ends)  # the B token that holds an A token's last byte
+        self.a_last = b_ends[at] == a_ends
+        self.b_last = np.zeros(len(self.b), bool)
+        self.b_last[at[self.a_last]] = True
+        self.a_group = np.cumsum(self.a_last) - self.a_last
+        self.b_group = np.cumsum(self.b_last) - self.b_last
+        past = at + self.a_last
+        self.first = np.concatenate([[0], past[:-1]])[: len(at)]  # the B token that holds the first byte
+        self.links = at + 1 - self.first
+        opens = np.concatenate([[True], self.a_last[:-1]])[: len(at)]
+        alone = self.a_last & opens & (self.links == 1)
         self.same = vocabularies.same
+        self.exact = alone & (self.same[self.a] == self.b[self.first]) if len(at) else alone
 
-    def per_doc(self, doc_of: np.ndarray, values: np.ndarray | None = None) -> np.ndarray:
-        sums = np.bincount(doc_of, weights=values, minlength=len(self.n_a))
-        return sums.astype(np.int64)
+    def n_links(self) -> np.ndarray:
+        return np.bincount(self.a_doc, weights=self.links, minlength=len(self.n_a)).astype(np.int64)
 
-    def distinct_links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For each document and id pair that it holds linked: document, pair, links, and whether the pair is an identity.
+    def n_groups(self) -> np.ndarray:
+        return np.bincount(self.a_doc[self.a_last], minlength=len(self.n_a))
 
-        Exact groups are taken off first: their links are few distinct (document, A id), the rest are sorted by pair.
+    def distinct_links(self) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+        """Each document's identities (document, A id, links), and its other pairs (document, pair, links).
+
+        Only tokens of irregular groups are paired up. A pair of theirs that the map knows is an identity all the same.
         """
-        sizes_a, sizes_b = np.bincount(self.a_group, minlength=len(self.ends)), np.bincount(self.b_group, minlength=len(self.ends))
-        a, b = self.a[self.link_a], self.b[self.link_b]
-        group = self.a_group[self.link_a]
-        exact = (sizes_a[group] == 1) & (sizes_b[group] == 1) & (self.same[a] == b)
-        doc = self.a_doc[self.link_a]
-        # A pair that is an identity may also arise where longer groups overlap: one pair all the same.
-        identity = exact | (self.same[a] == b)
-        parts = []
-        for which in (identity, ~identity):
-            key = (doc[which] << (2 * B_BITS)) | (a[which] << B_BITS) | b[which]
-            parts.append(np.unique(key, return_counts=True))
-        key = np.concatenate([k for k, _ in parts])
-        flags = np.repeat([True, False], [len(k) for k, _ in parts])
-        return key >> (2 * B_BITS), key & ((1 << 2 * B_BITS) - 1), np.concatenate([c for _, c in parts]), flags
-
-    def group_texts(self, tokens: list[bytes], a_size: int, b_size: int) -> list[bytes]:
+        odd = np.flatnonzero(~self.exact)
+        links = self.links[odd]
+        token = np.repeat(odd, links)
+        other = np.arange(len(token)) + np.repeat(self.first[odd] - (np.cumsum(links) - links), links)
+        a, b, doc = self.a[token], self.b[other], self.a_doc[token]
+        known = self.same[a] == b
+        identities = np.concatenate([
+            (self.a_doc[self.exact] << B_BITS) | self.a[self.exact], (doc[known] << B_BITS) | a[known],
+        ])
+        key, times = np.unique(identities, return_counts=True)
+        known = ~known
+        pairs, pair_times = np.unique((doc[known] << (2 * B_BITS)) | (a[known] << B_BITS) | b[known], return_counts=True)
+        mask = (1 << B_BITS) - 1, (1 << 2 * B_BITS) - 1
+        return (key >> B_BITS, key & mask[0], times), (pairs >> (2 * B_BITS), pairs & mask[1], pair_times)
+
+    def group_texts(self, tokens: np.ndarray, a_size: int, b_size: int) -> list[bytes]:
         """The groups of each document as text: ``a1,a2|b1;a3|b2``. ``tokens`` has the ids with the mark that follows them."""
-        last_a = np.append(self.a_group[1:] != self.a_group[:-1], True)[: len(self.a)]
-        last_b = np.append(self.b_group[1:] != self.b_group[:-1], True)[: len(self.b)]
-        place_a = np.arange(len(self.a)) + np.searchsorted(self.b_group, self.a_group)
-        place_b = np.arange(len(self.b)) + np.searchsorted(self.a_group, self.b_group, side="right")
+        b_before = np.concatenate([[0], np.flatnonzero(self.b_last) + 1])
+        a_before = np.concatenate([[0], np.flatnonzero(self.a_last) + 1])
+        place_a = np.arange(len(self.a)) + b_before[self.a_group]
+        place_b = np.arange(len(self.b)) + a_before[self.b_group + 1] if len(self.b) else np.zeros(0, np.int64)
         written = np.empty(len(self.a) + len(self.b), np.int64)
-        written[place_a] = self.a + last_a * a_size
-        written[place_b] = 2 * a_size + self.b + last_b * b_size
-        marks = list(map(tokens.__getitem__, written.tolist()))
+        written[place_a] = self.a + self.a_last * a_size
+        written[place_b] = 2 * a_size + self.b + self.b_last * b_size
+        marks = tokens[written]
         stops = np.cumsum(self.n_a + self.n_b).tolist()
-        return [b"".join(marks[start:stop])[:-1] for start, stop in zip([0, *stops], stops, strict=False)]
+        return [marks[start:stop].tobytes().translate(None, b"\0")[:-1] for start, stop in zip([0, *stops], stops, strict=False)]
 
 
 def _aligned(batches: Iterable[pa.RecordBatch], vocabularies: Vocabularies) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
@@ -248,10 +268,10 @@ def _count(vocabularies):
                 )
 
         for _, found in _aligned(batches, known):
-            _, pairs, _, identity = found.distinct_links()
-            vector += np.bincount(pairs[identity] >> B_BITS, minlength=len(vector))
-            sums.add(*np.unique(pairs[~identity], return_counts=True))
-            total += int((~identity).sum())
+            (_, a, _), (_, pairs, _) = found.distinct_links()
+            vector += np.bincount(a, minlength=len(vector))
+            sums.add(*np.unique(pairs, return_counts=True))
+            total += len(pairs)
             if sums.size > 4 * SPARSE:
                 yield from out(*sums.total(), False)
                 sums = Tally(SPARSE)
@@ -278,33 +298,32 @@ def _score(vocabularies, counts, a_size: int, b_size: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, of = vocabularies.value, counts.value
-        tokens = [
-            b"%d%b" % (i, mark) for size, marks in ((a_size, b",|"), (b_size, b",;"))
-            for mark in (marks[:1], marks[1:]) for i in range(size)
-        ]
+        tokens = np.array([
+            b"%d%c" % (i, mark) for size, marks in ((a_size, b",|"), (b_size, b",;")) for mark in marks for i in range(size)
+        ], "S6")
         for batch, found in _aligned(batches, known):
-            doc, pair, links, identity = found.distinct_links()
-            a = pair >> B_BITS
-            docs = np.where(identity, of.exact[a], 0)
-            rare = ~identity
+            n = batch.num_rows
+            best, sums = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            (doc, a, links), (pair_doc, pair, pair_links) = found.distinct_links()
+
+            def add(doc: np.ndarray, a: np.ndarray, links: np.ndarray, docs: np.ndarray) -> None:
+                top = docs == of.highest[a]
+                best[:] += np.bincount(doc[top], weights=links[top], minlength=n).astype(np.int64)
+                np.add.at(sums, doc, links * docs)  # whole numbers, as sums may pass 2**53
+
+            add(doc, a, links, of.exact[a])
+            rare = np.ones(len(pair), bool)
             if len(of.pairs):
                 at = np.minimum(np.searchsorted(of.pairs, pair), len(of.pairs) - 1)
-                frequent = rare & (of.pairs[at] == pair)
-                docs = np.where(frequent, of.docs[at], docs)
-                rare &= ~frequent
-            best = found.per_doc(doc, links * (~rare & (docs == of.highest[a])))
-            texts = found.group_texts(tokens, a_size, b_size)
-            hashes = [hashlib.sha256(t).hexdigest() if t else "" for t in texts]
-            order = np.flatnonzero(rare)
-            order = order[np.argsort(doc[order], kind="stable")]
-            borders = np.concatenate([[0], np.cumsum(np.bincount(doc[order], minlength=len(texts)))]).astype(np.int32)
-            listed = pa.StructArray.from_arrays([pa.array(pair[order]), pa.array(links[order])], ["pair", "links"])
-            group_doc = found.a_doc[np.searchsorted(found.a_group, np.arange(len(found.ends)))]
-            sums = np.zeros(len(texts), np.int64)
-            np.add.at(sums, doc, links * docs)  # whole numbers, as sums may pass 2**53
+                frequent = of.pairs[at] == pair
+                add(pair_doc[frequent], pair[frequent] >> B_BITS, pair_links[frequent], of.docs[at[frequent]])
+                rare = ~frequent
+            borders = np.concatenate([[0], np.cumsum(np.bincount(pair_doc[rare], minlength=n))]).astype(np.int32)
+            listed = pa.StructArray.from_arrays([pa.array(pair[rare]), pa.array(pair_links[rare])], ["pair", "links"])
+            hashes = [hashlib.sha256(t).hexdigest() if t else "" for t in found.group_texts(tokens, a_size, b_size)]
             columns = [
                 batch.column(batch.schema.get_field_index("row")), batch.column(batch.schema.get_field_index("doc_id")),
-                found.n_a, found.n_b, found.per_doc(group_doc), found.per_doc(found.a_doc[found.link_a]), best, sums,
+                found.n_a, found.n_b, found.n_groups(), found.n_links(), best, sums,
                 pa.array(hashes, pa.string()), pa.ListArray.from_arrays(pa.array(borders), listed),
             ]
             names = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "rare"]
@@ -321,8 +340,8 @@ class Alignment:
     pairs: DataFrame
 
 
-def align(docs: DataFrame, a_file: bytes, b_file: bytes, share: float = SHARE) -> Alignment:
-    """Align a byte-level BPE vocabulary (A, a JSON file) with a piece model (B) over all texts."""
+def align(docs: DataFrame, a_file: bytes, b_file: bytes, pattern: str, share: float = SHARE) -> Alignment:
+    """Align a byte-level BPE vocabulary (A, a JSON file; ``pattern`` splits its texts) with a piece model (B) over all texts."""
     if not SHARE <= share <= 1:
         raise ValueError(f"share is from {SHARE} to 1")
     spark = docs.sparkSession
@@ -331,7 +350,7 @@ def align(docs: DataFrame, a_file: bytes, b_file: bytes, share: float = SHARE) -
     a_size, b_size = len(vocabularies.a_lengths), len(vocabularies.b_lengths)
     shared = context.broadcast(vocabularies)
     texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    encoded = texts.mapInArrow(_encode(context.broadcast((a_file, b_file))), ENCODED)
+    encoded = texts.mapInArrow(_encode(context.broadcast((a_file, b_file)), pattern), ENCODED)
     encoded = store.put("ids", encoded.withColumn("row", F.monotonically_increasing_id()))
 
     counted = encoded.mapInArrow(_count(shared), "pair long, docs long, exact boolean")

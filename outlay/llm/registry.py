@@ -79,13 +79,13 @@ def op11_line_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
     return lines.digests(_table(spark, folder, "documents"), LINE_DOCS)
 
 
-def alignment_files() -> tuple[bytes, bytes]:
-    """The two vocabularies that are aligned: byte-level BPE and pieces."""
+def alignment_files() -> tuple[bytes, bytes, str]:
+    """The two vocabularies that are aligned, byte-level BPE and pieces, and the pattern of the first."""
     found = []
     for name in ALIGNED_FILES:
         with open(public_tokenizers.path(name), "rb") as file:
             found.append(file.read())
-    return found[0], found[1]
+    return found[0], found[1], public_tokenizers.PATTERN
 
 
 def op12_identity_alignment(spark: SparkSession, folder: str) -> DataFrame:
