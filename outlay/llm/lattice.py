@@ -20,12 +20,14 @@ language is never looked at when a text is scored.
 
 Word counts are summed in tasks, then by word. Words with a share of ``HEAVY`` of all tokens, at most 1 / ``HEAVY`` by
 definition, are broadcast; the other words of each text are joined to the word table. Both give a sum for each class, so the
-share decides the plan alone.
+share decides the plan alone. Words of over ``LONG`` bytes are read in stretches, so memory follows their bytes and not the arcs.
 """
 
 from __future__ import annotations
 
 import base64
+import math
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 from itertools import repeat
@@ -44,6 +46,7 @@ CLASS_SHARE = 1 / 64
 HEAVY = 1e-6
 PRIOR = 0.01
 CELLS = 2_000_000
+LONG = 1 << 14
 HELD = 400_000
 BASE = np.uint64(0x100000001B3)
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -71,7 +74,8 @@ def _prefix_hashes(raw: np.ndarray) -> np.ndarray:
 class Pieces:
     """The vocabulary's pieces by hash, with a natural log score each.
 
-    ``hashes`` is sorted; ``starts`` tells which pieces begin with the blank and so begin a word.
+    ``starts`` tells which pieces begin with the blank and so begin a word; ``slots`` has the pieces' places by hash, each in the
+    first free slot from its own on.
     """
 
     hashes: np.ndarray
@@ -79,6 +83,7 @@ class Pieces:
     scores: np.ndarray
     longest: int
     stop: float
+    slots: np.ndarray
 
     @classmethod
     def from_ranks(cls, rank_file: bytes) -> Pieces:
@@ -97,7 +102,8 @@ class Pieces:
             weights.append(1 / (int(rank) + RANK_SHIFT))
             longest = max(longest, len(token))
         order = np.argsort(np.array(hashes, np.uint64))
-        made = cls(np.array(hashes, np.uint64)[order], np.array(starts)[order], np.zeros(len(order)), longest, 0.0)
+        hashes = np.array(hashes, np.uint64)[order]
+        made = cls(hashes, np.array(starts)[order], np.zeros(len(order)), longest, 0.0, _slots(hashes))
         return made.weighted(np.array(weights)[order], None)
 
     def weighted(self, weights: np.ndarray, words: float | None) -> Pieces:
@@ -105,7 +111,21 @@ class Pieces:
         stops = float(weights[~self.starts].sum()) if words is None else words + PRIOR
         totals = np.where(self.starts, weights[self.starts].sum(), weights[~self.starts].sum() + stops)
         stop = np.log(stops / (weights[~self.starts].sum() + stops))
-        return Pieces(self.hashes, self.starts, np.log(weights / totals), self.longest, float(stop))
+        return Pieces(self.hashes, self.starts, np.log(weights / totals), self.longest, float(stop), self.slots)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, or -1."""
+        mask = np.uint64(len(self.slots) - 1)
+        flat = hashes.ravel()
+        slot = (flat & mask).astype(np.int64)
+        found = self.slots[slot]
+        # Of the slots that hold another piece, look at the next one.
+        left = np.flatnonzero((found >= 0) & (self.hashes[found] != flat))
+        while len(left):
+            slot[left] = (slot[left] + 1) & int(mask)
+            found[left] = self.slots[slot[left]]
+            left = left[(found[left] >= 0) & (self.hashes[found[left]] != flat[left])]
+        return found.reshape(hashes.shape)
 
     def _arcs(self, raw: np.ndarray) -> np.ndarray:
         """For each word, end and length the piece's place, or -1: shape (words, ends, lengths)."""
@@ -117,9 +137,7 @@ class Pieces:
         for length in range(1, most + 1):
             power = power * BASE
             found = _mixed(prefix[:, length:] - prefix[:, :-length] * power, length)
-            at = np.searchsorted(self.hashes, found)
-            at[at == len(self.hashes)] = 0
-            out[:, length:, length] = np.where(self.hashes[at] == found, at, -1)
+            out[:, length:, length] = self._find(found)
         return out
 
     def _forward(self, scores: np.ndarray) -> np.ndarray:
@@ -138,33 +156,111 @@ class Pieces:
     def marginals(self, words: list[bytes], others: tuple[Pieces, ...] = ()) -> np.ndarray:
         """The natural log of each word's probability by its pieces: a column for these scores and each of ``others``."""
         out = np.empty((len(words), 1 + len(others)))
+        for place, word in _long(words):
+            for k, own in enumerate((self, *others)):
+                out[place, k] = own._long_forward(word)[-1] + own.stop
         for places, raw in _matrices(words, self.longest):
             arcs = self._arcs(raw)
             for k, own in enumerate((self, *others)):
                 out[places, k] = own._forward(own._scored(arcs))[:, -1] + own.stop
         return out
 
-    def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """How often each piece is used in the words, by the probabilities of their segmentations: a row for each column of ``counts``."""
+    def expected(self, words: list[bytes], counts: np.ndarray, own: tuple[Pieces, ...] = ()) -> np.ndarray:
+        """How often each piece is used in the words, by the probabilities of their segmentations: a row for each column of ``counts``.
+
+        ``own`` has the scores for each column; without it these scores are all columns'. The arcs are found once for all.
+        """
         out = np.zeros((counts.shape[1], len(self.hashes)))
+        for place, word in _long(words):
+            for k in np.flatnonzero(counts[place]).tolist():
+                out[k] += counts[place, k] * (own[k] if own else self)._long_expected(word)
         for places, raw in _matrices(words, self.longest):
             arcs = self._arcs(raw)
-            scores = self._scored(arcs)
-            alpha = self._forward(scores)
-            n, ends, lengths = scores.shape
-            beta = np.full((n, ends), -np.inf)
-            beta[:, -1] = 0
-            for start in range(ends - 2, -1, -1):
-                most = min(ends - 1 - start, lengths - 1)
-                steps = np.arange(1, most + 1)
-                beta[:, start] = _log_sum(beta[:, start + steps] + scores[:, start + steps, steps])
-            word, end, length = np.nonzero(arcs >= 0)
-            share = np.exp(alpha[word, end - length] + scores[word, end, length] + beta[word, end] - alpha[word, -1])
-            for k, own in enumerate(counts[places].T):
-                out[k] += np.bincount(arcs[word, end, length], weights=share * own[word], minlength=len(self.hashes))
+            if not own:
+                used, shares, word = self._used(arcs)
+                for k, n in enumerate(counts[places].T):
+                    out[k] += np.bincount(used, weights=shares * n[word], minlength=len(self.hashes))
+                continue
+            for k, scores in enumerate(own):
+                seen = np.flatnonzero(counts[places, k])
+                if len(seen):
+                    used, shares, word = scores._used(arcs[seen])
+                    out[k] += np.bincount(used, weights=shares * counts[places[seen], k][word], minlength=len(self.hashes))
+        return out
+
+    def _used(self, arcs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each arc its piece, the probability that a segmentation has it, and its word."""
+        scores = self._scored(arcs)
+        alpha = self._forward(scores)
+        n, ends, lengths = scores.shape
+        beta = np.full((n, ends), -np.inf)
+        beta[:, -1] = 0
+        for start in range(ends - 2, -1, -1):
+            most = min(ends - 1 - start, lengths - 1)
+            steps = np.arange(1, most + 1)
+            beta[:, start] = _log_sum(beta[:, start + steps] + scores[:, start + steps, steps])
+        word, end, length = np.nonzero(arcs >= 0)
+        share = np.exp(alpha[word, end - length] + scores[word, end, length] + beta[word, end] - alpha[word, -1])
+        return arcs[word, end, length], share, word
+
+    def _stretches(self, word: bytes, backwards: bool = False):
+        """The arcs (start, end, piece) of one long word in stretches of starts, in the order of their starts."""
+        raw = np.frombuffer(b" " + word, np.uint8).astype(np.uint64)
+        starts = range(0, len(raw), LONG)
+        for first in reversed(starts) if backwards else starts:
+            arcs = self._arcs(raw[None, first : first + LONG + self.longest])[0]
+            end, length = np.nonzero(arcs >= 0)
+            start = end - length
+            inside = np.flatnonzero(start < LONG)
+            inside = inside[np.argsort(start[inside], kind="stable")]
+            end, length, start = end[inside], length[inside], start[inside]
+            yield first + start, first + end, arcs[end, length]
+
+    def _long_forward(self, word: bytes) -> array:
+        alpha = array("d", [-math.inf]) * (len(word) + 2)
+        alpha[0] = 0.0
+        for starts, ends, pieces in self._stretches(word):
+            for s, e, v in zip(starts.tolist(), ends.tolist(), self.scores[pieces].tolist(), strict=True):
+                alpha[e] = _log_add(alpha[e], alpha[s] + v)
+        return alpha
+
+    def _long_expected(self, word: bytes) -> np.ndarray:
+        alpha, out = np.array(self._long_forward(word)), np.zeros(len(self.hashes))
+        beta = array("d", [-math.inf]) * len(alpha)
+        beta[-1] = 0.0
+        for starts, ends, pieces in self._stretches(word, backwards=True):
+            scores = self.scores[pieces]
+            for s, e, v in zip(starts[::-1].tolist(), ends[::-1].tolist(), scores[::-1].tolist(), strict=True):
+                beta[s] = _log_add(beta[s], beta[e] + v)
+            share = np.exp(alpha[starts] + scores + np.array([beta[e] for e in ends.tolist()]) - alpha[-1])
+            out += np.bincount(pieces, weights=share, minlength=len(out))
         return out
 
 
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    """Places by hash, in four to eight times as many slots; -1 is a free one."""
+    size = 4 << max(1, len(hashes)).bit_length()
+    slots = np.full(size, -1, np.int32)
+    left, slot = np.arange(len(hashes)), (hashes & np.uint64(size - 1)).astype(np.int64)
+    while len(left):
+        free = slots[slot[left]] < 0
+        chosen, first = np.unique(slot[left[free]], return_index=True)
+        slots[chosen] = left[free][first]
+        left = left[slots[slot[left]] != left]
+        slot[left] = (slot[left] + 1) & (size - 1)
+    return slots
+
+
+def _log_add(a: float, b: float) -> float:
+    if a < b:
+        a, b = b, a
+    return a if b == -math.inf else a + math.log1p(math.exp(b - a))
+
+
+def _long(words: list[bytes]) -> list[tuple[int, bytes]]:
+    return [(i, word) for i, word in enumerate(words) if len(word) >= LONG]
+
+
 def _log_sum(values: np.ndarray) -> np.ndarray:
     top = values.max(axis=1)
     safe = np.where(np.isfinite(top), top, 0)
@@ -173,10 +269,11 @@ def _log_sum(values: np.ndarray) -> np.ndarray:
 
 
 def _matrices(words: list[bytes], longest: int):
-    """Words of one length at a time as a matrix of bytes, a blank before each, in parts of bounded size."""
+    """Words of one length at a time, but for long ones, as a matrix of bytes, a blank before each, in parts of bounded size."""
     by_length: dict[int, list[int]] = {}
     for i, word in enumerate(words):
-        by_length.setdefault(len(word) + 1, []).append(i)
+        if len(word) < LONG:
+            by_length.setdefault(len(word) + 1, []).append(i)
     for width, places in by_length.items():
         step = max(1, CELLS // (width * min(width, longest)))
         for start in range(0, len(places), step):
@@ -269,9 +366,8 @@ def _fit(words: DataFrame, first: Pieces, totals: list[Totals], rounds: int) ->
                     seen = np.flatnonzero(counts.any(axis=1))
                     sums += own[0].expected([listed[i] for i in seen.tolist()], counts[seen])
                     continue
-                for k in range(classes):
-                    seen = np.flatnonzero(counts[:, k])
-                    sums[k] += own[k].expected([listed[i] for i in seen.tolist()], counts[seen, k : k + 1])[0]
+                seen = np.flatnonzero(counts.any(axis=1))
+                sums += own[0].expected([listed[i] for i in seen.tolist()], counts[seen], own)
             which, piece = np.nonzero(sums)
             yield pa.RecordBatch.from_pydict({
                 "class": which.astype(np.int32), "piece": piece.astype(np.int32), "n": sums[which, piece],
