@@ -74,7 +74,7 @@ class Profiles:
         distance = np.where(ranks < 0, self.size, np.abs(ranks - np.arange(len(own)))).sum(axis=1)
         best = int(distance.argmin())
         score = 1.0 - float(distance[best]) / (self.size * len(own))
-        return (self.languages[best], score) if score > 0 else (UNKNOWN, 0.0)
+        return self.languages[best], max(score, 0.0)
 
 
 def learn(labelled: DataFrame, size: int = PROFILE) -> Profiles:
