@@ -162,7 +162,7 @@ def near_duplicates(
     vectors: DataFrame, *, threshold: float = THRESHOLD, recall: float = RECALL, width: float = WIDTH, block: int = BLOCK,
 ) -> DataFrame:
     """One row for each vector row: ``vec_id``, ``n_links`` (other rows with a cosine of at least the threshold),
-    ``component_id`` (the first id reachable by links) and ``kept`` (whether that is the row's own)."""
+    ``component_id`` (the first id reachable by links) and ``kept`` (whether that is the row's own; rows that share it all are)."""
     store = Store(vectors.sparkSession, "euclid")
     numbered = pick(vectors, "vec_id", "embedding").select(F.monotonically_increasing_id().alias("row"), "vec_id", "embedding")
     k, tables = shape(vectors.count(), threshold, recall, width)
@@ -190,7 +190,7 @@ def near_duplicates(
         .join(classed.join(heads, "class").select("vector", "copies", "links", "head"), "vector")
         .select(
             "vec_id", (F.col("links") + F.col("copies") - 1).alias("n_links"), F.col("head.vec_id").alias("component_id"),
-            (F.col("row") == F.col("head.row")).alias("kept"),
+            F.col("vec_id").eqNullSafe(F.col("head.vec_id")).alias("kept"),
         )
     )
     alone = named.filter("vector IS NULL").select(
