@@ -1,10 +1,10 @@
-"""N-gram Jaccard join by a MinHash LSH forest, with exact verification.
+"""N-gram Jaccard join by banded MinHash, with exact verification.
 
 A text's set is its runs of five words (lower case, cut at ASCII white space); a text of one to four
-words has the one run of all its words. Texts with the same words are one node. Every tree of
-the forest has its own sequence of MinHash values, and a node's label there is a prefix of it: the nodes
-under one trie node share that prefix. Prefixes start at ``DEPTH`` values and are shortened until a pair
-at the threshold shares one in some tree with probability ``RECALL``; nodes that share a prefix are candidates.
+words has the one run of all its words. Texts with the same words are one node. Every tree has its own sequence of
+MinHash values, and a node's label there is a prefix of it. The length of the prefixes is fixed beforehand: the longest, of up
+to ``DEPTH`` values, by which a pair at the threshold shares one in some tree with probability ``RECALL``. So each tree is a band,
+and no prefix tries are built or shortened by what they match; nodes that share a label are candidates.
 
 Candidates are gathered into connected groups, so that a pair that meets in many trees is verified
 once. The texts of a group go to one task, which counts the common runs of all its pairs exactly
@@ -12,8 +12,8 @@ as matrix products and keeps, for each node, its number of links and its root in
 written. Groups of over ``BLOCK`` nodes are cut into blocks, and each pair of blocks is a task's unit.
 
 Null and empty texts have no run: they link with nothing and each is its own class. Null ids are allowed and
-come last in the order; repeated rows are copies of each other. Extra columns are left out. ``docs`` must be
-a stored table, as its rows are numbered twice.
+come last in the order; repeated rows are copies of each other. Extra columns are left out. Row numbers are the same in each
+read of the input (``tables.numbered``).
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from outlay.llm.grouping import Forest, block_units, components, runs
 from outlay.llm.hashing import MIX, run_hashes, word_hashes
-from outlay.llm.tables import Store, pick, slices
+from outlay.llm.tables import Store, numbered, pick, slices
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -145,13 +145,24 @@ def near_duplicates(
     docs: DataFrame, *, threshold: float = THRESHOLD, n: int = WORDS, trees: int = TREES, depth: int = DEPTH,
     recall: float = RECALL, block: int = BLOCK,
 ) -> DataFrame:
-    """One row for each document row: its number ``row`` (``monotonically_increasing_id`` of ``docs``), ``doc_id``,
+    """One row for each document row: its number ``row``, ``doc_id``,
     ``class_id`` (the first id of its class), ``n_links`` (other rows whose similarity reaches the threshold) and
     ``kept`` (one row of each class: the first by id, then by number)."""
-    spark = docs.sparkSession
-    store = Store(spark, "jaccard")
-    numbered = pick(docs, "doc_id", "text").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    signed = store.put("signed", _signed(numbered, trees, matched_depth(trees, depth, threshold, recall), n))
+    store = Store(docs.sparkSession, "jaccard")
+    rows = _rows(numbered(docs, store, "_jaccard_row"))
+    return _classes(rows, store, threshold, n, trees, depth, recall, block)
+
+
+def _rows(numbered_docs: DataFrame) -> DataFrame:
+    return pick(numbered_docs, "_jaccard_row", "doc_id", "text").withColumnRenamed("_jaccard_row", "row")
+
+
+def _classes(
+    rows: DataFrame, store: Store, threshold: float = THRESHOLD, n: int = WORDS, trees: int = TREES, depth: int = DEPTH,
+    recall: float = RECALL, block: int = BLOCK,
+) -> DataFrame:
+    """``near_duplicates`` of (``row``, ``doc_id``, ``text``) with lasting row numbers."""
+    signed = store.put("signed", _signed(rows, trees, matched_depth(trees, depth, threshold, recall), n))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row"))
     nodes = store.put("nodes", (
         signed.filter("key IS NOT NULL").groupBy("key")
@@ -165,7 +176,7 @@ def near_duplicates(
 
     grouped = (
         candidates.withColumnRenamed("component", "part").join(nodes.select("node", "copies"), "node")
-        .join(numbered.select(F.col("row").alias("node"), "text"), "node")
+        .join(rows.select(F.col("row").alias("node"), "text"), "node")
     )
     units = block_units(grouped, block, "copies", "text")
     found = store.put("links", _verified(units, threshold, n))
@@ -189,7 +200,7 @@ def near_duplicates(
 
 def keep_first_of_class(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay when each class keeps its first row; all columns stay."""
-    columns = docs.columns
-    kept = near_duplicates(docs, **options).filter("kept").select(F.col("row").alias("_jaccard_row"))
-    numbered = docs.withColumn("_jaccard_row", F.monotonically_increasing_id())
-    return numbered.join(kept, "_jaccard_row", "left_semi").select(*columns)
+    store = Store(docs.sparkSession, "jaccard")
+    rows = numbered(docs, store, "_jaccard_row")
+    kept = _classes(_rows(rows), store, **options).filter("kept").select(F.col("row").alias("_jaccard_row"))
+    return rows.join(kept, "_jaccard_row", "left_semi").drop("_jaccard_row")

@@ -17,7 +17,7 @@ place) is the one that stays. The tree is never built whole:
 
 Edges are compared by 64-bit hashes of their words. Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Null texts have no words, texts of
 under ``WINDOW`` words have no window and lose nothing. Null ids come last in the order; rows with equal ids are
-ordered by their row number. Extra columns are left out. ``docs`` must be a stored table, as its rows are numbered anew in each pass.
+ordered by their row number, which is the same in each read (``tables.numbered``). Extra columns are left out.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outlay.llm.hashing import mixed, run_hashes, word_hashes
-from outlay.llm.tables import Store, pick, slices
+from outlay.llm.tables import Store, numbered, pick, slices
 
 WINDOW = 20
 ANCHOR = 8
@@ -199,11 +199,18 @@ def _walk(suffixes: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """(``row``, ``spans``): the spans of words of each row that windows with an earlier copy cover; rows without any are left out.
 
-    ``row`` is ``monotonically_increasing_id`` of ``docs``; spans may overlap.
+    ``row`` is the number that ``tables.numbered`` gives; spans may overlap.
     """
     store = Store(docs.sparkSession, "substrings")
-    numbered = pick(docs, "doc_id", "text").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    signed = store.put("signed", _signed(numbered, window, anchor))
+    return _spans(_rows(docs, store), store, window, anchor)
+
+
+def _rows(docs: DataFrame, store: Store) -> DataFrame:
+    return pick(numbered(docs, store, "_substring_row"), "_substring_row", "doc_id", "text").toDF("row", "doc_id", "text")
+
+
+def _spans(rows: DataFrame, store: Store, window: int, anchor: int) -> DataFrame:
+    signed = store.put("signed", _signed(rows, window, anchor))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "anchors"))
     firsts = store.put("firsts", (
         signed.filter("key IS NOT NULL").groupBy("key").agg(first.alias("first")).select("key", "first.row", "first.anchors")
@@ -220,7 +227,7 @@ def repeated_spans(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHO
     ))
     store.free("signed", "firsts")
     store.settle()
-    sorted_in_tasks = store.put("sorted", _suffixes(numbered.join(hits, "row"), window, anchor))
+    sorted_in_tasks = store.put("sorted", _suffixes(rows.join(hits, "row"), window, anchor))
     store.free("hits")
     store.settle()
     suffixes = (
@@ -238,9 +245,10 @@ def repeated_spans(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHO
 
 def remove_repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """One row for each document row: ``doc_id``, ``n_words``, ``n_removed`` and ``kept``, the words that stay, joined by blanks."""
-    spans = repeated_spans(docs, window=window, anchor=anchor)
-    numbered = pick(docs, "doc_id", "text").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    joined = numbered.join(spans, "row", "left").select("doc_id", "text", "spans")
+    store = Store(docs.sparkSession, "substrings")
+    rows = _rows(docs, store)
+    spans = _spans(rows, store, window, anchor)
+    joined = rows.join(spans, "row", "left").select("doc_id", "text", "spans")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):

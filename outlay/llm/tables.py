@@ -11,6 +11,7 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +83,36 @@ class Store:
             _remove(self.spark, f"{self.folder}/{name}")
 
 
+ROW_BITS = 40  # rows of a file
+MOST_FILES = 1 << 20
+
+
+def numbered(docs: DataFrame, store: Store, name: str = "row") -> DataFrame:
+    """``docs`` with a row number in front that is the same in each read, however the input is split or scheduled.
+
+    Of a table read from Parquet files, the number is the file's place among all files and the row's place in its file; there is a row for each file,
+    a million at most, to look the place up. Any other table, and one of more files, is written once with its numbers.
+    """
+    columns = docs.columns
+    plain = [f"c{i}" for i in range(len(columns))]
+    located = None
+    if "_metadata" not in (c.lower() for c in columns):
+        try:
+            located = docs.select("*", "_metadata.file_path", "_metadata.row_index").toDF(*plain, "_path", "_place")
+            paths = sorted(r[0] for r in located.select("_path").distinct().limit(MOST_FILES + 1).collect())
+        except AnalysisException:
+            located = None
+    if located is None or len(paths) > MOST_FILES:
+        rows = docs.toDF(*plain).select(F.monotonically_increasing_id().alias("_row"), "*")
+        return store.put("numbered", rows).toDF(name, *columns)
+    if len(paths) <= 1:
+        return located.select(F.col("_place").alias("_row"), *plain).toDF(name, *columns)
+    files = docs.sparkSession.createDataFrame(
+        pa.table({"_path": pa.array(paths, pa.string()), "_file": pa.array(range(len(paths)), pa.int64())}), "_path string, _file long")
+    row = F.shiftleft("_file", ROW_BITS).bitwiseOR(F.col("_place"))
+    return located.join(F.broadcast(files), "_path").select(row.alias("_row"), *plain).toDF(name, *columns)
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into runs of rows of about ``limit`` bytes of ``text``; a longer row stands alone."""
     for batch in batches:
