@@ -675,6 +675,11 @@ FROM small_claims WHERE score >= 80""",
   CAST(sum(amount) AS DOUBLE) AS loaded_amount FROM fact_expense GROUP BY 1""",
     "load_contract_second": """SELECT CAST(dept_id AS BIGINT) AS dept_id, 2 * count(*) AS loaded_rows,
   2 * count(*) AS distinct_keys, CAST(2 * sum(budget_amount) AS DOUBLE) AS loaded_amount FROM budgets GROUP BY 1""",
+    "load_rebuilt": """SELECT budget_month_key, count(*) AS loaded_rows, count(*) AS distinct_keys,
+  CAST(sum(amount) AS DOUBLE) AS loaded_amount FROM fact_expense GROUP BY 1""",
+    "load_lasting_keys": """SELECT CAST(v.vendor_id AS BIGINT) AS vendor_id,
+  row_number() OVER (ORDER BY v.vendor_id % 2 <> 0, v.vendor_id) AS vendor_key, upper(v.vendor_name) AS vendor_name,
+  nullif((SELECT count(*) FROM fact_expense e WHERE e.vendor_id = v.vendor_id), 0) AS expense_count FROM dim_vendor v""",
     "clean_rejects": """SELECT 'expenses' AS table_name, reason, count(*) AS row_count FROM (
   SELECT CASE WHEN invoice_id IS NULL THEN 'invoice_id missing' WHEN trx_date IS NULL THEN 'trx_date missing'
     WHEN amount IS NULL THEN 'amount missing' WHEN amount <= 0 THEN 'amount not positive' END AS reason

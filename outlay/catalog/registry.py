@@ -13,6 +13,7 @@ from outlay.catalog.inputs import LIMITS, Tables, scratch_folder
 from outlay.functions import numeric_or_null
 from outlay.operators import cleaning, insights, kpis, metrics, quality, summaries, views
 from outlay.sources import contracts
+from outlay.sources.commits import publish
 from outlay.sources.readers import load_budgets, read_csv, read_csv_inferred, read_table
 from outlay.sources.writers import write_csv, write_json, write_table
 
@@ -107,6 +108,35 @@ def _load_contract_second(t: Tables) -> DataFrame:
     )
 
 
+def _load_rebuilt(t: Tables) -> DataFrame:
+    """Three versions of the fact, a load after each: half of the vendors, all of them, and the same rows once more."""
+    folder = _scratch(t, "load")
+    whole = t.fact_expense
+    for version in (whole.filter(F.col("vendor_id") % 2 == 0), whole, whole.orderBy("invoice_id")):
+        rows = write_table(version, f"{folder}/gold/fact_expense", partition_by="budget_month_key", row_id=None)
+        publish(t.spark, f"{folder}/gold", "fact_expense", rows)
+        contracts.load_table(t.spark, f"{folder}/gold", f"{folder}/warehouse", "fact_expense")
+    return contracts.read_loaded(t.spark, f"{folder}/warehouse", "fact_expense").groupBy("budget_month_key").agg(
+        F.count(F.lit(1)).alias("loaded_rows"), F.count_distinct("expense_id").alias("distinct_keys"),
+        F.sum("amount").alias("loaded_amount"),
+    )
+
+
+def _lasting_keys(t: Tables) -> DataFrame:
+    """Vendors of even ids first, all vendors under new names later: keys of the first load stay, the others follow."""
+    folder = _scratch(t, "load")
+    later = t.dim_vendor.withColumn("vendor_name", F.upper("vendor_name"))
+    for version in (t.dim_vendor.filter(F.col("vendor_id") % 2 == 0), later):
+        publish(t.spark, f"{folder}/gold", "dim_vendor", write_table(version, f"{folder}/gold/dim_vendor"))
+        contracts.load_table(t.spark, f"{folder}/gold", f"{folder}/warehouse", "dim_vendor")
+    write_table(t.fact_expense, f"{folder}/gold/fact_expense", partition_by="budget_month_key")
+    contracts.load_table(t.spark, f"{folder}/gold", f"{folder}/warehouse", "fact_expense")
+    dimension = contracts.read_loaded(t.spark, f"{folder}/warehouse", "dim_vendor")
+    fact = contracts.read_loaded(t.spark, f"{folder}/warehouse", "fact_expense")
+    spent = fact.groupBy("vendor_key").agg(F.count(F.lit(1)).alias("expense_count"))
+    return dimension.join(spent, "vendor_key", "left").select("vendor_id", "vendor_key", "vendor_name", "expense_count")
+
+
 def _fallback_variance(t: Tables) -> DataFrame:
     """All spending taken as of the month that the fallback budgets are for."""
     budgets = load_budgets(t.spark, _scratch(t, "no_such_table"))
@@ -248,6 +278,8 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "load_contract": _load_contract,
     "load_contract_second": _load_contract_second,
+    "load_rebuilt": _load_rebuilt,
+    "load_lasting_keys": _lasting_keys,
 }
 
 # The report holds amounts of many digits; the two views hold plain quotients, left as they are.

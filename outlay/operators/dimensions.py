@@ -1,4 +1,4 @@
-"""Dimension tables with stable surrogate keys (1-based rank by natural id)."""
+"""Dimension tables with surrogate keys: the 1-based rank by natural id, or those of a lasting dictionary."""
 
 from __future__ import annotations
 
@@ -18,6 +18,8 @@ OWNER_PREFIX = "Owner_"
 
 # Writes the few distinct rows and reads them back, so that numbering them does not read the facts again.
 Settle = Callable[[DataFrame], DataFrame]
+# Adds the key to one row for each id: (members, id column, key column). A dictionary's ``numbered`` gives keys that last between runs.
+Number = Callable[[DataFrame, str, str], DataFrame]
 
 
 def _as_is(df: DataFrame) -> DataFrame:
@@ -33,34 +35,34 @@ def _members(rows: DataFrame, id_column: str) -> DataFrame:
     return keep_first(distinct, [id_column], [c for c in rows.columns if c != id_column]).drop("_uses")
 
 
-def dim_vendor(expenses: DataFrame, settle: Settle = _as_is) -> DataFrame:
+def dim_vendor(expenses: DataFrame, settle: Settle = _as_is, number: Number = dense_key) -> DataFrame:
     vendors = settle(_members(expenses.select("vendor_id", "vendor_name"), "vendor_id"))
     described = vendors.withColumns({
         "category": F.lit(VENDOR_CATEGORY), "country": F.lit(VENDOR_COUNTRY),
     })
-    return dense_key(described, "vendor_id", "vendor_key")
+    return number(described, "vendor_id", "vendor_key")
 
 
-def dim_employee(expenses: DataFrame, settle: Settle = _as_is) -> DataFrame:
+def dim_employee(expenses: DataFrame, settle: Settle = _as_is, number: Number = dense_key) -> DataFrame:
     people = settle(_members(expenses.select("employee_id", "employee_name", "dept_id"), "employee_id"))
     described = people.withColumns({
         "title": F.lit(EMPLOYEE_TITLE), "location": F.lit(EMPLOYEE_LOCATION),
     })
-    return dense_key(described, "employee_id", "employee_key")
+    return number(described, "employee_id", "employee_key")
 
 
-def dim_department(expenses: DataFrame, settle: Settle = _as_is) -> DataFrame:
+def dim_department(expenses: DataFrame, settle: Settle = _as_is, number: Number = dense_key) -> DataFrame:
     departments = settle(_members(expenses.select("dept_id", "dept_name"), "dept_id"))
     owned = departments.withColumn("owner", F.concat(F.lit(OWNER_PREFIX), "dept_name"))
-    return dense_key(owned, "dept_id", "dept_key")
+    return number(owned, "dept_id", "dept_key")
 
 
-def dim_campaign(campaign_spend: DataFrame, settle: Settle = _as_is) -> DataFrame:
+def dim_campaign(campaign_spend: DataFrame, settle: Settle = _as_is, number: Number = dense_key) -> DataFrame:
     columns = ["campaign_id", "campaign_name", "channel", "objective"]
-    return dense_key(settle(_members(campaign_spend.select(*columns), "campaign_id")), "campaign_id", "campaign_key")
+    return number(settle(_members(campaign_spend.select(*columns), "campaign_id")), "campaign_id", "campaign_key")
 
 
-def dim_calendar(calendar: DataFrame) -> DataFrame:
+def dim_calendar(calendar: DataFrame, number: Number = dense_key) -> DataFrame:
     """``calendar`` already holds one row per date."""
     columns = ["date", "week", "month_key", "quarter", "year", "is_weekend", "is_holiday"]
-    return dense_key(calendar.select(*columns), "date", "calendar_key")
+    return number(calendar.select(*columns), "date", "calendar_key")

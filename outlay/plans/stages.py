@@ -13,6 +13,7 @@ from outlay.functions import small_side
 from outlay.operators import cleaning, dimensions, facts, kpis, metrics, quality, rules, summaries, views
 from outlay.params import DEFAULTS, Thresholds
 from outlay.sources import contracts
+from outlay.sources.commits import publish
 from outlay.sources.readers import load_budgets, read_csv, read_table
 from outlay.sources.writers import write_json, write_table
 
@@ -21,6 +22,13 @@ from outlay.sources.writers import write_json, write_table
 SIGNAL_ORDER = ("signal_date", "entity_id", "rule_name")
 
 
+def _published(spark: SparkSession, gold_dir: str, counts: dict[str, int]) -> dict[str, int]:
+    """Give the tables that a stage has written their next versions, so that loads replace the earlier ones."""
+    for table, rows in counts.items():
+        publish(spark, gold_dir, table, rows)
+    return counts
+
+
 def clean_files(
     spark: SparkSession, raw_dir: str, clean_dir: str,
     expenses_file: str = "expenses_small.csv", budgets_file: str = "budgets_small.csv",
@@ -50,7 +58,8 @@ def build_star(spark: SparkSession, clean_dir: str, gold_dir: str) -> dict[str,
     """Clean tables to dimensions and facts.
 
     The dimensions are written first and read back, so the keys in the facts are the written
-    keys and each dimension's size is known when its join is chosen.
+    keys and each dimension's size is known when its join is chosen. Keys come from dictionaries below ``_keys``: an id keeps
+    its key in later runs, whatever ids come up in between.
     """
     expenses = read_table(spark, f"{clean_dir}/expenses")
     campaign_spend = read_table(spark, f"{clean_dir}/campaign_spend")
@@ -63,12 +72,15 @@ def build_star(spark: SparkSession, clean_dir: str, gold_dir: str) -> dict[str,
 
         return settle
 
+    def lasting(dimension: str) -> dimensions.Number:
+        return contracts.key_book(spark, gold_dir, dimension).numbered
+
     built = {
-        "dim_vendor": dimensions.dim_vendor(expenses, settled("vendor")),
-        "dim_employee": dimensions.dim_employee(expenses, settled("employee")),
-        "dim_department": dimensions.dim_department(expenses, settled("department")),
-        "dim_campaign": dimensions.dim_campaign(campaign_spend, settled("campaign")),
-        "dim_calendar": dimensions.dim_calendar(read_table(spark, f"{clean_dir}/holidays")),
+        "dim_vendor": dimensions.dim_vendor(expenses, settled("vendor"), lasting("dim_vendor")),
+        "dim_employee": dimensions.dim_employee(expenses, settled("employee"), lasting("dim_employee")),
+        "dim_department": dimensions.dim_department(expenses, settled("department"), lasting("dim_department")),
+        "dim_campaign": dimensions.dim_campaign(campaign_spend, settled("campaign"), lasting("dim_campaign")),
+        "dim_calendar": dimensions.dim_calendar(read_table(spark, f"{clean_dir}/holidays"), lasting("dim_calendar")),
     }
     counts = {name: write_table(df, f"{gold_dir}/{name}") for name, df in built.items()}
     vendors, employees, departments, calendar = (
@@ -86,7 +98,7 @@ def build_star(spark: SparkSession, clean_dir: str, gold_dir: str) -> dict[str,
     budgets = read_table(spark, f"{clean_dir}/budgets")
     counts["fact_budget"] = write_table(contracts.fact_budget(budgets), f"{gold_dir}/fact_budget")
     counts["fact_budget_rejects"] = write_table(contracts.budgets_without_month(budgets), f"{gold_dir}/fact_budget_rejects")
-    return counts
+    return _published(spark, gold_dir, counts)
 
 
 def build_summaries(spark: SparkSession, gold_dir: str) -> dict[str, int]:
@@ -100,7 +112,7 @@ def build_summaries(spark: SparkSession, gold_dir: str) -> dict[str, int]:
             read_table(spark, f"{gold_dir}/fact_campaign_spend")
         ),
     }
-    return {name: write_table(df, f"{gold_dir}/{name}") for name, df in built.items()}
+    return _published(spark, gold_dir, {name: write_table(df, f"{gold_dir}/{name}") for name, df in built.items()})
 
 
 def signal_sets(
@@ -130,7 +142,7 @@ def detect(
     """Signals and the two KPI tables."""
     fact = read_table(spark, f"{gold_dir}/fact_expense")
     signals = rules.leakage_signals(*signal_sets(spark, gold_dir, limits, as_of))
-    return {
+    return _published(spark, gold_dir, {
         "fact_leakage_signal": write_table(
             signals, f"{gold_dir}/fact_leakage_signal", row_id="signal_id", cluster_by=SIGNAL_ORDER
         ),
@@ -148,7 +160,7 @@ def detect(
         "vendor_rank": write_table(
             views.vendor_ranks(fact, read_table(spark, f"{gold_dir}/dim_vendor"), limits), f"{gold_dir}/vendor_rank"
         ),
-    }
+    })
 
 
 def report(spark: SparkSession, gold_dir: str, report_path: str, limits: Thresholds = DEFAULTS) -> DataFrame:

@@ -1,15 +1,30 @@
-"""Typed contracts of the published tables, and loading Parquet into them."""
+"""Typed contracts of the published tables, and loading Parquet into them.
+
+A load brings a source table into its contract table and commits it (see ``commits``): readers see all of it or nothing, and of two loads at
+once the second starts again from what the first has committed.
+
+* A source that a stage has published has a version. A new version replaces what earlier ones have brought in, part by part: months whose rows are
+  the same stay as they are. So a batch run that is repeated, and then loaded, adds nothing.
+* A source without versions is a folder to which files are added: the files that no load has recorded are appended.
+* Dimensions are merged by their natural id: one row for each, with the key that the id got first (see ``key_book``), the newest attributes,
+  the first creation time, and the time of the last change. Facts take these keys. Opaque ids are numbered above the highest one ever given.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import islice
+from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from outlay.sources.readers import read_table
+from outlay.functions import keep_first, small_side
+from outlay.sources.commits import ATTEMPTS, CommitLog, Conflict, Files, published_version, read_folders
+from outlay.sources.key_book import KeyBook
 from outlay.sources.writers import write_table
 
 BIGINT = T.LongType()
@@ -168,61 +183,241 @@ def budgets_without_month(budgets: DataFrame) -> DataFrame:
     return budgets.filter(F.col("budget_month").isNull())
 
 
-RECORD = T.StructType([
-    T.StructField("load_number", T.LongType()), T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),
-    T.StructField("modified", T.TimestampType()), T.StructField("last_key", T.LongType()),
+FILES = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("length", T.LongType()), T.StructField("modified", T.TimestampType()),
 ])
 IDENTITY = ["path", "length", "modified"]
-
-
-def _record(spark: SparkSession, folder: str) -> DataFrame:
-    try:
-        return spark.read.schema(RECORD).parquet(folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], RECORD)
+FILES_AT_ONCE = 10_000
+LOAD = "load_folder"
+PARTITIONS = {"fact_expense": "budget_month_key"}
+WHOLE = "*"  # the part of a table without partitions
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+# The natural id and the lasting key of each dimension, and where a fact refers to it.
+NATURAL = {
+    "dim_vendor": ("vendor_id", "vendor_key"), "dim_employee": ("employee_id", "employee_key"),
+    "dim_department": ("dept_id", "dept_key"), "dim_campaign": ("campaign_id", "campaign_key"),
+    "dim_calendar": ("date", "calendar_key"),
+}
+REFERENCES = {
+    "fact_expense": {"dim_vendor": "vendor_id", "dim_employee": "employee_id", "dim_department": "dept_id", "dim_calendar": "trx_date"},
+    "fact_campaign_spend": {"dim_calendar": "date"},
+}
+CLOCK = ("created_timestamp", "updated_timestamp", "ingestion_timestamp")
+
+
+def key_book(spark: SparkSession, store_dir: str, dimension: str) -> KeyBook:
+    """The lasting keys of a dimension below a folder of tables."""
+    return KeyBook(spark, f"{store_dir}/_keys/{dimension}", *NATURAL[dimension])
+
+
+def _opaque(table: str) -> str | None:
+    """The table's column of ids that mean nothing outside it."""
+    if table in NATURAL:
+        return None
+    return next((f.name for f in CONTRACTS[table] if f.default == "sequence"), None)
+
+
+def _prints(source: DataFrame, table: str) -> dict[str, list]:
+    """For each part of the source the number of its rows and two sums of their hashes, whatever their order."""
+    by = PARTITIONS.get(table)
+    part = F.coalesce(F.col(by).cast("string"), F.lit(NULL_PART)) if by else F.lit(WHOLE)
+    columns = sorted(c for c in source.columns if c not in CLOCK and c != _opaque(table))
+
+    def total(seed: int) -> Column:
+        return F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)")).cast("string")
+
+    found = source.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"), total(1).alias("a"), total(2).alias("b"))
+    return {r["part"]: [r["n"], r["a"], r["b"]] for r in found.collect()}
+
+
+def _part_folder(spark: SparkSession, table: str, folder: str, part: str) -> str:
+    if part == WHOLE:
+        return folder
+    name = part if part == NULL_PART else (
+        spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(part))
+    return f"{folder}/{PARTITIONS[table]}={name}"
+
+
+class _Target:
+    """A contract table and the loads that it consists of."""
+
+    def __init__(self, spark: SparkSession, target_dir: str, table: str):
+        self.spark, self.dir, self.table = spark, target_dir, table
+        self.base = f"{target_dir}/{table}"
+        self.log = CommitLog(spark, f"{target_dir}/_commits/{table}")
+
+    def folders(self, state: dict[str, Any]) -> list[str]:
+        """The folders that make up the table."""
+        parts = [part["folder"] for source in state.get("sources", {}).values() for part in source["parts"].values()]
+        return [*parts, *state.get("appended", []), *([state["merged"]] if "merged" in state else [])]
+
+    def read(self, state: dict[str, Any]) -> DataFrame | None:
+        return read_folders(self.spark, self.base, self.folders(state))
+
+    def write(self, df: DataFrame, wide: bool, keys_after: int) -> tuple[str, int, int]:
+        """Write rows to a folder of their own: its name, the rows, and the highest opaque id."""
+        folder, opaque = f"{LOAD}={uuid.uuid4().hex}", _opaque(self.table)
+        rows = conform(df.drop(opaque) if opaque else df, self.table, wide, keys_after)
+        written = write_table(rows, f"{self.base}/{folder}", partition_by=PARTITIONS.get(self.table))
+        highest = self.spark.read.parquet(f"{self.base}/{folder}").agg(F.max(opaque)).first()[0] if opaque and written else None
+        return folder, written, max(highest or 0, keys_after)
+
+    def discard(self, folder: str) -> None:
+        Files(self.spark, self.base).delete(folder)
+
+    def with_keys(self, fact: DataFrame) -> DataFrame:
+        """The fact with the keys that this store's dimensions have; where it has no such dimension, the input's stay."""
+        for dimension, reference in REFERENCES.get(self.table, {}).items():
+            book = key_book(self.spark, self.dir, dimension)
+            known = book.read()
+            if known is not None and reference in fact.columns:
+                keys = small_side(known.select(F.col(book.id_column).alias("_id"), F.col(book.key).alias("_key")))
+                fact = fact.drop(book.key).join(keys, F.col(reference) == F.col("_id"), "left").withColumnRenamed("_key", book.key).drop("_id")
+        return fact
+
+    def merged(self, incoming: DataFrame, state: dict[str, Any]) -> DataFrame:
+        """The dimension after a merge by natural id; ids that the input lacks stay."""
+        natural, key = NATURAL[self.table]
+        fields = [f for f in CONTRACTS[self.table] if f.name not in (natural, key, *CLOCK)]
+        incoming = conform(incoming, self.table)
+        new = keep_first(incoming.drop(key), [natural], [f.name for f in fields])
+        book = key_book(self.spark, self.dir, self.table)
+        keys = book.assign(new)
+        old = self.read(state)
+        if old is None:
+            return book.look_up(new, keys)
+        old = old.select(F.col(natural).alias("_id"), F.lit(True).alias("_old"), *[
+            F.col(f.name).alias(f"_{f.name}") for f in CONTRACTS[self.table] if f.name not in (natural, key)])
+        both = new.withColumn("_new", F.lit(True)).join(old, F.col(natural) == F.col("_id"), "full")
+        same = F.lit(True)
+        for f in fields:
+            same = same & F.col(f.name).eqNullSafe(F.col(f"_{f.name}"))
+
+        def first(name: str) -> Column:
+            return F.coalesce(f"_{name}", name).alias(name)
+
+        def newest(name: str) -> Column:
+            return F.when(F.col("_new"), F.col(name)).otherwise(F.col(f"_{name}")).alias(name)
+
+        columns = [F.coalesce(natural, "_id").alias(natural), *[newest(f.name) for f in fields], first("created_timestamp")]
+        if any(f.name == "updated_timestamp" for f in CONTRACTS[self.table]):
+            untouched = F.col("_old") & (F.col("_new").isNull() | same)
+            columns.append(F.when(untouched, F.col("_updated_timestamp")).otherwise(F.col("updated_timestamp")).alias("updated_timestamp"))
+        return book.look_up(both.select(*columns), keys)
+
+
+def _new_files(spark: SparkSession, source_dir: str, target: _Target, state: dict[str, Any]) -> Iterator[list]:
+    """The files that no load has recorded, some at a time: the comparison is a join, and no list of all of them is made."""
+    found = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+        .load(f"{source_dir}/{target.table}").select("path", "length", F.col("modificationTime").alias("modified"))
+    )
+    records = [f"{target.dir}/_files/{target.table}/{f}" for f in state.get("files", [])]
+    if records:
+        found = found.join(spark.read.schema(FILES).parquet(*records), IDENTITY, "left_anti")
+    rows = found.toLocalIterator()
+    while some := list(islice(rows, FILES_AT_ONCE)):
+        yield some
+
+
+def _load_version(target: _Target, source_dir: str, version: int, state: dict[str, Any], wide: bool) -> tuple[dict[str, Any], int, str | None]:
+    """Replace the parts that differ from what earlier versions of the source have brought in: the new state, the rows, the folder written."""
+    spark, table = target.spark, target.table
+    source = spark.read.parquet(f"{source_dir}/{table}")
+    sources = dict(state.get("sources", {}))
+    had = sources.get(source_dir, {"parts": {}})["parts"]
+    if table in NATURAL:
+        folder, rows, _ = target.write(target.merged(source, state), wide, 0)
+        sources[source_dir] = {"version": version, "parts": {}}
+        return {**state, "sources": sources, "merged": folder}, source.count(), folder
+    prints = _prints(source, table)
+    changed = [part for part, seen in prints.items() if part not in had or had[part]["print"] != seen]
+    parts = {part: kept for part, kept in had.items() if part in prints and part not in changed}
+    after, rows, folder = state.get("last_key", 0), 0, None
+    if changed:
+        by = PARTITIONS.get(table)
+        if by and len(changed) < len(prints):
+            named = F.coalesce(F.col(by).cast("string"), F.lit(NULL_PART))
+            source = source.filter(F.col(by).isin([p for p in changed if p != NULL_PART]) | (
+                F.col(by).isNull() if NULL_PART in changed else F.lit(False))) if len(changed) < 1000 else source.filter(named.isin(changed))
+        folder, rows, after = target.write(target.with_keys(source), wide, after)
+        for part in changed:
+            parts[part] = {"folder": _part_folder(spark, table, folder, part), "print": prints[part]}
+    sources[source_dir] = {"version": version, "parts": parts}
+    return {**state, "sources": sources, "last_key": after}, rows, folder
+
+
+def _load_files(target: _Target, source_dir: str, files: list, state: dict[str, Any], wide: bool) -> tuple[dict[str, Any], int, str]:
+    """Append (or, of a dimension, merge) the rows of some files: the new state, the rows, the folder written."""
+    spark, table = target.spark, target.table
+    source = spark.read.option("basePath", f"{source_dir}/{table}").parquet(*sorted(row["path"] for row in files))
+    if table in NATURAL:
+        folder, _, after = target.write(target.merged(source, state), wide, 0)
+        rows, placed = source.count(), {"merged": folder}
+    else:
+        folder, rows, after = target.write(target.with_keys(source), wide, state.get("last_key", 0))
+        placed = {"appended": [*state.get("appended", []), folder], "last_key": after}
+    record = spark.createDataFrame([tuple(row[c] for c in IDENTITY) for row in files], FILES)
+    record.coalesce(1).write.parquet(f"{target.dir}/_files/{table}/{folder}")
+    return {**state, **placed, "files": [*state.get("files", []), folder]}, rows, folder
 
 
 def load_table(spark: SparkSession, source_dir: str, target_dir: str, table: str, wide_money: bool | None = None) -> int:
-    """Load the files of ``table`` that no earlier load has brought in; returns the rows loaded.
+    """Bring what is new in ``source_dir/table`` into the contract table; returns the rows that were read for it.
 
-    The files (path, size, modification time) are recorded below ``_loads``. A load writes a folder of its own, named by its number, and
-    then its record: one that fails in between is written anew under the same number by the next attempt. Keys go on above
-    the highest one recorded. The fact keeps its month partitions. ``wide_money`` defaults to true for the summaries, whose totals grow.
+    ``wide_money`` defaults to true for the summaries, whose totals grow. Raises ``Conflict`` if other loads are faster every time.
     """
-    record_dir = f"{target_dir}/_loads/{table}"
-    record = _record(spark, record_dir)
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-        .load(f"{source_dir}/{table}").select("path", "length", F.col("modificationTime").alias("modified"))
-    )
-    new = files.join(record, IDENTITY, "left_anti").collect()
-    if not new:
-        return 0
-    last, keys_after = record.agg(F.max("load_number"), F.max("last_key")).first()
-    number, keys_after = (last or 0) + 1, keys_after or 0
-    source = spark.read.option("basePath", f"{source_dir}/{table}").parquet(*sorted(row["path"] for row in new))
     wide = table.startswith("summary_") if wide_money is None else wide_money
-    path = f"{target_dir}/{table}/{LOAD}={number}"
-    rows = write_table(conform(source, table, wide, keys_after), path, partition_by=PARTITIONS.get(table))
-    keyed = next((f.name for f in CONTRACTS[table] if f.default == "sequence"), None)
-    highest = spark.read.parquet(path).agg(F.max(keyed)).first()[0] if keyed else None
-    done = [(number, *(row[c] for c in IDENTITY), max(highest or 0, keys_after)) for row in new]
-    spark.createDataFrame(done, RECORD).coalesce(1).write.mode("append").parquet(record_dir)
-    return rows
-
-
-LOAD = "load_number"
-PARTITIONS = {"fact_expense": "budget_month_key"}
+    target = _Target(spark, target_dir, table)
+    version, total = published_version(spark, source_dir, table), 0
+    for _ in range(ATTEMPTS):
+        number, state = target.log.latest()
+        try:
+            if version:
+                if state.get("sources", {}).get(source_dir, {}).get("version", 0) >= version:
+                    return total
+                state, rows, folder = _load_version(target, source_dir, version, state, wide)
+                _commit(target, number + 1, state, folder)
+                return rows
+            for files in _new_files(spark, source_dir, target, state):
+                state, rows, folder = _load_files(target, source_dir, files, state, wide)
+                _commit(target, number + 1, state, folder)
+                number, total = number + 1, total + rows
+            return total
+        except Conflict:
+            continue
+    raise Conflict(f"{table}: no free number after {ATTEMPTS} attempts")
+
+
+def _commit(target: _Target, number: int, state: dict[str, Any], folder: str | None) -> None:
+    try:
+        target.log.commit(number, state)
+    except Conflict:
+        if folder:
+            target.discard(folder)
+        raise
 
 
 def read_loaded(spark: SparkSession, target_dir: str, table: str) -> DataFrame:
-    """All rows that the recorded loads have brought into the contract table."""
-    loads = _record(spark, f"{target_dir}/_loads/{table}").select(LOAD).distinct()
-    stored = read_table(spark, f"{target_dir}/{table}")
-    return stored.join(loads, LOAD, "left_semi").select(*[f.name for f in CONTRACTS[table]])
+    """All rows of the contract table."""
+    target = _Target(spark, target_dir, table)
+    names = [f.name for f in CONTRACTS[table]]
+    stored = target.read(target.log.latest()[1])
+    if stored is None:
+        return conform(spark.range(0), table).select(*names)
+    return stored.select(*names)
 
 
 def load_all(spark: SparkSession, source_dir: str, target_dir: str) -> dict[str, int]:
     return {table: load_table(spark, source_dir, target_dir, table) for table in LOADED_TABLES}
+
+
+def remove_unnamed(spark: SparkSession, target_dir: str, table: str) -> int:
+    """Delete the load folders that the table no longer consists of; returns their number. No load or old reader may be at work."""
+    target = _Target(spark, target_dir, table)
+    named = {folder.split("/")[0] for folder in target.folders(target.log.latest()[1])}
+    files = Files(spark, target.base)
+    old = [name for name in files.names() if name.startswith(f"{LOAD}=") and name not in named]
+    for name in old:
+        files.delete(name)
+    return len(old)

@@ -109,6 +109,12 @@ def test_the_stages_run_end_to_end(spark, folders):
     loaded = contracts.load_all(spark, gold, f"{root}/warehouse")
     assert loaded == {t: counts[t] for t in contracts.LOADED_TABLES}
     assert set(contracts.load_all(spark, gold, f"{root}/warehouse").values()) == {0}
+    before = {t: contracts.read_loaded(spark, f"{root}/warehouse", t).count() for t in contracts.LOADED_TABLES}
+    stages.build_star(spark, clean, gold)
+    stages.build_summaries(spark, gold)
+    again = contracts.load_all(spark, gold, f"{root}/warehouse")
+    assert {t: n for t, n in again.items() if n and t not in contracts.NATURAL} == {}
+    assert {t: contracts.read_loaded(spark, f"{root}/warehouse", t).count() for t in contracts.LOADED_TABLES} == before == loaded
 
 
 def test_the_star_needs_a_budget_table(spark, folders, tmp_path):
