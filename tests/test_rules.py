@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rows import day
 from outlay.operators import rules
+from outlay.operators import near_duplicates
 from outlay.operators.near_duplicates import near_duplicate_points
 from outlay.params import Thresholds
 from outlay.schemas import SIGNAL_COLUMNS
@@ -149,10 +150,14 @@ def matches_by_brute_force(rows, days, tolerance):
 
 
 @pytest.mark.parametrize(
-    "days, tolerance, seed, hot_points",
-    [(30, 10, 1, 10_000), (30, 10, 2, 2), (30, 10, 6, 20), (5, 50, 3, 5), (0, 1, 4, 10_000), (90, 95, 5, 3)],
+    "days, tolerance, seed, rounds, chunk, cells",
+    [(30, 10, 1, 48, 200_000, 12), (30, 10, 2, 1, 1, 12), (30, 10, 6, 2, 50, 1), (5, 50, 3, 1, 20, 3), (0, 1, 4, 48, 200_000, 12),
+     (90, 95, 5, 3, 100, 2)],
 )
-def test_near_duplicates_equal_brute_force(spark, days, tolerance, seed, hot_points):
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, days, tolerance, seed, rounds, chunk, cells):
+    monkeypatch.setattr(near_duplicates, "ROUNDS", rounds)
+    monkeypatch.setattr(near_duplicates, "CHUNK", chunk)
+    monkeypatch.setattr(near_duplicates, "CELLS_IN_BLOCK", cells)
     rng = random.Random(seed)
     rows = []
     for i in range(400):
@@ -168,7 +173,7 @@ def test_near_duplicates_equal_brute_force(spark, days, tolerance, seed, hot_poi
     df = spark.createDataFrame(rows, "invoice_id string, vendor_id int, trx_date date, amount decimal(10,2)")
     points = {
         (r.vendor_id, r.trx_date, r.amount): min(2, r.matches)
-        for r in near_duplicate_points(df, days, tolerance, hot_points).collect()
+        for r in near_duplicate_points(df, days, tolerance).collect()
     }
     expected = matches_by_brute_force(rows, days, tolerance)
     assert {i: points[v, d, a.quantize(Decimal("0.01"))] for i, v, d, a in rows} == {
@@ -176,6 +181,18 @@ def test_near_duplicates_equal_brute_force(spark, days, tolerance, seed, hot_poi
     }
 
 
+def test_a_crowded_day_sends_few_points(spark):
+    """Of 5,000 amounts of one vendor and day, only the outermost of each cell are exchanged and compared; all are counted."""
+    rows = spark.range(20_000).selectExpr(
+        "concat('I', id) AS invoice_id", "1 AS vendor_id", "date_add(date'2024-01-01', cast(id % 4 as int)) AS trx_date",
+        "cast(1000 + id / 100 as decimal(10,2)) AS amount")
+    found = near_duplicate_points(rows, 30, 10)
+    assert found.count() == 20_000 and found.agg({"matches": "min"}).first()[0] >= 2
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("RepartitionByExpression") == 1
+    assert "Join" not in plan
+
+
 def test_near_duplicate_signals(fact, names):
     df = fact(
         ("A", 1, 1, 1, "2024-01-15", 1000), ("B", 1, 1, 1, "2024-01-20", 1050),
