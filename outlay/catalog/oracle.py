@@ -675,6 +675,17 @@ FROM small_claims WHERE score >= 80""",
   CAST(sum(amount) AS DOUBLE) AS loaded_amount FROM fact_expense GROUP BY 1""",
     "load_contract_second": """SELECT CAST(dept_id AS BIGINT) AS dept_id, 2 * count(*) AS loaded_rows,
   2 * count(*) AS distinct_keys, CAST(2 * sum(budget_amount) AS DOUBLE) AS loaded_amount FROM budgets GROUP BY 1""",
+    "quarantine_rows": """SELECT status, reason, unparsed, count(*) AS row_count, count(CASE WHEN status IN ('rejected', 'repaired') THEN 1 END) AS kept_lines
+FROM (
+  SELECT CASE WHEN l_quantity IN (1, 2, 3, 6) THEN 'rejected' WHEN l_quantity IN (4, 5) THEN 'repaired' END AS status,
+    CASE l_quantity WHEN 1 THEN 'amount does not fit' WHEN 6 THEN 'amount does not fit' WHEN 2 THEN 'trx_date does not fit'
+      WHEN 3 THEN 'invoice_id missing' END AS reason,
+    CASE l_quantity WHEN 1 THEN 'amount' WHEN 6 THEN 'amount' WHEN 2 THEN 'trx_date' WHEN 4 THEN 'vendor_id' WHEN 5 THEN 'dept_id' ELSE '' END AS unparsed
+  FROM raw_expenses WHERE l_quantity <= 6
+  UNION ALL
+  SELECT CASE nth WHEN 1 THEN 'clean' ELSE 'duplicate' END, NULL, NULL
+  FROM (SELECT row_number() OVER (PARTITION BY invoice_id) AS nth FROM raw_expenses WHERE l_quantity NOT IN (1, 2, 3, 6))
+) GROUP BY 1, 2, 3""",
     "load_rebuilt": """SELECT budget_month_key, count(*) AS loaded_rows, count(*) AS distinct_keys,
   CAST(sum(amount) AS DOUBLE) AS loaded_amount FROM fact_expense GROUP BY 1""",
     "load_lasting_keys": """SELECT CAST(v.vendor_id AS BIGINT) AS vendor_id,

@@ -12,6 +12,7 @@ from outlay import schemas
 from outlay.catalog.inputs import LIMITS, Tables, scratch_folder
 from outlay.functions import numeric_or_null
 from outlay.operators import cleaning, insights, kpis, metrics, quality, summaries, views
+from outlay.plans import stages
 from outlay.sources import contracts
 from outlay.sources.commits import publish
 from outlay.sources.readers import load_budgets, read_csv, read_csv_inferred, read_table
@@ -137,6 +138,25 @@ def _lasting_keys(t: Tables) -> DataFrame:
     return dimension.join(spent, "vendor_key", "left").select("vendor_id", "vendor_key", "vendor_name", "expense_count")
 
 
+def _quarantine(t: Tables) -> DataFrame:
+    """A CSV with cells that do not parse, through the cleaning stage: what became of its rows, by reason and unparsed cells."""
+    folder = _scratch(t, "intake")
+    quantity = F.col("l_quantity")
+
+    def spoilt(column: str, at: int, text: str | None):
+        return F.when(quantity != at, F.col(column).cast("string")).otherwise(F.lit(text))
+
+    raw = t.raw_expenses.withColumns({
+        "amount": F.when(quantity == 6, "12.5.1").otherwise(spoilt("amount", 1, "n/a")), "trx_date": spoilt("trx_date", 2, "1998-13-45"),
+        "invoice_id": spoilt("invoice_id", 3, None), "vendor_id": spoilt("vendor_id", 4, "V7"), "dept_id": spoilt("dept_id", 5, "none"),
+    })
+    write_csv(raw.drop("l_quantity", "l_discount"), f"{folder}/raw")
+    _, aside = stages.clean_csv(
+        t.spark, f"{folder}/raw", f"{folder}/clean/expenses", cleaning.EXPENSES, cleaning.clean_expenses, "expenses", "expenses_csv")
+    return aside.groupBy("status", "reason", F.array_join("unparsed", ",").alias("unparsed")).agg(
+        F.sum("row_count").alias("row_count"), F.count_if(F.col("raw_line").like("INV-%") | F.col("raw_line").like(",%")).alias("kept_lines"))
+
+
 def _fallback_variance(t: Tables) -> DataFrame:
     """All spending taken as of the month that the fallback budgets are for."""
     budgets = load_budgets(t.spark, _scratch(t, "no_such_table"))
@@ -280,6 +300,7 @@ BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {
     "load_contract_second": _load_contract_second,
     "load_rebuilt": _load_rebuilt,
     "load_lasting_keys": _lasting_keys,
+    "quarantine_rows": _quarantine,
 }
 
 # The report holds amounts of many digits; the two views hold plain quotients, left as they are.

@@ -1,7 +1,7 @@
 """Raw inputs to clean tables: required keys, positive amounts, declared types, one row per key.
 
 Rows that a rule rejects are counted by their first reason: in the pass that writes the clean table, if it is given an
-observation, or as a table of their own by ``rejects``.
+observation, or as a table of their own by ``rejects``. ``judged`` keeps the rows themselves, with their lines, for a quarantine.
 """
 
 from __future__ import annotations
@@ -49,12 +49,12 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[_cast(df, f).alias(f.name) for f in schema])
 
 
-def _checked(df: DataFrame, rules: Rules) -> tuple[DataFrame, dict[str, Column]]:
-    """The typed columns and ``_reason``, and what each reason means; ``_reason`` is NULL for a row that stays."""
+def _checked(df: DataFrame, rules: Rules, *carried: str) -> tuple[DataFrame, dict[str, Column]]:
+    """The typed columns, ``carried`` ones and ``_reason``, and what each reason means; ``_reason`` is NULL for a row that stays."""
     watched = [*rules.required, *([rules.positive] if rules.positive else [])]
     unfit = {c: F.col(c).isNotNull() & _cast(df, rules.schema[c]).isNull() for c in watched}
     rows = df.select(
-        *[_cast(df, f).alias(f.name) for f in rules.schema], *[unfit[c].alias(f"_unfit_{c}") for c in watched],
+        *[_cast(df, f).alias(f.name) for f in rules.schema], *carried, *[unfit[c].alias(f"_unfit_{c}") for c in watched],
     )
     reasons: dict[str, Column] = {}
     for c in watched:
@@ -63,7 +63,7 @@ def _checked(df: DataFrame, rules: Rules) -> tuple[DataFrame, dict[str, Column]]
     if rules.positive:
         reasons[f"{rules.positive} not positive"] = F.col(rules.positive) <= 0
     first = F.coalesce(*[F.when(bad, F.lit(reason)) for reason, bad in reasons.items()])
-    return rows.select(*rules.schema.names, first.alias("_reason")), reasons
+    return rows.select(*rules.schema.names, *carried, first.alias("_reason")), reasons
 
 
 def rejects(raw: DataFrame, rules: Rules, table: str) -> DataFrame:
@@ -73,6 +73,29 @@ def rejects(raw: DataFrame, rules: Rules, table: str) -> DataFrame:
     ).select(F.lit(table).alias("table_name"), "reason", "row_count")
 
 
+def judged(text: DataFrame, rules: Rules, malformed: str) -> DataFrame:
+    """Every row of a table of texts: the typed columns, ``status``, ``reason``, ``unparsed`` and ``raw_line``.
+
+    ``status`` is ``rejected`` with the first ``reason``; ``repaired`` for a row that stays although cells in it became NULL (named in ``unparsed``) or its
+    line was malformed; else ``clean``. The line is kept for the first two.
+    """
+    names = rules.schema.names
+    unparsed = F.array_compact(F.array(*[
+        F.when(F.col(f.name).isNotNull() & _cast(text, f).isNull(), F.lit(f.name)) for f in rules.schema
+    ]))
+    line = F.coalesce(malformed, F.to_csv(F.struct(*names)))
+    carried = text.select(*names, unparsed.alias("_unparsed"), F.col(malformed).isNotNull().alias("_malformed"), line.alias("_line"))
+    rows, _ = _checked(carried, rules, "_unparsed", "_malformed", "_line")
+    status = (
+        F.when(F.col("_reason").isNotNull(), "rejected")
+        .when((F.size("_unparsed") > 0) | F.col("_malformed"), "repaired").otherwise("clean")
+    )
+    return rows.select(
+        *names, status.alias("status"), F.col("_reason").alias("reason"), F.col("_unparsed").alias("unparsed"),
+        F.when(status != "clean", F.col("_line")).alias("raw_line"),
+    )
+
+
 def _valid(raw: DataFrame, rules: Rules, seen: Observation | None) -> DataFrame:
     rows, reasons = _checked(raw, rules)
     if seen is not None:

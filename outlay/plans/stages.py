@@ -6,15 +6,18 @@ costs at most the tasks of the running write.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from outlay import schemas
 from outlay.functions import small_side
 from outlay.operators import cleaning, dimensions, facts, kpis, metrics, quality, rules, summaries, views
 from outlay.params import DEFAULTS, Thresholds
 from outlay.sources import contracts
-from outlay.sources.commits import publish
-from outlay.sources.readers import load_budgets, read_csv, read_table
+from outlay.sources.commits import Files, publish
+from outlay.sources.readers import MALFORMED, load_budgets, read_csv_text, read_table
 from outlay.sources.writers import write_json, write_table
 
 
@@ -36,24 +39,53 @@ def clean_files(
 ) -> dict[str, int]:
     """Raw CSV files to the clean tables expenses, budgets, campaign_spend and holidays.
 
-    The rows that each rejects are counted by reason in the same pass and written as ``rejects``.
+    ``rejects`` counts the rejected rows by reason, ``quarantine`` has the lines of rejected and repaired rows, and ``intake`` tells what
+    has become of all rows of each file.
     """
     jobs = {
-        "expenses": (cleaning.clean_expenses, schemas.EXPENSES, expenses_file),
-        "budgets": (cleaning.clean_budgets, schemas.BUDGETS, budgets_file),
-        "campaign_spend": (cleaning.clean_campaign_spend, schemas.CAMPAIGN_SPEND, campaign_file),
-        "holidays": (cleaning.clean_calendar, schemas.CALENDAR, calendar_file),
+        "expenses": (cleaning.clean_expenses, cleaning.EXPENSES, expenses_file),
+        "budgets": (cleaning.clean_budgets, cleaning.BUDGETS, budgets_file),
+        "campaign_spend": (cleaning.clean_campaign_spend, cleaning.CAMPAIGN_SPEND, campaign_file),
+        "holidays": (cleaning.clean_calendar, cleaning.CALENDAR, calendar_file),
     }
-    counts, rejected = {}, []
-    for table, (clean, schema, file) in jobs.items():
-        seen = Observation()
-        counts[table] = write_table(clean(read_csv(spark, f"{raw_dir}/{file}", schema), file, seen), f"{clean_dir}/{table}")
-        rejected += [(table, reason, n) for reason, n in seen.get.items() if n]
-    reasons = spark.createDataFrame(rejected, "table_name string, reason string, row_count long")
-    counts["rejects"] = write_table(reasons, f"{clean_dir}/rejects")
+    counts, aside = {}, []
+    for table, (clean, rules, file) in jobs.items():
+        counts[table], remarkable = clean_csv(spark, f"{raw_dir}/{file}", f"{clean_dir}/{table}", rules, clean, table, file)
+        aside.append(remarkable)
+    set_aside = reduce(DataFrame.unionByName, aside)
+    counts["quarantine"] = write_table(set_aside.filter("raw_line IS NOT NULL").drop("row_count"), f"{clean_dir}/quarantine")
+    counts["intake"] = write_table(
+        set_aside.groupBy("table_name", "status", "reason").agg(F.sum("row_count").alias("row_count")), f"{clean_dir}/intake")
+    rejected = read_table(spark, f"{clean_dir}/intake").filter("status = 'rejected'")
+    counts["rejects"] = write_table(rejected.select("table_name", "reason", "row_count"), f"{clean_dir}/rejects")
+    for table in jobs:
+        Files(spark, clean_dir).delete(f"_judged/{table}")
     return counts
 
 
+def clean_csv(
+    spark: SparkSession, path: str, clean_path: str, rules: cleaning.Rules, clean: Callable[..., DataFrame], table: str, source_file: str,
+) -> tuple[int, DataFrame]:
+    """One raw file to one clean table: its rows, and what was set aside.
+
+    The file is read once. Its rows are written by their status, beside the clean tables in ``_judged``; the accepted ones go on from there. The second
+    result has a row for each rejected or repaired line, and one for the clean rows and one for the duplicates among the accepted.
+    """
+    folder, name = clean_path.rsplit("/", 1)
+    kept = f"{folder}/_judged/{name}"
+    sorted_out = cleaning.judged(read_csv_text(spark, path, rules.schema), rules, MALFORMED)
+    seen = Observation()
+    sorted_out.observe(seen, F.count_if(F.col("status") != "rejected").alias("accepted")).write.mode("overwrite").partitionBy("status").parquet(kept)
+    written = spark.read.schema(sorted_out.schema).parquet(kept)
+    accepted = written.filter("status <> 'rejected'").select(*rules.schema.names)
+    rows = write_table(clean(accepted, source_file), clean_path)
+    lines = written.filter("status <> 'clean'").select(
+        F.lit(table).alias("table_name"), "status", "reason", "unparsed", "raw_line", F.lit(1).cast("bigint").alias("row_count"))
+    counted = spark.createDataFrame(
+        [(table, "clean", None, None, None, rows), (table, "duplicate", None, None, None, seen.get["accepted"] - rows)], lines.schema)
+    return rows, lines.unionByName(counted)
+
+
 def build_star(spark: SparkSession, clean_dir: str, gold_dir: str) -> dict[str, int]:
     """Clean tables to dimensions and facts.
 

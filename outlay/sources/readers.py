@@ -15,6 +15,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema, mode="PERMISSIVE")
 
 
+MALFORMED = "_malformed_line"
+
+
+def read_csv_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV with a header, every cell as the text that it is; ``_malformed_line`` has the lines with too few or too many cells."""
+    text = T.StructType([T.StructField(name, T.StringType()) for name in [*schema.names, MALFORMED]])
+    return spark.read.csv(path, header=True, schema=text, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED)
+
+
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header and inferred types: a second pass over the file, for exploration."""
     return spark.read.csv(path, header=True, inferSchema=True)

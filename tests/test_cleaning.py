@@ -5,10 +5,12 @@ from decimal import Decimal
 
 from pyspark.sql import Observation
 
+from outlay.plans.stages import clean_csv
+from outlay.sources.readers import MALFORMED, read_csv_text
 from rows import day, expense
 from outlay import schemas
 from outlay.operators.cleaning import (
-    EXPENSES, clean_budgets, clean_calendar, clean_campaign_spend, clean_expenses, rejects,
+    EXPENSES, clean_budgets, clean_calendar, clean_campaign_spend, clean_expenses, judged, rejects,
 )
 from outlay.sources.readers import read_csv, read_csv_inferred
 from outlay.sources.writers import write_csv
@@ -127,3 +129,36 @@ def test_csv_round_trip(spark, expenses, tmp_path):
     assert sorted(back.collect()) == sorted(df.collect())
     inferred = dict(read_csv_inferred(spark, str(tmp_path / "out")).dtypes)
     assert inferred["vendor_id"] == "int" and inferred["amount"] == "double"
+
+
+def test_every_row_is_accounted_for(spark, tmp_path):
+    """Bad cells, short and long lines and duplicates: rejected + repaired or clean = all, and the lines are kept as they were."""
+    lines = [
+        "I1,1,V,1,E,1,D,2024-01-05,5.00,USD,Wire,ok", "I1,1,V,1,E,1,D,2024-01-05,5.00,USD,Wire,ok",
+        "I2,x,V,1,E,1,D,2024-01-05,5.00,USD,Wire,vendor", "I3,1,V,1,E,1,D,soon,5.00,USD,Wire,date",
+        "I4,1,V,1,E,1,D,2024-01-05,much,USD,Wire,amount", ",1,V,1,E,1,D,2024-01-05,5.00,USD,Wire,id",
+        "I5,1,V,1,E,1,D,2024-01-05,5.00,USD", "I6,1,V,1,E,1,D,2024-01-05,5.00,USD,Wire,text,more", '"I7",1,"a, b",1,E,1,D,2024-01-05,0,USD,Wire,"zero"',
+    ]
+    path = tmp_path / "raw.csv"
+    path.write_text("\n".join([",".join(schemas.EXPENSES.names), *lines]) + "\n")
+    rows = judged(read_csv_text(spark, str(path), schemas.EXPENSES), EXPENSES, MALFORMED).collect()
+    assert len(rows) == len(lines)
+    found = {r.raw_line: (r.status, r.reason, r.unparsed) for r in rows if r.raw_line}
+    assert found == {
+        lines[2]: ("repaired", None, ["vendor_id"]), lines[3]: ("rejected", "trx_date does not fit", ["trx_date"]),
+        lines[4]: ("rejected", "amount does not fit", ["amount"]), lines[5]: ("rejected", "invoice_id missing", []),
+        lines[6]: ("repaired", None, []), lines[7]: ("repaired", None, []),
+        'I7,1,"a, b",1,E,1,D,2024-01-05,0,USD,Wire,zero': ("rejected", "amount not positive", []),
+    }
+    total, aside = clean_csv(spark, str(path), str(tmp_path / "clean" / "t"), EXPENSES, clean_expenses, "t", "raw.csv")
+    by_status = {r.status: r.n for r in aside.groupBy("status").agg({"row_count": "sum"}).toDF("status", "n").collect()}
+    assert total == 4 and by_status == {"clean": 4, "duplicate": 1, "rejected": 4, "repaired": 3}
+    assert by_status["clean"] + by_status["duplicate"] + by_status["rejected"] == len(lines)
+    assert spark.read.parquet(str(tmp_path / "clean" / "t")).filter("invoice_id = 'I2'").first().vendor_id is None
+
+
+def test_a_file_without_rows_is_clean(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text(",".join(schemas.EXPENSES.names) + "\n")
+    total, aside = clean_csv(spark, str(path), str(tmp_path / "clean" / "t"), EXPENSES, clean_expenses, "t", "raw.csv")
+    assert total == 0 and {(r.status, r.row_count) for r in aside.collect()} == {("clean", 0), ("duplicate", 0)}

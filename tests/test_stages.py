@@ -78,6 +78,10 @@ def test_the_stages_run_end_to_end(spark, folders):
     assert counts["fact_budget_rejects"] == 1 and counts["vendor_rank"] == 10
     rejected = {(r.table_name, r.reason): r.row_count for r in read_table(spark, f"{clean}/rejects").collect()}
     assert rejected == {("expenses", "invoice_id missing"): 1, ("expenses", "amount not positive"): 1}
+    intake = {(r.table_name, r.status): r.row_count for r in read_table(spark, f"{clean}/intake").groupBy("table_name", "status").agg(F.sum("row_count").alias("row_count")).collect()}
+    assert {s: intake["expenses", s] for s in ("clean", "duplicate", "rejected")} == {"clean": 300, "duplicate": 6, "rejected": 2}
+    lines = {r.reason: r.raw_line for r in read_table(spark, f"{clean}/quarantine").collect()}
+    assert lines["amount not positive"].startswith("BAD,1,V,1,E,1,D,2024-01-01,-5,")
     assert counts["summary_dept_expenses"] == 4 and counts["kpi_vendor_concentration"] == 10
 
     fact = read_table(spark, f"{gold}/fact_expense")
