@@ -21,6 +21,7 @@ from outlay.operators import cleaning, dimensions, facts, kpis, rules, views
 from outlay.params import Thresholds
 from outlay.plans.stages import SIGNAL_ORDER
 from outlay.sources.calendar import calendar_days, day_span
+from outlay.sources.ranked import read_ranked, write_ranked
 from outlay.sources.readers import read_table, spread_if_few_splits
 from outlay.sources.writers import write_table
 
@@ -331,7 +332,11 @@ class Tables:
 
     @cached_property
     def vendor_rank(self) -> DataFrame:
-        return self.stored("vendor_rank", lambda: views.vendor_ranks(self.fact_expense, self.dim_vendor, LIMITS))
+        path = f"{self.store}/vendor_rank"
+        if "vendor_rank" not in self.written:
+            shares = views.vendor_shares(self.fact_expense, self.dim_vendor, LIMITS)
+            self.written["vendor_rank"] = write_ranked(shares, views.RANK_ORDER, path)
+        return read_ranked(self.spark, path, "vendor_rank")
 
     @cached_property
     def concentration(self) -> DataFrame:

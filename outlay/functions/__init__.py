@@ -3,12 +3,12 @@
 from outlay.functions.columns import first_match, guarded_pct, guarded_ratio, numeric_or_null
 from outlay.functions.counting import centred_day_counts, repeat_rows
 from outlay.functions.dedup import keep_first
-from outlay.functions.keys import dense_key, number_sorted
-from outlay.functions.lookup import small_side
+from outlay.functions.keys import dense_key
+from outlay.functions.lookup import KeyRuns, key_runs, key_side, small_side, with_key
 from outlay.functions.ordered import previous_values
 
 __all__ = [
-    "centred_day_counts", "dense_key", "first_match", "guarded_pct", "guarded_ratio",
-    "keep_first", "number_sorted", "numeric_or_null", "previous_values", "repeat_rows",
-    "small_side",
+    "KeyRuns", "centred_day_counts", "dense_key", "first_match", "guarded_pct", "guarded_ratio",
+    "keep_first", "key_runs", "key_side", "numeric_or_null", "previous_values", "repeat_rows",
+    "small_side", "with_key",
 ]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,39 +60,3 @@ def dense_key(df: DataFrame, id_column: str, key: str) -> DataFrame:
         .withColumn(key, F.col("_below") + F.col("_rank"))
         .drop("_cell", "_rank", "_below")
     )
-
-
-def _ensure_checkpoint_dir(df: DataFrame) -> None:
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    configured = context.getConf().get("spark.checkpoint.dir")
-    if configured is None and not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="outlay-checkpoint-"))
-
-
-def number_sorted(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Sort by ``order``, which must end in a unique column, and add dense 1-based numbers.
-
-    The range-partitioned sort is frozen with a reliable checkpoint; a partition's offset is
-    the number of rows in the partitions before it, one small row per partition.
-    """
-    _ensure_checkpoint_dir(df)
-    frozen = (
-        df.orderBy(*order)
-        .withColumn("_seq", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("_part", F.shiftright("_seq", 33))
-        .withColumn("_pos", F.col("_seq").bitwiseAND(F.lit((1 << 33) - 1)))
-    )
-    below = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        frozen.groupBy("_part").agg((F.max("_pos") + 1).alias("_size"))
-        .select("_part", F.coalesce(F.sum("_size").over(below), F.lit(0)).alias("_below"))
-    )
-    return (
-        frozen.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_below") + F.col("_pos") + 1)
-        .drop("_seq", "_part", "_pos", "_below")
-    )

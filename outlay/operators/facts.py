@@ -5,20 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from outlay.functions import KeyRuns, with_key
+
 
 def fact_expense(
-    expenses: DataFrame, vendors: DataFrame, employees: DataFrame, departments: DataFrame, calendar: DataFrame,
+    expenses: DataFrame, vendors: DataFrame | KeyRuns, employees: DataFrame | KeyRuns, departments: DataFrame | KeyRuns,
+    calendar: DataFrame,
 ) -> DataFrame:
     """Expenses with dimension keys; the month is the calendar's, NULL for a day outside it.
 
-    Only ids and keys of the dimensions enter the joins. Pass a dimension through
-    ``small_side`` to broadcast it when it is small; otherwise Spark picks the join.
+    Only ids and keys of the dimensions enter the joins. Pass a dimension through ``key_side``: a small one is broadcast, of a large
+    one only the runs of its ids are, so the expenses are not exchanged; otherwise Spark picks the join.
     """
+    keyed = with_key(expenses, vendors, "vendor_id", "vendor_key")
+    keyed = with_key(keyed, employees, "employee_id", "employee_key")
     return (
-        expenses
-        .join(vendors.select("vendor_id", "vendor_key"), "vendor_id", "left")
-        .join(employees.select("employee_id", "employee_key"), "employee_id", "left")
-        .join(departments.select("dept_id", "dept_key"), "dept_id", "left")
+        with_key(keyed, departments, "dept_id", "dept_key")
         .join(
             calendar.select("date", F.col("month_key").alias("budget_month_key"), "calendar_key"),
             F.col("trx_date") == F.col("date"), "left",

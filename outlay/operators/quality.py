@@ -116,11 +116,27 @@ def _result(table: str, check: Check, measured: Column, rows: Column) -> Column:
     )
 
 
+def _distinct(df: DataFrame, check: Check) -> Column:
+    """The number of distinct values, read from the check's columns alone and combined in the tasks first. NULL counts as a value."""
+    values = df.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("rows"))
+    return values.agg(F.count("rows")).scalar()
+
+
 def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
+    """One row for each check, from one aggregate over the table.
+
+    One count of distinct values joins that aggregate. Of several, each would copy every row once more, so they are counted by themselves.
+    """
+    several = sum(check.type == "unique" for check in checks) > 1
+
+    def alone(check: Check) -> bool:
+        return several and check.type == "unique"
+
     measured = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[_measure(check).alias(f"m{i}") for i, check in enumerate(checks)],
+        *[_measure(check).alias(f"m{i}") for i, check in enumerate(checks) if not alone(check)],
     )
+    measured = measured.select("*", *[_distinct(df, check).alias(f"m{i}") for i, check in enumerate(checks) if alone(check)])
     results = [_result(table, c, F.col(f"m{i}"), F.col("rows")) for i, c in enumerate(checks)]
     return measured.select(F.inline(F.array(*results)))
 

@@ -65,7 +65,7 @@ def duplicate_invoices(fact: DataFrame, vendors: DataFrame, limits: Thresholds =
     counted = centred_day_counts(fact, "vendor_id", "trx_date", limits.duplicate_window_days, "in_window")
     flagged = _named(counted.filter(F.col("in_window") > 1), vendors, "vendor_id", "vendor_name")
     text = F.concat(
-        F.lit("Duplicate invoice detected for vendor "), "vendor_name", F.lit(" within 30 days")
+        F.lit("Duplicate invoice detected for vendor "), "vendor_name", F.lit(f" within {limits.duplicate_window_days} days")
     )
     return _one_per_expense(_signals(
         flagged, DUPLICATE, "vendor", "vendor_id", "vendor_name", F.col("trx_date"),
@@ -101,7 +101,7 @@ def sub_threshold_repeats(fact: DataFrame, employees: DataFrame, limits: Thresho
     flagged = _named(repeated, employees, "employee_id", "employee_name")
     text = F.concat(
         F.lit("Employee "), "employee_name", F.lit(" made "), "small_claims",
-        F.lit(" small claims in 7 days"),
+        F.lit(f" small claims in {limits.sub_threshold_window_days} days"),
     )
     return _one_per_expense(_signals(
         flagged, SUB_THRESHOLD, "employee", "employee_id", "employee_name", F.col("trx_date"),

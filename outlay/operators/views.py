@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from outlay.functions import first_match, guarded_pct, guarded_ratio, number_sorted
+from outlay.functions import first_match, guarded_pct, guarded_ratio
 from outlay.params import DEFAULTS, Thresholds
 
 # Labels and limits of the views.
@@ -87,17 +87,12 @@ def vendor_shares(fact: DataFrame, vendors: DataFrame, limits: Thresholds = DEFA
     )
 
 
-def vendor_ranks(fact: DataFrame, vendors: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
-    """``vendor_shares`` numbered by spend, largest first, equal spend by vendor id.
-
-    The numbering runs a job; a stage writes the result, and ``vendor_concentration`` reads it.
-    """
-    shares = vendor_shares(fact, vendors, limits)
-    return number_sorted(shares, [F.col("total_spend").desc(), F.col("vendor_id")], "vendor_rank")
+# Vendors are ranked by spend, largest first, equal spend by vendor id. A stage writes ``vendor_shares`` in this order (``write_ranked``).
+RANK_ORDER = (("total_spend", "desc"), ("vendor_id", "asc"))
 
 
 def vendor_concentration(ranks: DataFrame) -> DataFrame:
-    """The written ``vendor_ranks`` in their order."""
+    """The ranked ``vendor_shares`` (``read_ranked``) in their order."""
     return ranks.orderBy("vendor_rank")
 
 

@@ -12,11 +12,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from outlay.functions import small_side
+from outlay.functions import KeyRuns, key_side, small_side
 from outlay.operators import cleaning, dimensions, facts, kpis, metrics, quality, rules, summaries, views
 from outlay.params import DEFAULTS, Thresholds
 from outlay.sources import contracts
 from outlay.sources.commits import Files, publish
+from outlay.sources.ranked import write_ranked
 from outlay.sources.readers import MALFORMED, load_budgets, read_csv_text, read_table
 from outlay.sources.writers import write_json, write_table
 
@@ -115,10 +116,16 @@ def build_star(spark: SparkSession, clean_dir: str, gold_dir: str) -> dict[str,
         "dim_calendar": dimensions.dim_calendar(read_table(spark, f"{clean_dir}/holidays"), lasting("dim_calendar")),
     }
     counts = {name: write_table(df, f"{gold_dir}/{name}") for name, df in built.items()}
-    vendors, employees, departments, calendar = (
-        small_side(read_table(spark, f"{gold_dir}/{name}"), counts[name])
-        for name in ("dim_vendor", "dim_employee", "dim_department", "dim_calendar")
-    )
+
+    def side(dimension: str) -> DataFrame | KeyRuns:
+        def settle(runs: DataFrame) -> tuple[DataFrame, int]:
+            rows = write_table(runs, f"{gold_dir}/_runs/{dimension}")
+            return read_table(spark, f"{gold_dir}/_runs/{dimension}"), rows
+
+        return key_side(read_table(spark, f"{gold_dir}/{dimension}"), counts[dimension], *contracts.NATURAL[dimension], settle)
+
+    vendors, employees, departments = side("dim_vendor"), side("dim_employee"), side("dim_department")
+    calendar = small_side(read_table(spark, f"{gold_dir}/dim_calendar"), counts["dim_calendar"])
     counts["fact_expense"] = write_table(
         facts.fact_expense(expenses, vendors, employees, departments, calendar),
         f"{gold_dir}/fact_expense", partition_by="budget_month_key", row_id="expense_id",
@@ -189,8 +196,8 @@ def detect(
             kpis.vendor_concentration(fact, read_table(spark, f"{gold_dir}/dim_vendor"), limits),
             f"{gold_dir}/kpi_vendor_concentration",
         ),
-        "vendor_rank": write_table(
-            views.vendor_ranks(fact, read_table(spark, f"{gold_dir}/dim_vendor"), limits), f"{gold_dir}/vendor_rank"
+        "vendor_rank": write_ranked(
+            views.vendor_shares(fact, read_table(spark, f"{gold_dir}/dim_vendor"), limits), views.RANK_ORDER, f"{gold_dir}/vendor_rank"
         ),
     })
 

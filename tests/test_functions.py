@@ -8,10 +8,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from outlay.functions import (
-    centred_day_counts, dense_key, first_match, guarded_pct, keep_first, number_sorted, numeric_or_null,
-    previous_values, repeat_rows, small_side,
+    centred_day_counts, dense_key, first_match, guarded_pct, KeyRuns, keep_first, key_runs, key_side, numeric_or_null,
+    previous_values, repeat_rows, small_side, with_key,
 )
 from outlay.functions.counting import CHUNK_ROWS
+from outlay.operators import facts
+from outlay.sources.ranked import read_ranked, write_ranked
 
 
 def test_keep_first_takes_the_smallest_row_with_nulls_first(spark):
@@ -53,12 +55,56 @@ def test_dense_key_ranks_dates_and_rejects_text(spark):
         dense_key(spark.createDataFrame([("a",)], "d string"), "d", "key")
 
 
-def test_number_sorted_counts_on_over_partitions(spark):
-    df = spark.range(5000).select((F.col("id") % 7).alias("g"), "id")
-    numbered = number_sorted(df, [F.col("g").desc(), F.col("id")], "rank")
-    expected = sorted(((i % 7, i) for i in range(5000)), key=lambda r: (-r[0], r[1]))
-    assert [(r.g, r.id) for r in sorted(numbered.collect(), key=lambda r: r["rank"])] == expected
-    assert sorted(r["rank"] for r in numbered.collect()) == list(range(1, 5001))
+@pytest.mark.parametrize("rows", [5000, 1, 0])
+def test_ranks_count_on_over_ranges(spark, tmp_path, rows):
+    df = spark.range(rows).select((F.col("id") % 7).alias("g"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert write_ranked(df, (("g", "desc"), ("id", "asc")), str(tmp_path / "t")) == rows
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ranked = read_ranked(spark, str(tmp_path / "t"), "rank")
+    expected = sorted(((i % 7, i) for i in range(rows)), key=lambda r: (-r[0], r[1]))
+    assert ranked.columns == ["g", "id", "rank"]
+    assert [(r["rank"], r.g, r.id) for r in sorted(ranked.collect(), key=lambda r: r["rank"])] == [(n, *r) for n, r in enumerate(expected, 1)]
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange rangepartitioning" not in plan
+
+
+def test_runs_give_the_same_keys_as_a_join(spark):
+    dice = random.Random(9)
+    ids = sorted(dice.sample(range(-70_000, 140_000), 3000)) + [2**40, 2**40 + 1]
+    late = [i + 1 for i in ids[:50] if i + 1 not in set(ids)]
+    members = [(i, k) for k, i in enumerate(ids, 1)] + [(i, 5000 + k) for k, i in enumerate(late)] + [(None, 9999)]
+    dimension = spark.createDataFrame(members, "vendor_id long, vendor_key long")
+    rows = spark.createDataFrame([(i,) for i in [*ids, *late, 7, -1, None, 2**40 + 2]], "vendor_id long")
+    runs = key_runs(dimension, "vendor_id", "vendor_key")
+    assert runs.filter("_gaps > 0").count() == 0
+    found = with_key(rows, KeyRuns(F.broadcast(runs.drop("_gaps"))), "vendor_id", "vendor_key")
+    assert sorted(map(str, found.collect())) == sorted(map(str, with_key(rows, dimension, "vendor_id", "vendor_key").collect()))
+    gap = spark.createDataFrame([(1, 1), (3, 3)], "id int, key long")
+    assert [r._gaps for r in key_runs(gap, "id", "key").collect()] == [1]
+    side = key_side(gap, 2, "id", "key", lambda runs: (runs, 1), max_bytes=1)
+    assert side is gap
+    assert key_side(gap, 2, "id", "key", lambda runs: (runs.filter("false"), 3), max_rows=2, max_bytes=1) is gap
+
+
+def test_large_dimensions_do_not_exchange_the_fact(spark):
+    """Three dimensions above every broadcast limit, of dense ids: a few runs each, and the expenses stay where they are."""
+    dimensions = {n: spark.range(1, 200_001).selectExpr(f"cast(id as int) AS {n}_id", f"id AS {n}_key") for n in ("vendor", "employee", "dept")}
+    sides = {}
+    for n, dimension in dimensions.items():
+        sides[n] = key_side(dimension, 200_000, f"{n}_id", f"{n}_key", lambda runs: (runs, runs.count()), max_rows=1000)
+        assert isinstance(sides[n], KeyRuns) and sides[n].runs.count() == 4
+    expenses = spark.range(50).selectExpr(
+        "concat('I', id) AS invoice_id", "cast(id * 4001 as int) AS vendor_id", "cast(id as int) AS employee_id", "cast(-id as int) AS dept_id",
+        "date'2024-01-05' AS trx_date", "cast(5 as decimal(10,2)) AS amount", "'USD' AS currency", "'Wire' AS payment_method")
+    calendar = F.broadcast(spark.sql("SELECT date'2024-01-05' AS date, '2024-01' AS month_key, 5 AS calendar_key"))
+    fact = facts.fact_expense(expenses, sides["vendor"], sides["employee"], sides["dept"], calendar)
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 3 and "SortMergeJoin" not in plan and "hashpartitioning(vendor_id" not in plan
+    assert {(r.vendor_id, r.vendor_key, r.employee_key, r.dept_key) for r in fact.collect()} == {
+        (4001 * i, 4001 * i if 0 < 4001 * i <= 200_000 else None, i or None, None) for i in range(50)}
 
 
 def test_repeat_rows_keeps_every_copy(spark):

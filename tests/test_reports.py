@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 from rows import as_dicts, day
 from outlay.operators import insights, kpis, metrics, quality, views
 from outlay.sources.calendar import calendar_between
+from outlay.sources.ranked import read_ranked, write_ranked
 from outlay.sources.readers import fallback_budgets
 
 
+def ranked(tmp_path, fact, vendors):
+    write_ranked(views.vendor_shares(fact, vendors), views.RANK_ORDER, str(tmp_path / "vendor_rank"))
+    return read_ranked(fact.sparkSession, str(tmp_path / "vendor_rank"), "vendor_rank")
+
+
 def budgets(spark, *rows):
     return spark.createDataFrame(
         [(d, m, Decimal(str(a))) for d, m, a in rows], "dept_id int, budget_month string, budget_amount decimal(12,2)"
@@ -68,12 +74,12 @@ def test_budget_view_is_driven_by_budgets(spark, fact, names):
     assert rows[1, "2024-04"].actual_amount == Decimal("0.00")
 
 
-def test_vendor_view_ranks_and_shares_the_whole_total(spark, fact):
+def test_vendor_view_ranks_and_shares_the_whole_total(spark, fact, tmp_path):
     df = fact(*[(f"A{v}", v, 1, 1, "2024-01-01", a) for v, a in ((1, 20), (2, 30), (3, 30), (4, 20))])
     vendors = spark.createDataFrame(
         [(1, "V1", "T"), (2, "V2", "T"), (3, "V3", "T")], "vendor_id int, vendor_name string, category string"
     )
-    rows = views.vendor_concentration(views.vendor_ranks(df, vendors)).collect()
+    rows = views.vendor_concentration(ranked(tmp_path, df, vendors)).collect()
     assert [(r.vendor_rank, r.vendor_id, r.spend_percentage) for r in rows] == [
         (1, 2, 30.0), (2, 3, 30.0), (3, 1, 20.0),
     ]
@@ -137,7 +143,7 @@ def test_employee_view(spark, fact, names):
     )]
 
 
-def test_risk_dashboard_and_registered_views(spark, fact, names):
+def test_risk_dashboard_and_registered_views(spark, fact, names, tmp_path):
     df = fact(("A", 1, 1, 1, "2024-01-01", 150), ("B", 2, 1, 2, "2024-01-01", 8))
     vendors = spark.createDataFrame([(1, "V1", "T"), (2, "V2", "T")], "vendor_id int, vendor_name string, category string")
     campaign = spark.createDataFrame(
@@ -154,7 +160,7 @@ def test_risk_dashboard_and_registered_views(spark, fact, names):
         "dim_employee": names("employee_id", "employee_name", 1),
         "dim_campaign": spark.createDataFrame([(1, "C", "W", "S")], "campaign_id int, campaign_name string, channel string, objective string"),
         "dim_calendar": calendar_between(spark, "2024-01-01", "2024-01-31"),
-        "vendor_rank": views.vendor_ranks(df, vendors),
+        "vendor_rank": ranked(tmp_path, df, vendors),
     }
     tracker = spark.sparkContext.statusTracker()
     before = set(tracker.getJobIdsForGroup())
@@ -301,3 +307,15 @@ def test_insights_over_spending(spark, fact, names):
     assert head == {
         "leakage_signals": 1, "high_risk_signals": 1, "total_expenses": Decimal("75.00"), "active_vendors": 3,
     }
+
+
+def test_several_distinct_counts_copy_no_rows(spark):
+    df = spark.createDataFrame(
+        [(d, m, Decimal("5")) for d, m in ((1, "a"), (1, "b"), (1, "b"), (None, "a"), (None, "a"), (2, None), (2, None))],
+        "dept_id int, budget_month string, budget_amount decimal(12,2)")
+    results = quality.check_budgets(df, "t")
+    assert "Expand" not in results._jdf.queryExecution().optimizedPlan().toString()
+    found = {r.check_name: (r.failed_rows, r.passed) for r in results.collect()}
+    assert found["dept_month_unique"] == (4, False) and found["dept_id_budget_month_unique"] == (3, False)
+    empty = {r.check_name: r.failed_rows for r in quality.check_budgets(df.limit(0), "t").collect()}
+    assert empty["dept_month_unique"] == 0
