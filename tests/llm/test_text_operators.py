@@ -294,10 +294,46 @@ class TestPages:
 
     def test_region_is_the_best_of_all(self):
         rng = random.Random(1)
-        weights = {"": -0.5, "div": -3.0, "p": -0.25}
         for _ in range(300):
-            tokens = [("", "w " * rng.randint(1, 3), False) if rng.random() < 0.5 else (rng.choice(["div", "p", "b"]), "", False) for _ in range(rng.randint(0, 12))]
-            value = [weights.get(t, -0.5) if t else len(x.split()) for t, x, _ in tokens]
+            value = [rng.choice([1.0, 2.0, 3.0, -0.5, -3.0, -0.25, 0.0]) for _ in range(rng.randint(0, 12))]
             best = max((sum(value[a:b]) for a in range(len(value)) for b in range(a + 1, len(value) + 1)), default=0)
-            a, b = html.region(tokens, weights)
+            a, b = html.region(np.array(value))
             assert sum(value[a:b]) == max(best, 0)
+
+    LEARNED = [PAGE] * 3
+
+    @pytest.mark.parametrize("page", [
+        '<body><div class="layout with-sidebar"><article><p>kept text of the page</p></article></div></body>',
+        '<body><div class="content no-sidebar"><article><p>kept text of the page</p></article></div></body>',
+        '<body><div class="ad-free"><p>kept text of the page</p></div></body>',
+        '<body><div data-id="comments"><article><p>kept text of the page</p></article></div></body>',
+        '<body><p class="ad">x<div><article><p>kept text of the page</p></article></div></body>',
+        '<body><p><span class="share">x</p><article><p>kept text of the page</p></article></body>',
+        '<body><div class="sidebar"><article><p>kept text of the page</p></article></div></body>',
+        '<body><div class=ads>buy</div><article class="article-header"><p>kept text of the page</p></article></body>',
+        '<body><article><header class="article-header">kept text</header><p hidden>of the page</p></article></body>',
+        '<body><article><p>kept text</p><div class="ad">buy this thing now</div><p>of the page</p></article><footer>x y z</footer></body>',
+        '<body><article><p>kept text<p>of the page<section id="comments"><p>reader one<p>reader two</section></article></body>',
+        '<body><article><ul><li>kept text<li>of the page</ul><aside>by the way</aside></article></body>',
+    ])
+    def test_names_take_nothing_from_the_content(self, stored, page):
+        pages = stored([(i, "u", p) for i, p in enumerate([*self.LEARNED, page])], "page_id long, url string, html string")
+        found = {r.page_id: r.text for r in html.digests(pages).collect()}
+        assert found[3].replace("\n", " ") == "kept text of the page" and found[0] == WANT
+
+    def test_names_are_learned(self, stored):
+        """A made-up class that stands outside the content on labelled pages is dropped inside it and on pages without a mark."""
+        def page(k, inside=""):
+            return f'<body><div class="zq-rail other{k}">see also page {k}</div><article><p>text of page {k}</p>{inside}<p>goes on</p></article></body>'
+
+        rows = [(k, "u", page(k)) for k in range(6)] + [
+            (6, "u", page(6, '<div class="zq-rail">see this instead</div>')),
+            (7, "u", '<body><p>unmarked page with some words</p><div class="zq-rail">see that</div><p>and more words</p></body>'),
+        ]
+        pages = stored(rows, "page_id long, url string, html string")
+        weights = html.learn_weights(pages)
+        assert "zq-rail" in weights.names and "other1" not in weights.names
+        found = {r.page_id: r.text for r in html.extract(pages, weights).collect()}
+        assert found[6] == "text of page 6\ngoes on" and found[7] == "unmarked page with some words\nand more words"
+        nothing = html.extract(pages, html.Weights({"": 0.0}, lists=False)).collect()
+        assert all(r.text != found[r.page_id] for r in nothing)
