@@ -27,6 +27,7 @@ from outlay.llm.tables import Store
 
 SEED = 20_260_101
 BUCKET_BYTES = 16 << 20
+MOST_BROADCAST = 1 << 20  # rows of two numbers
 
 
 def _shuffled(rows: list[pa.RecordBatch], seed: int, bucket: int) -> pa.RecordBatch:
@@ -89,7 +90,8 @@ def external_shuffle(
         .select("_shuffle_bucket", F.coalesce(F.sum("_shuffle_rows").over(below), F.lit(0)).alias("_shuffle_below"))
     )
     position = F.col("_shuffle_below") + F.col("_shuffle_place")
-    return written.join(F.broadcast(offsets), "_shuffle_bucket").select(
+    side = F.broadcast(offsets) if buckets <= MOST_BROADCAST else offsets
+    return written.join(side, "_shuffle_bucket").select(
         *columns, (position % shards).cast("int").alias("shard"), F.floor(position / shards).cast("long").alias("slot"),
     )
 
