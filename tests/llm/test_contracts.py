@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from outlay.llm import euclid, jaccard, language, lattice, substrings
+from outlay.llm import decontamination, euclid, jaccard, language, lattice, substrings
 from outlay.llm.tables import Store, numbered
 
 
@@ -131,3 +131,37 @@ def test_rows_that_share_the_first_id_are_all_kept(stored):
     table = stored([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.01]), (None, [0.0, 1.0]), (None, [0.0, 1.0])], "vec_id long, embedding array<float>")
     found = sorted((str(r.vec_id), str(r.component_id), r.n_links, r.kept) for r in euclid.near_duplicates(table).collect())
     assert found == [("1", "1", 2, True), ("1", "1", 2, True), ("2", "1", 2, False), ("None", "None", 1, True), ("None", "None", 1, True)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_overlaps_equal_a_scan_of_all_alignments(documents, stored, seed):
+    """Items of 5 to 40 words, whole or in part, with up to a fifth of the words changed, in random texts."""
+    dice = random.Random(seed)
+    vocabulary = [f"v{i}" for i in range(4000)]
+    items = [[dice.choice(vocabulary) for _ in range(dice.randrange(5, 41))] for _ in range(25)]
+    texts = []
+    for _ in range(120):
+        words = [dice.choice(vocabulary) for _ in range(dice.randrange(0, 30))]
+        for item in dice.sample(items, dice.randrange(0, 3)):
+            part = list(item[dice.randrange(0, 3):])
+            for _ in range(dice.randrange(0, len(part) // 5 + 2)):
+                part[dice.randrange(len(part))] = dice.choice(vocabulary)
+            words += part + [dice.choice(vocabulary) for _ in range(dice.randrange(0, 10))]
+        texts.append(words)
+    expected = set()
+    for row, words in enumerate(texts):
+        for number, item in enumerate(items):
+            best = None
+            for shift in range(-len(item) + 1, len(words)):
+                first, last = max(0, -shift), min(len(item), len(words) - shift)
+                equal = np.array([words[shift + k] == item[k] for k in range(first, last)], bool)
+                start, end = decontamination.longest_stretch(equal, 0.8)
+                if end - start >= min(13, len(item)):
+                    claim = (-int(equal[start:end].sum()), shift + first + start, end - start)
+                    best = min(best or claim, claim)
+            if best:
+                expected.add((row, number, best[1], best[2], -best[0]))
+    docs = documents(*[(i, " ".join(words)) for i, words in enumerate(texts)])
+    bench = stored([(i, " ".join(words)) for i, words in enumerate(items)], "item_id long, text string")
+    found = {tuple(r) for r in decontamination.find_overlaps(docs, bench).collect()}
+    assert len(expected) > 40 and found == expected
