@@ -1,21 +1,20 @@
-"""Substring dedup over words by prefix-partitioned suffix trees.
+"""Substring dedup over words by hashed windows, pruned by anchors and split by prefixes.
 
-A suffix starts at each word of each text. Only the nodes of the suffix tree that lie ``WINDOW`` words deep
-matter: a node with two suffixes there is a repeated window, and the earliest suffix (by id, then row, then
-place) is the one that stays. The tree is never built whole:
+A window is ``WINDOW`` words in a row; of the windows with the same words the earliest (by id, then row, then place) stays. These are the nodes of a
+suffix tree that lie ``WINDOW`` words deep, but no tree and no suffix order is built:
 
 * Texts with the same words are one text, represented by the first; all words of the others repeat.
-* Leaves are pruned before any suffix is shuffled. Every window has one anchor, the run of ``ANCHOR`` words with the
-  smallest hash inside it; equal windows have equal anchors, and about one run in seven is an anchor. A suffix whose
-  anchor occurs once in the corpus is a leaf.
-* The other suffixes are sorted inside each task first; of the suffixes below one node a task passes on only its earliest,
+* Every window has one anchor, the run of ``ANCHOR`` words with the
+  smallest hash inside it; equal windows have equal anchors, and about one run in seven is an anchor. A window whose
+  anchor occurs once in the corpus occurs once and is never shuffled.
+* The other windows are sorted by hash inside each task first; of equal ones a task passes on only its earliest,
   and marks the rest. So a passage that a third of all texts share reaches the shuffle once for each task.
-* What is left is split by prefixes of variable length: a prefix has at least ``PREFIX_WORDS`` words, and more until it
-  has ``PREFIX_BYTES`` bytes, up to the whole window, so that runs of short frequent words do not fill one group. Each group's subtree is
-  walked depth first, which is its suffixes in sorted order, with one suffix in memory at a time. Maximal repeats are the
+* What is left is dealt out by prefixes of variable length: a prefix has at least ``PREFIX_WORDS`` words, and more until it
+  has ``PREFIX_BYTES`` bytes, up to the whole window, so that runs of short frequent words do not fill one group. The length does not depend on a group's
+  size: a common prefix goes whole to one task, which streams it in the order of the hashes. The spans that are removed are the
   unions of a text's repeated windows.
 
-Edges are compared by 64-bit hashes of their words. Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Null texts have no words, texts of
+Windows are compared by 64-bit hashes of their words. Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Null texts have no words, texts of
 under ``WINDOW`` words have no window and lose nothing. Null ids come last in the order; rows with equal ids are
 ordered by their row number, which is the same in each read (``tables.numbered``). Extra columns are left out.
 """
