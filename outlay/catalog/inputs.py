@@ -23,6 +23,7 @@ from outlay.plans.stages import SIGNAL_ORDER
 from outlay.sources.calendar import calendar_days, day_span
 from outlay.sources.ranked import read_ranked, write_ranked
 from outlay.sources.readers import read_table, spread_if_few_splits
+from outlay.sources.steps import read_steps, write_steps
 from outlay.sources.writers import write_table
 
 # Limits that make every rule and band occur in the test tables.
@@ -292,6 +293,15 @@ class Tables:
     def fact_campaign_spend(self) -> DataFrame:
         return self.stored("fact_campaign_spend", self.fact_campaign_spend_of)
 
+    @cached_property
+    def campaign_steps(self) -> DataFrame:
+        path, values = f"{self.store}/campaign_steps", list(rules.STEP_VALUES)
+        entity, *order = rules.STEP_COLUMNS[:3]
+        if "campaign_steps" not in self.written:
+            spend = self.fact_campaign_spend.select(*rules.STEP_COLUMNS)
+            self.written["campaign_steps"] = write_steps(spend, entity, tuple(order), values, path)
+        return read_steps(self.spark, path, entity, values)
+
     def duplicates_of(self) -> DataFrame:
         return rules.duplicate_invoices(self.fact_expense, self.dim_vendor, LIMITS)
 
@@ -308,7 +318,7 @@ class Tables:
         return rules.round_number_spikes(self.fact_expense, self.dim_department, LIMITS, self.as_of)
 
     def campaign_spikes_of(self) -> DataFrame:
-        return rules.campaign_spend_spikes(self.fact_campaign_spend, self.dim_campaign, LIMITS)
+        return rules.spikes_between(self.campaign_steps, self.dim_campaign, LIMITS)
 
     def signals_of(self) -> DataFrame:
         return rules.leakage_signals(

@@ -34,6 +34,10 @@ ROUND_SCORE = 45.0
 SPIKE_HIGH_SCORE = 80.0
 SPIKE_SCORE = 60.0
 
+# What the spike rule compares: the entity, the order of its rows, and the values of a row and of the one before.
+STEP_VALUES = ("cost", "conversions")
+STEP_COLUMNS = ("campaign_id", "date", "spend_id", *STEP_VALUES)
+
 
 def _signals(
     df: DataFrame, rule: str, entity_type: str, entity_id: str, name: str, day: Column, score: Column,
@@ -153,8 +157,12 @@ def round_number_spikes(
 
 def campaign_spend_spikes(fact: DataFrame, campaigns: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
     """Campaign spend that jumps against the previous row while conversions do not follow."""
-    spend = fact.select("campaign_id", "date", "spend_id", "cost", "conversions")
-    compared = previous_values(spend, "campaign_id", "date", "spend_id", ["cost", "conversions"])
+    compared = previous_values(fact.select(*STEP_COLUMNS), *STEP_COLUMNS[:3], list(STEP_VALUES))
+    return spikes_between(compared, campaigns, limits)
+
+
+def spikes_between(compared: DataFrame, campaigns: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
+    """``campaign_spend_spikes`` of rows that carry the values of the row before, as ``sources.steps`` reads them."""
 
     def change(value: str) -> Column:
         before = F.col(f"prev_{value}")

@@ -19,6 +19,7 @@ from outlay.sources import contracts
 from outlay.sources.commits import Files, publish
 from outlay.sources.ranked import write_ranked
 from outlay.sources.readers import MALFORMED, load_budgets, read_csv_text, read_table
+from outlay.sources.steps import read_steps, write_steps
 from outlay.sources.writers import write_json, write_table
 
 
@@ -154,6 +155,14 @@ def build_summaries(spark: SparkSession, gold_dir: str) -> dict[str, int]:
     return _published(spark, gold_dir, {name: write_table(df, f"{gold_dir}/{name}") for name, df in built.items()})
 
 
+def _campaign_steps(spark: SparkSession, gold_dir: str) -> DataFrame:
+    """The campaign rows with their predecessors' values, written anew from the fact."""
+    fact, path = read_table(spark, f"{gold_dir}/fact_campaign_spend"), f"{gold_dir}/_steps/campaign"
+    entity, *order = rules.STEP_COLUMNS[:3]
+    write_steps(fact.select(*rules.STEP_COLUMNS), entity, tuple(order), list(rules.STEP_VALUES), path)
+    return read_steps(spark, path, entity, list(rules.STEP_VALUES))
+
+
 def signal_sets(
     spark: SparkSession, gold_dir: str, limits: Thresholds = DEFAULTS, as_of: Column | None = None,
 ) -> list[DataFrame]:
@@ -168,9 +177,7 @@ def signal_sets(
         rules.sub_threshold_repeats(fact, employees, limits),
         rules.weekend_holiday_claims(fact, calendar, employees),
         rules.round_number_spikes(fact, departments, limits, as_of),
-        rules.campaign_spend_spikes(
-            read_table(spark, f"{gold_dir}/fact_campaign_spend"), campaigns, limits
-        ),
+        rules.spikes_between(_campaign_steps(spark, gold_dir), campaigns, limits),
     ]
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rows import expense
 from outlay.functions import repeat_rows, small_side
 from outlay.operators import dimensions, facts, kpis, rules, views
+from outlay.sources.steps import read_steps, write_steps
 from outlay.sources.writers import write_table
 
 
@@ -152,3 +154,43 @@ def test_a_size_check_sends_no_rows_to_one_task(spark, tmp_path):
     assert "ResolvedHint" in small_side(table, 1000)._jdf.queryExecution().analyzed().toString()
     counted = table.groupBy().count()._jdf.queryExecution().executedPlan().toString()
     assert "LocalLimit" not in counted and "partial_count" in counted
+
+
+def steps_input(spark, rows=3000):
+    """Entity 1 (or none) holds two thirds of the rows, most of them on one day; ids are unique."""
+    return spark.range(rows).select(
+        F.when(F.col("id") % 3 < 2, 1).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 40).cast("int").alias("e"),
+        F.date_add(F.lit("2024-01-01"), F.when(F.col("id") % 5 < 4, 0).otherwise(F.col("id") % 9).cast("int")).alias("d"),
+        F.concat(F.lit("S-"), F.lpad(F.hash("id").cast("string"), 12, "0")).alias("s"),
+        F.when(F.col("id") % 4 > 0, F.col("id") * 1.25).cast("decimal(10,2)").alias("v"), (F.col("id") % 11).cast("int").alias("w"),
+    )
+
+
+@pytest.mark.parametrize("ranges", ["1", "7", "64"])
+def test_steps_equal_a_plain_window_whatever_the_ranges(spark, settings, tmp_path, ranges):
+    settings(
+        spark__sql__shuffle__partitions=ranges, spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__execution__arrow__maxRecordsPerBatch="50",
+    )
+    df, path = steps_input(spark), str(tmp_path / "steps")
+    assert write_steps(df, "e", ("d", "s"), ["v", "w"], path) == 3000
+    assert (spark.read.parquet(f"{path}/ends").count() > 1) == (ranges != "1")
+    order = Window.partitionBy("e").orderBy("d", "s")
+    want = df.withColumns({"prev_v": F.lag("v").over(order), "prev_w": F.lag("w").over(order)})
+    got = read_steps(spark, path, "e", ["v", "w"])
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_steps_of_no_rows_and_of_one(spark, tmp_path):
+    for n in (0, 1):
+        path = str(tmp_path / f"steps{n}")
+        assert write_steps(steps_input(spark, n), "e", ("d", "s"), ["v", "w"], path) == n
+        assert [(r.prev_v, r.prev_w) for r in read_steps(spark, path, "e", ["v", "w"]).collect()] == [(None, None)] * n
+
+
+def test_steps_are_read_by_one_scan_and_no_exchange(spark, tmp_path):
+    path = str(tmp_path / "steps")
+    write_steps(steps_input(spark), "e", ("d", "s"), ["v", "w"], path)
+    plan = read_steps(spark, path, "e", ["v", "w"])._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count(f"{path}/rows") <= 1 and plan.count("FileScan") == 2 and "SortMergeJoin" not in plan
+    assert plan.count("Window") == 1 and plan.index("Window") > plan.index("BroadcastHashJoin")
