@@ -91,14 +91,18 @@ def components(edges: DataFrame, store: Store, name: str) -> DataFrame:
     return found
 
 
-def block_units(rows: DataFrame, block: int, *carried: str) -> DataFrame:
+def block_units(rows: DataFrame, block: int, *carried: str, weight: str | None = None, most: int = 0) -> DataFrame:
     """Rows (``node``, ``part``, ...) of the parts with two rows or more, sorted into units (``part``, ``i``, ``j``).
 
     A part of up to ``block`` rows is one unit. A larger one is cut into blocks of about half that, ``block`` tells a row's
     own, and each two blocks (or one with itself) are a unit: a row is repeated once for each block, not for each partner.
+    With ``weight``, a column of bytes, blocks are also cut to about half of ``most`` of these.
     """
-    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    heavy = F.sum(weight) if weight else F.lit(0)
+    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("size"), heavy.alias("heavy")).filter("size > 1")
     blocks = F.when(F.col("size") <= block, 1).otherwise(F.ceil(F.col("size") / max(1, block // 2)).cast("int"))
+    if weight:
+        blocks = F.greatest(blocks, F.when(F.col("heavy") <= most, 1).otherwise(F.ceil(F.col("heavy") / max(1, most // 2)).cast("int")))
     return (
         rows.select("node", "part", *carried).join(sizes, "part").withColumn("blocks", blocks)
         .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))

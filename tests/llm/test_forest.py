@@ -1,0 +1,117 @@
+"""The LSH forest of the n-gram Jaccard join against brute force."""
+
+from __future__ import annotations
+
+import collections
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+from outlay.llm import jaccard
+from outlay.llm.grouping import block_units, components
+from outlay.llm.tables import Store
+
+TREES, DEPTH = 3, 6
+
+
+def connected(pairs):
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    return {x: find(x) for x in root}
+
+
+@pytest.mark.parametrize("ranges", ["1", "13"])
+def test_edges_connect_what_shares_a_prefix(spark, ranges):
+    rng = random.Random(int(ranges))
+    rows = []
+    for node in range(600):
+        # A third of the nodes share whole paths; values are few, so that prefixes of all lengths recur.
+        values = [[1] * DEPTH if node % 3 == 0 and t else [rng.randint(0, 3) for _ in range(DEPTH)] for t in range(TREES)]
+        rows.append((node, bytearray(np.array(values, ">u2").tobytes())))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        nodes = spark.createDataFrame(rows, "node long, paths binary")
+        edges = [tuple(r) for r in jaccard._forest(nodes, Store(spark, "forest"), TREES, 2, DEPTH).collect()]
+    finally:
+        for key, value in [*before.items(), ("spark.sql.execution.arrow.maxRecordsPerBatch", batch)]:
+            spark.conf.set(key, value)
+    assert len(edges) <= TREES * (DEPTH - 1) * (len(rows) + 13)  # no pairs within a group
+    for length in range(2, DEPTH + 1):
+        sharing = collections.defaultdict(list)
+        for (node, paths), tree in itertools.product(rows, range(TREES)):
+            at = 2 * DEPTH * tree
+            sharing[tree, bytes(paths[at : at + 2 * length])].append(node)
+        want = connected((group[0], other) for group in sharing.values() for other in group[1:])
+        assert connected((a, b) for a, b, shared in edges if shared >= length) == want
+
+
+def test_links_at_the_threshold_shorten_the_prefixes(documents, monkeypatch):
+    lengths = []
+    plain = components
+
+    def noted(edges, store, name):
+        if name.startswith("candidates-"):
+            lengths.append(int(name.split("-")[1]))
+        return plain(edges, store, name)
+
+    monkeypatch.setattr(jaccard, "components", noted)
+    rng = random.Random(8)
+
+    def pairs(words, changed):
+        rows = []
+        for i in range(40):
+            text = [f"w{rng.randint(0, 10**9)}" for _ in range(words)]
+            other = [*text[: words - changed], *(f"x{i}-{j}" for j in range(changed))]
+            rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(other))]
+        return rows
+
+    # 40 pairs of 90 common runs of 112 (0.80).
+    got = jaccard.near_duplicates(documents(*pairs(105, 11))).collect()
+    assert [r.n_links for r in got] == [1] * 80 and sum(r.kept for r in got) == 40
+    assert lengths[0] == jaccard.DEPTH and lengths[-1] == jaccard.matched_depth() and lengths == sorted(lengths, reverse=True)
+    lengths.clear()
+    # Runs that differ in one of 200 leave nothing to find, but for the imagined link among few groups.
+    assert sum(r.n_links for r in jaccard.near_duplicates(documents(*pairs(204, 1)), recall=0.999).collect()) == 80
+    assert lengths == [jaccard.DEPTH]
+
+
+def test_missed_is_what_the_recall_leaves():
+    for length in (5, 8):
+        found = 1 - (1 - 0.8**length) ** 24
+        assert jaccard.missed(np.array(0.8), length, 24) == pytest.approx((1 - found) / found)
+    assert jaccard.missed(np.array(1.0), 8, 24) == 0
+
+
+def test_heavy_parts_are_cut_by_bytes(spark):
+    rows = [(i, 1, 100) for i in range(6)] + [(10 + i, 2, 1) for i in range(6)]
+    df = spark.createDataFrame(rows, "node long, part long, bytes long")
+    units = collections.defaultdict(set)
+    for r in block_units(df, 8, "bytes", weight="bytes", most=200).collect():
+        units[r.part, r.i, r.j].add(r.node)
+    assert len([u for u in units if u[0] == 2]) == 1 and len([u for u in units if u[0] == 1]) > 1
+    for part, members in ((1, range(6)), (2, range(10, 16))):
+        for a, b in itertools.combinations(members, 2):
+            assert any(u[0] == part and {a, b} <= nodes for u, nodes in units.items())
+
+
+def test_one_long_text_and_copies_of_it(documents, monkeypatch):
+    monkeypatch.setattr(jaccard, "UNIT_BYTES", 1 << 16)
+    long = [f"v{i}" for i in range(40_000)]
+    rows = [(i, " ".join([*long[:-1], f"end{i}"])) for i in range(4)] + [(9, " ".join(long) + " ." ), (10, "a b"), (11, None), (12, "")]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_duplicates(documents(*rows)).collect()}
+    assert got == {**dict.fromkeys((0, 1, 2, 3, 9), (0, 4)), 10: (10, 0), 11: (11, 0), 12: (12, 0)}
