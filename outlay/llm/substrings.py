@@ -1,20 +1,21 @@
-"""Substring dedup over words by hashed windows, pruned by anchors and split by prefixes.
+"""Substring dedup over words by prefix-partitioned suffix trees, cut where they are ``WINDOW`` words deep.
 
-A window is ``WINDOW`` words in a row; of the windows with the same words the earliest (by id, then row, then place) stays. These are the nodes of a
-suffix tree that lie ``WINDOW`` words deep, but no tree and no suffix order is built:
+A window is ``WINDOW`` words in a row; of the windows with the same words the earliest (by id, then row, then place) stays. In the tree of all suffixes these
+windows are the internal nodes at that depth; nodes further down repeat no other words, so the trees end there, and a suffix is its first ``WINDOW`` words.
 
 * Texts with the same words are one text, represented by the first; all words of the others repeat.
 * Every window has one anchor, the run of ``ANCHOR`` words with the
-  smallest hash inside it; equal windows have equal anchors, and about one run in seven is an anchor. A window whose
-  anchor occurs once in the corpus occurs once and is never shuffled.
-* The other windows are sorted by hash inside each task first; of equal ones a task passes on only its earliest,
-  and marks the rest. So a passage that a third of all texts share reaches the shuffle once for each task.
-* What is left is dealt out by prefixes of variable length: a prefix has at least ``PREFIX_WORDS`` words, and more until it
-  has ``PREFIX_BYTES`` bytes, up to the whole window, so that runs of short frequent words do not fill one group. The length does not depend on a group's
-  size: a common prefix goes whole to one task, which streams it in the order of the hashes. The spans that are removed are the
-  unions of a text's repeated windows.
-
-Windows are compared by 64-bit hashes of their words. Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Null texts have no words, texts of
+  smallest hash inside it; equal windows have equal anchors, and about one run in seven is an anchor. A suffix whose
+  anchor occurs once in the corpus is a leaf below no deep node, and is never shuffled.
+* Each task merges its own equal suffixes first: of equal ones it passes on only the earliest,
+  and marks the rest. So a passage that a third of all texts share reaches the shuffle once for each ``CHUNK`` of suffixes.
+* What is left is dealt out by prefixes of variable length: the suffixes of each prefix of ``PREFIX_WORDS`` words are counted, and those of prefixes that hold more than
+  ``GROUP_BYTES`` are counted again by a prefix that many words longer, up to the whole window. Each last prefix is one subtree, in one task.
+* A subtree is held as its suffixes in the order of their bytes, in which the leaves below a node are neighbours. Spark sorts, and spills where it must; one scan takes off
+  the deep internal nodes, runs of equal suffixes, whose first leaf is the earliest copy. What the others cover are the maximal repeats.
+
+Suffixes are compared word by word, in tasks by their hashes first; words of over ``LONG_WORD`` bytes are compared by 160-bit digests, so that no suffix is long. (Equal texts
+are found by 128-bit digests.) Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Null texts have no words, texts of
 under ``WINDOW`` words have no window and lose nothing. Null ids come last in the order; rows with equal ids are
 ordered by their row number, which is the same in each read (``tables.numbered``). Extra columns are left out.
 """
@@ -25,16 +26,21 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outlay.llm.hashing import mixed, run_hashes, word_hashes
+from outlay.llm.hashing import run_hashes, word_hashes
 from outlay.llm.tables import Store, numbered, pick, slices
 
 WINDOW = 20
 ANCHOR = 8
-PREFIX_WORDS, PREFIX_BYTES = 4, 40
+PREFIX_WORDS = 4
+GROUP_BYTES = 8 << 20
+LONG_WORD = 64
 CHUNK = 2_000_000
+CHUNK_WORDS = 1 << 20
+RUN = 256
 SPANS = "array<struct<start: int, end: int>>"
 ARROW_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
@@ -56,20 +62,38 @@ def anchor_places(anchors: np.ndarray, window: int, anchor: int) -> np.ndarray:
     return place
 
 
-def prefix_hashes(hashes: np.ndarray, sizes: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
-    """The hash of each suffix's prefix of variable length."""
-    total = np.zeros(len(starts), np.uint64)
-    length = np.zeros(len(starts), np.int64)
-    open_ = np.ones(len(starts), bool)
-    for k in range(window):
-        at = starts[open_] + k
-        total[open_] = mixed(total[open_], hashes[at])
-        length[open_] += sizes[at]
-        if k + 1 >= PREFIX_WORDS:
-            open_ &= length < PREFIX_BYTES
-        if not open_.any():
-            break
-    return total
+class Vocabulary(dict):
+    """Numbers for the words of a chunk, and what stands for them in a suffix."""
+
+    def __init__(self):
+        super().__init__()
+        self.shown = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self.shown)
+        # No word holds a tab, so the digest of a long one is never a word.
+        self.shown.append(word if len(word) <= LONG_WORD else b"\t" + hashlib.blake2b(word, digest_size=20).hexdigest().encode())
+        return number
+
+    def ids(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+
+def joined_words(words: pa.Array, firsts: np.ndarray, lengths: np.ndarray, ids: np.ndarray | None = None) -> pa.Array:
+    """The stretches of ``words`` (of ``words`` at ``ids``, if given) that begin at ``firsts``, with blanks between their words."""
+    ends = np.cumsum(lengths)
+    at = np.arange(ends[-1]) + np.repeat(firsts - ends + lengths, lengths)
+    offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, words.take(pa.array(at if ids is None else ids[at]))), " ")
+
+
+def runs_of(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of consecutive ``places`` (sorted) begin, and how many they have, ``RUN`` at most."""
+    breaks = np.concatenate([[True], np.diff(places) != 1])
+    firsts = np.flatnonzero(breaks)
+    within = np.arange(len(places)) - np.repeat(firsts, np.diff(np.append(firsts, len(places))))
+    firsts = np.flatnonzero(within % RUN == 0)
+    return firsts, np.diff(np.append(firsts, len(places)))
 
 
 def merged(starts: np.ndarray, window: int) -> list[dict[str, int]]:
@@ -108,12 +132,16 @@ def _signed(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def _suffixes(texts: DataFrame, window: int, anchor: int) -> DataFrame:
-    """Sort the tasks' suffixes: repeats inside a task become ``spans`` of their row, the rest suffixes (``node`` not null)."""
+    """Merge the tasks' equal suffixes: repeats inside a task become ``spans`` of their row, the rest runs of consecutive suffixes.
+
+    The ``words`` of a run are those that its suffixes cover; of rows with spans they are null.
+    """
     kind = texts.schema["doc_id"].dataType
-    names = ["row", "doc_id", "prefix", "node", "start", "spans"]
+    names = ["row", "doc_id", "words", "start", "spans"]
 
     def run(batches):
-        rows, ids, nodes, prefixes, starts, owners = [], [], [], [], [], []
+        rows, ids, texts_, nodes, starts, owners = [], [], [], [], [], []
+        vocabulary = Vocabulary()
         id_type = None
 
         def flush():
@@ -122,11 +150,16 @@ def _suffixes(texts: DataFrame, window: int, anchor: int) -> DataFrame:
             order = sorted(range(len(rows)), key=lambda i: (ids[i] is None, ids[i] if ids[i] is not None else 0, rows[i]))
             rank = np.empty(len(rows), np.int64)
             rank[order] = np.arange(len(rows))
-            node, prefix = np.concatenate(nodes), np.concatenate(prefixes)
+            flat, node = np.concatenate(texts_), np.concatenate(nodes)
+            base = np.concatenate([[0], np.cumsum([len(t) for t in texts_])])
             start, owner = np.concatenate(starts), np.repeat(np.arange(len(rows)), owners)
+            place = base[owner] + start
             walk = np.lexsort((start, rank[owner], node))
+            same = np.flatnonzero(node[walk][1:] == node[walk][:-1])
+            for k in range(window):  # equal hashes are not enough
+                same = same[flat[place[walk[same + 1]] + k] == flat[place[walk[same]] + k]]
             first = np.ones(len(walk), bool)
-            first[1:] = node[walk][1:] != node[walk][:-1]
+            first[same + 1] = False
             repeats, kept = walk[~first], walk[first]
             repeats = repeats[np.lexsort((start[repeats], owner[repeats]))]
             bounds = np.searchsorted(owner[repeats], np.arange(len(rows) + 1))
@@ -134,65 +167,123 @@ def _suffixes(texts: DataFrame, window: int, anchor: int) -> DataFrame:
             some = [i for i, spans in enumerate(found) if spans]
             for at in range(0, len(some), 2000):
                 part = some[at : at + 2000]
-                none = pa.nulls(len(part), pa.int64())
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([rows[i] for i in part], pa.int64()), pa.array([ids[i] for i in part], id_type), none, none,
-                    pa.nulls(len(part), pa.int32()), pa.array([found[i] for i in part], ARROW_SPANS),
+                    pa.array([rows[i] for i in part], pa.int64()), pa.array([ids[i] for i in part], id_type),
+                    pa.nulls(len(part), pa.string()), pa.nulls(len(part), pa.int32()),
+                    pa.array([found[i] for i in part], ARROW_SPANS),
                 ], names)
             row_of, id_of = pa.array(rows, pa.int64()), pa.array(ids, id_type)
-            for at in range(0, len(kept), 20_000):
-                part = kept[at : at + 20_000]
+            shown = pa.array(vocabulary.shown, pa.binary()).cast(pa.string())
+            kept = np.sort(kept)
+            firsts, lengths = runs_of(place[kept]) if len(kept) else (kept, kept)
+            for at in range(0, len(firsts), 1000):
+                part, length = kept[firsts[at : at + 1000]], lengths[at : at + 1000]
                 whose = pa.array(owner[part])
                 yield pa.RecordBatch.from_arrays([
-                    row_of.take(whose), id_of.take(whose), pa.array(prefix[part].view(np.int64)),
-                    pa.array(node[part].view(np.int64)), pa.array(start[part].astype(np.int32)),
-                    pa.nulls(len(part), ARROW_SPANS),
+                    row_of.take(whose), id_of.take(whose), joined_words(shown, place[part], length + window - 1, flat),
+                    pa.array(start[part].astype(np.int32)), pa.nulls(len(part), ARROW_SPANS),
                 ], names)
-            for held in (rows, ids, nodes, prefixes, starts, owners):
+            for held in (rows, ids, texts_, nodes, starts, owners, vocabulary, vocabulary.shown):
                 held.clear()
 
-        size = 0
+        size = held_words = 0
         for batch in slices(batches):
             id_type = batch.schema.field("doc_id").type
             for row, doc_id, text, anchors in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = split(text)
+                numbers = vocabulary.ids(words)
                 hashes = word_hashes(words)
                 runs = run_hashes(hashes, anchor)
                 shared = np.isin(runs, np.array(anchors, np.int64).view(np.uint64))
                 at = np.flatnonzero(shared[anchor_places(runs, window, anchor)])
                 if not len(at):
                     continue
-                sizes = np.fromiter(map(len, words), np.int64, len(words))
                 rows.append(row)
                 ids.append(doc_id)
+                texts_.append(numbers)
                 nodes.append(run_hashes(hashes, window)[at])
-                prefixes.append(prefix_hashes(hashes, sizes, at, window))
                 starts.append(at)
                 owners.append(len(at))
                 size += len(at)
-            if size > CHUNK:
-                yield from flush()
-                size = 0
+                held_words += len(words)
+                if size > CHUNK or held_words > 8 * CHUNK or len(vocabulary) > CHUNK_WORDS:
+                    yield from flush()
+                    size = held_words = 0
         yield from flush()
 
-    schema = f"row long, doc_id {kind.simpleString()}, prefix long, node long, start int, spans {SPANS}"
+    schema = f"row long, doc_id {kind.simpleString()}, words string, start int, spans {SPANS}"
     return texts.select("row", "doc_id", "text", "anchors").mapInArrow(run, schema)
 
 
+def _expanded(runs: DataFrame, window: int) -> DataFrame:
+    """Each suffix of the runs, with its ``window`` words."""
+    kind = runs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
+                lists = pc.split_pattern(part.column("words"), " ")
+                sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
+                counts = sizes - window + 1
+                owner = np.repeat(np.arange(len(sizes)), counts)
+                within = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+                firsts = (np.cumsum(sizes) - sizes)[owner] + within
+                whose = pa.array(owner)
+                yield pa.RecordBatch.from_arrays([
+                    joined_words(lists.flatten(), firsts, np.full(len(firsts), window)), part.column("doc_id").take(whose),
+                    part.column("row").take(whose), pa.array((part.column("start").to_numpy()[owner] + within).astype(np.int32)),
+                ], ["words", "doc_id", "row", "start"])
+
+    return runs.select("row", "doc_id", "words", "start").mapInArrow(run, f"words string, doc_id {kind}, row long, start int")
+
+
+def _prefix(words: int | Column) -> Column:
+    """The hash of a suffix's first words; ``words`` may be a column."""
+    count = F.lit(words) if isinstance(words, int) else words
+    return F.xxhash64(F.call_function("substring_index", F.col("words"), F.lit(" "), count))
+
+
+def subtrees(suffixes: DataFrame, store: Store, window: int) -> DataFrame:
+    """The suffixes with ``depth``, the number of words of the prefix that their subtree hangs from.
+
+    It is the least multiple of ``PREFIX_WORDS`` whose prefix holds ``GROUP_BYTES`` of suffixes at most, or ``window``. Tables of crowded prefixes have a row for each
+    ``GROUP_BYTES`` of suffixes at most; how they are joined is left to Spark, which knows their size.
+    """
+    rest, crowded = suffixes, []
+    for words in range(PREFIX_WORDS, window, PREFIX_WORDS):
+        sizes = rest.groupBy(_prefix(words).alias("prefix")).agg(F.sum(F.octet_length("words")).alias("bytes"))
+        large = store.put(f"prefixes-{words}", sizes.filter(F.col("bytes") > GROUP_BYTES).select("prefix"))
+        if large.isEmpty():
+            break
+        crowded.append((words, large))
+        rest = rest.withColumn("prefix", _prefix(words)).join(large, "prefix", "left_semi").drop("prefix")
+    placed = suffixes.withColumn("depth", F.lit(min(PREFIX_WORDS, window)))
+    for words, large in crowded:
+        longer = F.when(F.col("crowded") & (F.col("depth") == words), min(words + PREFIX_WORDS, window)).otherwise(F.col("depth"))
+        placed = (
+            placed.withColumn("prefix", _prefix(words)).join(large.withColumn("crowded", F.lit(True)), "prefix", "left")
+            .withColumn("depth", longer).drop("prefix", "crowded")
+        )
+    return placed
+
+
 def _walk(suffixes: DataFrame) -> DataFrame:
-    """The suffixes that are not the first of their node, for suffixes sorted by prefix, node and order."""
+    """The leaves of deep nodes that are not the first of their node, for suffixes in order."""
 
     def run(batches):
         last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(i).to_numpy() for i in (0, 1)])
-            same = np.concatenate([[last is not None and (keys[:, 0] == last).all()], (keys[:, 1:] == keys[:, :-1]).all(axis=0)])
-            last = keys[:, -1].copy()
-            yield batch.select(["row", "start"]).filter(pa.array(same))
+            words = batch.column(0)
+            below = np.empty(batch.num_rows, bool)
+            below[0] = words[0].as_py() == last
+            below[1:] = pc.equal(words.slice(1), words.slice(0, len(words) - 1)).to_numpy(zero_copy_only=False)
+            last = words[-1].as_py()
+            yield batch.select(["row", "start"]).filter(pa.array(below))
 
-    return suffixes.select("prefix", "node", "row", "start").mapInArrow(run, "row long, start int")
+    return suffixes.select("words", "row", "start").mapInArrow(run, "row long, start int")
 
 
 def repeated_spans(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -226,18 +317,19 @@ def _spans(rows: DataFrame, store: Store, window: int, anchor: int) -> DataFrame
     ))
     store.free("signed", "firsts")
     store.settle()
-    sorted_in_tasks = store.put("sorted", _suffixes(rows.join(hits, "row"), window, anchor))
+    merged_in_tasks = store.put("merged", _suffixes(rows.join(hits, "row"), window, anchor))
     store.free("hits")
     store.settle()
-    suffixes = (
-        sorted_in_tasks.filter("node IS NOT NULL").withColumn("last", F.col("doc_id").isNull()).repartition("prefix")
-        .sortWithinPartitions("prefix", "node", "last", "doc_id", "row", "start")
+    suffixes = subtrees(_expanded(merged_in_tasks.filter("words IS NOT NULL"), window), store, window)
+    in_order = (
+        suffixes.repartition(_prefix(F.col("depth"))).select("words", "doc_id", "row", "start")
+        .sortWithinPartitions("words", F.col("doc_id").asc_nulls_last(), "row", "start")
     )
-    inside = sorted_in_tasks.filter("node IS NULL").select("row", F.explode("spans").alias("span"))
-    across = _walk(suffixes).select("row", F.struct("start", (F.col("start") + window).alias("end")).alias("span"))
+    inside = merged_in_tasks.filter("words IS NULL").select("row", F.explode("spans").alias("span"))
+    across = _walk(in_order).select("row", F.struct("start", (F.col("start") + window).alias("end")).alias("span"))
     spans = copies.unionByName(inside).unionByName(across)
     found = store.put("spans", spans.groupBy("row").agg(F.collect_list("span").alias("spans")))
-    store.free("sorted", "copies")
+    store.free("merged", "copies")
     store.settle()
     return found
 

@@ -159,15 +159,45 @@ def kept_words(rows, window=20):
 
 
 class TestSubstrings:
-    @pytest.mark.parametrize("chunk", [2_000_000, 50])
-    def test_equals_a_scan_of_all_windows(self, documents, corpus, chunk, monkeypatch):
+    @pytest.mark.parametrize(("chunk", "group", "long_word"), [(2_000_000, 8 << 20, 64), (50, 300, 3), (50, 0, 64)])
+    def test_equals_a_scan_of_all_windows(self, documents, corpus, chunk, group, long_word, monkeypatch):
         monkeypatch.setattr(substrings, "CHUNK", chunk)
+        monkeypatch.setattr(substrings, "GROUP_BYTES", group)
+        monkeypatch.setattr(substrings, "LONG_WORD", long_word)
         docs = documents(*corpus)
         in_order = [(r.doc_id, r.text) for r in docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")).orderBy("row").collect()]
         want = collections.Counter((d, n, k, hashlib.sha256(t).hexdigest()) for d, n, k, t in kept_words(in_order).values())
         assert sum(k for _, _, k, _ in want) > 500
         assert collections.Counter(map(tuple, substrings.digests(docs).collect())) == want
 
+    def test_words_are_compared_not_their_hashes(self, documents, monkeypatch):
+        """With one hash for all words every window looks alike; results stay the same."""
+        monkeypatch.setattr(substrings, "word_hashes", lambda words: np.zeros(len(words), np.uint64))
+        rng = random.Random(5)
+        shared = words(rng, 30)
+        rows = [(i, " ".join([*words(rng, 15), *(shared if i % 2 else []), *words(rng, 15)])) for i in range(12)]
+        want = {(d, n, k, hashlib.sha256(t).hexdigest()) for d, n, k, t in kept_words(rows).values()}
+        assert sum(k for _, _, k, _ in want) >= 150
+        assert set(map(tuple, substrings.digests(documents(*rows)).collect())) == want
+
+    def test_crowded_prefixes_grow_until_their_group_fits(self, spark, monkeypatch):
+        """One prefix of 9 words holds a third of all suffixes: its subtrees fit all the same, and no suffix changes."""
+        monkeypatch.setattr(substrings, "GROUP_BYTES", 2000)
+        rng = random.Random(6)
+        form = [f"form{i}" for i in range(9)]
+        texts = [" ".join([*form, *words(rng, 11)]) for _ in range(300)] + [" ".join(words(rng, 20)) for _ in range(600)]
+        suffixes = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "words string, row long")
+        placed = substrings.subtrees(suffixes, Store(spark, "subtrees"), 20).collect()
+        assert sorted((r.words, r.row) for r in placed) == sorted((t, i) for i, t in enumerate(texts))
+        sizes, depths = collections.Counter(), collections.defaultdict(set)
+        for r in placed:
+            prefix = tuple(r.words.split()[: r.depth])
+            sizes[prefix] += len(r.words)
+            depths[r.words.startswith("form0")].add(r.depth)
+        assert max(sizes.values()) <= 2000
+        assert depths == {True: {12}, False: {4}}
+        assert not any(a != b and a == b[: len(a)] for a in sizes for b in sizes)
+
     def test_no_rows(self, documents):
         assert substrings.digests(documents((1, "a")).limit(0)).count() == 0
 
