@@ -11,6 +11,8 @@ windows are the internal nodes at that depth; nodes further down repeat no other
   and marks the rest. So a passage that a third of all texts share reaches the shuffle once for each ``CHUNK`` of suffixes.
 * What is left is dealt out by prefixes of variable length: the suffixes of each prefix of ``PREFIX_WORDS`` words are counted, and those of prefixes that hold more than
   ``GROUP_BYTES`` are counted again by a prefix that many words longer, up to the whole window. Each last prefix is one subtree, in one task.
+* The trees are built in rounds, each over the prefixes whose hash falls into it: the runs of suffixes are read again, and a round shuffles about as many words as the texts
+  have. There are ``WINDOW`` rounds at most, since a word is in no more suffixes, whatever the size of the input.
 * A subtree is held as its suffixes in the order of their bytes, in which the leaves below a node are neighbours. Spark sorts, and spills where it must; one scan takes off
   the deep internal nodes, runs of equal suffixes, whose first leaf is the earliest copy. What the others cover are the maximal repeats.
 
@@ -23,6 +25,7 @@ ordered by their row number, which is the same in each read (``tables.numbered``
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -137,7 +140,7 @@ def _suffixes(texts: DataFrame, window: int, anchor: int) -> DataFrame:
     The ``words`` of a run are those that its suffixes cover; of rows with spans they are null.
     """
     kind = texts.schema["doc_id"].dataType
-    names = ["row", "doc_id", "words", "start", "spans"]
+    names = ["row", "doc_id", "words", "start", "suffixes", "spans"]
 
     def run(batches):
         rows, ids, texts_, nodes, starts, owners = [], [], [], [], [], []
@@ -169,7 +172,7 @@ def _suffixes(texts: DataFrame, window: int, anchor: int) -> DataFrame:
                 part = some[at : at + 2000]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([rows[i] for i in part], pa.int64()), pa.array([ids[i] for i in part], id_type),
-                    pa.nulls(len(part), pa.string()), pa.nulls(len(part), pa.int32()),
+                    pa.nulls(len(part), pa.string()), pa.nulls(len(part), pa.int32()), pa.nulls(len(part), pa.int32()),
                     pa.array([found[i] for i in part], ARROW_SPANS),
                 ], names)
             row_of, id_of = pa.array(rows, pa.int64()), pa.array(ids, id_type)
@@ -181,7 +184,7 @@ def _suffixes(texts: DataFrame, window: int, anchor: int) -> DataFrame:
                 whose = pa.array(owner[part])
                 yield pa.RecordBatch.from_arrays([
                     row_of.take(whose), id_of.take(whose), joined_words(shown, place[part], length + window - 1, flat),
-                    pa.array(start[part].astype(np.int32)), pa.nulls(len(part), ARROW_SPANS),
+                    pa.array(start[part].astype(np.int32)), pa.array(length.astype(np.int32)), pa.nulls(len(part), ARROW_SPANS),
                 ], names)
             for held in (rows, ids, texts_, nodes, starts, owners, vocabulary, vocabulary.shown):
                 held.clear()
@@ -211,27 +214,35 @@ def _suffixes(texts: DataFrame, window: int, anchor: int) -> DataFrame:
                     size = held_words = 0
         yield from flush()
 
-    schema = f"row long, doc_id {kind.simpleString()}, words string, start int, spans {SPANS}"
+    schema = f"row long, doc_id {kind.simpleString()}, words string, start int, suffixes int, spans {SPANS}"
     return texts.select("row", "doc_id", "text", "anchors").mapInArrow(run, schema)
 
 
-def _expanded(runs: DataFrame, window: int) -> DataFrame:
-    """Each suffix of the runs, with its ``window`` words."""
+def _expanded(runs: DataFrame, window: int, rounds: int = 1, number: int = 0) -> DataFrame:
+    """Each suffix of the runs, with its ``window`` words; of several rounds, those whose first words' hash falls into round ``number``."""
     kind = runs.schema["doc_id"].dataType.simpleString()
+    first_words = min(PREFIX_WORDS, window)
 
     def run(batches):
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 part = batch.slice(low, 500)
                 lists = pc.split_pattern(part.column("words"), " ")
-                sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
+                words, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy().astype(np.int64)
                 counts = sizes - window + 1
                 owner = np.repeat(np.arange(len(sizes)), counts)
                 within = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
                 firsts = (np.cumsum(sizes) - sizes)[owner] + within
+                if rounds > 1:
+                    coded = words.dictionary_encode()
+                    hashes = word_hashes([w.encode() for w in coded.dictionary.to_pylist()])[coded.indices.to_numpy()]
+                    own = np.flatnonzero(run_hashes(hashes, first_words)[firsts] % np.uint64(rounds) == number)
+                    if not len(own):
+                        continue
+                    owner, within, firsts = owner[own], within[own], firsts[own]
                 whose = pa.array(owner)
                 yield pa.RecordBatch.from_arrays([
-                    joined_words(lists.flatten(), firsts, np.full(len(firsts), window)), part.column("doc_id").take(whose),
+                    joined_words(words, firsts, np.full(len(firsts), window)), part.column("doc_id").take(whose),
                     part.column("row").take(whose), pa.array((part.column("start").to_numpy()[owner] + within).astype(np.int32)),
                 ], ["words", "doc_id", "row", "start"])
 
@@ -244,20 +255,24 @@ def _prefix(words: int | Column) -> Column:
     return F.xxhash64(F.call_function("substring_index", F.col("words"), F.lit(" "), count))
 
 
-def subtrees(suffixes: DataFrame, store: Store, window: int) -> DataFrame:
-    """The suffixes with ``depth``, the number of words of the prefix that their subtree hangs from.
+def crowded_prefixes(suffixes: DataFrame, store: Store, window: int) -> list[tuple[int, DataFrame]]:
+    """The prefixes of ``PREFIX_WORDS`` words, and of each multiple of it below ``window``, whose suffixes hold over ``GROUP_BYTES``.
 
-    It is the least multiple of ``PREFIX_WORDS`` whose prefix holds ``GROUP_BYTES`` of suffixes at most, or ``window``. Tables of crowded prefixes have a row for each
-    ``GROUP_BYTES`` of suffixes at most; how they are joined is left to Spark, which knows their size.
+    A table of them has a row for each ``GROUP_BYTES`` of suffixes at most; how it is joined is left to Spark, which knows its size.
     """
-    rest, crowded = suffixes, []
+    crowded = []
     for words in range(PREFIX_WORDS, window, PREFIX_WORDS):
-        sizes = rest.groupBy(_prefix(words).alias("prefix")).agg(F.sum(F.octet_length("words")).alias("bytes"))
+        sizes = suffixes.groupBy(_prefix(words).alias("prefix")).agg(F.sum(F.octet_length("words")).alias("bytes"))
         large = store.put(f"prefixes-{words}", sizes.filter(F.col("bytes") > GROUP_BYTES).select("prefix"))
         if large.isEmpty():
             break
         crowded.append((words, large))
-        rest = rest.withColumn("prefix", _prefix(words)).join(large, "prefix", "left_semi").drop("prefix")
+        suffixes = suffixes.withColumn("prefix", _prefix(words)).join(large, "prefix", "left_semi").drop("prefix")
+    return crowded
+
+
+def subtrees(suffixes: DataFrame, crowded: list[tuple[int, DataFrame]], window: int) -> DataFrame:
+    """The suffixes with ``depth``, the words of the prefix that their subtree hangs from: the shortest that is not crowded, or the whole window."""
     placed = suffixes.withColumn("depth", F.lit(min(PREFIX_WORDS, window)))
     for words, large in crowded:
         longer = F.when(F.col("crowded") & (F.col("depth") == words), min(words + PREFIX_WORDS, window)).otherwise(F.col("depth"))
@@ -315,21 +330,30 @@ def _spans(rows: DataFrame, store: Store, window: int, anchor: int) -> DataFrame
         .join(firsts.select("key", F.col("row").alias("first_row")), "key").filter("row <> first_row")
         .select("row", F.struct(F.lit(0).alias("start"), F.col("n_words").alias("end")).alias("span"))
     ))
+    n_words = signed.agg(F.sum(F.col("n_words").cast("long"))).first()[0] or 0
     store.free("signed", "firsts")
     store.settle()
     merged_in_tasks = store.put("merged", _suffixes(rows.join(hits, "row"), window, anchor))
     store.free("hits")
     store.settle()
-    suffixes = subtrees(_expanded(merged_in_tasks.filter("words IS NOT NULL"), window), store, window)
-    in_order = (
-        suffixes.repartition(_prefix(F.col("depth"))).select("words", "doc_id", "row", "start")
-        .sortWithinPartitions("words", F.col("doc_id").asc_nulls_last(), "row", "start")
-    )
+    runs = merged_in_tasks.filter("words IS NOT NULL")
+    crowded = crowded_prefixes(_expanded(runs, window), store, window)
+    n_suffixes = runs.agg(F.sum("suffixes")).first()[0] or 0
+    rounds = max(1, -(-n_suffixes * window // max(1, n_words)))
+    across = []
+    for number in range(rounds):
+        suffixes = subtrees(_expanded(runs, window, rounds, number), crowded, window)
+        in_order = (
+            suffixes.repartition(_prefix(F.col("depth"))).select("words", "doc_id", "row", "start")
+            .sortWithinPartitions("words", F.col("doc_id").asc_nulls_last(), "row", "start")
+        )
+        across.append(store.put(f"across-{number}", _walk(in_order)))
+        store.settle()
     inside = merged_in_tasks.filter("words IS NULL").select("row", F.explode("spans").alias("span"))
-    across = _walk(in_order).select("row", F.struct("start", (F.col("start") + window).alias("end")).alias("span"))
-    spans = copies.unionByName(inside).unionByName(across)
+    repeats = reduce(DataFrame.unionByName, across).select("row", F.struct("start", (F.col("start") + window).alias("end")).alias("span"))
+    spans = copies.unionByName(inside).unionByName(repeats)
     found = store.put("spans", spans.groupBy("row").agg(F.collect_list("span").alias("spans")))
-    store.free("merged", "copies")
+    store.free("merged", "copies", *(f"across-{number}" for number in range(rounds)))
     store.settle()
     return found
 

@@ -180,6 +180,15 @@ class TestSubstrings:
         assert sum(k for _, _, k, _ in want) >= 150
         assert set(map(tuple, substrings.digests(documents(*rows)).collect())) == want
 
+    def test_rounds_share_out_the_suffixes(self, spark):
+        rng = random.Random(7)
+        runs = spark.createDataFrame([(i, i, " ".join(words(rng, 20 + i)), 3 * i) for i in range(40)], "row long, doc_id long, words string, start int")
+        whole = collections.Counter(map(tuple, substrings._expanded(runs, 20).collect()))
+        want = [(" ".join(r.words.split()[k : k + 20]), r.doc_id, r.row, r.start + k) for r in runs.collect() for k in range(r.row + 1)]
+        assert whole == collections.Counter(want)
+        parts = [collections.Counter(map(tuple, substrings._expanded(runs, 20, 3, k).collect())) for k in range(3)]
+        assert all(parts) and sum(parts, collections.Counter()) == whole
+
     def test_crowded_prefixes_grow_until_their_group_fits(self, spark, monkeypatch):
         """One prefix of 9 words holds a third of all suffixes: its subtrees fit all the same, and no suffix changes."""
         monkeypatch.setattr(substrings, "GROUP_BYTES", 2000)
@@ -187,7 +196,7 @@ class TestSubstrings:
         form = [f"form{i}" for i in range(9)]
         texts = [" ".join([*form, *words(rng, 11)]) for _ in range(300)] + [" ".join(words(rng, 20)) for _ in range(600)]
         suffixes = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "words string, row long")
-        placed = substrings.subtrees(suffixes, Store(spark, "subtrees"), 20).collect()
+        placed = substrings.subtrees(suffixes, substrings.crowded_prefixes(suffixes, Store(spark, "subtrees"), 20), 20).collect()
         assert sorted((r.words, r.row) for r in placed) == sorted((t, i) for i, t in enumerate(texts))
         sizes, depths = collections.Counter(), collections.defaultdict(set)
         for r in placed:
