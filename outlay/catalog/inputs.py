@@ -97,9 +97,14 @@ class Tables:
 
     @property
     def raw_expenses(self) -> DataFrame:
-        orders = self.source("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
         customer = self.source("customer").select("c_custkey", "c_nationkey")
         nation = self.source("nation").select("n_nationkey", "n_name")
+        # Customers join the narrow orders: beyond the broadcast limit they would exchange all lines once more.
+        orders = (
+            self.source("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+            .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        )
         supplier = self.source("supplier").select("s_suppkey", "s_name")
         employee = F.col("o_custkey") % 100
         amount = F.when(
@@ -112,8 +117,6 @@ class Tables:
         return (
             spread_if_few_splits(lines, "l_orderkey", "l_linenumber")
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
             .select(
                 F.concat(F.lit("INV-"), "l_orderkey", F.lit("-"), "l_linenumber").alias("invoice_id"),

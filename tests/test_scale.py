@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rows import expense
+from outlay.catalog.inputs import Tables
 from outlay.functions import repeat_rows, small_side
 from outlay.operators import dimensions, facts, kpis, rules, views
 from outlay.sources.steps import read_steps, write_steps
@@ -194,3 +195,16 @@ def test_steps_are_read_by_one_scan_and_no_exchange(spark, tmp_path):
     plan = read_steps(spark, path, "e", ["v", "w"])._jdf.queryExecution().sparkPlan().toString()
     assert plan.count(f"{path}/rows") <= 1 and plan.count("FileScan") == 2 and "SortMergeJoin" not in plan
     assert plan.count("Window") == 1 and plan.index("Window") > plan.index("BroadcastHashJoin")
+
+
+def test_customers_join_the_orders_and_not_the_lines(spark):
+    """Every table of customers has outgrown a broadcast at some size; the lines, the widest rows, must not be exchanged for them."""
+    plan = Tables.shared(spark, "/root/testdata/sf0.001").raw_expenses._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    customers = next(i for i, line in enumerate(plan) if "Join" in line and "c_custkey" in line)
+    below = []
+    for i in range(customers + 1, len(plan)):
+        if depth[i] <= depth[customers]:
+            break
+        below.append(plan[i])
+    assert any("o_custkey" in line for line in below) and not any("l_orderkey" in line for line in below)
