@@ -74,10 +74,11 @@ class Tables:
 
     def stored(
         self, name: str, build: Callable[[], DataFrame], row_id: str | None = None, cluster_by: tuple[str, ...] = (),
+        copies: str | None = None,
     ) -> DataFrame:
         path = f"{self.store}/{name}"
         if name not in self.written:
-            self.written[name] = write_table(build(), path, row_id=row_id, cluster_by=cluster_by)
+            self.written[name] = write_table(build(), path, row_id=row_id, cluster_by=cluster_by, copies=copies)
         return read_table(self.spark, path)
 
     def lookup(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -305,17 +306,17 @@ class Tables:
             self.written["campaign_steps"] = write_steps(spend, entity, tuple(order), values, path)
         return read_steps(self.spark, path, entity, values)
 
-    def duplicates_of(self) -> DataFrame:
-        return rules.duplicate_invoices(self.fact_expense, self.dim_vendor, LIMITS)
+    def duplicates_of(self, counted: bool = False) -> DataFrame:
+        return rules.duplicate_invoices(self.fact_expense, self.dim_vendor, LIMITS, counted)
 
     def near_duplicates_of(self) -> DataFrame:
         return rules.near_duplicate_invoices(self.fact_expense, self.dim_vendor, LIMITS)
 
-    def sub_threshold_of(self) -> DataFrame:
-        return rules.sub_threshold_repeats(self.fact_expense, self.dim_employee, LIMITS)
+    def sub_threshold_of(self, counted: bool = False) -> DataFrame:
+        return rules.sub_threshold_repeats(self.fact_expense, self.dim_employee, LIMITS, counted)
 
-    def weekend_of(self) -> DataFrame:
-        return rules.weekend_holiday_claims(self.fact_expense, self.dim_calendar, self.dim_employee)
+    def weekend_of(self, counted: bool = False) -> DataFrame:
+        return rules.weekend_holiday_claims(self.fact_expense, self.dim_calendar, self.dim_employee, counted)
 
     def round_number_of(self) -> DataFrame:
         return rules.round_number_spikes(self.fact_expense, self.dim_department, LIMITS, self.as_of)
@@ -323,15 +324,15 @@ class Tables:
     def campaign_spikes_of(self) -> DataFrame:
         return rules.spikes_between(self.campaign_steps, self.dim_campaign, LIMITS)
 
-    def signals_of(self) -> DataFrame:
+    def signals_of(self, counted: bool = False) -> DataFrame:
         return rules.leakage_signals(
-            self.duplicates_of(), self.sub_threshold_of(), self.weekend_of(), self.round_number_of(),
+            self.duplicates_of(counted), self.sub_threshold_of(counted), self.weekend_of(counted), self.round_number_of(),
             self.campaign_spikes_of(),
         )
 
     @cached_property
     def signals(self) -> DataFrame:
-        return self.stored("fact_leakage_signal", self.signals_of, "signal_id", SIGNAL_ORDER)
+        return self.stored("fact_leakage_signal", lambda: self.signals_of(counted=True), "signal_id", SIGNAL_ORDER, rules.COPIES)
 
     def variance_of(self) -> DataFrame:
         return kpis.budget_variance(self.fact_expense, self.dim_department, self.budgets)

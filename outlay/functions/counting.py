@@ -21,6 +21,22 @@ def centred_day_counts(df: DataFrame, entity: str, day: str, radius: int, name:
     return daily.withColumn(name, F.sum("rows_on_day").over(around))
 
 
+def cut_counts(df: DataFrame, times: str, most: int) -> DataFrame:
+    """Each row once for every ``most`` of its count, numbered by ``_chunk``; ``times`` becomes the chunk's part of the count."""
+    last_chunk = F.floor((F.col(times) - 1) / most)
+    in_chunk = F.least(F.lit(most), F.col(times) - F.col("_chunk") * most)
+    return (
+        df.filter(F.col(times) > 0)
+        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
+        .withColumn(times, in_chunk)
+    )
+
+
+def expand_counts(chunks: DataFrame, times: str) -> DataFrame:
+    """Each row of ``cut_counts`` ``times`` times, in its place (the counting columns are dropped)."""
+    return chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times)))).drop(times, "_chunk", "_copy")
+
+
 def repeat_rows(df: DataFrame, times: str, *spread_by: str) -> DataFrame:
     """Each row ``times`` times (the column is dropped).
 
@@ -28,12 +44,4 @@ def repeat_rows(df: DataFrame, times: str, *spread_by: str) -> DataFrame:
     expanded, so one row with a huge count is not expanded by one task.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    last_chunk = F.floor((F.col(times) - 1) / CHUNK_ROWS)
-    in_chunk = F.least(F.lit(CHUNK_ROWS), F.col(times) - F.col("_chunk") * CHUNK_ROWS)
-    return (
-        df.filter(F.col(times) > 0)
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
-        .repartition(partitions, *spread_by, "_chunk")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), in_chunk)))
-        .drop(times, "_chunk", "_copy")
-    )
+    return expand_counts(cut_counts(df, times, CHUNK_ROWS).repartition(partitions, *spread_by, "_chunk"), times)

@@ -1,6 +1,7 @@
 """Detection rules. Each returns signals in one common schema.
 
 Columns: rule_name, entity_type, entity_id (string), entity_name, signal_date, score, details.
+A rule whose signals depend on an entity and a day alone can give them ``counted``: one row of those, with the number of signals in ``copies``.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ ROUND_SCORE = 45.0
 SPIKE_HIGH_SCORE = 80.0
 SPIKE_SCORE = 60.0
 
+COPIES = "copies"
+
 # What the spike rule compares: the entity, the order of its rows, and the values of a row and of the one before.
 STEP_VALUES = ("cost", "conversions")
 STEP_COLUMNS = ("campaign_id", "date", "spend_id", *STEP_VALUES)
@@ -59,22 +62,26 @@ def _named(df: DataFrame, dimension: DataFrame, entity_id: str, name: str) -> Da
     return df.join(dimension.select(entity_id, name), entity_id, "left")
 
 
-def _one_per_expense(signals: DataFrame) -> DataFrame:
-    """A signal row describes a (entity, day); emit it once per expense of that day."""
+def _one_per_expense(signals: DataFrame, counted: bool) -> DataFrame:
+    """A signal row describes a (entity, day); emit it once per expense of that day, or with their number."""
+    if counted:
+        return signals.withColumnRenamed("rows_on_day", COPIES)
     return repeat_rows(signals, "rows_on_day", "entity_id", "signal_date")
 
 
-def duplicate_invoices(fact: DataFrame, vendors: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
+def duplicate_invoices(
+    fact: DataFrame, vendors: DataFrame, limits: Thresholds = DEFAULTS, counted: bool = False,
+) -> DataFrame:
     """Expenses whose vendor has another expense within the window, whatever its amount."""
-    counted = centred_day_counts(fact, "vendor_id", "trx_date", limits.duplicate_window_days, "in_window")
-    flagged = _named(counted.filter(F.col("in_window") > 1), vendors, "vendor_id", "vendor_name")
+    per_day = centred_day_counts(fact, "vendor_id", "trx_date", limits.duplicate_window_days, "in_window")
+    flagged = _named(per_day.filter(F.col("in_window") > 1), vendors, "vendor_id", "vendor_name")
     text = F.concat(
         F.lit("Duplicate invoice detected for vendor "), "vendor_name", F.lit(f" within {limits.duplicate_window_days} days")
     )
     return _one_per_expense(_signals(
         flagged, DUPLICATE, "vendor", "vendor_id", "vendor_name", F.col("trx_date"),
         F.lit(DUPLICATE_SCORE), text, "rows_on_day",
-    ))
+    ), counted)
 
 
 def near_duplicate_invoices(fact: DataFrame, vendors: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
@@ -95,13 +102,15 @@ def near_duplicate_invoices(fact: DataFrame, vendors: DataFrame, limits: Thresho
     return repeat_rows(signals, "rows_at_point", "entity_id", "signal_date", "amount").drop("amount")
 
 
-def sub_threshold_repeats(fact: DataFrame, employees: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
+def sub_threshold_repeats(
+    fact: DataFrame, employees: DataFrame, limits: Thresholds = DEFAULTS, counted: bool = False,
+) -> DataFrame:
     """Small claims of an employee that has at least the minimum count of them in the window."""
     small = fact.filter(F.col("amount") < limits.sub_threshold_amount)
-    counted = centred_day_counts(
+    per_day = centred_day_counts(
         small, "employee_id", "trx_date", limits.sub_threshold_window_days, "small_claims"
     )
-    repeated = counted.filter(F.col("small_claims") >= limits.sub_threshold_min_count)
+    repeated = per_day.filter(F.col("small_claims") >= limits.sub_threshold_min_count)
     flagged = _named(repeated, employees, "employee_id", "employee_name")
     text = F.concat(
         F.lit("Employee "), "employee_name", F.lit(" made "), "small_claims",
@@ -110,15 +119,17 @@ def sub_threshold_repeats(fact: DataFrame, employees: DataFrame, limits: Thresho
     return _one_per_expense(_signals(
         flagged, SUB_THRESHOLD, "employee", "employee_id", "employee_name", F.col("trx_date"),
         F.lit(SUB_THRESHOLD_SCORE), text, "rows_on_day",
-    ))
+    ), counted)
 
 
-def weekend_holiday_claims(fact: DataFrame, calendar: DataFrame, employees: DataFrame) -> DataFrame:
+def weekend_holiday_claims(fact: DataFrame, calendar: DataFrame, employees: DataFrame, counted: bool = False) -> DataFrame:
     """Expenses dated on a weekend or a holiday; a day outside the calendar gives no signal."""
     off_days = calendar.select("date", "is_weekend", "is_holiday").filter(
         F.col("is_weekend") | F.col("is_holiday")
     )
     claims = fact.select("employee_id", "trx_date").join(off_days, F.col("trx_date") == F.col("date"))
+    if counted:
+        claims = claims.groupBy("employee_id", "trx_date", "is_weekend", "is_holiday").agg(F.count(F.lit(1)).alias(COPIES))
     claims = _named(claims, employees, "employee_id", "employee_name")
     both = F.col("is_weekend") & F.col("is_holiday")
     score = first_match(
@@ -127,7 +138,8 @@ def weekend_holiday_claims(fact: DataFrame, calendar: DataFrame, employees: Data
     kind = first_match((both, "weekend holiday"), (F.col("is_weekend"), "weekend"), default="holiday")
     text = F.concat(F.lit("Expense on "), kind, F.lit(" by "), "employee_name")
     return _signals(
-        claims, WEEKEND_HOLIDAY, "employee", "employee_id", "employee_name", F.col("trx_date"), score, text
+        claims, WEEKEND_HOLIDAY, "employee", "employee_id", "employee_name", F.col("trx_date"), score, text,
+        *([COPIES] if counted else []),
     )
 
 
@@ -195,6 +207,10 @@ def spikes_between(compared: DataFrame, campaigns: DataFrame, limits: Thresholds
 
 
 def leakage_signals(*signal_sets: DataFrame) -> DataFrame:
-    """All signals, stamped; ``signal_id`` is added when the table is written."""
-    united = reduce(DataFrame.unionByName, [s.select(*SIGNAL_COLUMNS) for s in signal_sets])
+    """All signals, stamped; ``signal_id`` is added when the table is written. With one counted set all are: ``copies`` tells how often to write a row."""
+    if any(COPIES in s.columns for s in signal_sets):
+        sets = [s if COPIES in s.columns else s.withColumn(COPIES, F.lit(1).cast("bigint")) for s in signal_sets]
+        united = reduce(DataFrame.unionByName, [s.select(*SIGNAL_COLUMNS, COPIES) for s in sets])
+    else:
+        united = reduce(DataFrame.unionByName, [s.select(*SIGNAL_COLUMNS) for s in signal_sets])
     return united.withColumn("created_timestamp", F.current_timestamp())

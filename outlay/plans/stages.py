@@ -166,16 +166,16 @@ def _campaign_steps(spark: SparkSession, gold_dir: str) -> DataFrame:
 def signal_sets(
     spark: SparkSession, gold_dir: str, limits: Thresholds = DEFAULTS, as_of: Column | None = None,
 ) -> list[DataFrame]:
-    """The five rules over the star schema."""
+    """The five rules over the star schema; those that depend on an entity and a day give counted signals."""
     fact = read_table(spark, f"{gold_dir}/fact_expense")
     vendors, employees, departments, campaigns, calendar = (
         small_side(read_table(spark, f"{gold_dir}/{name}"))
         for name in ("dim_vendor", "dim_employee", "dim_department", "dim_campaign", "dim_calendar")
     )
     return [
-        rules.duplicate_invoices(fact, vendors, limits),
-        rules.sub_threshold_repeats(fact, employees, limits),
-        rules.weekend_holiday_claims(fact, calendar, employees),
+        rules.duplicate_invoices(fact, vendors, limits, counted=True),
+        rules.sub_threshold_repeats(fact, employees, limits, counted=True),
+        rules.weekend_holiday_claims(fact, calendar, employees, counted=True),
         rules.round_number_spikes(fact, departments, limits, as_of),
         rules.spikes_between(_campaign_steps(spark, gold_dir), campaigns, limits),
     ]
@@ -190,7 +190,7 @@ def detect(
     signals = rules.leakage_signals(*signal_sets(spark, gold_dir, limits, as_of))
     return _published(spark, gold_dir, {
         "fact_leakage_signal": write_table(
-            signals, f"{gold_dir}/fact_leakage_signal", row_id="signal_id", cluster_by=SIGNAL_ORDER
+            signals, f"{gold_dir}/fact_leakage_signal", row_id="signal_id", cluster_by=SIGNAL_ORDER, copies=rules.COPIES
         ),
         "kpi_budget_variance": write_table(
             kpis.budget_variance(

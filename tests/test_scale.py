@@ -12,6 +12,7 @@ from rows import expense
 from outlay.catalog.inputs import Tables
 from outlay.functions import repeat_rows, small_side
 from outlay.operators import dimensions, facts, kpis, rules, views
+from outlay.params import Thresholds
 from outlay.sources.steps import read_steps, write_steps
 from outlay.sources.writers import write_table
 
@@ -208,3 +209,34 @@ def test_customers_join_the_orders_and_not_the_lines(spark):
             break
         below.append(plan[i])
     assert any("o_custkey" in line for line in below) and not any("l_orderkey" in line for line in below)
+
+
+def test_counted_signals_are_expanded_after_the_sort(spark, fact, names, tmp_path):
+    """The same rows as those of the plain rules, but what is exchanged for the order of the table are the counted ones, in chunks."""
+    df = fact(*[(f"I{i}", i % 2, 1, 1, "2024-01-06" if i < 900 else f"2024-01-{i % 20 + 1:02d}", 10) for i in range(1000)])
+    vendors, employees = names("vendor_id", "vendor_name", 0, 1), names("employee_id", "employee_name", 1)
+    calendar = spark.createDataFrame([(date(2024, 1, d), d % 7 in (6, 0), d == 6) for d in range(1, 21)], "date date, is_weekend boolean, is_holiday boolean")
+    many = Thresholds(sub_threshold_amount=100)
+
+    def signals(counted):
+        return rules.leakage_signals(
+            rules.duplicate_invoices(df, vendors, many, counted), rules.sub_threshold_repeats(df, employees, many, counted),
+            rules.weekend_holiday_claims(df, calendar, employees, counted), rules.round_number_spikes(df, names("dept_id", "dept_name", 1)),
+        ).drop("created_timestamp")
+
+    order = ("signal_date", "entity_id", "rule_name")
+    assert signals(True).count() < 80
+    rows = write_table(signals(True), str(tmp_path / "t"), row_id="signal_id", cluster_by=order, copies=rules.COPIES)
+    written = spark.read.parquet(str(tmp_path / "t"))
+    plain = signals(False)
+    assert rows == plain.count() > 2500 and written.select("signal_id").distinct().count() == rows
+    assert plain.exceptAll(written.drop("signal_id")).count() == 0 == written.select(plain.columns).exceptAll(plain).count()
+
+
+def test_a_hot_day_of_counted_rows_is_written_by_many_tasks(spark, settings, tmp_path):
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    counts = spark.createDataFrame([("hot", 100_000), ("cold", 3), ("none", 0)], "k string, n bigint")
+    assert write_table(counts, str(tmp_path / "t"), cluster_by=("k",), copies="n") == 100_003
+    files = spark.read.parquet(str(tmp_path / "t")).groupBy(F.input_file_name(), "k").count().collect()
+    assert sorted({r["k"] for r in files}) == ["cold", "hot"]
+    assert max(r["count"] for r in files) < 60_000
