@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from outlay.functions import keep_first, small_side
+from outlay.functions.lookup import stored_bytes
 from outlay.sources.commits import ATTEMPTS, CommitLog, Conflict, Files, published_version, read_folders
 from outlay.sources.key_book import KeyBook
 from outlay.sources.writers import write_table
@@ -188,6 +189,8 @@ FILES = T.StructType([
 ])
 IDENTITY = ["path", "length", "modified"]
 FILES_AT_ONCE = 10_000
+# A source of at most so many files for each part, or of files of at least these bytes on the average, is loaded without gathering its parts anew.
+PART_FILES, FILE_BYTES = 4, 32 << 20
 LOAD = "load_folder"
 PARTITIONS = {"fact_expense": "budget_month_key"}
 WHOLE = "*"  # the part of a table without partitions
@@ -238,6 +241,14 @@ def _part_folder(spark: SparkSession, table: str, folder: str, part: str) -> str
     return f"{folder}/{PARTITIONS[table]}={name}"
 
 
+def _gathered(source: DataFrame, by: str | None) -> bool:
+    """The files hold one part each and are few or large, so tasks that read them write few files for each part."""
+    files = source.inputFiles() if by else []
+    parts = {file.rsplit("/", 1)[0] for file in files}
+    named = all(f"/{by}=" in file for file in files)
+    return bool(files) and named and len(files) <= PART_FILES * len(parts) + stored_bytes(source) // FILE_BYTES
+
+
 class _Target:
     """A contract table and the loads that it consists of."""
 
@@ -254,26 +265,29 @@ class _Target:
     def read(self, state: dict[str, Any]) -> DataFrame | None:
         return read_folders(self.spark, self.base, self.folders(state))
 
-    def write(self, df: DataFrame, wide: bool, keys_after: int) -> tuple[str, int, int]:
-        """Write rows to a folder of their own: its name, the rows, and the highest opaque id."""
+    def write(self, df: DataFrame, wide: bool, keys_after: int, gathered: bool = False) -> tuple[str, int, int]:
+        """Write rows to a folder of their own: its name, the rows, and the highest opaque id. ``gathered`` rows come part by part."""
         folder, opaque = f"{LOAD}={uuid.uuid4().hex}", _opaque(self.table)
         rows = conform(df.drop(opaque) if opaque else df, self.table, wide, keys_after)
-        written = write_table(rows, f"{self.base}/{folder}", partition_by=PARTITIONS.get(self.table))
+        written = write_table(rows, f"{self.base}/{folder}", partition_by=PARTITIONS.get(self.table), gathered=gathered)
         highest = self.spark.read.parquet(f"{self.base}/{folder}").agg(F.max(opaque)).first()[0] if opaque and written else None
         return folder, written, max(highest or 0, keys_after)
 
     def discard(self, folder: str) -> None:
         Files(self.spark, self.base).delete(folder)
 
-    def with_keys(self, fact: DataFrame) -> DataFrame:
-        """The fact with the keys that this store's dimensions have; where it has no such dimension, the input's stay."""
+    def with_keys(self, source: DataFrame) -> tuple[DataFrame, bool]:
+        """The fact with the keys that this store's dimensions have; where it has no such dimension, the input's stay. And whether it is still gathered."""
+        fact, gathered = source, _gathered(source, PARTITIONS.get(self.table))
         for dimension, reference in REFERENCES.get(self.table, {}).items():
             book = key_book(self.spark, self.dir, dimension)
             known = book.read()
             if known is not None and reference in fact.columns:
-                keys = small_side(known.select(F.col(book.id_column).alias("_id"), F.col(book.key).alias("_key")))
+                table = known.select(F.col(book.id_column).alias("_id"), F.col(book.key).alias("_key"))
+                keys = small_side(table)
+                gathered = gathered and keys is not table  # only a broadcast leaves the rows where they are
                 fact = fact.drop(book.key).join(keys, F.col(reference) == F.col("_id"), "left").withColumnRenamed("_key", book.key).drop("_id")
-        return fact
+        return fact, gathered
 
     def merged(self, incoming: DataFrame, state: dict[str, Any]) -> DataFrame:
         """The dimension after a merge by natural id; ids that the input lacks stay."""
@@ -306,6 +320,11 @@ class _Target:
         return book.look_up(both.select(*columns), keys)
 
 
+def _written(target: _Target, source: DataFrame, wide: bool, keys_after: int) -> tuple[str, int, int]:
+    keyed, gathered = target.with_keys(source)
+    return target.write(keyed, wide, keys_after, gathered)
+
+
 def _new_files(spark: SparkSession, source_dir: str, target: _Target, state: dict[str, Any]) -> Iterator[list]:
     """The files that no load has recorded, some at a time: the comparison is a join, and no list of all of them is made."""
     found = (
@@ -340,7 +359,7 @@ def _load_version(target: _Target, source_dir: str, version: int, state: dict[st
             named = F.coalesce(F.col(by).cast("string"), F.lit(NULL_PART))
             source = source.filter(F.col(by).isin([p for p in changed if p != NULL_PART]) | (
                 F.col(by).isNull() if NULL_PART in changed else F.lit(False))) if len(changed) < 1000 else source.filter(named.isin(changed))
-        folder, rows, after = target.write(target.with_keys(source), wide, after)
+        folder, rows, after = _written(target, source, wide, after)
         for part in changed:
             parts[part] = {"folder": _part_folder(spark, table, folder, part), "print": prints[part]}
     sources[source_dir] = {"version": version, "parts": parts}
@@ -355,7 +374,7 @@ def _load_files(target: _Target, source_dir: str, files: list, state: dict[str,
         folder, _, after = target.write(target.merged(source, state), wide, 0)
         rows, placed = source.count(), {"merged": folder}
     else:
-        folder, rows, after = target.write(target.with_keys(source), wide, state.get("last_key", 0))
+        folder, rows, after = _written(target, source, wide, state.get("last_key", 0))
         placed = {"appended": [*state.get("appended", []), folder], "last_key": after}
     record = spark.createDataFrame([tuple(row[c] for c in IDENTITY) for row in files], FILES)
     record.coalesce(1).write.parquet(f"{target.dir}/_files/{table}/{folder}")

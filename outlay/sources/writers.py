@@ -19,17 +19,19 @@ def with_row_ids(df: DataFrame, name: str) -> DataFrame:
 def write_table(
     df: DataFrame, path: str, partition_by: str | None = None, row_id: str | None = None,
     mode: str = "overwrite", cluster_by: tuple[str, ...] = (), copies: str | None = None,
+    gathered: bool = False,
 ) -> int:
     """Write Parquet and return the row count, observed during the write itself.
 
     A partitioned write is rebalanced by its partition column first: one or few files per
-    value, and adaptive execution splits a value that holds much of the table. ``cluster_by``
+    value, and adaptive execution splits a value that holds much of the table; ``gathered`` says that the tasks' rows
+    are such already, so nothing is exchanged. ``cluster_by``
     sorts the table by ranges, so that a filter on its first column skips files; name columns that split a hot value. ``copies``
     names a column of counts: each row is written so many times, without the column, and ``cluster_by`` exchanges and sorts
     the counted rows, in chunks that split a hot value too. ``row_id`` names an opaque id column, numbered in the writing tasks so that a retried task cannot
     repeat another task's ids.
     """
-    out = df if partition_by is None else df.hint("rebalance", partition_by)
+    out = df if partition_by is None or gathered else df.hint("rebalance", partition_by)
     if copies is not None:
         out = cut_counts(out, copies, CLUSTER_COPIES)
     if cluster_by:

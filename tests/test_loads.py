@@ -223,3 +223,30 @@ def test_a_number_is_taken_once(spark, tmp_path):
     assert log.latest() == (1, {"x": 1}) and log.files.names() == ["00000000000000000001.json"]
     assert commits.published_version(spark, str(tmp_path), "t") == 0
     assert [publish(spark, str(tmp_path), "t", 5), publish(spark, str(tmp_path), "t", 6)] == [1, 2]
+
+
+def test_a_source_gathered_by_month_is_loaded_without_an_exchange(spark, tmp_path, monkeypatch):
+    """Its rows are read month by month; only many small files, or none by month, are gathered anew."""
+    seen = []
+
+    def watched(df, path, partition_by=None, gathered=False, **more):
+        if partition_by:
+            seen.append(gathered)
+        return write_table(df, path, partition_by=partition_by, gathered=gathered, **more)
+
+    monkeypatch.setattr(contracts, "write_table", watched)
+    rows = [(f"i{i}", i % 3, f"2024-0{i % 4 + 1}", i + 1) for i in range(40)] + [N]
+    write_version(spark, str(tmp_path / "few"), *rows)
+    write_version(spark, str(tmp_path / "plain"), *rows, partitioned=False)
+    scattered = spark.createDataFrame(fact_rows(*rows), FACT).repartition(20)
+    scattered.write.partitionBy("budget_month_key").parquet(str(tmp_path / "many" / "fact_expense"))
+    publish(spark, str(tmp_path / "many"), "fact_expense", len(rows))
+    tables = []
+    for source in ("few", "plain", "many"):
+        assert contracts.load_table(spark, str(tmp_path / source), str(tmp_path / f"w_{source}"), "fact_expense") == len(rows)
+        table = loaded(spark, tmp_path / f"w_{source}")
+        assert table.select("expense_id").distinct().count() == len(rows)
+        tables.append(sorted((r.invoice_id, r.amount, r.budget_month_key or "") for r in table.collect()))
+    assert seen == [True, False, False] and tables[0] == tables[1] == tables[2]
+    files = spark.read.parquet(*[f"{tmp_path}/w_few/fact_expense"]).inputFiles()
+    assert len(files) <= 10
