@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,3 +65,23 @@ def spread_if_few_splits(df: DataFrame, *by: str) -> DataFrame:
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores, *by)
     return df
+
+
+@contextmanager
+def splits_of_rows(spark: SparkSession, rows: int, each: int) -> Iterator[None]:
+    """Within it, a table of ``rows`` rows is read in so many splits that one has about ``each`` of them, down to a file or row group.
+
+    Splits are cut by bytes, which say little of the rows: of values that repeat, Parquet packs millions into a split. For
+    what sorts a split as it is. The session's setting is put back at the end; a higher one stays.
+    """
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    least = before or spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
+    spark.conf.set(name, str(max(int(least), -(-rows // each))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

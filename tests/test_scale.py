@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rows import expense
+from outlay import schemas
 from outlay.catalog.inputs import Tables
 from outlay.functions import repeat_rows, small_side
-from outlay.operators import dimensions, facts, kpis, rules, views
+from outlay.operators import cleaning, dimensions, facts, kpis, rules, views
 from outlay.params import Thresholds
+from outlay.plans import stages
 from outlay.sources.steps import read_steps, write_steps
 from outlay.sources.writers import write_table
 
@@ -240,3 +243,31 @@ def test_a_hot_day_of_counted_rows_is_written_by_many_tasks(spark, settings, tmp
     files = spark.read.parquet(str(tmp_path / "t")).groupBy(F.input_file_name(), "k").count().collect()
     assert sorted({r["k"] for r in files}) == ["cold", "hot"]
     assert max(r["count"] for r in files) < 60_000
+
+
+@pytest.mark.parametrize("own", [None, "2", "500"])
+def test_accepted_rows_are_sorted_so_many_at_once(spark, settings, tmp_path, monkeypatch, own):
+    """Parquet packs the rows of several CSV splits into one by bytes; the tasks that combine them take a bounded number of rows all the same."""
+    settings(spark__sql__files__openCostInBytes="0", spark__sql__files__maxPartitionBytes="100k")
+    name = "spark.sql.files.minPartitionNum"
+    if own:
+        settings(spark__sql__files__minPartitionNum=own)
+    monkeypatch.setattr(stages, "ROWS_PER_SORT", 1000)
+    rows = [f"I{i // 2},1,Vendor,1,Employee,1,Dept,2024-01-05,{5 + i % 2}.00,USD,Wire,the same text in every row\n" for i in range(24_000)]
+    (tmp_path / "raw").mkdir()
+    for part in range(24):
+        lines = [",".join(schemas.EXPENSES.names) + "\n", *rows[1000 * part:1000 * (part + 1)]]
+        (tmp_path / "raw" / f"{part:02}.csv").write_text("".join(lines))
+    sorted_at_once = []
+
+    def clean(accepted, source_file):
+        per_task = accepted.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        sorted_at_once.append(per_task)
+        return cleaning.clean_expenses(accepted, source_file)
+
+    total, aside = stages.clean_csv(
+        spark, str(tmp_path / "raw"), str(tmp_path / "clean" / "t"), cleaning.EXPENSES, clean, "t", "raw")
+    assert sorted_at_once[0] <= 2000
+    assert total == 12_000 and {(r.status, r.row_count) for r in aside.collect()} == {("clean", 12_000), ("duplicate", 12_000)}
+    assert {r.amount for r in spark.read.parquet(str(tmp_path / "clean" / "t")).select("amount").distinct().collect()} == {Decimal("5.00")}
+    assert spark.conf.get(name, None) == own
