@@ -18,7 +18,7 @@ from outlay.params import DEFAULTS, Thresholds
 from outlay.sources import contracts
 from outlay.sources.commits import Files, publish
 from outlay.sources.ranked import write_ranked
-from outlay.sources.readers import MALFORMED, load_budgets, read_csv_text, read_table, splits_of_rows
+from outlay.sources.readers import MALFORMED, load_budgets, read_csv_text, read_table, tasks_of_rows
 from outlay.sources.steps import read_steps, write_steps
 from outlay.sources.writers import write_json, write_table
 
@@ -26,7 +26,7 @@ from outlay.sources.writers import write_json, write_table
 # Signals are looked up by day; the entity splits a day that holds much of the table.
 SIGNAL_ORDER = ("signal_date", "entity_id", "rule_name")
 
-# Accepted rows are combined by a sort in the tasks that read them: about so many at once, some 300 bytes each.
+# Accepted rows are combined by a sort in the tasks that read them and by one after their exchange: about so many at once, some 300 bytes each.
 ROWS_PER_SORT = 1 << 20
 
 
@@ -83,7 +83,7 @@ def clean_csv(
     sorted_out.observe(seen, F.count_if(F.col("status") != "rejected").alias("accepted")).write.mode("overwrite").partitionBy("status").parquet(kept)
     written = spark.read.schema(sorted_out.schema).parquet(kept)
     accepted = written.filter("status <> 'rejected'").select(*rules.schema.names)
-    with splits_of_rows(spark, seen.get["accepted"], ROWS_PER_SORT):
+    with tasks_of_rows(spark, seen.get["accepted"], ROWS_PER_SORT):
         rows = write_table(clean(accepted, source_file), clean_path)
     lines = written.filter("status <> 'clean'").select(
         F.lit(table).alias("table_name"), "status", "reason", "unparsed", "raw_line", F.lit(1).cast("bigint").alias("row_count"))

@@ -68,20 +68,23 @@ def spread_if_few_splits(df: DataFrame, *by: str) -> DataFrame:
 
 
 @contextmanager
-def splits_of_rows(spark: SparkSession, rows: int, each: int) -> Iterator[None]:
-    """Within it, a table of ``rows`` rows is read in so many splits that one has about ``each`` of them, down to a file or row group.
+def tasks_of_rows(spark: SparkSession, rows: int, each: int) -> Iterator[None]:
+    """Within it, a table of ``rows`` rows is read and exchanged in so many tasks that one has about ``each`` of them, down to a file or row group.
 
-    Splits are cut by bytes, which say little of the rows: of values that repeat, Parquet packs millions into a split. For
-    what sorts a split as it is. The session's setting is put back at the end; a higher one stays.
+    Splits are cut by bytes, which say little of the rows: of values that repeat, Parquet packs millions into a split; and the session's number of
+    shuffle partitions knows nothing of them. For what sorts its rows as they come. Adaptive execution still joins small partitions. The session's
+    settings are put back at the end; higher ones stay. Its other threads see the changed ones meanwhile, which alters no result.
     """
-    name = "spark.sql.files.minPartitionNum"
-    before = spark.conf.get(name, None)
-    least = before or spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
-    spark.conf.set(name, str(max(int(least), -(-rows // each))))
+    files, exchanges = "spark.sql.files.minPartitionNum", "spark.sql.shuffle.partitions"
+    before = {name: spark.conf.get(name, None) for name in (files, exchanges)}
+    cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
+    for name, least in ((files, before[files] or cores), (exchanges, before[exchanges])):
+        spark.conf.set(name, str(max(int(least), -(-rows // each))))
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

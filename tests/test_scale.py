@@ -248,8 +248,10 @@ def test_a_hot_day_of_counted_rows_is_written_by_many_tasks(spark, settings, tmp
 @pytest.mark.parametrize("own", [None, "2", "500"])
 def test_accepted_rows_are_sorted_so_many_at_once(spark, settings, tmp_path, monkeypatch, own):
     """Parquet packs the rows of several CSV splits into one by bytes; the tasks that combine them take a bounded number of rows all the same."""
-    settings(spark__sql__files__openCostInBytes="0", spark__sql__files__maxPartitionBytes="100k")
-    name = "spark.sql.files.minPartitionNum"
+    settings(
+        spark__sql__files__openCostInBytes="0", spark__sql__files__maxPartitionBytes="100k", spark__sql__shuffle__partitions="4",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
     if own:
         settings(spark__sql__files__minPartitionNum=own)
     monkeypatch.setattr(stages, "ROWS_PER_SORT", 1000)
@@ -270,4 +272,5 @@ def test_accepted_rows_are_sorted_so_many_at_once(spark, settings, tmp_path, mon
     assert sorted_at_once[0] <= 2000
     assert total == 12_000 and {(r.status, r.row_count) for r in aside.collect()} == {("clean", 12_000), ("duplicate", 12_000)}
     assert {r.amount for r in spark.read.parquet(str(tmp_path / "clean" / "t")).select("amount").distinct().collect()} == {Decimal("5.00")}
-    assert spark.conf.get(name, None) == own
+    assert len(list((tmp_path / "clean" / "t").glob("*.parquet"))) >= 24
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) == own and spark.conf.get("spark.sql.shuffle.partitions") == "4"
