@@ -78,9 +78,11 @@ def tasks_of_rows(spark: SparkSession, rows: int, each: int) -> Iterator[None]:
     files, exchanges = "spark.sql.files.minPartitionNum", "spark.sql.shuffle.partitions"
     before = {name: spark.conf.get(name, None) for name in (files, exchanges)}
     cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
-    for name, least in ((files, before[files] or cores), (exchanges, before[exchanges])):
-        spark.conf.set(name, str(max(int(least), -(-rows // each))))
+    # Without a value of its own, a setting's default comes from a get that names none.
+    least = {files: before[files] or cores, exchanges: spark.conf.get(exchanges)}
     try:
+        for name, value in least.items():
+            spark.conf.set(name, str(max(int(value), -(-rows // each))))
         yield
     finally:
         for name, value in before.items():

@@ -16,6 +16,7 @@ from outlay.functions import repeat_rows, small_side
 from outlay.operators import cleaning, dimensions, facts, kpis, rules, views
 from outlay.params import Thresholds
 from outlay.plans import stages
+from outlay.sources.readers import tasks_of_rows
 from outlay.sources.steps import read_steps, write_steps
 from outlay.sources.writers import write_table
 
@@ -274,3 +275,37 @@ def test_accepted_rows_are_sorted_so_many_at_once(spark, settings, tmp_path, mon
     assert {r.amount for r in spark.read.parquet(str(tmp_path / "clean" / "t")).select("amount").distinct().collect()} == {Decimal("5.00")}
     assert len(list((tmp_path / "clean" / "t").glob("*.parquet"))) >= 24
     assert spark.conf.get("spark.sql.files.minPartitionNum", None) == own and spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+SPLITS, EXCHANGES = "spark.sql.files.minPartitionNum", "spark.sql.shuffle.partitions"
+
+
+@pytest.fixture
+def untouched(spark, settings):
+    """A session in which neither setting was ever named, as a plain one is."""
+    settings(spark__sql__files__minPartitionNum="1", spark__sql__shuffle__partitions="1")
+    for name in (SPLITS, EXCHANGES):
+        spark.conf.unset(name)
+    assert spark.conf.get(SPLITS, None) is None and spark.conf.get(EXCHANGES, None) is None
+    return spark
+
+
+def test_accepted_rows_are_combined_in_a_session_of_default_settings(untouched, tmp_path):
+    lines = [",".join(schemas.EXPENSES.names), *[f"I{i // 2},1,V,1,E,1,D,2024-01-05,{5 + i % 2}.00,USD,Wire,x" for i in range(10)], "I9,1,V,1,E,1,D,2024-01-05,n/a,USD,Wire,x"]
+    (tmp_path / "raw.csv").write_text("\n".join(lines) + "\n")
+    total, aside = stages.clean_csv(
+        untouched, str(tmp_path / "raw.csv"), str(tmp_path / "clean" / "t"), cleaning.EXPENSES, cleaning.clean_expenses, "t", "raw.csv")
+    assert total == 5
+    assert sorted((r.status, r.reason, r.row_count) for r in aside.collect()) == [
+        ("clean", None, 5), ("duplicate", None, 5), ("rejected", "amount does not fit", 1)]
+    assert untouched.conf.get(SPLITS, None) is None and untouched.conf.get(EXCHANGES, None) is None
+
+
+def test_default_settings_count_as_least_tasks_and_are_put_back(untouched):
+    default, cores = int(untouched.conf.get(EXCHANGES)), untouched.sparkContext.defaultParallelism
+    for rows, splits, exchanges in ((0, cores, default), (100 * default, 10 * default, 10 * default)):
+        with tasks_of_rows(untouched, rows, 10):
+            assert (untouched.conf.get(SPLITS), untouched.conf.get(EXCHANGES)) == (str(splits), str(exchanges))
+    with pytest.raises(ZeroDivisionError), tasks_of_rows(untouched, 1, 0):
+        pass
+    assert untouched.conf.get(SPLITS, None) is None and untouched.conf.get(EXCHANGES, None) is None
